@@ -11,10 +11,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from terrace.operators import cdc, gold, silver
+from pyspark.sql import functions as F
+
+from terrace.operators import cdc, gold, ingest, quality, silver
 from terrace.plans import oracles as O
 from terrace.sources import adapters as A
-from terrace.specs import spec_by_name
+from terrace.specs import ROW_ID, spec_by_name
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -147,3 +149,221 @@ def q_fact_invoices(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_agg_billed_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
     """AGG2: daily billed roll-up with profit."""
     return gold.build_billed_daily_agg(fact_invoices(spark, sf_dir))
+
+
+# -- Ingest ---------------------------------------------------------------------------------
+
+# Parameter: the first load ran on 1998-01-01 and had seen that day's finished orders.
+FIRST_LOAD_CUTOFF = "1998-01-01 00:00:00"
+_CUTOFF_SQL = f"TIMESTAMP '{FIRST_LOAD_CUTOFF}'"
+
+
+def first_order_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders as landed by the first load (load id 1)."""
+    src = A.bronze_orders(spark, sf_dir)
+    cutoff = F.lit(FIRST_LOAD_CUTOFF).cast("timestamp_ntz")
+    cur = F.col("last_edited_when")
+    first = src.filter((cur < cutoff) | ((cur == cutoff) & (F.col("order_status") == "F")))
+    return ingest.with_load_metadata(first, spec_by_name("sales_orders"), 1)
+
+
+def second_order_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows the second load (load id 2) appends over the full source."""
+    spec = spec_by_name("sales_orders")
+    return ingest.incremental_batch(A.bronze_orders(spark, sf_dir), first_order_load(spark, sf_dir), spec, 2)
+
+
+_FIRST_LOAD_SQL = f"""
+first_load AS (
+  SELECT * FROM bronze_orders
+  WHERE last_edited_when < {_CUTOFF_SQL}
+     OR (last_edited_when = {_CUTOFF_SQL} AND order_status = 'F')
+),
+wm AS (SELECT max(last_edited_when) AS m FROM first_load),
+second_load AS (
+  SELECT s.*, CAST(2 AS BIGINT) AS _load_id FROM bronze_orders s, wm
+  WHERE s.last_edited_when >= wm.m
+    AND NOT EXISTS (SELECT 1 FROM first_load f
+                    WHERE f.last_edited_when = wm.m AND f.order_id = s.order_id
+                      AND f.last_edited_when = s.last_edited_when)
+)"""
+
+
+@register(
+    "incremental_delta",
+    O.with_(O.BRONZE_ORDERS, _FIRST_LOAD_SQL, body="SELECT * FROM second_load"),
+)
+def q_incremental_delta(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """ING1, ING2, ING4, JOI3: second incremental load after a partial boundary."""
+    return second_order_load(spark, sf_dir).drop(ROW_ID)
+
+
+@register(
+    "normalized_names",
+    """SELECT o_orderkey AS order_id, o_custkey AS customer_id,
+              o_custkey % 20 AS salesperson_person_id,
+              CAST(o_orderdate AS DATE) AS order_date, o_orderdate AS last_edited_when
+       FROM orders""",
+)
+def q_normalized_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """ING3: source-system column names normalised to snake_case."""
+    raw = A.table(spark, sf_dir, "orders").select(
+        F.col("o_orderkey").alias("OrderID"),
+        F.col("o_custkey").alias("CustomerID"),
+        (F.col("o_custkey") % 20).alias("SalespersonPersonID"),
+        F.col("o_orderdate").cast("date").alias("OrderDate"),
+        F.col("o_orderdate").alias("LastEditedWhen"),
+    )
+    return ingest.normalize_names(raw)
+
+
+# -- Quality ------------------------------------------------------------------------------
+
+
+def _first_invoice_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cutoff = F.lit(FIRST_LOAD_CUTOFF).cast("timestamp_ntz")
+    return A.bronze_invoices(spark, sf_dir).filter(F.col("last_edited_when") < cutoff)
+
+
+@register(
+    "reconcile_counts",
+    O.with_(
+        O.BRONZE_ORDERS, _FIRST_LOAD_SQL, O.BRONZE_ORDER_LINES, O.SILVER_LINES,
+        O.BRONZE_INVOICES, O.BRONZE_INVOICE_LINES, O.SILVER_INVOICE_LINES,
+        body=f"""
+, src AS (
+  SELECT 'sales_orders' AS "table", count(*) AS n FROM orders
+  UNION ALL SELECT 'sales_orderlines', count(*) FROM silver_lines
+  UNION ALL SELECT 'sales_invoices', count(*) FROM bronze_invoices
+  UNION ALL SELECT 'sales_invoicelines', count(*) FROM silver_invoice_lines),
+brz AS (
+  SELECT 'sales_orders' AS "table",
+         (SELECT count(*) FROM first_load) + (SELECT count(*) FROM second_load) AS n
+  UNION ALL SELECT 'sales_orderlines', count(*) FROM bronze_lines
+  UNION ALL SELECT 'sales_invoices', count(*) FROM bronze_invoices
+            WHERE last_edited_when < {_CUTOFF_SQL}
+  UNION ALL SELECT 'sales_invoicelines', count(*) FROM bronze_invoice_lines)
+SELECT coalesce(s."table", b."table") AS "table",
+       CAST(coalesce(s.n, 0) AS BIGINT) AS source, CAST(coalesce(b.n, 0) AS BIGINT) AS bronze,
+       CASE WHEN coalesce(s.n, 0) = coalesce(b.n, 0) THEN 'OK'
+            WHEN coalesce(b.n, 0) > coalesce(s.n, 0) THEN 'APPEND' ELSE 'DIFF' END AS status
+FROM src s FULL OUTER JOIN brz b ON s."table" = b."table"
+""",
+    ),
+)
+def q_reconcile_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """QLT1, AGG4, JOI4, EXP8: source vs landed row counts with OK/APPEND/DIFF."""
+    bronze = quality.table_counts(
+        {
+            "sales_orders": first_order_load(spark, sf_dir).unionByName(second_order_load(spark, sf_dir)),
+            "sales_orderlines": A.bronze_order_lines(spark, sf_dir),
+            "sales_invoices": _first_invoice_load(spark, sf_dir),
+            "sales_invoicelines": A.bronze_invoice_lines(spark, sf_dir),
+        }
+    )
+    source = quality.table_counts(
+        {
+            "sales_orders": A.table(spark, sf_dir, "orders"),
+            "sales_orderlines": silver_lines(spark, sf_dir),
+            "sales_invoices": A.bronze_invoices(spark, sf_dir),
+            "sales_invoicelines": silver_invoice_lines(spark, sf_dir),
+        }
+    )
+    return quality.reconcile(bronze, source)
+
+
+def _silver_profile_tables(spark: SparkSession, sf_dir: str) -> dict[str, quality.ProfiledTable]:
+    return {
+        "sales_orders": quality.ProfiledTable(silver_orders(spark, sf_dir), ("order_id",)),
+        "sales_orderlines": quality.ProfiledTable(silver_lines(spark, sf_dir), ("order_line_id",)),
+        "sales_invoices": quality.ProfiledTable(silver_invoices(spark, sf_dir), ("invoice_id",)),
+        "sales_invoicelines": quality.ProfiledTable(
+            silver_invoice_lines(spark, sf_dir), ("invoice_line_id",)
+        ),
+    }
+
+
+@register(
+    "layer_profile",
+    O.with_(
+        *O.ORDERED[:4], *O.BILLED[:4],
+        body="""
+SELECT 'sales_orders' AS "table", count(*) AS rows, 7 AS cols, '' AS partition_columns,
+       CAST(NULL AS BIGINT) AS version FROM silver_orders
+UNION ALL SELECT 'sales_orderlines', count(*), 10, '', NULL FROM silver_lines
+UNION ALL SELECT 'sales_invoices', count(*), 6, '', NULL FROM silver_invoices
+UNION ALL SELECT 'sales_invoicelines', count(*), 10, '', NULL FROM silver_invoice_lines""",
+    ),
+)
+def q_layer_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """QLT2: per-table rows and columns of the Silver layer."""
+    return quality.profile(_silver_profile_tables(spark, sf_dir))
+
+
+@register("layer_samples")
+def q_layer_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """QLT2, TOP1: first 3 rows (by key) x first 6 columns per Silver table, as JSON."""
+    return quality.samples(_silver_profile_tables(spark, sf_dir))
+
+
+def _portable_hash_sql(cols: list[str]) -> str:
+    parts = ", ".join(f"coalesce(CAST({c} AS VARCHAR), chr(0))" for c in cols)
+    return f"CAST(('0x' || substr(md5(concat_ws(chr(1), {parts})), 1, 15))::UBIGINT AS DECIMAL(38,0))"
+
+
+_LINE_COLS = [
+    "order_line_id", "order_id", "stock_item_id", "supplier_id", "description", "quantity",
+    "unit_price", "tax_rate", "picked_quantity", "last_edited_when",
+]
+
+
+@register(
+    "table_fingerprint",
+    O.with_(
+        O.BRONZE_ORDER_LINES, O.SILVER_LINES,
+        body=f"""
+SELECT count(*) AS rows, coalesce(sum({_portable_hash_sql(_LINE_COLS)}), 0) AS hash_sum
+FROM silver_lines""",
+    ),
+)
+def q_table_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """QLT3: order-insensitive fingerprint of the conformed order lines."""
+    return quality.fingerprint(silver_lines(spark, sf_dir), _LINE_COLS, portable=True)
+
+
+_DIFF_SQL = """
+, before_lines AS (
+  SELECT * EXCLUDE (rn) FROM (
+    SELECT *, row_number() OVER (
+      PARTITION BY order_line_id
+      ORDER BY last_edited_when DESC NULLS LAST, stock_item_id DESC NULLS LAST,
+               supplier_id DESC NULLS LAST) AS rn
+    FROM bronze_lines WHERE last_edited_when < {cutoff}) WHERE rn = 1)
+SELECT coalesce(a.order_line_id, b.order_line_id) AS order_line_id,
+       CASE WHEN b.order_line_id IS NULL THEN 'added'
+            WHEN a.order_line_id IS NULL THEN 'removed' ELSE 'changed' END AS change
+FROM before_lines b FULL OUTER JOIN silver_lines a ON a.order_line_id = b.order_line_id
+WHERE a.order_line_id IS NULL OR b.order_line_id IS NULL
+   OR {distinct}
+"""
+
+
+@register(
+    "snapshot_diff",
+    O.with_(
+        O.BRONZE_ORDER_LINES, O.SILVER_LINES,
+        body=_DIFF_SQL.format(
+            cutoff=_CUTOFF_SQL,
+            distinct=" OR ".join(f"a.{c} IS DISTINCT FROM b.{c}" for c in _LINE_COLS[1:]),
+        ),
+    ),
+)
+def q_snapshot_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """QLT3: keyed diff of the conformed lines before and after the second load."""
+    spec = spec_by_name("sales_orderlines")
+    cutoff = F.lit(FIRST_LOAD_CUTOFF).cast("timestamp_ntz")
+    before = silver.conform(
+        A.bronze_order_lines(spark, sf_dir).filter(F.col("last_edited_when") < cutoff),
+        spec.primary_key, spec.cursor, spec.tiebreakers,
+    )
+    return quality.snapshot_diff(before, silver_lines(spark, sf_dir), spec.primary_key)
