@@ -149,6 +149,11 @@ def duplicate_keys(df: DataFrame, key: Sequence[str]) -> DataFrame:
     )
 
 
+def _about(field: str):
+    """Predicate for ``exists``: the label names ``field``."""
+    return lambda label: F.substring_index(label, ":", -1) == F.lit(field)
+
+
 def violation_summary(df: DataFrame, contract: Contract) -> DataFrame:
     """``(rule, violations)``: one row per field rule, plus schema rules and
     ``duplicate_key``. Field rules share one aggregate pass."""
@@ -162,9 +167,7 @@ def violation_summary(df: DataFrame, contract: Contract) -> DataFrame:
             *[
                 F.struct(
                     F.lit(f"invalid:{f}").alias("rule"),
-                    F.count_if(
-                        F.exists("__v", lambda x, f=f: F.substring_index(x, ":", -1) == F.lit(f))
-                    ).alias("violations"),
+                    F.count_if(F.exists("__v", _about(f))).alias("violations"),
                 )
                 for f in checked
             ]

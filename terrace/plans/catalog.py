@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from pyspark.sql import functions as F
 
-from terrace.operators import cdc, gold, ingest, quality, silver
+from terrace.operators import cdc, contracts, gold, ingest, quality, runlog, search, silver
 from terrace.plans import oracles as O
 from terrace.sources import adapters as A
 from terrace.specs import ROW_ID, spec_by_name
@@ -367,3 +367,229 @@ def q_snapshot_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
         spec.primary_key, spec.cursor, spec.tiebreakers,
     )
     return quality.snapshot_diff(before, silver_lines(spark, sf_dir), spec.primary_key)
+
+
+# -- Contracts and documents --------------------------------------------------------------
+
+
+def _unconformed_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The fact as it would be without Silver: every landed version of every line."""
+    return gold.build_fact_sales(A.bronze_orders(spark, sf_dir), A.bronze_order_lines(spark, sf_dir))
+
+
+def _contract_sql() -> str:
+    rules = []
+    for f, kind in contracts.FACT_SALES_DOC.fields:
+        bad = f"{f} IS NULL"
+        if f in ("quantity", "picked_quantity"):
+            bad += f" OR CAST(TRY_CAST({f} AS BIGINT) AS DECIMAL(10,0)) <> {f}"
+        rules.append(f"SELECT 'invalid:{f}' AS rule, count_if({bad}) AS violations FROM f")
+    rules.append(
+        "SELECT 'duplicate_key', CAST(coalesce(sum(n - 1), 0) AS BIGINT) FROM "
+        "(SELECT order_line_id, count(*) AS n FROM f GROUP BY 1 HAVING count(*) > 1)"
+    )
+    return "\n UNION ALL ".join(rules)
+
+
+_UNCONFORMED_FACT_SQL = O.FACT_SALES.replace("fact_sales AS", "f AS").replace(
+    "silver_lines l JOIN silver_orders o", "bronze_lines l JOIN bronze_orders o"
+)
+
+
+@register(
+    "contract_violations",
+    O.with_(O.BRONZE_ORDER_LINES, O.BRONZE_ORDERS, _UNCONFORMED_FACT_SQL, body=_contract_sql()),
+)
+def q_contract_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """CON1-CON4: per-rule violations of the document contract, checked on the fact
+    built straight from Bronze (so duplicate keys show up)."""
+    return contracts.violation_summary(_unconformed_fact(spark, sf_dir), contracts.FACT_SALES_DOC)
+
+
+@register(
+    "duplicate_keys",
+    O.with_(
+        O.BRONZE_ORDER_LINES,
+        body="SELECT order_line_id, count(*) AS copies FROM bronze_lines GROUP BY 1 HAVING count(*) > 1",
+    ),
+)
+def q_duplicate_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """CON4: landed order-line keys held by more than one row."""
+    return contracts.duplicate_keys(A.bronze_order_lines(spark, sf_dir), ("order_line_id",))
+
+
+def _doc_json_sql() -> str:
+    casts = {"int": "BIGINT", "float": "DOUBLE", "str": "VARCHAR", "date": "DATE"}
+    fields = ", ".join(
+        f"'{f}': CAST({f} AS {casts[k]})" for f, k in contracts.FACT_SALES_DOC.fields
+    )
+    return f"SELECT order_line_id AS doc_id, CAST(to_json({{{fields}}}) AS VARCHAR) AS doc FROM fact_sales"
+
+
+@register("documents_json", O.with_(*O.ORDERED, body=_doc_json_sql()))
+def q_documents_json(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SNK6, EXP7, CON3: contract-typed JSON documents keyed by order line id."""
+    docs = contracts.validate(fact_sales(spark, sf_dir), contracts.FACT_SALES_DOC)
+    return contracts.to_documents(docs, contracts.FACT_SALES_DOC)
+
+
+# -- Search -------------------------------------------------------------------------------
+
+_TOKENS_SQL = r"regexp_extract_all(lower({col}), '[\p{{L}}\p{{N}}]+')"
+
+
+def _bm25_sql(docs_sql: str, queries_sql: str, k: int) -> str:
+    """BM25 top-k per query in SQL; ``docs_sql`` yields (doc_id, text), ``queries_sql``
+    (query_id, q)."""
+    toks = _TOKENS_SQL.format(col="text")
+    qtoks = _TOKENS_SQL.format(col="q")
+    return f"""
+WITH d AS (SELECT doc_id, {toks} AS toks FROM ({docs_sql})),
+stats AS (SELECT count(*) AS n, CAST(sum(len(toks)) AS DOUBLE) / count(*) AS avgdl FROM d),
+post AS (SELECT term, doc_id, dl, count(*) AS tf FROM
+          (SELECT doc_id, len(toks) AS dl, unnest(toks) AS term FROM d) GROUP BY ALL),
+qt AS (SELECT query_id, term, count(*) AS qtf FROM
+        (SELECT query_id, unnest({qtoks}) AS term FROM ({queries_sql})) GROUP BY ALL),
+dfs AS (SELECT term, count(*) AS df FROM post WHERE term IN (SELECT term FROM qt) GROUP BY term),
+scored AS (
+  SELECT qt.query_id, p.doc_id,
+         round(sum(qt.qtf * ln(1.0::DOUBLE + (s.n - dfs.df + 0.5::DOUBLE) / (dfs.df + 0.5::DOUBLE))
+                   * (p.tf * 2.2::DOUBLE)
+                   / (p.tf + 1.2::DOUBLE * (1.0::DOUBLE - 0.75::DOUBLE + 0.75::DOUBLE * p.dl / s.avgdl))), 6)
+           AS score
+  FROM qt JOIN dfs USING (term) JOIN post p USING (term) CROSS JOIN stats s
+  GROUP BY qt.query_id, p.doc_id),
+ranked AS (
+  SELECT query_id, doc_id, score,
+         row_number() OVER (PARTITION BY query_id ORDER BY score DESC, doc_id) AS rank,
+         count(*) OVER (PARTITION BY query_id) AS total
+  FROM scored)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, doc_id, score, total FROM ranked WHERE rank <= {k}"""
+
+
+SEARCH_K = 10
+
+
+@register(
+    "search_ranked",
+    _bm25_sql(
+        "SELECT doc_id, text FROM documents",
+        "SELECT item_id AS query_id, text AS q FROM benchmark",
+        SEARCH_K,
+    ),
+)
+def q_search_ranked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SEA2, SEA3, TOP2: BM25 top-10 documents for every benchmark passage."""
+    index = search.build_index(A.table(spark, sf_dir, "documents"), "doc_id", "text")
+    queries = A.table(spark, sf_dir, "benchmark").select(
+        F.col("item_id").alias("query_id"), F.col("text").alias("q")
+    )
+    return search.search_text(index, queries, k=SEARCH_K)
+
+
+SALES_K = 5
+
+
+@register(
+    "search_sales",
+    O.with_(*O.ORDERED, body="SELECT 1 AS _unused").replace("SELECT 1 AS _unused", "")
+    + ",\n"
+    + _bm25_sql(
+        "SELECT order_line_id AS doc_id, description AS text FROM fact_sales",
+        "SELECT DISTINCT p_name AS query_id, p_name AS q FROM part",
+        SALES_K,
+    ).replace("WITH d AS", "d AS", 1),
+)
+def q_search_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SEA1, SEA3, FIL4: full-text search of order-line descriptions, one query per
+    distinct part name, top 5 with the total number of matches."""
+    index = search.build_index(fact_sales(spark, sf_dir), "order_line_id", "description")
+    queries = A.table(spark, sf_dir, "part").select(
+        F.col("p_name").alias("query_id"), F.col("p_name").alias("q")
+    ).distinct()
+    return search.search_text(index, queries, k=SALES_K)
+
+
+# Parameter: the filtered search asks for lines of at least this total.
+MIN_TOTAL = 25000.0
+
+
+@register(
+    "search_filtered",
+    O.with_(
+        *O.ORDERED,
+        body=f"""
+, m AS (SELECT c.c_custkey AS query_id, f.order_line_id AS doc_id
+        FROM customer c JOIN fact_sales f ON f.customer_id = c.c_custkey
+        WHERE f.line_total >= {MIN_TOTAL}),
+r AS (SELECT query_id, doc_id,
+             row_number() OVER (PARTITION BY query_id ORDER BY doc_id) AS rank,
+             count(*) OVER (PARTITION BY query_id) AS total FROM m)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, doc_id, 1.0::DOUBLE AS score, total
+FROM r WHERE rank <= {SEARCH_K}""",
+    ),
+)
+def q_search_filtered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SEA1, FIL3, FIL4, CON5: match-all search per customer with a minimum line
+    total; top 10 by id plus the total number of matches."""
+    queries = A.table(spark, sf_dir, "customer").select(
+        F.col("c_custkey").alias("query_id"),
+        F.col("c_custkey").alias("customer_id"),
+        F.lit(MIN_TOTAL).alias("min_total"),
+    )
+    docs = fact_sales(spark, sf_dir).select(
+        "order_line_id", F.col("customer_id").alias("doc_customer_id"), "line_total"
+    )
+    return search.search_filtered(
+        docs, queries, "order_line_id", ("customer_id", "doc_customer_id"),
+        filters=[("min_total", "gte", "line_total")], k=SEARCH_K,
+    )
+
+
+@register(
+    "lookup_by_id",
+    O.with_(
+        *O.ORDERED,
+        body="""
+, ids AS (SELECT DISTINCT o_orderkey * 10 + 1 AS order_line_id FROM orders)
+SELECT ids.order_line_id, f.description, f.customer_id, f.line_total,
+       f.order_line_id IS NOT NULL AS found
+FROM ids LEFT JOIN fact_sales f ON f.order_line_id = ids.order_line_id""",
+    ),
+)
+def q_lookup_by_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SEA5: get line 1 of every order by id; ``found`` is false where there is none."""
+    ids = A.table(spark, sf_dir, "orders").select((F.col("o_orderkey") * 10 + 1).alias("order_line_id"))
+    docs = fact_sales(spark, sf_dir).select("order_line_id", "description", "customer_id", "line_total")
+    return search.get_by_ids(ids, docs, "order_line_id")
+
+
+@register(
+    "description_facets",
+    O.with_(*O.ORDERED, body="SELECT description, count(*) AS docs FROM fact_sales GROUP BY 1"),
+)
+def q_description_facets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SEA4: exact-value buckets of the description keyword."""
+    return search.facets(fact_sales(spark, sf_dir), "description")
+
+
+# -- Run log ---------------------------------------------------------------------------------
+
+
+@register(
+    "run_metrics",
+    """SELECT CAST(user_id AS VARCHAR) AS correlation_id, event_type AS "table",
+              count(*) AS events,
+              sum(CAST(json_extract(props, '$.k') AS BIGINT)) AS rows,
+              min(ts) AS first_ts, max(ts) AS last_ts
+       FROM events GROUP BY 1, 2""",
+)
+def q_run_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """OPS1, EXP9: events per (run, table) with the rows each reported."""
+    ev = A.table(spark, sf_dir, "events").select(
+        F.col("ts"),
+        F.col("user_id").cast("string").alias("correlation_id"),
+        F.col("event_type").alias("table"),
+        runlog.json_metric(F.col("props"), "k").alias("rows"),
+    )
+    return runlog.run_metrics(ev)
