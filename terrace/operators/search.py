@@ -42,14 +42,49 @@ class Index:
     postings: DataFrame  # term, doc_id, tf, dl, *carry
     doc_count: int
     total_length: int
+    terms: DataFrame | None = None  # term, df (stored with a written index)
 
     @property
     def avgdl(self) -> float:
         return self.total_length / self.doc_count if self.doc_count else 0.0
 
-    def doc_freq(self) -> DataFrame:
-        """``(term, df)``: documents per term; partial aggregation per task."""
-        return self.postings.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
+    def doc_freq(self, postings: DataFrame | None = None) -> DataFrame:
+        """``(term, df)``: the stored term table, else counted from ``postings``
+        (partial aggregation per task, so a frequent term is not one task's work)."""
+        if self.terms is not None:
+            return self.terms
+        return (postings if postings is not None else self.postings).groupBy("term").agg(
+            F.count("tf").alias("df")
+        )
+
+
+def term_bucket(term: Column, buckets: int) -> Column:
+    return F.pmod(F.xxhash64(term), F.lit(buckets)).cast("int")
+
+
+def write_index(index: Index, path: str, buckets: int = 64) -> None:
+    """Persist postings partitioned by term bucket (sorted by term inside each file,
+    so a term lookup reads few row groups), the term table, and the corpus stats."""
+    spark = index.postings.sparkSession
+    posts = index.postings.withColumn("bucket", term_bucket(F.col("term"), buckets))
+    (
+        posts.repartition("bucket").sortWithinPartitions("term", "doc_id")
+        .write.mode("overwrite").partitionBy("bucket").parquet(f"{path}/postings")
+    )
+    index.doc_freq().write.mode("overwrite").parquet(f"{path}/terms")
+    spark.createDataFrame(
+        [(index.doc_count, index.total_length, buckets)], "doc_count long, total_length long, buckets int"
+    ).write.mode("overwrite").parquet(f"{path}/stats")
+
+
+def read_index(spark, path: str) -> Index:
+    stats = spark.read.parquet(f"{path}/stats").first()
+    return Index(
+        spark.read.parquet(f"{path}/postings"),
+        int(stats["doc_count"]),
+        int(stats["total_length"]),
+        spark.read.parquet(f"{path}/terms"),
+    )
 
 
 def build_postings(docs: DataFrame, id_col: str, text_col: str, carry: Sequence[str] = ()) -> DataFrame:
@@ -95,8 +130,11 @@ def _filter_postings(matched: DataFrame, filters: Sequence[tuple[str, str, str]]
 
 
 def rank(scored: DataFrame, k: int | str, order: Sequence[Column]) -> DataFrame:
-    """Top ``k`` per query plus ``total`` (all matches). ``k`` is a literal or a column."""
-    totals = scored.groupBy("query_id").agg(F.count(F.lit(1)).alias("total"))
+    """Top ``k`` per query plus ``total`` (all matches). ``scored`` has
+    ``query_id, doc_id, score``; ``k`` is a literal or a column name."""
+    # ``count(score)`` keeps the scored subtree identical to the ranking branch, so
+    # its exchanges are reused instead of recomputing the matches.
+    totals = scored.groupBy("query_id").agg(F.count("score").alias("total"))
     w = Window.partitionBy("query_id").orderBy(*order)
     limit = F.col(k) if isinstance(k, str) else F.lit(k)
     top = scored.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= limit)
@@ -116,7 +154,9 @@ def search_text(
     # Only postings of words some query uses are read further; their document
     # frequencies are the same as over the whole index.
     posts = index.postings.join(qt.select("term").distinct(), on="term", how="left_semi")
-    df = posts.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
+    # A written index supplies its term table; otherwise df is counted from the
+    # postings of the query terms only.
+    df = index.doc_freq(posts)
     filter_cols = [qc for qc, _, _ in filters]
     if filter_cols:
         qt = qt.join(queries.select(F.col(query_id).alias("query_id"), *filter_cols), "query_id")

@@ -15,8 +15,10 @@ from pyspark.sql import functions as F
 
 from terrace.operators import cdc, contracts, gold, ingest, quality, runlog, search, silver
 from terrace.plans import oracles as O
+from terrace.session import work_dir
 from terrace.sources import adapters as A
 from terrace.specs import ROW_ID, spec_by_name
+from terrace.streaming import cdc_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -593,3 +595,23 @@ def q_run_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
         runlog.json_metric(F.col("props"), "k").alias("rows"),
     )
     return runlog.run_metrics(ev)
+
+
+# -- Streaming --------------------------------------------------------------------------------
+
+_CDC_COLLAPSE_SQL = ORACLES["silver_cdc_collapse"]
+
+
+@register("stream_collapse", _CDC_COLLAPSE_SQL)
+def q_stream_collapse(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """STR1-STR3: the change feed landed as files in arbitrary order, consumed in
+    micro-batches by a stateful stream; the current state equals the batch collapse."""
+    root = work_dir(spark, "stream_collapse")
+    # Round-robin files: every micro-batch sees changes out of LSN order.
+    A.change_feed(spark, sf_dir).repartition(8).write.parquet(f"{root}/feed")
+    schema = spark.read.parquet(f"{root}/feed").schema
+    cdc_stream.run_stream(
+        spark, f"{root}/feed", schema, ["user_id"], f"{root}/sink", f"{root}/checkpoint",
+        tiebreakers=("event_id",), max_files_per_trigger=2,
+    )
+    return cdc_stream.current_state(spark, f"{root}/sink", ["user_id"])

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -68,7 +69,13 @@ def write_table(
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.save(path)
-    return {"table": name or path, "rows": int(obs.get.get("rows", 0)), "destination": path}
+    try:
+        rows = int(obs.get.get("rows", 0))
+    except Py4JJavaError:
+        # Spark reports no metrics row when the write saw no input partitions; count
+        # explicitly on that (cheap, empty) path only.
+        rows = df.count()
+    return {"table": name or path, "rows": rows, "destination": path}
 
 
 def overwrite_partitions(
