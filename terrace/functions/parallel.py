@@ -1,0 +1,24 @@
+"""Parallelism helpers.
+
+A scan yields one task per file split. A source stored as a few large row groups
+(or one file) therefore runs all of its pre-shuffle work - tokenising, parsing,
+hashing - in a handful of tasks however many cores there are. ``spread`` fixes
+that by redistributing rows round-robin, but only when the scan has fewer
+partitions than the cluster can run at once; on a large input (thousands of
+splits) it returns the DataFrame unchanged and adds no shuffle.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+
+
+def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """``df`` with at least ``min_partitions`` (default: the default parallelism)
+    partitions. Round-robin repartitioning is retry-safe: Spark sorts each input
+    partition first, so a recomputed task sends every row to the same place."""
+    spark = df.sparkSession
+    target = min_partitions or spark.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= target:
+        return df
+    return df.repartition(target)

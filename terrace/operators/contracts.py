@@ -155,28 +155,36 @@ def _about(field: str):
 
 
 def violation_summary(df: DataFrame, contract: Contract) -> DataFrame:
-    """``(rule, violations)``: one row per field rule, plus schema rules and
-    ``duplicate_key``. Field rules share one aggregate pass."""
+    """``(rule, violations)``: one row per field rule, ``duplicate_key``, and any
+    schema rules (violations -1: the whole column).
+
+    One pass: per-row flags are summed per key (a partial aggregate, so a hot key
+    costs one partial row per task), then the per-key sums are totalled.
+    """
     spark = df.sparkSession
     labels = row_violations(df, contract)
     types = {f.name: f.dataType for f in df.schema.fields}
     checked = [f for f, k in contract.fields if f in types and _accepts(k, types[f])]
-    flagged = df.select(labels.alias("__v"))
-    per_field = flagged.agg(
-        F.array(
-            *[
-                F.struct(
-                    F.lit(f"invalid:{f}").alias("rule"),
-                    F.count_if(F.exists("__v", _about(f))).alias("violations"),
-                )
-                for f in checked
-            ]
-        ).alias("__r")
-    ).select(F.inline("__r"))
-    dup = duplicate_keys(df, contract.key).agg(
-        F.coalesce(F.sum(F.col("copies") - 1), F.lit(0)).cast("long").alias("violations")
-    ).select(F.lit("duplicate_key").alias("rule"), "violations")
-    out = per_field.unionByName(dup)
+    flagged = df.select(*contract.key, labels.alias("__v")).select(
+        *contract.key,
+        *[F.exists("__v", _about(f)).cast("long").alias(f"__f{i}") for i, f in enumerate(checked)],
+    )
+    per_key = flagged.groupBy(*contract.key).agg(
+        F.count(F.lit(1)).alias("__copies"), *[F.sum(f"__f{i}").alias(f"__f{i}") for i in range(len(checked))]
+    )
+    rules = [
+        F.struct(F.lit(f"invalid:{f}").alias("rule"), F.coalesce(F.sum(f"__f{i}"), F.lit(0)).alias("violations"))
+        for i, f in enumerate(checked)
+    ]
+    rules.append(
+        F.struct(
+            F.lit("duplicate_key").alias("rule"),
+            F.coalesce(F.sum(F.col("__copies") - 1), F.lit(0)).alias("violations"),
+        )
+    )
+    out = per_key.agg(F.array(*rules).alias("__r")).select(F.inline("__r")).select(
+        "rule", F.col("violations").cast("long")
+    )
     schema_rules = schema_violations(df, contract)
     if schema_rules:
         out = out.unionByName(

@@ -113,10 +113,12 @@ def query_terms(queries: DataFrame, query_id: str = "query_id", q: str = "q") ->
     )
 
 
-def bm25_term(tf: Column, dl: Column, df: Column, qtf: Column, n: int, avgdl: float) -> Column:
+def bm25_weight(tf: Column, dl: Column, df: Column, n: int, avgdl: float) -> Column:
+    """BM25 weight of one (term, document) posting; a query multiplies it by the
+    number of times it repeats the term."""
     idf = F.log(F.lit(1.0) + (F.lit(n) - df + F.lit(0.5)) / (df + F.lit(0.5)))
     norm = tf + F.lit(K1) * (F.lit(1.0) - F.lit(B) + F.lit(B) * dl / F.lit(avgdl))
-    return qtf * idf * (tf * F.lit(K1 + 1.0)) / norm
+    return idf * (tf * F.lit(K1 + 1.0)) / norm
 
 
 def _filter_postings(matched: DataFrame, filters: Sequence[tuple[str, str, str]]) -> DataFrame:
@@ -152,18 +154,22 @@ def search_text(
     """Ranked OR-match of each query's terms: ``query_id, rank, doc_id, score, total``."""
     qt = query_terms(queries, query_id, q)
     # Only postings of words some query uses are read further; their document
-    # frequencies are the same as over the whole index.
+    # frequencies are the same as over the whole index. A written index supplies its
+    # term table; otherwise df is counted from those postings.
     posts = index.postings.join(qt.select("term").distinct(), on="term", how="left_semi")
-    # A written index supplies its term table; otherwise df is counted from the
-    # postings of the query terms only.
     df = index.doc_freq(posts)
+    carry = [c for c in posts.columns if c not in ("term", "doc_id", "tf", "dl")]
+    weights = posts.join(df, on="term", how="inner").select(
+        "term", "doc_id", *carry,
+        bm25_weight(F.col("tf"), F.col("dl"), F.col("df"), index.doc_count, index.avgdl).alias("w"),
+    )
     filter_cols = [qc for qc, _, _ in filters]
     if filter_cols:
         qt = qt.join(queries.select(F.col(query_id).alias("query_id"), *filter_cols), "query_id")
-    qt = qt.join(df, on="term", how="inner")
-    matched = _filter_postings(qt.join(posts, on="term", how="inner"), filters)
-    contrib = bm25_term(F.col("tf"), F.col("dl"), F.col("df"), F.col("qtf"), index.doc_count, index.avgdl)
-    scored = matched.groupBy("query_id", "doc_id").agg(F.round(F.sum(contrib), 6).alias("score"))
+    matched = _filter_postings(qt.join(weights, on="term", how="inner"), filters)
+    scored = matched.groupBy("query_id", "doc_id").agg(
+        F.round(F.sum(F.col("qtf") * F.col("w")), 6).alias("score")
+    )
     ranked = rank(scored, k, [F.col("score").desc(), F.col("doc_id").asc()])
     return ranked.select("query_id", "rank", "doc_id", "score", "total")
 
@@ -224,10 +230,10 @@ def search_one(
     qt = query_terms(spark.createDataFrame([(0, q)], "query_id long, q string"))
     terms = [r["term"] for r in qt.select("term").collect()]  # the request's few words
     posts = index.postings.filter(F.col("term").isin(terms))
-    df = posts.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
+    df = index.doc_freq(posts).filter(F.col("term").isin(terms))
     matched = posts.join(df, "term").join(F.broadcast(qt.drop("query_id")), "term")
-    contrib = bm25_term(F.col("tf"), F.col("dl"), F.col("df"), F.col("qtf"), index.doc_count, index.avgdl)
-    scored = matched.groupBy("doc_id").agg(F.round(F.sum(contrib), 6).alias("score"))
+    w = bm25_weight(F.col("tf"), F.col("dl"), F.col("df"), index.doc_count, index.avgdl)
+    scored = matched.groupBy("doc_id").agg(F.round(F.sum(F.col("qtf") * w), 6).alias("score"))
     scored = scored.join(hits.select(F.col(id_col).alias("doc_id")), "doc_id", "left_semi")
     total = scored.count()
     top = scored.orderBy(F.col("score").desc(), F.col("doc_id").asc()).limit(limit)

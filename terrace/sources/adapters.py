@@ -17,6 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from terrace.functions.parallel import spread
 from terrace.operators.cdc import CT_OPERATION, CT_SEQVAL, CT_START_LSN, lsn_hex
 from terrace.specs import CHANGE_LSN, CHANGE_OPERATION, CHANGE_SEQVAL
 
@@ -27,7 +28,8 @@ DISCOUNT = "decimal(4,2)"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """One benchmark table; spread over the cores when it is stored as few splits."""
+    return spread(spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet"))
 
 
 def _line_base(spark: SparkSession, sf_dir: str) -> DataFrame:
