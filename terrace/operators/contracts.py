@@ -231,3 +231,29 @@ def to_documents(df: DataFrame, contract: Contract) -> DataFrame:
         F.col(key).alias("doc_id"),
         F.to_json(F.struct(*[F.col(f) for f in contract.names])).alias("doc"),
     )
+
+
+# The billed-line document (searchable invoices).
+FACT_INVOICES_DOC = Contract(
+    name="fact_invoices",
+    fields=(
+        ("invoice_line_id", "int"),
+        ("invoice_id", "int"),
+        ("customer_id", "int"),
+        ("salesperson_person_id", "int"),
+        ("stock_item_id", "int"),
+        ("description", "str"),
+        ("quantity", "int"),
+        ("unit_price", "float"),
+        ("tax_rate", "float"),
+        ("line_profit", "float"),
+        ("extended_price", "float"),
+        ("tax_amount", "float"),
+        ("line_total", "float"),
+        ("invoice_date", "date"),
+        ("is_credit_note", "bool"),
+        ("invoice_year", "int"),
+        ("invoice_month", "int"),
+    ),
+    key=("invoice_line_id",),
+)

@@ -121,11 +121,19 @@ def bm25_weight(tf: Column, dl: Column, df: Column, n: int, avgdl: float) -> Col
     return idf * (tf * F.lit(K1 + 1.0)) / norm
 
 
+def _query_filter_cols(queries: DataFrame, query_id: str, filters: Sequence[tuple[str, str, str]]) -> DataFrame:
+    """``query_id`` plus the filter values, renamed so they never clash with the
+    document columns they are compared with."""
+    return queries.select(
+        F.col(query_id).alias("query_id"), *[F.col(qc).alias(f"__fq{i}") for i, (qc, _, _) in enumerate(filters)]
+    )
+
+
 def _filter_postings(matched: DataFrame, filters: Sequence[tuple[str, str, str]]) -> DataFrame:
     """Apply per-query filters ``(query column, op, document column)``; a NULL query
     value means the filter was not given (0 counts as given)."""
-    for qcol, op, dcol in filters:
-        q, d = F.col(qcol), F.col(dcol)
+    for i, (_, op, dcol) in enumerate(filters):
+        q, d = F.col(f"__fq{i}"), F.col(dcol)
         cond = {"eq": d == q, "gte": d >= q, "lte": d <= q}[op]
         matched = matched.filter(q.isNull() | cond)
     return matched
@@ -163,9 +171,8 @@ def search_text(
         "term", "doc_id", *carry,
         bm25_weight(F.col("tf"), F.col("dl"), F.col("df"), index.doc_count, index.avgdl).alias("w"),
     )
-    filter_cols = [qc for qc, _, _ in filters]
-    if filter_cols:
-        qt = qt.join(queries.select(F.col(query_id).alias("query_id"), *filter_cols), "query_id")
+    if filters:
+        qt = qt.join(_query_filter_cols(queries, query_id, filters), "query_id")
     matched = _filter_postings(qt.join(weights, on="term", how="inner"), filters)
     scored = matched.groupBy("query_id", "doc_id").agg(
         F.round(F.sum(F.col("qtf") * F.col("w")), 6).alias("score")
@@ -186,7 +193,11 @@ def search_filtered(
     """Match-all queries narrowed by filters, joined on one equality filter
     ``(query column, document column)``; constant score 1.0, ties by id."""
     qcol, dcol = equal_on
-    q = queries.select(F.col(query_id).alias("query_id"), F.col(qcol).alias("__eq"), *[c for c, _, _ in filters])
+    q = queries.select(
+        F.col(query_id).alias("query_id"),
+        F.col(qcol).alias("__eq"),
+        *[F.col(qc).alias(f"__fq{i}") for i, (qc, _, _) in enumerate(filters)],
+    )
     matched = q.join(docs, F.col("__eq") == F.col(dcol), "inner")
     matched = _filter_postings(matched, filters)
     scored = matched.select("query_id", F.col(id_col).alias("doc_id"), F.lit(1.0).alias("score"))

@@ -7,13 +7,16 @@ holds the DuckDB SQL producing the same rows and column names.
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
 from pyspark.sql import functions as F
 
-from terrace.operators import cdc, contracts, gold, ingest, quality, runlog, search, silver
+from terrace.operators import cdc, contracts, gold, history, ingest, quality, runlog, search, silver
+from terrace.plans import stages
+from terrace.sources import lake
 from terrace.plans import oracles as O
 from terrace.session import work_dir
 from terrace.sources import adapters as A
@@ -621,3 +624,153 @@ def q_stream_collapse(spark: SparkSession, sf_dir: str) -> DataFrame:
         tiebreakers=("event_id",), max_files_per_trigger=2,
     )
     return cdc_stream.current_state(spark, f"{root}/sink", ["user_id"])
+
+
+# -- Extensions -------------------------------------------------------------------------------
+
+
+@register(
+    "scd2_history",
+    O.with_(
+        O.BRONZE_ORDER_LINES,
+        body="""
+SELECT *, last_edited_when AS valid_from,
+       lead(last_edited_when) OVER w AS valid_to,
+       lead(last_edited_when) OVER w IS NULL AS is_current
+FROM bronze_lines
+WINDOW w AS (PARTITION BY order_line_id
+             ORDER BY last_edited_when, stock_item_id, supplier_id)""",
+    ),
+)
+def q_scd2_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """EXT3: validity range of every landed version of every order line."""
+    spec = spec_by_name("sales_orderlines")
+    return history.scd2_history(
+        A.bronze_order_lines(spark, sf_dir), spec.primary_key, spec.cursor, spec.tiebreakers
+    )
+
+
+_DQ_RULES = (
+    quality.Rule("order_line_id_not_null", "not_null", "order_line_id"),
+    quality.Rule("description_not_null", "not_null", "description"),
+    quality.Rule("quantity_in_range", "range", "quantity", low=1, high=50),
+    quality.Rule("tax_rate_in_range", "range", "tax_rate", low=0, high=8),
+    quality.Rule("order_line_id_unique", "unique", "order_line_id"),
+    quality.Rule("volume", "min_rows", threshold=1000),
+    quality.Rule("fresh", "freshness", "last_edited_when", threshold="2001-01-01 00:00:00"),
+    quality.Rule("columns", "schema", threshold=",".join(_LINE_COLS)),
+)
+
+
+@register(
+    "dq_gate",
+    O.with_(
+        O.BRONZE_ORDER_LINES, O.SILVER_LINES,
+        body="""
+, r AS (
+  SELECT 'order_line_id_not_null' AS rule, 'not_null' AS kind, count_if(order_line_id IS NULL) AS failures FROM silver_lines
+  UNION ALL SELECT 'description_not_null', 'not_null', count_if(description IS NULL) FROM silver_lines
+  UNION ALL SELECT 'quantity_in_range', 'range', count_if(quantity < 1 OR quantity > 50) FROM silver_lines
+  UNION ALL SELECT 'tax_rate_in_range', 'range', count_if(tax_rate < 0 OR tax_rate > 8) FROM silver_lines
+  UNION ALL SELECT 'order_line_id_unique', 'unique', count(*) FROM
+    (SELECT order_line_id FROM silver_lines GROUP BY 1 HAVING count(*) > 1)
+  UNION ALL SELECT 'volume', 'min_rows', CASE WHEN count(*) >= 1000 THEN 0 ELSE 1 END FROM silver_lines
+  UNION ALL SELECT 'fresh', 'freshness',
+    CASE WHEN max(last_edited_when) >= TIMESTAMP '2001-01-01 00:00:00' THEN 0 ELSE 1 END FROM silver_lines
+  UNION ALL SELECT 'columns', 'schema', 0)
+SELECT rule, kind, CAST(failures AS BIGINT) AS failures, failures = 0 AS passed FROM r""",
+    ),
+)
+def q_dq_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """EXT2: quality gate between Bronze and Silver (nulls, ranges, keys, volume,
+    freshness, schema) as one report row per rule."""
+    return quality.quality_report(silver_lines(spark, sf_dir), _DQ_RULES)
+
+
+# Parameter: the month re-computed by the backfill.
+BACKFILL_START = dt.date(1997, 12, 5)
+BACKFILL_END = dt.date(1997, 12, 20)
+
+
+def _before_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    spec = spec_by_name("sales_orderlines")
+    cutoff = F.lit(FIRST_LOAD_CUTOFF).cast("timestamp_ntz")
+    return silver.conform(
+        A.bronze_order_lines(spark, sf_dir).filter(F.col("last_edited_when") < cutoff),
+        spec.primary_key, spec.cursor, spec.tiebreakers,
+    )
+
+
+_BEFORE_LINES_SQL = f"""
+before_lines AS (
+  SELECT * EXCLUDE (rn) FROM (
+    SELECT *, row_number() OVER (
+      PARTITION BY order_line_id
+      ORDER BY last_edited_when DESC NULLS LAST, stock_item_id DESC NULLS LAST,
+               supplier_id DESC NULLS LAST) AS rn
+    FROM bronze_lines WHERE last_edited_when < {_CUTOFF_SQL}) WHERE rn = 1)"""
+
+_OLD_FACT_SQL = O.FACT_SALES.replace("fact_sales AS", "old_fact AS").replace(
+    "FROM silver_lines l", "FROM before_lines l"
+)
+
+
+@register(
+    "backfill_month",
+    O.with_(
+        *O.ORDERED, _BEFORE_LINES_SQL, _OLD_FACT_SQL,
+        body="""
+SELECT * FROM old_fact WHERE NOT (order_year = 1997 AND order_month = 12)
+UNION ALL
+SELECT * FROM fact_sales WHERE order_year = 1997 AND order_month = 12""",
+    ),
+)
+def q_backfill_month(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """EXT1: the fact written from an early Silver, then one month re-computed from
+    the current Silver with dynamic partition overwrite; other months unchanged."""
+    root = work_dir(spark, "backfill_month")
+    path = f"{root}/fact_sales"
+    parts = ("order_year", "order_month")
+    old = gold.build_fact_sales(silver_orders(spark, sf_dir), _before_lines(spark, sf_dir))
+    lake.write_table(old, path, partition_by=parts, name="fact_sales")
+    month = stages.backfill_fact(fact_sales(spark, sf_dir), "order_date", "order", BACKFILL_START, BACKFILL_END)
+    lake.overwrite_partitions(month, path, parts, name="fact_sales")
+    return spark.read.parquet(path)
+
+
+@register(
+    "ordered_vs_billed",
+    O.with_(
+        *O.ORDERED, O.AGG_SALES_DAILY, *O.BILLED, O.AGG_BILLED_DAILY,
+        body="""
+SELECT coalesce(d.order_date, b.invoice_date) AS sales_date, d.num_orders,
+       d.total_revenue AS ordered_revenue, b.num_invoices,
+       b.total_revenue AS billed_revenue, b.total_profit AS billed_profit,
+       coalesce(d.total_revenue, 0) - coalesce(b.total_revenue, 0) AS revenue_gap
+FROM agg_sales_daily d FULL OUTER JOIN agg_billed_daily b ON d.order_date = b.invoice_date""",
+    ),
+)
+def q_ordered_vs_billed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """EXT6: ordered demand against billed actuals per day."""
+    daily = gold.build_daily_agg(fact_sales(spark, sf_dir))
+    billed = gold.build_billed_daily_agg(fact_invoices(spark, sf_dir))
+    return gold.ordered_vs_billed(daily, billed)
+
+
+def _invoice_doc_sql() -> str:
+    casts = {"int": "BIGINT", "float": "DOUBLE", "str": "VARCHAR", "date": "DATE", "bool": "BOOLEAN"}
+    fields = ", ".join(
+        f"'{f}': CAST({f} AS {casts[k]})" for f, k in contracts.FACT_INVOICES_DOC.fields
+    )
+    return (
+        f"SELECT invoice_line_id AS doc_id, CAST(to_json({{{fields}}}) AS VARCHAR) AS doc "
+        "FROM fact_invoices"
+    )
+
+
+@register("invoice_documents_json", O.with_(*O.BILLED, body=_invoice_doc_sql()))
+def q_invoice_documents_json(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """EXT4: the billed fact published as contract-checked documents."""
+    fact = fact_invoices(spark, sf_dir).checkpoint(eager=True)
+    docs = contracts.validate(fact, contracts.FACT_INVOICES_DOC)
+    return contracts.to_documents(docs, contracts.FACT_INVOICES_DOC)
