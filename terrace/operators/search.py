@@ -5,9 +5,10 @@ Queries are a DataFrame (one row per query), so a batch of searches is one job:
 * the index is ``postings(term, doc_id, tf, dl, *carried columns)``: one shuffle on
   (term, doc) with map-side combining; the document length and the filter columns
   ride along in every posting, so scoring needs no join back to the documents;
-* query terms join postings on ``term``. Adaptive execution broadcasts the query
-  side when it is small and otherwise splits a hot term (a word in a third of all
-  documents) across tasks;
+* postings are partitioned by document; query terms join them on ``term`` as a
+  broadcast when a count bounds the query side (otherwise the planner decides and
+  adaptive execution splits a hot term across tasks), so the per-(query, document)
+  sum runs where the postings are;
 * filters are applied to postings before scoring; scores are summed per
   (query, document); the top ``k`` per query comes from ``row_number() <= k``,
   which Catalyst plans as a partial top-k before the shuffle.
@@ -26,6 +27,12 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from terrace.session import shared_root
+
+# The query side (one row per distinct word of each query) is broadcast when a count
+# shows it has at most this many rows; beyond it the joins are left to the planner.
+MAX_BROADCAST_QUERY_TERMS = 2_000_000
+
 # Analyzer pattern (letters and digits, lower-cased) and BM25 constants.
 TOKEN_PATTERN = r"[\p{L}\p{N}]+"
 K1 = 1.2
@@ -88,20 +95,48 @@ def read_index(spark, path: str) -> Index:
 
 
 def build_postings(docs: DataFrame, id_col: str, text_col: str, carry: Sequence[str] = ()) -> DataFrame:
-    """``term, doc_id, tf, dl, *carry`` for every (term, document) pair."""
-    toks = docs.select(
+    """``term, doc_id, tf, dl, *carry`` for every (term, document) pair.
+
+    Documents are hash-partitioned by id before tokenising, and the term counts are
+    grouped by (doc_id, term): that grouping is already satisfied by the id
+    partitioning, so the postings come out partitioned by document with no second
+    shuffle. Scoring later sums per (query, document) on the same partitioning, so
+    the matched (query, term, document) rows - many more than the postings - are
+    never shuffled.
+    """
+    by_doc = docs.repartition(F.col(id_col))
+    toks = by_doc.select(
         F.col(id_col).alias("doc_id"), *carry, tokenize(F.col(text_col)).alias("__toks")
     ).withColumn("dl", F.size("__toks"))
-    exploded = toks.select("doc_id", "dl", *carry, F.explode("__toks").alias("term"))
-    return exploded.groupBy("term", "doc_id", "dl", *carry).agg(F.count(F.lit(1)).alias("tf"))
-
-
-def build_index(docs: DataFrame, id_col: str, text_col: str, carry: Sequence[str] = ()) -> Index:
-    """Postings plus corpus statistics (N and total length, one aggregate row)."""
-    stats = docs.select(F.size(tokenize(F.col(text_col))).alias("dl")).agg(
-        F.count(F.lit(1)).alias("n"), F.coalesce(F.sum("dl"), F.lit(0)).alias("total")
-    ).first()
-    return Index(build_postings(docs, id_col, text_col, carry), int(stats["n"]), int(stats["total"]))
+    # explode_outer keeps a document without tokens as one row with a NULL term
+    # (tf 0), so the document count can be taken from the postings; NULL terms
+    # never match a query word.
+    exploded = toks.select("doc_id", "dl", *carry, F.explode_outer("__toks").alias("term"))
+    return exploded.groupBy("doc_id", "term", "dl", *carry).agg(F.count("term").alias("tf"))
+
+
+def build_index(
+    docs: DataFrame, id_col: str, text_col: str, carry: Sequence[str] = (), materialize: bool = True
+) -> Index:
+    """Postings plus corpus statistics.
+
+    With ``materialize`` the postings are computed once and checkpointed (reliable
+    checkpoint in the shared folder, document partitioning kept): statistics,
+    document frequencies, scoring and totals all read them instead of tokenising
+    the corpus again. The statistics (document count, total length) are one
+    aggregate row over the postings.
+    """
+    postings = build_postings(docs, id_col, text_col, carry)
+    if materialize:
+        shared_root(docs.sparkSession)
+        postings = postings.checkpoint(eager=True)
+    # One row per document (grouping on the partitioning key: no shuffle), then two sums.
+    stats = (
+        postings.groupBy("doc_id").agg(F.sum("tf").alias("dl"))
+        .agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum("dl"), F.lit(0)).alias("total"))
+        .first()
+    )
+    return Index(postings, int(stats["n"]), int(stats["total"]))
 
 
 def query_terms(queries: DataFrame, query_id: str = "query_id", q: str = "q") -> DataFrame:
@@ -151,6 +186,28 @@ def rank(scored: DataFrame, k: int | str, order: Sequence[Column]) -> DataFrame:
     return top.join(totals, on="query_id", how="inner")
 
 
+_INTEGRAL = ("tinyint", "smallint", "int", "bigint")
+
+
+def numeric_query_ids(queries: DataFrame, query_id: str) -> tuple[DataFrame, DataFrame | None]:
+    """Queries keyed by a 64-bit number for the heavy aggregation and window.
+
+    Integral ids are used as they are. Other ids are replaced by their xxhash64 once
+    a check over the (distinct) query ids shows no two share a hash; the returned
+    mapping restores the original id on the top-k rows. If hashes collide the
+    original ids are kept, so results never depend on luck.
+    """
+    if dict(queries.dtypes)[query_id] in _INTEGRAL:
+        return queries, None
+    ids = queries.select(F.col(query_id).alias("__orig")).distinct()
+    ids = ids.withColumn("__num", F.xxhash64("__orig"))
+    check = ids.agg(F.count(F.lit(1)).alias("n"), F.count_distinct("__num").alias("h")).first()
+    if check["n"] != check["h"]:
+        return queries, None
+    keyed = queries.withColumn(query_id, F.xxhash64(F.col(query_id)))
+    return keyed, ids
+
+
 def search_text(
     index: Index,
     queries: DataFrame,
@@ -160,22 +217,41 @@ def search_text(
     q: str = "q",
 ) -> DataFrame:
     """Ranked OR-match of each query's terms: ``query_id, rank, doc_id, score, total``."""
+    queries, id_map = numeric_query_ids(queries, query_id)
+    ranked = _search_text(index, queries, k, filters, query_id, q)
+    if id_map is None:
+        return ranked
+    restored = ranked.join(id_map, ranked["query_id"] == id_map["__num"], "inner")
+    return restored.select(F.col("__orig").alias("query_id"), "rank", "doc_id", "score", "total")
+
+
+def _search_text(
+    index: Index,
+    queries: DataFrame,
+    k: int,
+    filters: Sequence[tuple[str, str, str]],
+    query_id: str,
+    q: str,
+) -> DataFrame:
     qt = query_terms(queries, query_id, q)
     # Only postings of words some query uses are read further; their document
     # frequencies are the same as over the whole index. A written index supplies its
-    # term table; otherwise df is counted from those postings.
-    posts = index.postings.join(qt.select("term").distinct(), on="term", how="left_semi")
+    # term table; otherwise df is counted from those postings (a partial count per
+    # task, one row per term after the shuffle).
+    small = qt.count() <= MAX_BROADCAST_QUERY_TERMS
+    bcast = F.broadcast if small else (lambda d: d)
+    posts = index.postings.join(bcast(qt.select("term").distinct()), on="term", how="left_semi")
     df = index.doc_freq(posts)
-    carry = [c for c in posts.columns if c not in ("term", "doc_id", "tf", "dl")]
-    weights = posts.join(df, on="term", how="inner").select(
-        "term", "doc_id", *carry,
-        bm25_weight(F.col("tf"), F.col("dl"), F.col("df"), index.doc_count, index.avgdl).alias("w"),
-    )
+    # Query side: (query, term, qtf, df [, filter values]) - one row per query word.
+    # Joined to the postings it leaves them in their document partitioning, so the
+    # per-(query, document) sum below needs no shuffle.
+    qside = qt.join(df, on="term", how="inner")
     if filters:
-        qt = qt.join(_query_filter_cols(queries, query_id, filters), "query_id")
-    matched = _filter_postings(qt.join(weights, on="term", how="inner"), filters)
+        qside = qside.join(_query_filter_cols(queries, query_id, filters), "query_id")
+    matched = _filter_postings(posts.join(bcast(qside), on="term", how="inner"), filters)
+    w = bm25_weight(F.col("tf"), F.col("dl"), F.col("df"), index.doc_count, index.avgdl)
     scored = matched.groupBy("query_id", "doc_id").agg(
-        F.round(F.sum(F.col("qtf") * F.col("w")), 6).alias("score")
+        F.round(F.sum(F.col("qtf") * w), 6).alias("score")
     )
     ranked = rank(scored, k, [F.col("score").desc(), F.col("doc_id").asc()])
     return ranked.select("query_id", "rank", "doc_id", "score", "total")
