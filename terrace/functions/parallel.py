@@ -3,10 +3,9 @@
 A scan yields one task per file split. A source stored as a few large row groups
 (or one file) therefore runs all of its pre-shuffle work - tokenising, parsing,
 hashing - in a handful of tasks however many cores there are. ``spread`` fixes
-that by redistributing rows on a unique key, but only when the scan has fewer
+that by hash-distributing rows on the key the next operator needs, but only when the scan has fewer
 partitions than the cluster can run at once; on a large input (thousands of
-splits) it returns the DataFrame unchanged and adds no shuffle. It is applied only
-where per-row work dominates (text analysis); cheap scans are left as they are.
+splits) it returns the DataFrame unchanged and adds no shuffle.
 """
 
 from __future__ import annotations
@@ -14,15 +13,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 
-def spread(df: DataFrame, key: str, min_partitions: int | None = None) -> DataFrame:
-    """``df`` with at least ``min_partitions`` (default: the default parallelism)
-    partitions, hash-distributed on ``key`` (a unique id, so no partition is hot).
+def spread(df: DataFrame, key: str, scan: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """``df`` hash-distributed on ``key`` when its source ``scan`` has fewer splits
+    than ``min_partitions`` (default: the default parallelism); otherwise ``df``.
 
+    ``key`` should be the key the next operator groups or partitions by (so that
+    operator needs no further exchange) and must not be dominated by one value.
     Hash placement is a pure function of the row, so a recomputed task sends every
     row to the same place without the per-partition sort a round-robin shuffle
-    needs. Worth it only before expensive per-row work (tokenising text)."""
+    needs. The split count is read from the plain scan, which runs no job.
+    """
     spark = df.sparkSession
     target = min_partitions or spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= target:
+    if scan.rdd.getNumPartitions() >= target:
         return df
     return df.repartition(target, key)
