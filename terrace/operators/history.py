@@ -19,7 +19,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from terrace.session import shared_root
+from terrace.session import materialize
 
 _P = "__part"
 
@@ -48,8 +48,7 @@ def scd2_history(
     # Range bounds come from sampling, and every exchange samples on its own; the
     # partition ids are therefore materialised once (a reliable checkpoint in the
     # shared folder) so that both uses below see the same ids.
-    shared_root(spark)
-    ranged = df.repartitionByRange(n, *order).withColumn(_P, F.spark_partition_id()).checkpoint(eager=True)
+    ranged = materialize(df.repartitionByRange(n, *order).withColumn(_P, F.spark_partition_id()))
     in_part = Window.partitionBy(_P).orderBy(*order)
     with_next = ranged.withColumn("__next", F.lead(ordinal).over(in_part))
 

@@ -27,7 +27,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from terrace.session import shared_root
+from terrace.session import materialize as materialize_df
 
 # The query side (one row per distinct word of each query) is broadcast when a count
 # shows it has at most this many rows; beyond it the joins are left to the planner.
@@ -128,8 +128,7 @@ def build_index(
     """
     postings = build_postings(docs, id_col, text_col, carry)
     if materialize:
-        shared_root(docs.sparkSession)
-        postings = postings.checkpoint(eager=True)
+        postings = materialize_df(postings)
     # One row per document (grouping on the partitioning key: no shuffle), then two sums.
     stats = (
         postings.groupBy("doc_id").agg(F.sum("tf").alias("dl"))

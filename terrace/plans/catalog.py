@@ -18,7 +18,7 @@ from terrace.operators import cdc, contracts, gold, history, ingest, quality, ru
 from terrace.plans import stages
 from terrace.sources import lake
 from terrace.plans import oracles as O
-from terrace.session import work_dir
+from terrace.session import materialize, work_dir
 from terrace.sources import adapters as A
 from terrace.specs import ROW_ID, spec_by_name
 from terrace.streaming import cdc_stream
@@ -436,7 +436,7 @@ def q_documents_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SNK6, EXP7, CON3: contract-typed JSON documents keyed by order line id."""
     # Validation and publishing both read the fact: cut the lineage once (reliable
     # checkpoint in the shared checkpoint folder) instead of recomputing it.
-    fact = fact_sales(spark, sf_dir).checkpoint(eager=True)
+    fact = materialize(fact_sales(spark, sf_dir))
     docs = contracts.validate(fact, contracts.FACT_SALES_DOC)
     return contracts.to_documents(docs, contracts.FACT_SALES_DOC)
 
@@ -770,7 +770,7 @@ def _invoice_doc_sql() -> str:
 @register("invoice_documents_json", O.with_(*O.BILLED, body=_invoice_doc_sql()))
 def q_invoice_documents_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     """EXT4: the billed fact published as contract-checked documents."""
-    fact = fact_invoices(spark, sf_dir).checkpoint(eager=True)
+    fact = materialize(fact_invoices(spark, sf_dir))
     docs = contracts.validate(fact, contracts.FACT_INVOICES_DOC)
     return contracts.to_documents(docs, contracts.FACT_INVOICES_DOC)
 

@@ -94,3 +94,20 @@ def local_path(path: str) -> str:
 
 def is_local(spark: SparkSession) -> bool:
     return spark.sparkContext.master.startswith("local") or bool(os.environ.get("TERRACE_LOCAL"))
+
+
+def materialize(df):
+    """Cut ``df``'s lineage with a reliable checkpoint in the shared folder.
+
+    The rows are persisted first: an eager checkpoint runs one job to compute the
+    rows and a second one to write them, and without the persisted copy the second
+    job would compute the whole plan again. The copy is dropped once the checkpoint
+    is written; the result reads the checkpoint and keeps the plan's partitioning.
+    """
+    from pyspark import StorageLevel
+
+    shared_root(df.sparkSession)
+    cached = df.persist(StorageLevel.MEMORY_AND_DISK)
+    out = cached.checkpoint(eager=True)
+    cached.unpersist()
+    return out
