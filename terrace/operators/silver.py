@@ -57,11 +57,38 @@ def drop_bookkeeping(df: DataFrame, columns: Sequence[str] = BOOKKEEPING) -> Dat
     return df.drop(*[c for c in columns if c in df.columns])
 
 
+class NullKeyError(ValueError):
+    pass
+
+
+def null_keys(df: DataFrame, primary_key: str | Sequence[str]) -> DataFrame:
+    """Rows with a NULL in any key column (they would collapse into one group)."""
+    cond = F.lit(False)
+    for k in _as_tuple(primary_key):
+        cond = cond | F.col(k).isNull()
+    return df.filter(cond)
+
+
 def conform(
     df: DataFrame,
     primary_key: str | Sequence[str],
     cursor: str,
     tiebreakers: Sequence[str] = (),
+    on_null_key: str = "group",
 ) -> DataFrame:
-    """Dedupe to latest, then drop bookkeeping. Pure DataFrame -> DataFrame."""
+    """Dedupe to latest, then drop bookkeeping. Pure DataFrame -> DataFrame.
+
+    ``on_null_key``: ``group`` keeps the plain semantics (all NULL keys form one
+    group), ``drop`` removes rows with a NULL key, ``fail`` raises when any exist
+    (one filtered count; use the quarantine of the contract checks to keep them).
+    """
+    if on_null_key == "drop":
+        keys = _as_tuple(primary_key)
+        df = df.dropna(subset=list(keys))
+    elif on_null_key == "fail":
+        n = null_keys(df, primary_key).count()
+        if n:
+            raise NullKeyError(f"{n} rows have a NULL primary key {list(_as_tuple(primary_key))}")
+    elif on_null_key != "group":
+        raise ValueError(f"on_null_key must be group, drop or fail, not {on_null_key!r}")
     return drop_bookkeeping(dedupe_latest(df, primary_key, cursor, tiebreakers))

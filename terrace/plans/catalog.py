@@ -778,37 +778,12 @@ def q_invoice_documents_json(spark: SparkSession, sf_dir: str) -> DataFrame:
 # -- Staged run ------------------------------------------------------------------------------
 
 
-def _landing_sources(spark: SparkSession, sf_dir: str, before: str | None) -> dict[str, DataFrame]:
-    """Source tables as the extract stage sees them (orders with source-system names).
-    ``before`` restricts every source to rows edited before that time."""
-    orders = A.table(spark, sf_dir, "orders").select(
-        F.col("o_orderkey").alias("OrderID"),
-        F.col("o_custkey").alias("CustomerID"),
-        (F.col("o_custkey") % 20).alias("SalespersonPersonID"),
-        F.col("o_orderdate").cast("date").alias("OrderDate"),
-        F.col("o_orderdate").alias("LastEditedWhen"),
-    )
-    sources = {
-        "sales_orders": orders,
-        "sales_orderlines": A.bronze_order_lines(spark, sf_dir),
-        "sales_invoices": A.bronze_invoices(spark, sf_dir),
-        "sales_invoicelines": A.bronze_invoice_lines(spark, sf_dir),
-    }
-    if before is None:
-        return sources
-    cut = F.lit(before).cast("timestamp_ntz")
-    return {
-        name: df.filter(F.col("LastEditedWhen" if name == "sales_orders" else "last_edited_when") < cut)
-        for name, df in sources.items()
-    }
-
-
 @register("staged_run_daily", ORACLES["agg_sales_daily"])
 def q_staged_run_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Stages on files: two incremental loads into Bronze, Silver, Gold; the written
     daily roll-up equals the one computed in a single plan."""
     ctx = stages.RunContext.start(spark, stages.Layout(work_dir(spark, "staged_run")))
-    stages.run(ctx, "extract", sources=_landing_sources(spark, sf_dir, FIRST_LOAD_CUTOFF), load_id=1)
-    stages.run(ctx, "extract", sources=_landing_sources(spark, sf_dir, None), load_id=2)
+    stages.run(ctx, "extract", sources=A.landing_sources(spark, sf_dir, FIRST_LOAD_CUTOFF), load_id=1)
+    stages.run(ctx, "extract", sources=A.landing_sources(spark, sf_dir, None), load_id=2)
     stages.run(ctx, "all")
     return lake.read_table(spark, ctx.layout.path("gold", "agg_sales_daily"))

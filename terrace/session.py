@@ -12,7 +12,6 @@ are not already set, so ``spark-submit --conf`` always wins.
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -87,15 +86,6 @@ def work_dir(spark: SparkSession, *parts: str, unique: bool = True) -> str:
     return f"{base}/{uuid.uuid4().hex}" if unique else base
 
 
-def local_path(path: str) -> str:
-    """Strip a ``file:`` scheme for local filesystem checks (tests only)."""
-    return path[5:] if path.startswith("file:") else path
-
-
-def is_local(spark: SparkSession) -> bool:
-    return spark.sparkContext.master.startswith("local") or bool(os.environ.get("TERRACE_LOCAL"))
-
-
 def materialize(df):
     """Cut ``df``'s lineage with a reliable checkpoint in the shared folder.
 

@@ -151,3 +151,28 @@ def change_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
         lsn_hex(F.expr("event_id div 2")).alias(CHANGE_SEQVAL),
         _op_code().alias(CHANGE_OPERATION),
     )
+
+
+def landing_sources(spark: SparkSession, sf_dir: str, before: str | None) -> dict[str, DataFrame]:
+    """Source tables as the extract stage sees them (orders with source-system names).
+    ``before`` restricts every source to rows edited before that time."""
+    orders = table(spark, sf_dir, "orders").select(
+        F.col("o_orderkey").alias("OrderID"),
+        F.col("o_custkey").alias("CustomerID"),
+        (F.col("o_custkey") % 20).alias("SalespersonPersonID"),
+        F.col("o_orderdate").cast("date").alias("OrderDate"),
+        F.col("o_orderdate").alias("LastEditedWhen"),
+    )
+    sources = {
+        "sales_orders": orders,
+        "sales_orderlines": bronze_order_lines(spark, sf_dir),
+        "sales_invoices": bronze_invoices(spark, sf_dir),
+        "sales_invoicelines": bronze_invoice_lines(spark, sf_dir),
+    }
+    if before is None:
+        return sources
+    cut = F.lit(before).cast("timestamp_ntz")
+    return {
+        name: df.filter(F.col("LastEditedWhen" if name == "sales_orders" else "last_edited_when") < cut)
+        for name, df in sources.items()
+    }

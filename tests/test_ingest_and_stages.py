@@ -176,3 +176,40 @@ def test_extract_cdc_is_forward_only(spark, tmp_root):
     later = ct.limit(1).withColumn("__$start_lsn", F.unhex(F.lit("FFFFFFFFFFFFFFFFFFFF")))
     e3 = stages.extract_cdc(ctx, {"sales_orders": ct.unionByName(later)}, load_id=3)
     assert e3[0]["rows"] == 1
+
+
+def test_null_key_policies(spark):
+    from terrace.operators.silver import NullKeyError, conform
+
+    df = spark.createDataFrame(
+        [(None, "a", "x"), (None, "b", "y"), (1, "a", "z")], "id long, ts string, v string"
+    )
+    assert conform(df, "id", "ts").count() == 2  # NULL keys form one group
+    assert [r["id"] for r in conform(df, "id", "ts", on_null_key="drop").collect()] == [1]
+    with pytest.raises(NullKeyError, match="2 rows"):
+        conform(df, "id", "ts", on_null_key="fail")
+
+
+def test_emitted_events_parse_back_into_run_metrics(spark, tmp_root):
+    import json
+
+    from terrace.operators import runlog
+
+    ctx = stages.RunContext.start(spark, stages.Layout(tmp_root), "run-42")
+    events = [ctx.emit("silver table written", table="t", rows=3, destination="x"),
+              ctx.emit("gold table written", table="t", rows=4, destination="y")]
+    lines = spark.createDataFrame([(json.dumps(e, default=str),) for e in events], "value string")
+    [m] = runlog.run_metrics(runlog.parse_run_events(lines)).collect()
+    assert (m["correlation_id"], m["table"], m["events"], m["rows"]) == ("run-42", "t", 2, 7)
+
+
+def test_cli_runs_a_stage(tmp_root, capsys):
+    import subprocess
+    import sys as _sys
+
+    out = subprocess.run(
+        [_sys.executable, "-m", "terrace", "silver", "--root", tmp_root, "--master", "local[1]"],
+        capture_output=True, text=True, timeout=600, cwd=str(__import__("pathlib").Path(__file__).parents[1]),
+    )
+    assert out.returncode == 0, out.stderr[-2000:]
+    assert "silver skipped: no bronze" in out.stdout
