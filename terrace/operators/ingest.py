@@ -1,11 +1,12 @@
 """Incremental ingest: high watermark, boundary dedupe, name normalisation, load metadata.
 
 A load appends the source rows whose cursor is at or past the stored watermark,
-except rows exactly on the watermark that already landed. The watermark is derived
-from Bronze itself (``max(cursor)`` over earlier loads), never kept in the job, so a
-load is idempotent: every load writes its own ``_load_id=<id>`` partition with
-overwrite, and a retried load recomputes the same rows from the loads before it and
-replaces its own partition.
+except rows exactly on the watermark that already landed. The watermark is the max
+cursor of the earlier loads, kept with the data, never in the job: every load
+records its max cursor (observed during its own write) in a one-row-per-load state
+table, and without that table it is aggregated from Bronze. A load is idempotent:
+it writes its own ``_load_id=<id>`` partition (and state row) with overwrite, and a
+retried load recomputes the same rows from the loads before it.
 """
 
 from __future__ import annotations
@@ -68,13 +69,29 @@ def prior_loads(bronze: DataFrame | None, current_load_id: int | None) -> DataFr
     return bronze.filter(F.col(LOAD_ID) < F.lit(current_load_id))
 
 
+# Columns of the per-load watermark state: one row per (table, load).
+STATE_MAX_CURSOR = "max_cursor"
+
+
 def high_watermark(
-    bronze: DataFrame | None, cursor: str, current_load_id: int | None = None
+    bronze: DataFrame | None,
+    cursor: str,
+    current_load_id: int | None = None,
+    state: DataFrame | None = None,
 ) -> str | None:
     """Max cursor over earlier loads, as its exact string form; None = first load.
 
-    One aggregate row comes back to the driver: the state of the load, not data.
+    With ``state`` (``_load_id, max_cursor`` recorded by every load) the answer comes
+    from that small table. Without it, Bronze's cursor column is aggregated. Either
+    way one aggregate row comes back to the driver: the state of the load, not data.
     """
+    if state is not None and bronze is not None:
+        # Compare in the cursor's own type: string order is wrong for numbers.
+        typed = F.col(STATE_MAX_CURSOR).cast(bronze.schema[cursor].dataType)
+        prior_state = prior_loads(state, current_load_id)
+        row = prior_state.agg(F.max(typed).cast("string").alias("wm")).first()
+        if row is not None and row["wm"] is not None:
+            return row["wm"]
     prior = prior_loads(bronze, current_load_id)
     if prior is None:
         return None
@@ -82,6 +99,21 @@ def high_watermark(
     return None if row is None else row["wm"]
 
 
+def boundary_loads(
+    state: DataFrame | None, bronze: DataFrame, cursor: str, watermark: str, current_load_id: int | None
+) -> list[int] | None:
+    """Load ids that can hold rows at the watermark (their max cursor equals it; no
+    load's max exceeds it), so the boundary read prunes every other Bronze partition.
+    None when there is no state."""
+    if state is None:
+        return None
+    dtype = bronze.schema[cursor].dataType
+    prior_state = prior_loads(state, current_load_id)
+    at_wm = F.col(STATE_MAX_CURSOR).cast(dtype) == F.lit(watermark).cast(dtype)
+    rows = prior_state.filter(at_wm).select(LOAD_ID).distinct().collect()
+    return [int(r[LOAD_ID]) for r in rows]
+
+
 def _typed(df: DataFrame, column: str, value: str) -> Column:
     return F.lit(value).cast(df.schema[column].dataType)
 
@@ -95,6 +127,7 @@ def new_rows(
     spec: TableSpec,
     watermark: str | None,
     current_load_id: int | None = None,
+    loads: list[int] | None = None,
 ) -> DataFrame:
     """Source rows to append: cursor >= watermark, minus boundary rows already landed.
 
@@ -109,6 +142,8 @@ def new_rows(
     prior = prior_loads(bronze, current_load_id)
     if prior is None:
         return candidates
+    if loads is not None and LOAD_ID in prior.columns:
+        prior = prior.filter(F.col(LOAD_ID).isin(loads))  # partition pruning
     # Boundary columns are renamed so the join never depends on lineage-based column
     # resolution (Bronze and source may derive from the same scan).
     boundary = prior.filter(F.col(spec.cursor) == _typed(prior, spec.cursor, watermark)).select(
@@ -121,8 +156,18 @@ def new_rows(
 
 
 def incremental_batch(
-    source: DataFrame, bronze: DataFrame | None, spec: TableSpec, load_id: int
+    source: DataFrame,
+    bronze: DataFrame | None,
+    spec: TableSpec,
+    load_id: int,
+    state: DataFrame | None = None,
 ) -> DataFrame:
     """The rows a load appends, with load metadata, ready to write."""
-    wm = high_watermark(bronze, spec.cursor, load_id)
-    return with_load_metadata(new_rows(source, bronze, spec, wm, load_id), spec, load_id)
+    wm = high_watermark(bronze, spec.cursor, load_id, state)
+    loads = boundary_loads(state, bronze, spec.cursor, wm, load_id) if wm is not None and bronze is not None else None
+    return with_load_metadata(new_rows(source, bronze, spec, wm, load_id, loads), spec, load_id)
+
+
+def max_cursor(spec: TableSpec):
+    """Aggregate recorded with every load: its max cursor in exact string form."""
+    return F.max(F.col(spec.cursor)).cast("string")

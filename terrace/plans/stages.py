@@ -53,6 +53,10 @@ class Layout:
     def runs(self) -> str:
         return f"{self.root.rstrip('/')}/_runs"
 
+    def state(self, table: str) -> str:
+        """Per-load watermark state of a Bronze table (one row per load)."""
+        return f"{self.root.rstrip('/')}/_state/watermarks/{table}"
+
 
 @dataclass
 class RunContext:
@@ -98,9 +102,19 @@ def extract(
             continue
         src = ingest.normalize_names(sources[spec.name])
         path = ctx.layout.path("bronze", spec.name)
+        state_path = ctx.layout.state(spec.name)
         bronze = lake.try_read_table(ctx.spark, path, ctx.layout.fmt)
-        batch = ingest.incremental_batch(src, bronze, spec, load_id)
-        m = lake.overwrite_partitions(batch, path, (LOAD_ID,), ctx.layout.fmt, name=spec.name)
+        state = lake.try_read_table(ctx.spark, state_path) if bronze is not None else None
+        batch = ingest.incremental_batch(src, bronze, spec, load_id, state)
+        m = lake.overwrite_partitions(
+            batch, path, (LOAD_ID,), ctx.layout.fmt, name=spec.name,
+            observe={ingest.STATE_MAX_CURSOR: ingest.max_cursor(spec)},
+        )
+        # The load's max cursor, observed during the write, is the next watermark.
+        record = ctx.spark.createDataFrame(
+            [(m[ingest.STATE_MAX_CURSOR], load_id)], f"{ingest.STATE_MAX_CURSOR} string, {LOAD_ID} long"
+        )
+        lake.overwrite_partitions(record, state_path, (LOAD_ID,))
         events.append(ctx.emit("bronze load written", **m, load_id=load_id))
     return events
 

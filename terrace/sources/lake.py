@@ -12,7 +12,7 @@ from collections.abc import Sequence
 
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -55,14 +55,16 @@ def write_table(
     mode: str = "overwrite",
     partition_by: Sequence[str] = (),
     name: str | None = None,
+    observe: dict[str, Column] | None = None,
 ) -> dict[str, object]:
-    """Write ``df`` and return ``{table, rows, destination}``.
+    """Write ``df`` and return ``{table, rows, destination, **observe}``.
 
-    The row count comes from an ``Observation`` filled by the write itself, so the
-    plan is not run a second time to count it.
+    The row count (and any ``observe`` aggregates) come from an ``Observation``
+    filled by the write itself, so the plan is not run a second time.
     """
     obs = Observation(name or "write")
-    observed = df.observe(obs, F.count(F.lit(1)).alias("rows"))
+    extra = [c.alias(k) for k, c in (observe or {}).items()]
+    observed = df.observe(obs, F.count(F.lit(1)).alias("rows"), *extra)
     if partition_by:
         observed = observed.hint("rebalance", *partition_by)
     writer = observed.write.format(fmt).mode(mode)
@@ -70,22 +72,30 @@ def write_table(
         writer = writer.partitionBy(*partition_by)
     writer.save(path)
     try:
-        rows = int(obs.get.get("rows", 0))
+        metrics = obs.get
+        rows = int(metrics.get("rows", 0))
+        values = {k: metrics.get(k) for k in (observe or {})}
     except Py4JJavaError:
         # Spark reports no metrics row when the write saw no input partitions; count
         # explicitly on that (cheap, empty) path only.
         rows = df.count()
-    return {"table": name or path, "rows": rows, "destination": path}
+        values = {k: None for k in (observe or {})}
+    return {"table": name or path, "rows": rows, "destination": path, **values}
 
 
 def overwrite_partitions(
-    df: DataFrame, path: str, partition_by: Sequence[str], fmt: str = "parquet", name: str | None = None
+    df: DataFrame,
+    path: str,
+    partition_by: Sequence[str],
+    fmt: str = "parquet",
+    name: str | None = None,
+    observe: dict[str, Column] | None = None,
 ) -> dict[str, object]:
     """Replace only the partitions present in ``df`` (dynamic partition overwrite)."""
     spark = df.sparkSession
     previous = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
     spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
     try:
-        return write_table(df, path, fmt, "overwrite", partition_by, name)
+        return write_table(df, path, fmt, "overwrite", partition_by, name, observe)
     finally:
         spark.conf.set("spark.sql.sources.partitionOverwriteMode", previous)

@@ -213,3 +213,14 @@ def test_cli_runs_a_stage(tmp_root, capsys):
     )
     assert out.returncode == 0, out.stderr[-2000:]
     assert "silver skipped: no bronze" in out.stdout
+
+
+def test_state_watermark_compares_numeric_cursors_as_numbers(spark):
+    spec = TableSpec("t", ("id",), cursor="c")
+    bronze = spark.createDataFrame([(1, 9, 1), (2, 10, 2)], "id long, c long, _load_id long")
+    state = spark.createDataFrame([("9", 1), ("10", 2)], "max_cursor string, _load_id long")
+    assert ingest.high_watermark(bronze, "c", 3, state) == "10"
+    assert ingest.boundary_loads(state, bronze, "c", "10", 3) == [2]
+    src = spark.createDataFrame([(2, 10), (3, 10), (4, 11)], "id long, c long")
+    out = ingest.incremental_batch(src, bronze, spec, 3, state)
+    assert sorted(r["id"] for r in out.collect()) == [3, 4]
