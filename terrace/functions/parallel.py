@@ -12,6 +12,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
+# Session setting: the split count below which a scan is spread (default: the
+# default parallelism; 1 turns spreading off).
+MIN_PARTITIONS_CONF = "terrace.spread.minPartitions"
+
 
 def spread(df: DataFrame, key: str, scan: DataFrame, min_partitions: int | None = None) -> DataFrame:
     """``df`` hash-distributed on ``key`` when its source ``scan`` has fewer splits
@@ -24,7 +28,8 @@ def spread(df: DataFrame, key: str, scan: DataFrame, min_partitions: int | None
     needs. The split count is read from the plain scan, which runs no job.
     """
     spark = df.sparkSession
-    target = min_partitions or spark.sparkContext.defaultParallelism
+    configured = spark.conf.get(MIN_PARTITIONS_CONF, None)
+    target = min_partitions or (int(configured) if configured else spark.sparkContext.defaultParallelism)
     if scan.rdd.getNumPartitions() >= target:
         return df
     return df.repartition(target, key)
