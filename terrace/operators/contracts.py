@@ -114,6 +114,12 @@ def lossless(col: Column, kind: str, dtype: T.DataType) -> Column:
     return F.lit(True)
 
 
+def invalid(col: Column, kind: str, dtype: T.DataType) -> Column:
+    """True when a value breaks its field rule: NULL, not coercible, or lossy."""
+    value = coerced(col, kind, dtype)
+    return col.isNull() | value.isNull() | ~F.coalesce(lossless(col, kind, dtype), F.lit(False))
+
+
 def row_violations(df: DataFrame, contract: Contract) -> Column:
     """Array of ``null:<f>``, ``type:<f>`` and ``lossy:<f>`` labels for one row."""
     types = {f.name: f.dataType for f in df.schema.fields}
@@ -149,32 +155,30 @@ def duplicate_keys(df: DataFrame, key: Sequence[str]) -> DataFrame:
     )
 
 
-def _about(field: str):
-    """Predicate for ``exists``: the label names ``field``."""
-    return lambda label: F.substring_index(label, ":", -1) == F.lit(field)
-
-
 def violation_summary(df: DataFrame, contract: Contract) -> DataFrame:
     """``(rule, violations)``: one row per field rule, ``duplicate_key``, and any
     schema rules (violations -1: the whole column).
 
-    One pass: per-row flags are summed per key (a partial aggregate, so a hot key
-    costs one partial row per task), then the per-key sums are totalled.
+    One pass: per-row validity flags (plain boolean expressions, no arrays) are
+    summed per key (a partial aggregate, so a hot key costs one partial row per
+    task), then the per-key sums are totalled.
     """
     spark = df.sparkSession
-    labels = row_violations(df, contract)
     types = {f.name: f.dataType for f in df.schema.fields}
-    checked = [f for f, k in contract.fields if f in types and _accepts(k, types[f])]
-    flagged = df.select(*contract.key, labels.alias("__v")).select(
+    checked = [(f, k) for f, k in contract.fields if f in types and _accepts(k, types[f])]
+    flagged = df.select(
         *contract.key,
-        *[F.exists("__v", _about(f)).cast("long").alias(f"__f{i}") for i, f in enumerate(checked)],
+        *[
+            invalid(F.col(f), k, types[f]).cast("long").alias(f"__f{i}")
+            for i, (f, k) in enumerate(checked)
+        ],
     )
     per_key = flagged.groupBy(*contract.key).agg(
         F.count(F.lit(1)).alias("__copies"), *[F.sum(f"__f{i}").alias(f"__f{i}") for i in range(len(checked))]
     )
     rules = [
         F.struct(F.lit(f"invalid:{f}").alias("rule"), F.coalesce(F.sum(f"__f{i}"), F.lit(0)).alias("violations"))
-        for i, f in enumerate(checked)
+        for i, (f, _) in enumerate(checked)
     ]
     rules.append(
         F.struct(

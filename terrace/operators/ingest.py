@@ -86,12 +86,9 @@ def high_watermark(
     way one aggregate row comes back to the driver: the state of the load, not data.
     """
     if state is not None and bronze is not None:
-        # Compare in the cursor's own type: string order is wrong for numbers.
-        typed = F.col(STATE_MAX_CURSOR).cast(bronze.schema[cursor].dataType)
-        prior_state = prior_loads(state, current_load_id)
-        row = prior_state.agg(F.max(typed).cast("string").alias("wm")).first()
-        if row is not None and row["wm"] is not None:
-            return row["wm"]
+        wm, _ = state_watermark(state, bronze, cursor, current_load_id)
+        if wm is not None:
+            return wm
     prior = prior_loads(bronze, current_load_id)
     if prior is None:
         return None
@@ -99,19 +96,39 @@ def high_watermark(
     return None if row is None else row["wm"]
 
 
+def state_watermark(
+    state: DataFrame, bronze: DataFrame, cursor: str, current_load_id: int | None
+) -> tuple[str | None, list[int]]:
+    """Watermark and the loads that can hold rows at it, from the per-load state
+    (one row per load, so collecting it is bounded by the number of loads).
+
+    Values are compared in the cursor's own type (string order is wrong for
+    numbers); the watermark is returned in its exact string form. A load whose max
+    equals the watermark is the only kind that can hold boundary rows: no earlier
+    load's max exceeds it."""
+    dtype = bronze.schema[cursor].dataType
+    rows = (
+        prior_loads(state, current_load_id)
+        .filter(F.col(STATE_MAX_CURSOR).isNotNull())
+        .select(LOAD_ID, F.col(STATE_MAX_CURSOR).cast(dtype).alias("m"), STATE_MAX_CURSOR)
+        .collect()
+    )
+    if not rows:
+        return None, []
+    top = max(r["m"] for r in rows)
+    at_top = [r for r in rows if r["m"] == top]
+    # Recorded as ``cast(max(cursor) as string)`` of this same type: already canonical.
+    return at_top[0][STATE_MAX_CURSOR], sorted({int(r[LOAD_ID]) for r in at_top})
+
+
 def boundary_loads(
     state: DataFrame | None, bronze: DataFrame, cursor: str, watermark: str, current_load_id: int | None
 ) -> list[int] | None:
-    """Load ids that can hold rows at the watermark (their max cursor equals it; no
-    load's max exceeds it), so the boundary read prunes every other Bronze partition.
-    None when there is no state."""
+    """Load ids that can hold rows at the watermark, or None without state."""
     if state is None:
         return None
-    dtype = bronze.schema[cursor].dataType
-    prior_state = prior_loads(state, current_load_id)
-    at_wm = F.col(STATE_MAX_CURSOR).cast(dtype) == F.lit(watermark).cast(dtype)
-    rows = prior_state.filter(at_wm).select(LOAD_ID).distinct().collect()
-    return [int(r[LOAD_ID]) for r in rows]
+    wm, loads = state_watermark(state, bronze, cursor, current_load_id)
+    return loads if wm == watermark else None
 
 
 def _typed(df: DataFrame, column: str, value: str) -> Column:
@@ -163,8 +180,13 @@ def incremental_batch(
     state: DataFrame | None = None,
 ) -> DataFrame:
     """The rows a load appends, with load metadata, ready to write."""
-    wm = high_watermark(bronze, spec.cursor, load_id, state)
-    loads = boundary_loads(state, bronze, spec.cursor, wm, load_id) if wm is not None and bronze is not None else None
+    loads = None
+    if state is not None and bronze is not None:
+        wm, loads = state_watermark(state, bronze, spec.cursor, load_id)
+        if wm is None:
+            wm, loads = high_watermark(bronze, spec.cursor, load_id), None
+    else:
+        wm = high_watermark(bronze, spec.cursor, load_id)
     return with_load_metadata(new_rows(source, bronze, spec, wm, load_id, loads), spec, load_id)
 
 
