@@ -53,3 +53,9 @@ def run_metrics(events: DataFrame) -> DataFrame:
         F.min("ts").alias("first_ts"),
         F.max("ts").alias("last_ts"),
     )
+
+
+def read_run_log(spark, path: str) -> DataFrame:
+    """JSON-lines log files (one event per line) parsed into typed events."""
+    return parse_run_events(spark.read.text(path), "value")
+

@@ -249,6 +249,38 @@ def backfill_gold(ctx: RunContext, start: dt.date, end: dt.date) -> list[dict[st
     return [ctx.emit("gold partitions backfilled", **m, start=str(start), end=str(end))]
 
 
+# -- QLT2: layer inspection --------------------------------------------------------------------------
+
+# The tables of each layer and the key a sample is ordered by.
+LAYER_TABLES: dict[str, dict[str, tuple[str, ...]]] = {
+    "bronze": {s.name: s.primary_key for s in SALES_TABLES},
+    "silver": {s.name: s.primary_key for s in SALES_TABLES},
+    "gold": {
+        "fact_sales": ("order_line_id",),
+        "agg_sales_daily": ("order_date",),
+        "fact_invoices": ("invoice_line_id",),
+        "agg_billed_daily": ("invoice_date",),
+    },
+}
+
+
+def inspect(ctx: RunContext, layer: str) -> tuple[DataFrame, DataFrame]:
+    """Profile and samples of every written table of a layer (missing tables skipped):
+    rows, columns, partition columns from the folder layout; 3 samples of 6 columns."""
+    from terrace.operators import quality
+
+    tables = {}
+    for name, key in LAYER_TABLES[layer].items():
+        path = ctx.layout.path(layer, name)
+        df = lake.try_read_table(ctx.spark, path, ctx.layout.fmt)
+        if df is not None:
+            parts = lake.partition_columns(ctx.spark, path)
+            tables[name] = quality.ProfiledTable(df, key, parts)
+    if not tables:
+        raise ValueError(f"nothing written in layer {layer!r} under {ctx.layout.root}")
+    return quality.profile(tables), quality.samples(tables)
+
+
 # -- EXT5: run trace ---------------------------------------------------------------------------------
 
 

@@ -99,3 +99,24 @@ def overwrite_partitions(
         return write_table(df, path, fmt, "overwrite", partition_by, name, observe)
     finally:
         spark.conf.set("spark.sql.sources.partitionOverwriteMode", previous)
+
+
+def partition_columns(spark: SparkSession, path: str) -> tuple[str, ...]:
+    """Hive-style partition columns of a written table, read from its folder names
+    (``col=value`` levels). Metadata only: one directory listing per level."""
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    current = jvm.org.apache.hadoop.fs.Path(path)
+    fs = current.getFileSystem(conf)
+    cols: list[str] = []
+    while True:
+        dirs = [
+            st.getPath()
+            for st in fs.listStatus(current)
+            if st.isDirectory() and "=" in st.getPath().getName() and not st.getPath().getName().startswith(("_", "."))
+        ]
+        if not dirs:
+            return tuple(cols)
+        cols.append(dirs[0].getName().split("=", 1)[0])
+        current = dirs[0]
+

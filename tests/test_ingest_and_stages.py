@@ -224,3 +224,36 @@ def test_state_watermark_compares_numeric_cursors_as_numbers(spark):
     src = spark.createDataFrame([(2, 10), (3, 10), (4, 11)], "id long, c long")
     out = ingest.incremental_batch(src, bronze, spec, 3, state)
     assert sorted(r["id"] for r in out.collect()) == [3, 4]
+
+
+def test_inspect_layer_reports_partition_columns_from_layout(spark, tmp_root):
+    from terrace.plans import catalog
+
+    layout = stages.Layout(tmp_root)
+    ctx = stages.RunContext.start(spark, layout)
+    for name, fn in (
+        ("sales_orders", catalog.silver_orders), ("sales_orderlines", catalog.silver_lines),
+        ("sales_invoices", catalog.silver_invoices), ("sales_invoicelines", catalog.silver_invoice_lines),
+    ):
+        lake.write_table(fn(spark, SF001), layout.path("silver", name))
+    stages.build_gold(ctx)
+    profile, samples = stages.inspect(ctx, "gold")
+    rows = {r["table"]: r for r in profile.collect()}
+    assert rows["fact_sales"]["partition_columns"] == "order_year,order_month"
+    assert rows["agg_sales_daily"]["partition_columns"] == ""
+    assert rows["fact_sales"]["rows"] == catalog.fact_sales(spark, SF001).count()
+    assert samples.filter(F.col("table") == "fact_sales").count() == 3
+
+
+def test_read_run_log_from_json_lines(spark, tmp_root):
+    import json
+
+    from terrace.operators import runlog
+
+    path = f"{tmp_root}/log.jsonl"
+    with open(path, "w") as fh:
+        for i in range(3):
+            fh.write(json.dumps({"ts": "2024-01-01T00:00:00+00:00", "level": "INFO", "logger": "l", "msg": "m",
+                                 "correlation_id": "c", "table": "t", "rows": i}) + "\n")
+    [m] = runlog.run_metrics(runlog.read_run_log(spark, path)).collect()
+    assert (m["events"], m["rows"]) == (3, 3)

@@ -112,3 +112,10 @@ def test_scd2_history_including_a_hot_key_split_across_partitions(spark):
     assert by[(0, 199)]["is_current"] and by[(0, 199)]["valid_to"] is None
     for k in range(1, 20):
         assert (by[(k, 1)]["valid_to"], by[(k, 3)]["valid_to"], by[(k, 5)]["valid_to"]) == (3, 5, None)
+
+
+def test_compact_folds_batches_into_current_table(spark, tmp_root):
+    batches = [[(1, _lsn(1), _lsn(1), 2, "a"), (2, _lsn(1), _lsn(1), 2, "b")], [(2, _lsn(2), _lsn(1), 1, "gone")]]
+    _run(spark, tmp_root, batches)
+    cdc_stream.compact(spark, f"{tmp_root}/sink", ["k"], f"{tmp_root}/current")
+    assert {r["k"]: r["v"] for r in spark.read.parquet(f"{tmp_root}/current").collect()} == {1: "a"}
