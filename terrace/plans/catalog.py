@@ -305,7 +305,32 @@ def q_layer_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.profile(_silver_profile_tables(spark, sf_dir))
 
 
-@register("layer_samples")
+def _samples_sql() -> str:
+    ts = "strftime({c}, '%Y-%m-%dT%H:%M:%S.%g')"
+    parts = [
+        ("sales_orders", "silver_orders", "order_id",
+         "'order_id': order_id, 'customer_id': customer_id, 'salesperson_person_id': salesperson_person_id, "
+         "'order_date': order_date, 'order_status': order_status, 'order_priority': order_priority"),
+        ("sales_orderlines", "silver_lines", "order_line_id",
+         "'order_line_id': order_line_id, 'order_id': order_id, 'stock_item_id': stock_item_id, "
+         "'supplier_id': supplier_id, 'description': description, 'quantity': CAST(quantity AS BIGINT)"),
+        ("sales_invoices", "silver_invoices", "invoice_id",
+         "'invoice_id': invoice_id, 'customer_id': customer_id, 'salesperson_person_id': salesperson_person_id, "
+         "'invoice_date': invoice_date, 'is_credit_note': is_credit_note, "
+         f"'last_edited_when': {ts.format(c='last_edited_when')}"),
+        ("sales_invoicelines", "silver_invoice_lines", "invoice_line_id",
+         "'invoice_line_id': invoice_line_id, 'invoice_id': invoice_id, 'stock_item_id': stock_item_id, "
+         "'supplier_id': supplier_id, 'description': description, 'quantity': CAST(quantity AS BIGINT)"),
+    ]
+    body = "\nUNION ALL\n".join(
+        f"SELECT '{name}' AS \"table\", CAST(to_json({{{fields}}}) AS VARCHAR) AS sample "
+        f"FROM (SELECT * FROM {cte} ORDER BY {key} LIMIT 3)"
+        for name, cte, key, fields in parts
+    )
+    return O.with_(*O.ORDERED[:4], *O.BILLED[:4], body=body)
+
+
+@register("layer_samples", _samples_sql())
 def q_layer_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
     """QLT2, TOP1: first 3 rows (by key) x first 6 columns per Silver table, as JSON."""
     return quality.samples(_silver_profile_tables(spark, sf_dir))
