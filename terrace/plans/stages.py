@@ -22,6 +22,7 @@ import logging
 import time
 import uuid
 from collections.abc import Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -82,6 +83,17 @@ class RunContext:
         return event
 
 
+def concurrently(fn, items: Sequence) -> list:
+    """Run ``fn`` over independent items as concurrent Spark jobs (one driver thread
+    each), results in input order. Independent tables then share the cluster
+    instead of queueing behind each other."""
+    items = list(items)
+    if len(items) <= 1:
+        return [fn(i) for i in items]
+    with ThreadPoolExecutor(max_workers=len(items)) as pool:
+        return list(pool.map(fn, items))
+
+
 # -- extract (SRC1, SNK1, ING1-5) ------------------------------------------------------------
 
 
@@ -96,10 +108,7 @@ def extract(
     Source column names are normalised to snake_case first. A retried load with the
     same ``load_id`` replaces its own partition with the same rows.
     """
-    events = []
-    for spec in specs:
-        if spec.name not in sources:
-            continue
+    def load(spec: TableSpec) -> dict[str, object]:
         src = ingest.normalize_names(sources[spec.name])
         path = ctx.layout.path("bronze", spec.name)
         state_path = ctx.layout.state(spec.name)
@@ -115,8 +124,9 @@ def extract(
             [(m[ingest.STATE_MAX_CURSOR], load_id)], f"{ingest.STATE_MAX_CURSOR} string, {LOAD_ID} long"
         )
         lake.overwrite_partitions(record, state_path, (LOAD_ID,))
-        events.append(ctx.emit("bronze load written", **m, load_id=load_id))
-    return events
+        return ctx.emit("bronze load written", **m, load_id=load_id)
+
+    return concurrently(load, [s for s in specs if s.name in sources])
 
 
 def extract_cdc(
@@ -146,32 +156,30 @@ def extract_cdc(
 
 
 def build_silver(ctx: RunContext, specs: Sequence[TableSpec] = SALES_TABLES) -> list[dict[str, object]]:
-    events = []
-    for spec in specs:
+    def conform_one(spec: TableSpec) -> dict[str, object]:
         src = ctx.layout.path("bronze", spec.name)
         raw = lake.try_read_table(ctx.spark, src, ctx.layout.fmt)
         if raw is None:
-            events.append(ctx.emit("silver skipped: no bronze", table=spec.name))
-            continue
+            return ctx.emit("silver skipped: no bronze", table=spec.name)
         out = silver.conform(raw, spec.primary_key, spec.cursor, spec.tiebreakers)
         m = lake.write_table(out, ctx.layout.path("silver", spec.name), ctx.layout.fmt, name=spec.name)
-        events.append(ctx.emit("silver table written", **m))
-    return events
+        return ctx.emit("silver table written", **m)
+
+    return concurrently(conform_one, specs)
 
 
 def build_silver_cdc(ctx: RunContext, specs: Sequence[TableSpec] = SALES_TABLES) -> list[dict[str, object]]:
     """Collapse every captured change feed; a table without captured changes is skipped."""
-    events = []
-    for spec in specs:
+    def collapse_one(spec: TableSpec) -> dict[str, object]:
         feed = lake.try_read_table(ctx.spark, ctx.layout.path("bronze", spec.name, ctx.layout.cdc), ctx.layout.fmt)
         if feed is None:
-            events.append(ctx.emit("silver-cdc skipped: no changes captured", table=spec.name))
-            continue
+            return ctx.emit("silver-cdc skipped: no changes captured", table=spec.name)
         out = cdc.collapse_changes(feed, spec.primary_key, spec.tiebreakers)
         dst = ctx.layout.path("silver", spec.name, ctx.layout.cdc)
         m = lake.write_table(out, dst, ctx.layout.fmt, name=spec.name)
-        events.append(ctx.emit("silver-cdc table written", **m))
-    return events
+        return ctx.emit("silver-cdc table written", **m)
+
+    return concurrently(collapse_one, specs)
 
 
 # -- Gold (JOI1-2, AGG1-3, SNK4) ------------------------------------------------------------------
@@ -193,24 +201,31 @@ def _gold_pair(
 
 
 def build_gold(ctx: RunContext) -> list[dict[str, object]]:
+    """Ordered and billed marts; the two are independent and run concurrently."""
     read = lambda t: lake.read_table(ctx.spark, ctx.layout.path("silver", t), ctx.layout.fmt)
-    events = _gold_pair(
-        ctx,
-        gold.build_fact_sales(read("sales_orders"), read("sales_orderlines")),
-        "fact_sales",
-        ("order_year", "order_month"),
-        "agg_sales_daily",
-        gold.build_daily_agg,
-    )
-    events += _gold_pair(
-        ctx,
-        gold.build_fact_invoices(read("sales_invoices"), read("sales_invoicelines")),
-        "fact_invoices",
-        ("invoice_year", "invoice_month"),
-        "agg_billed_daily",
-        gold.build_billed_daily_agg,
-    )
-    return events
+
+    def ordered(_: object) -> list[dict[str, object]]:
+        return _gold_pair(
+            ctx,
+            gold.build_fact_sales(read("sales_orders"), read("sales_orderlines")),
+            "fact_sales",
+            ("order_year", "order_month"),
+            "agg_sales_daily",
+            gold.build_daily_agg,
+        )
+
+    def billed(_: object) -> list[dict[str, object]]:
+        return _gold_pair(
+            ctx,
+            gold.build_fact_invoices(read("sales_invoices"), read("sales_invoicelines")),
+            "fact_invoices",
+            ("invoice_year", "invoice_month"),
+            "agg_billed_daily",
+            gold.build_billed_daily_agg,
+        )
+
+    pairs = concurrently(lambda f: f(None), [ordered, billed])
+    return [e for pair in pairs for e in pair]
 
 
 # -- EXT1: date-range backfill ----------------------------------------------------------------------

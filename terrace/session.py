@@ -1,9 +1,9 @@
 """Spark session and shared work-folder helpers.
 
-The session defaults are the ones every stage relies on: UTC session time zone,
-adaptive query execution with partition coalescing and skew-join splitting, and
-dynamic partition overwrite so a stage that rewrites a partitioned table only
-replaces the partitions it produces.
+The session defaults are the ones every stage relies on: UTC session time zone and
+adaptive query execution with partition coalescing and skew-join splitting.
+Partition-replacing writes ask for dynamic overwrite per write, so no global write
+setting is changed.
 
 Cluster sizing (shuffle partitions, advisory partition size, file split size) is
 left to the cluster's own configuration; ``build_session`` only fills in values that
@@ -24,7 +24,6 @@ DEFAULTS: dict[str, str] = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.parquet.compression.codec": "zstd",
 }
 

@@ -56,11 +56,14 @@ def write_table(
     partition_by: Sequence[str] = (),
     name: str | None = None,
     observe: dict[str, Column] | None = None,
+    dynamic: bool = False,
 ) -> dict[str, object]:
     """Write ``df`` and return ``{table, rows, destination, **observe}``.
 
     The row count (and any ``observe`` aggregates) come from an ``Observation``
-    filled by the write itself, so the plan is not run a second time.
+    filled by the write itself, so the plan is not run a second time. ``dynamic``
+    replaces only the partitions present in ``df`` (a per-write option, so
+    concurrent writes never depend on a shared session setting).
     """
     obs = Observation(name or "write")
     extra = [c.alias(k) for k, c in (observe or {}).items()]
@@ -68,6 +71,8 @@ def write_table(
     if partition_by:
         observed = observed.hint("rebalance", *partition_by)
     writer = observed.write.format(fmt).mode(mode)
+    if dynamic:
+        writer = writer.option("partitionOverwriteMode", "dynamic")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.save(path)
@@ -92,13 +97,7 @@ def overwrite_partitions(
     observe: dict[str, Column] | None = None,
 ) -> dict[str, object]:
     """Replace only the partitions present in ``df`` (dynamic partition overwrite)."""
-    spark = df.sparkSession
-    previous = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    try:
-        return write_table(df, path, fmt, "overwrite", partition_by, name, observe)
-    finally:
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", previous)
+    return write_table(df, path, fmt, "overwrite", partition_by, name, observe, dynamic=True)
 
 
 def partition_columns(spark: SparkSession, path: str) -> tuple[str, ...]:
