@@ -4,6 +4,10 @@
     python -m terrace extract-cdc --root <lake> --sf-dir <benchmark dir> --load-id 1
     python -m terrace silver|silver-cdc|gold|all --root <lake>
     python -m terrace backfill --root <lake> --start 1997-12-01 --end 1997-12-31
+    python -m terrace publish --root <lake>
+    python -m terrace search --root <lake> --q "red plate" --customer-id 7 --min-total 100 --limit 5
+    python -m terrace get --root <lake> --ids 501 502
+    python -m terrace inspect --root <lake> --layer gold
 
 ``--root`` defaults to a folder under the session's ``spark.checkpoint.dir``.
 Prints one JSON line per emitted event.
@@ -22,7 +26,13 @@ from terrace.session import build_session, work_dir
 
 def main(argv: list[str] | None = None) -> int:
     parser = argparse.ArgumentParser(prog="terrace")
-    parser.add_argument("stage", choices=[*stages.STAGES, "backfill"])
+    parser.add_argument("stage", choices=[*stages.STAGES, "backfill", "publish", "search", "get", "inspect"])
+    parser.add_argument("--q")
+    parser.add_argument("--customer-id", type=int)
+    parser.add_argument("--min-total", type=float)
+    parser.add_argument("--limit", type=int, default=10)
+    parser.add_argument("--ids", type=int, nargs="*", default=[])
+    parser.add_argument("--layer", default="gold")
     parser.add_argument("--root")
     parser.add_argument("--fmt", default="parquet")
     parser.add_argument("--sf-dir", help="benchmark tables used as the source system")
@@ -36,7 +46,24 @@ def main(argv: list[str] | None = None) -> int:
     try:
         root = args.root or work_dir(spark, "lake", unique=False)
         ctx = stages.RunContext.start(spark, stages.Layout(root, args.fmt))
-        if args.stage == "backfill":
+        if args.stage == "search":
+            total, rows = stages.serve_search(ctx, args.q, args.customer_id, args.min_total, args.limit)
+            print(json.dumps({"total": total, "results": [json.loads(r["doc"]) for r in rows.collect()]}))
+            return 0
+        if args.stage == "get":
+            for r in stages.serve_get(ctx, args.ids).collect():
+                print(json.dumps({"id": r["doc_id"], "found": r["found"], "doc": json.loads(r["doc"]) if r["doc"] else None}))
+            return 0
+        if args.stage == "inspect":
+            profile, samples = stages.inspect(ctx, args.layer)
+            for r in profile.collect():
+                print(json.dumps(r.asDict(), default=str))
+            for r in samples.collect():
+                print(json.dumps(r.asDict(), default=str))
+            return 0
+        if args.stage == "publish":
+            events = stages.publish_documents(ctx)
+        elif args.stage == "backfill":
             if not (args.start and args.end):
                 parser.error("backfill needs --start and --end")
             events = stages.backfill_gold(ctx, args.start, args.end)

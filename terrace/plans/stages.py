@@ -54,6 +54,10 @@ class Layout:
     def runs(self) -> str:
         return f"{self.root.rstrip('/')}/_runs"
 
+    def serving(self, name: str) -> str:
+        """Published documents and the search index built from them."""
+        return f"{self.root.rstrip('/')}/serving/{self.dataset}/{name}"
+
     def state(self, table: str) -> str:
         """Per-load watermark state of a Bronze table (one row per load)."""
         return f"{self.root.rstrip('/')}/_state/watermarks/{table}"
@@ -296,6 +300,66 @@ def inspect(ctx: RunContext, layer: str) -> tuple[DataFrame, DataFrame]:
     return quality.profile(tables), quality.samples(tables)
 
 
+# -- SNK6 / SEA2-5: publish documents and the search index, serve requests ----------------------------
+
+
+def publish_documents(ctx: RunContext, buckets: int = 64) -> list[dict[str, object]]:
+    """Validate the written Gold fact against the document contract (strict: a bad
+    row or a duplicate key aborts), then rebuild the documents table and the search
+    index from scratch (overwrite)."""
+    from terrace.operators import contracts, search
+
+    fact = lake.read_table(ctx.spark, ctx.layout.path("gold", "fact_sales"), ctx.layout.fmt)
+    docs = contracts.validate(fact, contracts.FACT_SALES_DOC)
+    published = contracts.to_documents(docs, contracts.FACT_SALES_DOC)
+    m = lake.write_table(published, ctx.layout.serving("documents"), name="documents")
+    # Non-scoring filter columns, columnar, for match-all requests.
+    lake.write_table(
+        docs.select(F.col("order_line_id").alias("doc_id"), "customer_id", "line_total"),
+        ctx.layout.serving("filters"), name="filters",
+    )
+    index = search.build_index(
+        docs.select("order_line_id", "description", "customer_id", "line_total"),
+        "order_line_id", "description", carry=("customer_id", "line_total"),
+    )
+    search.write_index(index, ctx.layout.serving("index"), buckets)
+    return [
+        ctx.emit("documents published", **m),
+        ctx.emit("search index written", table="index", rows=index.doc_count, destination=ctx.layout.serving("index")),
+    ]
+
+
+def serve_search(
+    ctx: RunContext,
+    q: str | None = None,
+    customer_id: int | None = None,
+    min_total: float | None = None,
+    limit: int = 10,
+) -> tuple[int, DataFrame]:
+    """One search request against the published tables: ``(total, results)``; the
+    results carry the published document JSON."""
+    from terrace.operators import search
+
+    index = search.read_index(ctx.spark, ctx.layout.serving("index"))
+    filters = lake.read_table(ctx.spark, ctx.layout.serving("filters"))
+    total, top = search.search_one(
+        filters, "doc_id", "description", q=q,
+        equals={"customer_id": customer_id}, at_least={"line_total": min_total},
+        limit=limit, index=index,
+    )
+    published = lake.read_table(ctx.spark, ctx.layout.serving("documents"))
+    results = top.select("doc_id", "score").join(published, "doc_id").orderBy(F.col("score").desc(), F.col("doc_id"))
+    return total, results
+
+
+def serve_get(ctx: RunContext, ids: Sequence[int]) -> DataFrame:
+    """Get documents by id; ids that are not published come back with found = false."""
+    from terrace.operators import search
+
+    req = ctx.spark.createDataFrame([(int(i),) for i in ids], "doc_id long")
+    return search.get_by_ids(req, lake.read_table(ctx.spark, ctx.layout.serving("documents")), "doc_id")
+
+
 # -- EXT5: run trace ---------------------------------------------------------------------------------
 
 

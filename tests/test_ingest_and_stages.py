@@ -257,3 +257,36 @@ def test_read_run_log_from_json_lines(spark, tmp_root):
                                  "correlation_id": "c", "table": "t", "rows": i}) + "\n")
     [m] = runlog.run_metrics(runlog.read_run_log(spark, path)).collect()
     assert (m["events"], m["rows"]) == (3, 3)
+
+
+def test_publish_then_serve_search_and_get(spark, tmp_root):
+    import json
+
+    from terrace.operators import search
+    from terrace.plans import catalog
+
+    layout = stages.Layout(tmp_root)
+    ctx = stages.RunContext.start(spark, layout)
+    fact = catalog.fact_sales(spark, SF001)
+    lake.write_table(fact, layout.path("gold", "fact_sales"), partition_by=("order_year", "order_month"))
+    stages.publish_documents(ctx, buckets=4)
+    assert spark.read.parquet(layout.serving("documents")).count() == fact.count()
+    # Text search through the published index equals the lazy batch search.
+    total, rows = stages.serve_search(ctx, q="red plate", limit=5)
+    lazy = search.search_text(
+        search.build_index(fact, "order_line_id", "description", materialize=False),
+        spark.createDataFrame([(0, "red plate")], "query_id long, q string"), k=5,
+    ).collect()
+    got = rows.collect()
+    assert total == lazy[0]["total"]
+    assert [r["doc_id"] for r in got] == [r["doc_id"] for r in sorted(lazy, key=lambda r: r["rank"])]
+    # Filter-only request: constant score, ids ascending, total over all matches.
+    some = fact.select("customer_id").first()["customer_id"]
+    total, rows = stages.serve_search(ctx, customer_id=some, min_total=0.0, limit=3)
+    expected = fact.filter((F.col("customer_id") == some) & (F.col("line_total") >= 0)).count()
+    assert total == expected and len(rows.collect()) == min(3, expected)
+    # Get by id: found and not found.
+    first_id = fact.select("order_line_id").first()["order_line_id"]
+    got = {r["doc_id"]: r for r in stages.serve_get(ctx, [first_id, -1]).collect()}
+    assert got[first_id]["found"] and json.loads(got[first_id]["doc"])["order_line_id"] == first_id
+    assert not got[-1]["found"]
