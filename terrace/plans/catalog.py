@@ -421,9 +421,7 @@ def _contract_sql() -> str:
     return "\n UNION ALL ".join(rules)
 
 
-_UNCONFORMED_FACT_SQL = O.FACT_SALES.replace("fact_sales AS", "f AS").replace(
-    "silver_lines l JOIN silver_orders o", "bronze_lines l JOIN bronze_orders o"
-)
+_UNCONFORMED_FACT_SQL = O.fact_sales_sql("f", "bronze_lines", "bronze_orders")
 
 
 @register(
@@ -471,13 +469,14 @@ def q_documents_json(spark: SparkSession, sf_dir: str) -> DataFrame:
 _TOKENS_SQL = r"regexp_extract_all(lower({col}), '[\p{{L}}\p{{N}}]+')"
 
 
-def _bm25_sql(docs_sql: str, queries_sql: str, k: int) -> str:
+def _bm25_sql(docs_sql: str, queries_sql: str, k: int, ctes: tuple[str, ...] = ()) -> str:
     """BM25 top-k per query in SQL; ``docs_sql`` yields (doc_id, text), ``queries_sql``
-    (query_id, q)."""
+    (query_id, q); ``ctes`` are defined first (inputs of ``docs_sql``)."""
     toks = _TOKENS_SQL.format(col="text")
     qtoks = _TOKENS_SQL.format(col="q")
+    prefix = "".join(c.strip() + ",\n" for c in ctes)
     return f"""
-WITH d AS (SELECT doc_id, {toks} AS toks FROM ({docs_sql})),
+WITH {prefix}d AS (SELECT doc_id, {toks} AS toks FROM ({docs_sql})),
 stats AS (SELECT count(*) AS n, CAST(sum(len(toks)) AS DOUBLE) / count(*) AS avgdl FROM d),
 post AS (SELECT term, doc_id, dl, count(*) AS tf FROM
           (SELECT doc_id, len(toks) AS dl, unnest(toks) AS term FROM d) GROUP BY ALL),
@@ -525,13 +524,12 @@ SALES_K = 5
 
 @register(
     "search_sales",
-    O.with_(*O.ORDERED, body="SELECT 1 AS _unused").replace("SELECT 1 AS _unused", "")
-    + ",\n"
-    + _bm25_sql(
+    _bm25_sql(
         "SELECT order_line_id AS doc_id, description AS text FROM fact_sales",
         "SELECT DISTINCT p_name AS query_id, p_name AS q FROM part",
         SALES_K,
-    ).replace("WITH d AS", "d AS", 1),
+        ctes=O.ORDERED,
+    ),
 )
 def q_search_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SEA1, SEA3, FIL4: full-text search of order-line descriptions, one query per
@@ -734,9 +732,7 @@ before_lines AS (
                supplier_id DESC NULLS LAST) AS rn
     FROM bronze_lines WHERE last_edited_when < {_CUTOFF_SQL}) WHERE rn = 1)"""
 
-_OLD_FACT_SQL = O.FACT_SALES.replace("fact_sales AS", "old_fact AS").replace(
-    "FROM silver_lines l", "FROM before_lines l"
-)
+_OLD_FACT_SQL = O.fact_sales_sql("old_fact", "before_lines")
 
 
 @register(

@@ -106,8 +106,14 @@ silver_invoices AS (
     FROM bronze_invoices) WHERE rn = 1
 )"""
 
-FACT_SALES = """
-fact_sales AS (
+
+def fact_sales_sql(name: str = "fact_sales", lines: str = "silver_lines", orders: str = "silver_orders") -> str:
+    """The fact_sales CTE over the given line and order CTEs."""
+    return FACT_SALES_TEMPLATE.format(name=name, lines=lines, orders=orders)
+
+
+FACT_SALES_TEMPLATE = """
+{name} AS (
   SELECT l.order_id, l.order_line_id, l.stock_item_id, l.description, l.quantity,
          l.unit_price, l.tax_rate, l.picked_quantity, o.customer_id,
          o.salesperson_person_id, o.order_date,
@@ -119,9 +125,11 @@ fact_sales AS (
            AS line_total,
          CAST(year(o.order_date) AS INTEGER) AS order_year,
          CAST(month(o.order_date) AS INTEGER) AS order_month
-  FROM silver_lines l JOIN silver_orders o ON l.order_id = o.order_id
+  FROM {lines} l JOIN {orders} o ON l.order_id = o.order_id
 )"""
 
+FACT_SALES = fact_sales_sql()
+
 FACT_INVOICES = """
 fact_invoices AS (
   SELECT l.invoice_id, l.invoice_line_id, l.stock_item_id, l.description, l.quantity,
