@@ -2,11 +2,11 @@
 
 Layout under a lake root (a shared folder)::
 
-    bronze/wwi/<table>/_load_id=<id>/     append-only landing, one partition per load
-    bronze/wwi_cdc/<table>/_load_id=<id>/ change feed
-    silver/wwi/<table>/                   one row per key (overwrite)
-    silver/wwi_cdc/<table>/               current state with deletes applied
-    gold/wwi/<table>/                     facts (year/month partitions) and daily roll-ups
+    bronze/sales/<table>/_load_id=<id>/   append-only landing, one partition per load
+    bronze/sales_cdc/<table>/_load_id=<id>/ change feed
+    silver/sales/<table>/                 one row per key (overwrite)
+    silver/sales_cdc/<table>/             current state with deletes applied
+    gold/sales/<table>/                   facts (year/month partitions) and daily roll-ups
     _runs/                                one row per written table per run
 
 Every stage reads one set of paths and writes another, so no job overwrites a path
@@ -41,7 +41,7 @@ STAGES = ("extract", "extract-cdc", "silver", "silver-cdc", "gold", "all")
 class Layout:
     root: str
     fmt: str = "parquet"
-    dataset: str = "wwi"
+    dataset: str = "sales"
 
     def path(self, layer: str, table: str, feed: str | None = None) -> str:
         return f"{self.root.rstrip('/')}/{layer}/{feed or self.dataset}/{table}"
