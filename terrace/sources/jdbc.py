@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from terrace.operators.cdc import CT_START_LSN, project_change_table
+from terrace.operators.ingest import snake_case
 from terrace.specs import INITIAL_LSN, TableSpec
 
 
@@ -36,6 +37,23 @@ def key_bounds(spark: SparkSession, url: str, table: str, column: str, propertie
     return int(row["lo"] or 0), int(row["hi"] or 0)
 
 
+def source_column(columns: list[str], normalized: str) -> str:
+    """The source-system name of a column the specs know by its snake_case name."""
+    for c in columns:
+        if c == normalized or snake_case(c) == normalized:
+            return c
+    raise KeyError(f"no source column normalises to {normalized!r} in {columns}")
+
+
+def since_watermark(df: DataFrame, spec: TableSpec, watermark: str | None) -> DataFrame:
+    """``df`` (source column names) restricted to cursor >= watermark; a literal
+    comparison on the raw column, so the JDBC source pushes it into its WHERE."""
+    if watermark is None:
+        return df
+    cursor = source_column(df.columns, spec.cursor)
+    return df.filter(F.col(cursor) >= F.lit(watermark).cast(df.schema[cursor].dataType))
+
+
 def read_incremental(
     spark: SparkSession,
     url: str,
@@ -43,12 +61,15 @@ def read_incremental(
     watermark: str | None,
     num_partitions: int = 64,
     properties: dict[str, str] | None = None,
+    source_key: str | None = None,
 ) -> DataFrame:
     """Rows of ``spec``'s source table with cursor at or past the watermark (all rows
-    on the first load), read in ``num_partitions`` key stripes."""
+    on the first load), read in ``num_partitions`` stripes of the numeric key
+    ``source_key`` (default: the source column that normalises to the first key
+    column, found from the table's schema - a metadata query, no rows)."""
     table = f"[{spec.source_schema}].[{spec.source_table}]"
     reader = _reader(spark, url, properties).option("dbtable", table)
-    source_key = spec.primary_key[0]
+    source_key = source_key or source_column(reader.load().columns, spec.primary_key[0])
     if num_partitions > 1:
         lo, hi = key_bounds(spark, url, table, source_key, properties)
         reader = (
@@ -57,10 +78,7 @@ def read_incremental(
             .option("upperBound", hi + 1)
             .option("numPartitions", num_partitions)
         )
-    df = reader.load()
-    if watermark is None:
-        return df
-    return df.filter(F.col(spec.cursor) >= F.lit(watermark).cast(df.schema[spec.cursor].dataType))
+    return since_watermark(reader.load(), spec, watermark)
 
 
 def read_change_table(

@@ -290,3 +290,16 @@ def test_publish_then_serve_search_and_get(spark, tmp_root):
     got = {r["doc_id"]: r for r in stages.serve_get(ctx, [first_id, -1]).collect()}
     assert got[first_id]["found"] and json.loads(got[first_id]["doc"])["order_line_id"] == first_id
     assert not got[-1]["found"]
+
+
+def test_jdbc_watermark_filter_uses_source_column_names(spark):
+    from terrace.sources import jdbc
+
+    spec = TableSpec("sales_orders", ("order_id",), source_schema="Sales", source_table="Orders")
+    df = spark.createDataFrame(
+        [(1, "2024-01-01 00:00:00"), (2, "2024-01-03 00:00:00")], "OrderID long, LastEditedWhen string"
+    ).withColumn("LastEditedWhen", F.col("LastEditedWhen").cast("timestamp"))
+    assert jdbc.source_column(df.columns, "last_edited_when") == "LastEditedWhen"
+    out = jdbc.since_watermark(df, spec, "2024-01-02 00:00:00")
+    assert [r["OrderID"] for r in out.collect()] == [2]
+    assert jdbc.since_watermark(df, spec, None).count() == 2
