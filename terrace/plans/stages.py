@@ -145,13 +145,26 @@ def extract_cdc(
         if spec.name not in change_tables:
             continue
         path = ctx.layout.path("bronze", spec.name, ctx.layout.cdc)
+        state_path = ctx.layout.state(f"{spec.name}_cdc")
         landed = ingest.prior_loads(lake.try_read_table(ctx.spark, path, ctx.layout.fmt), load_id)
         last = INITIAL_LSN
         if landed is not None:
-            last = landed.agg(F.max(CHANGE_LSN).alias("m")).first()["m"] or INITIAL_LSN
+            # Fixed-width hex: string order is LSN order. The recorded per-load maxima
+            # answer without scanning the feed; the feed itself is the fallback.
+            state = lake.try_read_table(ctx.spark, state_path)
+            source = ingest.prior_loads(state, load_id) if state is not None else landed
+            column = ingest.STATE_MAX_CURSOR if state is not None else CHANGE_LSN
+            last = source.agg(F.max(column).alias("m")).first()["m"] or INITIAL_LSN
         feed = cdc.project_change_table(change_tables[spec.name], last)
         feed = feed.withColumn(LOAD_ID, F.lit(load_id).cast("long"))
-        m = lake.overwrite_partitions(feed, path, (LOAD_ID,), ctx.layout.fmt, name=spec.name)
+        m = lake.overwrite_partitions(
+            feed, path, (LOAD_ID,), ctx.layout.fmt, name=spec.name,
+            observe={ingest.STATE_MAX_CURSOR: F.max(CHANGE_LSN)},
+        )
+        record = ctx.spark.createDataFrame(
+            [(m[ingest.STATE_MAX_CURSOR], load_id)], f"{ingest.STATE_MAX_CURSOR} string, {LOAD_ID} long"
+        )
+        lake.overwrite_partitions(record, state_path, (LOAD_ID,))
         events.append(ctx.emit("bronze cdc load written", **m, last_lsn=last, load_id=load_id))
     return events
 
