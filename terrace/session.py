@@ -25,6 +25,8 @@ DEFAULTS: dict[str, str] = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
     "spark.sql.parquet.compression.codec": "zstd",
+    # Checkpoint files are removed once nothing references them (set at start-up).
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
