@@ -2,19 +2,24 @@
 
 Queries are a DataFrame (one row per query), so a batch of searches is one job:
 
-* the index is ``postings(term, doc_id, tf, dl, *carried columns)``: one shuffle on
-  (term, doc) with map-side combining; the document length and the filter columns
-  ride along in every posting, so scoring needs no join back to the documents;
-* postings are partitioned by document; query terms join them on ``term`` as a
-  broadcast when a count bounds the query side (otherwise the planner decides and
-  adaptive execution splits a hot term across tasks), so the per-(query, document)
-  sum runs where the postings are;
-* filters are applied to postings before scoring; scores are summed per
-  (query, document); the top ``k`` per query comes from ``row_number() <= k``,
-  which Catalyst plans as a partial top-k before the shuffle.
+* the index is ``postings(term, doc_id, tf, dl, *carried columns)``: documents are
+  hash-partitioned by id once and their terms counted on that partitioning (no
+  second shuffle); the document length and the filter columns ride along in every
+  posting, so scoring needs no join back to the documents. Built lazily it is
+  materialised once (checkpoint), so statistics, frequencies, scores and totals
+  do not tokenise the corpus again;
+* only postings of words some query uses are read; the query side (word, qtf, df,
+  filter values) joins them on ``term`` as a broadcast when a count bounds it
+  (otherwise the planner decides and adaptive execution splits a hot term), so the
+  per-(query, document) sum runs where the postings are and the matched rows are
+  never shuffled;
+* filters are applied to postings before scoring; the top ``k`` per query comes
+  from ``row_number() <= k``, which Catalyst plans as a partial top-k before the
+  shuffle; totals are partial counts.
 
 Corpus statistics (document count, total length) are one aggregate row brought to
-the driver and used as literals. Ranking: BM25 with k1 = 1.2, b = 0.75 and
+the driver and used as literals. A written index (``write_index``) is partitioned
+by term bucket and sorted by term for single-request lookups. Ranking: BM25 with k1 = 1.2, b = 0.75 and
 idf = ln(1 + (N - df + 0.5) / (df + 0.5)); score rounded to 6 decimals; ties by
 document id ascending.
 """
