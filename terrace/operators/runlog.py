@@ -46,13 +46,17 @@ def json_metric(payload: Column, key: str, dtype: str = "bigint") -> Column:
 
 
 def run_metrics(events: DataFrame) -> DataFrame:
-    """Per (run, table): number of events, rows reported, first and last event time."""
-    return events.groupBy("correlation_id", "table").agg(
+    """Per (run, table): number of events, rows reported, first and last event time,
+    and (when events carry it) the latest destination written."""
+    aggs = [
         F.count(F.lit(1)).alias("events"),
         F.sum("rows").alias("rows"),
         F.min("ts").alias("first_ts"),
         F.max("ts").alias("last_ts"),
-    )
+    ]
+    if "destination" in events.columns:
+        aggs.append(F.max_by("destination", "ts").alias("destination"))
+    return events.groupBy("correlation_id", "table").agg(*aggs)
 
 
 def read_run_log(spark, path: str) -> DataFrame:

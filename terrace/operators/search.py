@@ -221,6 +221,8 @@ def search_text(
     q: str = "q",
 ) -> DataFrame:
     """Ranked OR-match of each query's terms: ``query_id, rank, doc_id, score, total``."""
+    if k < 1:
+        raise ValueError("k must be at least 1")
     queries, id_map = numeric_query_ids(queries, query_id)
     ranked = _search_text(index, queries, k, filters, query_id, q)
     if id_map is None:

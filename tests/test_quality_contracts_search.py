@@ -288,3 +288,5 @@ def test_parse_run_events_and_metrics(spark):
     assert first["extras"] == {"extra": "e"} and first["rows"] == 5
     m = {(r["correlation_id"], r["table"]): (r["events"], r["rows"]) for r in runlog.run_metrics(ev).collect()}
     assert m == {("abc", "t1"): (2, 12), ("def", "t2"): (1, 1)}
+    dest = {r["correlation_id"]: r["destination"] for r in runlog.run_metrics(ev).collect()}
+    assert dest == {"abc": "s3://b/t1", "def": None}
