@@ -55,7 +55,8 @@ def run_metrics(events: DataFrame) -> DataFrame:
         F.max("ts").alias("last_ts"),
     ]
     if "destination" in events.columns:
-        aggs.append(F.max_by("destination", "ts").alias("destination"))
+        named = F.when(F.col("destination").isNotNull(), F.col("ts"))  # NULL order: skipped
+        aggs.append(F.max_by(F.col("destination"), named).alias("destination"))
     return events.groupBy("correlation_id", "table").agg(*aggs)
 
 
