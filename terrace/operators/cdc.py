@@ -18,6 +18,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from terrace.functions.expressions import lsn_hex
 from terrace.operators.silver import _as_tuple, drop_bookkeeping, keep_first
 from terrace.specs import (
     CHANGE_COLUMNS,
@@ -35,11 +36,6 @@ CT_OPERATION = "__$operation"
 CT_PREFIX = "__$"
 
 
-def lsn_hex(col: Column) -> Column:
-    """Binary LSN as fixed-width upper-case hex; string order equals byte order."""
-    return F.lpad(F.hex(col), 20, "0")
-
-
 def business_columns(df: DataFrame) -> list[str]:
     """All columns not starting with the change-table prefix, in ordinal order."""
     return [c for c in df.columns if not c.startswith(CT_PREFIX)]

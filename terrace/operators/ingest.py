@@ -11,12 +11,12 @@ retried load recomputes the same rows from the loads before it.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from terrace.functions.expressions import snake_case
 from terrace.specs import LOAD_ID, ROW_ID, TableSpec
 
 _BOUNDARY_CURSOR = "__wm_cursor"
@@ -25,14 +25,6 @@ _BOUNDARY_CURSOR = "__wm_cursor"
 # -- ING3: column names -------------------------------------------------------------------
 
 
-def snake_case(name: str) -> str:
-    """``OrderID`` -> ``order_id``, ``LastEditedWhen`` -> ``last_edited_when``."""
-    s = re.sub(r"([A-Z]+)([A-Z][a-z])", r"\1_\2", name)
-    s = re.sub(r"([a-z0-9])([A-Z])", r"\1_\2", s)
-    s = re.sub(r"[^0-9A-Za-z]+", "_", s)
-    return re.sub(r"_+", "_", s).strip("_").lower()
-
-
 def normalize_names(df: DataFrame) -> DataFrame:
     """Rename every column to snake_case in one projection; fail on collisions."""
     mapping = {c: snake_case(c) for c in df.columns}

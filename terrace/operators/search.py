@@ -32,23 +32,18 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from terrace.functions.expressions import TOKEN_PATTERN, tokenize  # noqa: F401 - re-exported
 from terrace.session import materialize as materialize_df
 
 # The query side (one row per distinct word of each query) is broadcast when a count
 # shows it has at most this many rows; beyond it the joins are left to the planner.
 MAX_BROADCAST_QUERY_TERMS = 2_000_000
 
-# Analyzer pattern (letters and digits, lower-cased) and BM25 constants.
-TOKEN_PATTERN = r"[\p{L}\p{N}]+"
+# BM25 constants.
 K1 = 1.2
 B = 0.75
 
 
-def tokenize(text: Column) -> Column:
-    """Array of lower-case letter/digit tokens."""
-    return F.regexp_extract_all(F.lower(text), F.lit(TOKEN_PATTERN), 0)
-
-
 @dataclass(frozen=True)
 class Index:
     postings: DataFrame  # term, doc_id, tf, dl, *carry

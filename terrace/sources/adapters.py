@@ -19,8 +19,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from terrace.functions.expressions import lsn_hex
 from terrace.functions.parallel import spread
-from terrace.operators.cdc import CT_OPERATION, CT_SEQVAL, CT_START_LSN, lsn_hex
+from terrace.operators.cdc import CT_OPERATION, CT_SEQVAL, CT_START_LSN
 from terrace.specs import CHANGE_LSN, CHANGE_OPERATION, CHANGE_SEQVAL
 
 QTY = "decimal(10,0)"

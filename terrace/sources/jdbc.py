@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from terrace.operators.cdc import CT_START_LSN, project_change_table
-from terrace.operators.ingest import snake_case
+from terrace.functions.expressions import snake_case
 from terrace.specs import INITIAL_LSN, TableSpec
 
 
