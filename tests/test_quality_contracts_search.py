@@ -290,3 +290,42 @@ def test_parse_run_events_and_metrics(spark):
     assert m == {("abc", "t1"): (2, 12), ("def", "t2"): (1, 1)}
     dest = {r["correlation_id"]: r["destination"] for r in runlog.run_metrics(ev).collect()}
     assert dest == {"abc": "s3://b/t1", "def": None}
+
+
+@settings(max_examples=10, deadline=None)
+@given(
+    docs=st.lists(
+        st.tuples(st.integers(1, 4), st.floats(0, 100, allow_nan=False, width=32)),
+        min_size=1, max_size=30,
+    ),
+    min_total=st.one_of(st.none(), st.floats(0, 100, allow_nan=False, width=32)),
+    k=st.integers(1, 4),
+)
+def test_search_filtered_matches_brute_force(spark, docs, min_total, k):
+    rows = [(i, c, float(t)) for i, (c, t) in enumerate(docs)]
+    df = spark.createDataFrame(rows, "doc_id long, cust long, line_total double")
+    queries = spark.createDataFrame(
+        [(c, c, min_total) for c in range(1, 5)], "query_id long, customer_id long, min_total double"
+    )
+    out = search.search_filtered(
+        df, queries, "doc_id", ("customer_id", "cust"), filters=[("min_total", "gte", "line_total")], k=k
+    ).collect()
+    got = {}
+    for r in out:
+        got.setdefault(r["query_id"], []).append((r["rank"], r["doc_id"], r["total"]))
+    for c in range(1, 5):
+        match = sorted(i for i, cc, t in rows if cc == c and (min_total is None or t >= min_total))
+        if not match:
+            assert c not in got
+            continue
+        assert sorted(got[c]) == [(n + 1, d, len(match)) for n, d in enumerate(match[:k])]
+
+
+def test_quality_gate_freshness(spark):
+    df = spark.createDataFrame([(1, "2024-01-05 00:00:00")], "id int, ts string").withColumn(
+        "ts", F.col("ts").cast("timestamp_ntz")
+    )
+    fresh = quality.Rule("fresh", "freshness", "ts", threshold="2024-01-01 00:00:00")
+    stale = quality.Rule("stale", "freshness", "ts", threshold="2024-02-01 00:00:00")
+    rep = {r["rule"]: r["passed"] for r in quality.quality_report(df, [fresh, stale]).collect()}
+    assert rep == {"fresh": True, "stale": False}
