@@ -210,13 +210,23 @@ def numeric_query_ids(queries: DataFrame, query_id: str) -> tuple[DataFrame, Dat
 def search_text(
     index: Index,
     queries: DataFrame,
-    k: int = 10,
+    k: int | str = 10,
     filters: Sequence[tuple[str, str, str]] = (),
     query_id: str = "query_id",
     q: str = "q",
 ) -> DataFrame:
-    """Ranked OR-match of each query's terms: ``query_id, rank, doc_id, score, total``."""
-    if k < 1:
+    """Ranked OR-match of each query's terms: ``query_id, rank, doc_id, score, total``.
+
+    ``k`` is a number, or the name of a per-query limit column of ``queries`` (each
+    query keeps its own top-k; ranking uses the largest limit as a literal so the
+    partial top-k before the shuffle still applies).
+    """
+    if isinstance(k, str):
+        k_max = queries.agg(F.max(F.col(k)).alias("m"), F.min(F.col(k)).alias("lo")).first()
+        if k_max["lo"] is None or k_max["lo"] < 1:
+            raise ValueError("every query limit must be at least 1")
+        queries = queries.withColumn("__limit", F.col(k))
+    elif k < 1:
         raise ValueError("k must be at least 1")
     queries, id_map = numeric_query_ids(queries, query_id)
     ranked = _search_text(index, queries, k, filters, query_id, q)
@@ -229,7 +239,7 @@ def search_text(
 def _search_text(
     index: Index,
     queries: DataFrame,
-    k: int,
+    k: int | str,
     filters: Sequence[tuple[str, str, str]],
     query_id: str,
     q: str,
@@ -249,11 +259,20 @@ def _search_text(
     qside = qt.join(df, on="term", how="inner")
     if filters:
         qside = qside.join(_query_filter_cols(queries, query_id, filters), "query_id")
+    per_query_limit = "__limit" in queries.columns
+    if per_query_limit:
+        qside = qside.join(queries.select(F.col(query_id).alias("query_id"), "__limit"), "query_id")
     matched = _filter_postings(posts.join(bcast(qside), on="term", how="inner"), filters)
     w = bm25_weight(F.col("tf"), F.col("dl"), F.col("df"), index.doc_count, index.avgdl)
-    scored = matched.groupBy("query_id", "doc_id").agg(
-        F.round(F.sum(F.col("qtf") * w), 6).alias("score")
-    )
+    aggs = [F.round(F.sum(F.col("qtf") * w), 6).alias("score")]
+    if per_query_limit:
+        aggs.append(F.max("__limit").alias("__limit"))
+    scored = matched.groupBy("query_id", "doc_id").agg(*aggs)
+    if per_query_limit:
+        k_max = queries.agg(F.max("__limit")).first()[0]
+        ranked = rank(scored, k_max, [F.col("score").desc(), F.col("doc_id").asc()])
+        ranked = ranked.filter(F.col("rank") <= F.col("__limit"))
+        return ranked.select("query_id", "rank", "doc_id", "score", "total")
     ranked = rank(scored, k, [F.col("score").desc(), F.col("doc_id").asc()])
     return ranked.select("query_id", "rank", "doc_id", "score", "total")
 

@@ -329,3 +329,19 @@ def test_quality_gate_freshness(spark):
     stale = quality.Rule("stale", "freshness", "ts", threshold="2024-02-01 00:00:00")
     rep = {r["rule"]: r["passed"] for r in quality.quality_report(df, [fresh, stale]).collect()}
     assert rep == {"fresh": True, "stale": False}
+
+
+def test_search_per_query_limit_column(spark):
+    index = search.build_index(_docs(spark), "doc_id", "text", materialize=False)
+    queries = spark.createDataFrame(
+        [(1, "usb rocket", 1), (2, "usb rocket", 3)], "query_id long, q string, lim int"
+    )
+    out = search.search_text(index, queries, k="lim").collect()
+    got = {}
+    for r in out:
+        got.setdefault(r["query_id"], []).append(r["doc_id"])
+    full = [r["doc_id"] for r in sorted(search.search_text(index, queries.drop("lim"), k=10).collect(), key=lambda r: r["rank"]) if r["query_id"] == 2]
+    assert len(got[1]) == 1 and len(got[2]) == 3
+    assert got[1] == full[:1] and sorted(got[2]) == sorted(full[:3])
+    with pytest.raises(ValueError):
+        search.search_text(index, queries.withColumn("lim", F.lit(0)), k="lim")
