@@ -75,3 +75,18 @@ def test_search_sums_scores_without_shuffling_matched_rows(spark, large_input_pl
     # No exchange keyed by (query_id, doc_id): the sum runs on the document partitioning.
     assert "HashAggregate(keys=[query_id" in plan
     assert not re.search(r"hashpartitioning\(query_id#\d+L?, doc_id", plan)
+
+
+def test_spread_only_for_single_split_inputs(spark):
+    from terrace.functions.parallel import spread
+
+    one_split = spark.read.parquet(f"{SF001}/orders.parquet")
+    spread_df = spread(one_split.select("o_orderkey"), "o_orderkey", one_split, min_partitions=4)
+    assert "hashpartitioning(o_orderkey" in _plan(spread_df)
+    many = spark.range(0, 1000, numPartitions=8)
+    assert spread(many, "id", many, min_partitions=4) is many
+    spark.conf.set(MIN_PARTITIONS_CONF, "1")
+    try:
+        assert spread(one_split, "o_orderkey", one_split) is one_split
+    finally:
+        spark.conf.unset(MIN_PARTITIONS_CONF)
