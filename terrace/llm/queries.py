@@ -16,8 +16,26 @@ def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality verdict of every document from adaptive thresholds per language and source."""
+    from terrace.llm.quality import judge
+
+    return judge(table(spark, sf_dir, "documents"), "doc_id").select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"
+    )
+
+
+def op10_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate group of every document over 2-word shingles."""
+    from terrace.llm.near_dedup import near_duplicates
+
+    return near_duplicates(table(spark, sf_dir, "documents"), size=2)
+
+
 QUERIES = {
     "op1_mixing": op1_mixing,
+    "op5_quality": op5_quality,
+    "op10_near_dedup": op10_near_dedup,
 }
 
 ORACLES: dict[str, str] = {}
