@@ -41,9 +41,9 @@ SKETCH_K = 400  # rank error about 0.7 %
 # where most of a group has one value, such as no symbols at all.
 RATIOS: dict[str, tuple[str, float]] = {
     "symbol_ratio": ("n_symbols / word_chars", 0.02),
-    "dup_line_ratio": ("n_dup_lines / n_lines", 0.10),
-    "repeat_ratio": ("n_repeat_words / n_words", 0.05),
-    "long_word_ratio": ("word_chars / n_words", 1.0),
+    "dup_line_ratio": ("n_dup_lines / n_lines", 0.15),
+    "repeat_ratio": ("n_repeat_words / n_words", 0.07),
+    "long_word_ratio": ("word_chars / n_words", 1.5),
     "capital_ratio": ("n_capitals / word_chars", 0.05),
 }
 
