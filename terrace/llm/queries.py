@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from terrace.llm.common import table
 
@@ -16,6 +17,15 @@ def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every benchmark item found in every document, with its edit distance."""
+    from terrace.llm.decontaminate import matches
+
+    return matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).select(
+        "doc_id", "item_id", "edits", "item_chars"
+    )
+
+
 def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality verdict of every document from adaptive thresholds per language and source."""
     from terrace.llm.quality import judge
@@ -32,9 +42,28 @@ def op10_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), size=2)
 
 
+def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines removed from every document as cross-site boilerplate, and what remains."""
+    from terrace.llm.line_dedup import cleaned
+
+    return cleaned(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_lines", "n_removed", F.length("_text").cast("long").alias("n_chars"), F.md5("_text").alias("text_md5")
+    )
+
+
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity score of every document, learnt from the labels that are not held out."""
+    from terrace.llm.toxicity import score
+
+    return score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES = {
     "op1_mixing": op1_mixing,
+    "op4_decontaminate": op4_decontaminate,
     "op5_quality": op5_quality,
+    "op7_line_dedup": op7_line_dedup,
+    "op9_toxicity": op9_toxicity,
     "op10_near_dedup": op10_near_dedup,
 }
 
