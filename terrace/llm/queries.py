@@ -51,6 +51,13 @@ def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page under the wrapper inferred for its host."""
+    from terrace.llm.html_extraction import extract
+
+    return extract(table(spark, sf_dir, "pages"))
+
+
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity score of every document, learnt from the labels that are not held out."""
     from terrace.llm.toxicity import score
@@ -63,6 +70,7 @@ QUERIES = {
     "op4_decontaminate": op4_decontaminate,
     "op5_quality": op5_quality,
     "op7_line_dedup": op7_line_dedup,
+    "op8_html_extraction": op8_html_extraction,
     "op9_toxicity": op9_toxicity,
     "op10_near_dedup": op10_near_dedup,
 }
