@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from terrace.llm.common import table
 
+PII_KEY = "terrace-example-key"  # a deployment passes its own secret
+
 
 def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sainte-Laguë mix of all documents: words taken of every document."""
@@ -42,6 +44,15 @@ def op10_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), size=2)
 
 
+def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with its personal data exchanged for surrogates."""
+    from terrace.llm.pii import pseudonymised
+
+    return pseudonymised(table(spark, sf_dir, "documents"), PII_KEY).select(
+        "doc_id", F.col("_text").alias("text"), "n_mentions"
+    )
+
+
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines removed from every document as cross-site boilerplate, and what remains."""
     from terrace.llm.line_dedup import cleaned
@@ -69,6 +80,7 @@ QUERIES = {
     "op1_mixing": op1_mixing,
     "op4_decontaminate": op4_decontaminate,
     "op5_quality": op5_quality,
+    "op6_pii": op6_pii,
     "op7_line_dedup": op7_line_dedup,
     "op8_html_extraction": op8_html_extraction,
     "op9_toxicity": op9_toxicity,
