@@ -19,6 +19,58 @@ def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def tool_messages(conversations: DataFrame) -> DataFrame:
+    """Tool-call messages derived from a conversation: a user turn asks, the next turn answers.
+
+    A user turn becomes an assistant message with one call, the assistant turn after it the
+    result. Calls need the result of the call before them; every third one needs that of the
+    call after it instead. By the turn, some lack an argument or have one of a wrong type.
+    """
+    turn, before = F.col("turn"), F.concat(F.lit("$result:c"), F.col("turn") - 2)
+    needs = F.when(turn % 6 == 2, F.concat(F.lit("$result:c"), turn + 2)).when((turn >= 2) & (turn % 6 != 4), before)
+    arguments = F.struct(
+        F.col("text").alias("query"),
+        F.when(turn % 5 != 3, F.length("text")).alias("limit"),
+        F.when(turn % 7 == 6, F.length("text").cast("string")).alias("lang"),
+        needs.alias("after"),
+    )
+    name = F.get(F.array(F.lit("search"), F.lit("lookup"), F.lit("forecast")), F.length("text") % 3)
+    call = F.struct(F.concat(F.lit("c"), turn).alias("id"), name.alias("name"), F.to_json(arguments).alias("arguments"))
+    result = F.struct(F.concat(F.lit("c"), turn - 1).alias("tool_call_id"), F.col("text").alias("content"))
+    asked = conversations.filter("role = 'user'").select(
+        "conv_id", "turn", F.lit("assistant").alias("role"), F.to_json(F.struct(F.array(call).alias("tool_calls"))).alias("text")
+    )
+    answered = conversations.filter("role = 'assistant'").select(
+        "conv_id", "turn", F.lit("tool").alias("role"), F.to_json(result).alias("text")
+    )
+    return asked.union(answered)
+
+
+def op2_tool_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tool calls of all conversations linked, ordered, validated and serialised."""
+    from terrace.llm.tool_calls import format_calls
+
+    schemas = spark.sql(
+        "select * from values ('search', 'query', 'string', true), ('search', 'limit', 'integer', true),"
+        " ('search', 'after', 'string', false), ('lookup', 'query', 'string', true), ('lookup', 'after', 'string', false),"
+        " ('lookup', 'limit', 'number', false), ('lookup', 'lang', 'integer', false)"
+        " as schemas(name, parameter, type, required)"
+    )
+    out = format_calls(tool_messages(table(spark, sf_dir, "conversations")), schemas)
+    return out.withColumn("errors", F.array_join("errors", ",")).drop("unknown")
+
+
+def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every secret candidate of every document with the forest's verdict; values as hashes."""
+    from terrace.llm.secret_scan import scan
+
+    found = scan(table(spark, sf_dir, "documents"), path=F.concat_ws("/", "source", "lang"))
+    return found.select(
+        "doc_id", "place", "part", F.sha2("value", 256).alias("value_sha256"), "length", "transitions", "coverage",
+        "probability", "is_secret",
+    )
+
+
 def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every benchmark item found in every document, with its edit distance."""
     from terrace.llm.decontaminate import matches
@@ -78,6 +130,8 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_mixing": op1_mixing,
+    "op2_tool_calls": op2_tool_calls,
+    "op3_secret_scan": op3_secret_scan,
     "op4_decontaminate": op4_decontaminate,
     "op5_quality": op5_quality,
     "op6_pii": op6_pii,
