@@ -97,10 +97,10 @@ def shingles(raw: np.ndarray, off: np.ndarray, size: int) -> tuple[np.ndarray, n
         if count >= size:
             sets.append(np.unique(runs[at : end - size + 1]))
         elif count:
-            whole = np.uint64(count)
+            whole = np.array([count], np.uint64)
             for h in w[at:end]:
-                whole = mix64(np.array([whole * np.uint64(3) + h]))[0]
-            sets.append(np.array([whole], np.uint64))
+                whole = mix64(whole * np.uint64(3) + h)
+            sets.append(whole)
         else:
             sets.append(np.empty(0, np.uint64))
         at = end
