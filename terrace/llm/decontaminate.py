@@ -45,6 +45,8 @@ PART_CHARS = 4_000_000
 
 def normal(texts: list[str | None]) -> list[str]:
     """The compared form of many texts, handled as one array of code points."""
+    if not texts:
+        return []
     joined = "\0".join((t or "").replace("\0", " ") for t in texts).lower()
     codes = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), np.uint32)
     kind = KIND[np.minimum(codes, 0xFFFF)]
