@@ -125,7 +125,8 @@ def features(codes: np.ndarray) -> np.ndarray:
     for triple, weight in zip(TRIPLES, WEIGHTS, strict=True):
         live = codes[:, triple[2]] != 0
         np.add.at(out, (places(codes, triple)[live], rows[live]), np.float32(weight))
-    return out / norms(codes).astype(np.float32)
+    out /= norms(codes).astype(np.float32)
+    return out
 
 
 def train_svm(

@@ -49,7 +49,7 @@ WORDS_PER_GRAM = 60
 NEGATIVES = 15_000
 MINED = 3_000
 ROUNDS = 2
-LANDMARKS = 256
+LANDMARKS = 192
 EVIDENCE = 7.0  # least log-likelihood gain of a gram over texts nothing else explains
 PURITY = 0.8  # least share of toxic texts among those a gram is in, were both classes alike in number
 THRESHOLD = 0.7
