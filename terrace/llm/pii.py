@@ -226,7 +226,9 @@ def pseudonymised(docs: DataFrame, key: str) -> DataFrame:
         .groupBy("doc_id", "version").agg(F.array_sort(F.collect_list(F.struct("place", "new"))).alias("news"))
     )
     rows = packed(docs, doc_id=F.col("doc_id"), text=F.col("text"))
-    p = staged(per_text, "pii-replacements").alias("p")
+    # Shuffled by hash at every size: a plan that broadcasts small lists would turn into another
+    # one, with other needs, as the corpus grows.
+    p = staged(per_text, "pii-replacements").hint("shuffle_hash").alias("p")
     d = rows.filter(_holds(F.col("text"))).withColumn("version", F.xxhash64("text")).alias("d")
     joined = d.join(p, F.col("d.doc_id").eqNullSafe(F.col("p.doc_id")) & (F.col("d.version") == F.col("p.version")))
     text = F.array_join(
