@@ -7,7 +7,8 @@
     python -m terrace publish --root <lake>
     python -m terrace search --root <lake> --q "red plate" --customer-id 7 --min-total 100 --limit 5
     python -m terrace get --root <lake> --ids 501 502
-    python -m terrace inspect --root <lake> --layer gold
+    python -m terrace inspect|accept|compare --root <lake> --layer gold
+    python -m terrace verify --root <lake> --sf-dir <benchmark dir>
 
 ``--root`` defaults to a folder under the session's ``spark.checkpoint.dir``.
 Prints one JSON line per emitted event.
@@ -20,13 +21,15 @@ import datetime as dt
 import json
 import sys
 
+from terrace.operators import gold
 from terrace.plans import stages
+from terrace.sources import adapters
 from terrace.session import build_session, work_dir
 
 
 def main(argv: list[str] | None = None) -> int:
     parser = argparse.ArgumentParser(prog="terrace")
-    parser.add_argument("stage", choices=[*stages.STAGES, "backfill", "publish", "search", "get", "inspect"])
+    parser.add_argument("stage", choices=[*stages.STAGES, "backfill", "publish", "search", "get", "inspect", "verify", "accept", "compare"])
     parser.add_argument("--q")
     parser.add_argument("--customer-id", type=int)
     parser.add_argument("--min-total", type=float)
@@ -45,7 +48,10 @@ def main(argv: list[str] | None = None) -> int:
     spark = build_session(master=args.master)
     try:
         root = args.root or work_dir(spark, "lake", unique=False)
-        ctx = stages.RunContext.start(spark, stages.Layout(root, args.fmt))
+        # The benchmark tables stand in for the source system, with their own tie-breakers.
+        ctx = stages.RunContext.start(
+            spark, stages.Layout(root, args.fmt), specs=adapters.SPECS, feed_specs=adapters.FEED_SPECS
+        )
         if args.stage == "search":
             total, rows = stages.serve_search(ctx, args.q, args.customer_id, args.min_total, args.limit)
             print(json.dumps({"total": total, "results": [json.loads(r["doc"]) for r in rows.collect()]}))
@@ -55,28 +61,36 @@ def main(argv: list[str] | None = None) -> int:
                 print(json.dumps({"id": r["doc_id"], "found": r["found"], "doc": json.loads(r["doc"]) if r["doc"] else None}))
             return 0
         if args.stage == "inspect":
-            profile, samples = stages.inspect(ctx, args.layer)
-            for r in profile.collect():
-                print(json.dumps(r.asDict(), default=str))
-            for r in samples.collect():
-                print(json.dumps(r.asDict(), default=str))
+            print(json.dumps(stages.inspection(ctx, args.layer), default=str))
+            return 0
+        if args.stage == "verify":
+            sources = adapters.landing_sources(spark, args.sf_dir, None) if args.sf_dir else None
+            for r in stages.verify(ctx, sources).collect():
+                print(json.dumps(r.asDict()))
+            return 0
+        if args.stage in ("accept", "compare"):
+            if args.stage == "accept":
+                stages.accept_baseline(ctx, args.layer)
+                return 0
+            for r in stages.compare_baseline(ctx, args.layer).collect():
+                print(json.dumps(r.asDict()))
             return 0
         if args.stage == "publish":
-            events = stages.publish_documents(ctx)
+            events = [e for mart in gold.MARTS for e in stages.publish_documents(ctx, mart)]
+            stages.record_run(ctx, events)
         elif args.stage == "backfill":
             if not (args.start and args.end):
                 parser.error("backfill needs --start and --end")
             events = stages.backfill_gold(ctx, args.start, args.end)
+            stages.record_run(ctx, events)
         elif args.stage in ("extract", "extract-cdc"):
             if not (args.sf_dir and args.load_id is not None):
                 parser.error(f"{args.stage} needs --sf-dir and --load-id")
-            from terrace.sources import adapters
-
             if args.stage == "extract":
                 sources = adapters.landing_sources(spark, args.sf_dir, None)
                 events = stages.run(ctx, "extract", sources=sources, load_id=args.load_id)
             else:
-                tables = {"sales_orders": adapters.change_table(spark, args.sf_dir)}
+                tables = {adapters.FEED_SPECS[0].name: adapters.change_table(spark, args.sf_dir)}
                 events = stages.run(ctx, "extract-cdc", change_tables=tables, load_id=args.load_id)
         else:
             events = stages.run(ctx, args.stage)

@@ -1,7 +1,7 @@
 """Slowly changing dimension, type 2: every version of a key with its validity range.
 
 ``valid_to`` of a version is the cursor of the key's next version (NULL for the
-current one). A per-key window (``lead() over (partition by key)``) would put all
+current one, which is the one that no version follows, whatever the cursors). A per-key window (``lead() over (partition by key)``) would put all
 versions of a key in one task, so a key holding a third of the table would be one
 task's work. Instead rows are range-partitioned on (key, cursor, tiebreakers): the
 sampled bounds can fall inside a hot key, splitting it over many tasks. ``lead`` then
@@ -60,10 +60,11 @@ def scd2_history(
     )
     joined = with_next.join(F.broadcast(successor), on=_P, how="left")
     nxt = F.coalesce(F.col("__next"), F.col("__succ"))
-    valid_to = F.when(_same_key(nxt, key), nxt[cursor])
+    followed = _same_key(nxt, key)
+    valid_to = F.when(followed, nxt[cursor])
     return joined.select(
         *[F.col(c) for c in df.columns],
         F.col(cursor).alias("valid_from"),
         valid_to.alias("valid_to"),
-        valid_to.isNull().alias("is_current"),
+        (~followed).alias("is_current"),
     )

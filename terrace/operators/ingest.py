@@ -65,62 +65,44 @@ def prior_loads(bronze: DataFrame | None, current_load_id: int | None) -> DataFr
 STATE_MAX_CURSOR = "max_cursor"
 
 
-def high_watermark(
-    bronze: DataFrame | None,
-    cursor: str,
-    current_load_id: int | None = None,
-    state: DataFrame | None = None,
-) -> str | None:
-    """Max cursor over earlier loads, as its exact string form; None = first load.
+def state_covers(state: DataFrame | None, landed: set[int], current_load_id: int | None) -> bool:
+    """Whether the state has a row for every load that landed before this one.
 
-    With ``state`` (``_load_id, max_cursor`` recorded by every load) the answer comes
-    from that small table. Without it, Bronze's cursor column is aggregated. Either
-    way one aggregate row comes back to the driver: the state of the load, not data.
+    A job that dies between its Bronze write and its state write leaves a load without a
+    row; the state would then answer with an older watermark and the load would land twice.
+    ``landed`` comes from a folder listing; the missing loads are counted in one small job.
     """
-    if state is not None and bronze is not None:
-        wm, _ = state_watermark(state, bronze, cursor, current_load_id)
-        if wm is not None:
-            return wm
-    prior = prior_loads(bronze, current_load_id)
-    if prior is None:
-        return None
-    row = prior.agg(F.max(F.col(cursor)).cast("string").alias("wm")).first()
-    return None if row is None else row["wm"]
-
-
-def state_watermark(
-    state: DataFrame, bronze: DataFrame, cursor: str, current_load_id: int | None
-) -> tuple[str | None, list[int]]:
-    """Watermark and the loads that can hold rows at it, from the per-load state
-    (one row per load, so collecting it is bounded by the number of loads).
-
-    Values are compared in the cursor's own type (string order is wrong for
-    numbers); the watermark is returned in its exact string form. A load whose max
-    equals the watermark is the only kind that can hold boundary rows: no earlier
-    load's max exceeds it."""
-    dtype = bronze.schema[cursor].dataType
-    rows = (
-        prior_loads(state, current_load_id)
-        .filter(F.col(STATE_MAX_CURSOR).isNotNull())
-        .select(LOAD_ID, F.col(STATE_MAX_CURSOR).cast(dtype).alias("m"), STATE_MAX_CURSOR)
-        .collect()
-    )
-    if not rows:
-        return None, []
-    top = max(r["m"] for r in rows)
-    at_top = [r for r in rows if r["m"] == top]
-    # Recorded as ``cast(max(cursor) as string)`` of this same type: already canonical.
-    return at_top[0][STATE_MAX_CURSOR], sorted({int(r[LOAD_ID]) for r in at_top})
-
-
-def boundary_loads(
-    state: DataFrame | None, bronze: DataFrame, cursor: str, watermark: str, current_load_id: int | None
-) -> list[int] | None:
-    """Load ids that can hold rows at the watermark, or None without state."""
+    earlier = [i for i in landed if current_load_id is None or i < current_load_id]
+    if not earlier:
+        return True
     if state is None:
-        return None
-    wm, loads = state_watermark(state, bronze, cursor, current_load_id)
-    return loads if wm == watermark else None
+        return False
+    return state.filter(F.col(LOAD_ID).isin(earlier)).select(LOAD_ID).distinct().count() == len(earlier)
+
+
+def high_watermark(
+    bronze: DataFrame | None, cursor: str, current_load_id: int | None = None, state: DataFrame | None = None
+) -> tuple[str | None, list[int] | None]:
+    """(max cursor over earlier loads in its exact string form, loads that can hold rows at it).
+
+    With ``state`` (one row per load) the answer is one aggregate over that small table, and
+    only a load whose own maximum is the watermark can hold rows at it. Without, Bronze's
+    cursor column is aggregated and the loads are unknown (None). No earlier load: (None, None).
+    Values are compared in the cursor's own type, as string order is wrong for numbers.
+    """
+    if bronze is None:
+        return None, None
+    if state is not None:
+        maxima = prior_loads(state, current_load_id).filter(F.col(STATE_MAX_CURSOR).isNotNull()).select(
+            LOAD_ID, F.col(STATE_MAX_CURSOR).cast(bronze.schema[cursor].dataType).alias("m"), STATE_MAX_CURSOR
+        )
+        top = maxima.agg(F.max("m").alias("m"), F.max_by(STATE_MAX_CURSOR, "m").alias("wm")).first()
+        if top["wm"] is None:
+            return None, None
+        at_top = maxima.filter(F.col("m") == F.lit(top["wm"]).cast(bronze.schema[cursor].dataType))
+        return top["wm"], sorted(r[LOAD_ID] for r in at_top.select(LOAD_ID).collect())
+    row = prior_loads(bronze, current_load_id).agg(F.max(F.col(cursor)).cast("string").alias("wm")).first()
+    return row["wm"], None
 
 
 def _typed(df: DataFrame, column: str, value: str) -> Column:
@@ -130,6 +112,13 @@ def _typed(df: DataFrame, column: str, value: str) -> Column:
 # -- ING2 / JOI3: rows to append ----------------------------------------------------------------
 
 
+class NullCursorError(ValueError):
+    """A source row has no cursor, so it cannot be placed before or after a watermark."""
+
+
+NULL_CURSOR_RULES = ("include", "fail")
+
+
 def new_rows(
     source: DataFrame,
     bronze: DataFrame | None,
@@ -137,31 +126,45 @@ def new_rows(
     watermark: str | None,
     current_load_id: int | None = None,
     loads: list[int] | None = None,
+    on_null_cursor: str = "fail",
 ) -> DataFrame:
     """Source rows to append: cursor >= watermark, minus boundary rows already landed.
 
     The cursor predicate reaches the source scan (Parquet or JDBC pushdown). The
     boundary set is Bronze rows with ``cursor = watermark``; the anti-join is on
     (key, cursor), and the join strategy is left to adaptive execution.
+
+    Rows without a cursor are never dropped in silence: ``fail`` raises when there are any
+    after the first load, ``include`` appends those whose key has no landed row without a
+    cursor yet. They are read by a second, pushed-down IS NULL scan, which a source that
+    declares the cursor NOT NULL does not even plan.
     """
+    if on_null_cursor not in NULL_CURSOR_RULES:
+        raise ValueError(f"on_null_cursor must be one of {NULL_CURSOR_RULES}, not {on_null_cursor!r}")
     if watermark is None:
         return source
     wm = _typed(source, spec.cursor, watermark)
     candidates = source.filter(F.col(spec.cursor) >= wm)
+    without = source.filter(F.col(spec.cursor).isNull())
+    if on_null_cursor == "fail" and source.schema[spec.cursor].nullable and not without.isEmpty():
+        raise NullCursorError(f"{spec.name}: rows without {spec.cursor}; load them with on_null_cursor='include'")
     prior = prior_loads(bronze, current_load_id)
     if prior is None:
-        return candidates
+        return candidates if on_null_cursor == "fail" else candidates.unionByName(without)
+    unplaced = prior.filter(F.col(spec.cursor).isNull())
     if loads is not None and LOAD_ID in prior.columns:
         prior = prior.filter(F.col(LOAD_ID).isin(loads))  # partition pruning
     # Boundary columns are renamed so the join never depends on lineage-based column
     # resolution (Bronze and source may derive from the same scan).
+    keys = [F.col(k).alias(f"__b_{k}") for k in spec.primary_key]
     boundary = prior.filter(F.col(spec.cursor) == _typed(prior, spec.cursor, watermark)).select(
-        *[F.col(k).alias(f"__b_{k}") for k in spec.primary_key],
-        F.col(spec.cursor).alias(_BOUNDARY_CURSOR),
+        *keys, F.col(spec.cursor).alias(_BOUNDARY_CURSOR)
     )
-    cond = [F.col(k) == F.col(f"__b_{k}") for k in spec.primary_key]
-    cond.append(F.col(spec.cursor) == F.col(_BOUNDARY_CURSOR))
-    return candidates.join(boundary, on=cond, how="left_anti")
+    same_key = [F.col(k).eqNullSafe(F.col(f"__b_{k}")) for k in spec.primary_key]
+    fresh = candidates.join(boundary, [*same_key, F.col(spec.cursor) == F.col(_BOUNDARY_CURSOR)], "left_anti")
+    if on_null_cursor == "fail":
+        return fresh
+    return fresh.unionByName(without.join(unplaced.select(*keys), same_key, "left_anti"))
 
 
 def incremental_batch(
@@ -170,16 +173,19 @@ def incremental_batch(
     spec: TableSpec,
     load_id: int,
     state: DataFrame | None = None,
+    on_null_cursor: str = "fail",
 ) -> DataFrame:
     """The rows a load appends, with load metadata, ready to write."""
-    loads = None
-    if state is not None and bronze is not None:
-        wm, loads = state_watermark(state, bronze, spec.cursor, load_id)
-        if wm is None:
-            wm, loads = high_watermark(bronze, spec.cursor, load_id), None
+    wm, loads = high_watermark(bronze, spec.cursor, load_id, state)
+    if wm is None and bronze is not None and on_null_cursor == "include":
+        # Earlier loads landed rows without a cursor only: nothing to compare with but keys.
+        landed = prior_loads(bronze, load_id).select(*[F.col(k).alias(f"__b_{k}") for k in spec.primary_key])
+        same = [F.col(k).eqNullSafe(F.col(f"__b_{k}")) for k in spec.primary_key]
+        placed = source.filter(F.col(spec.cursor).isNotNull())
+        rows = placed.unionByName(source.filter(F.col(spec.cursor).isNull()).join(landed, same, "left_anti"))
     else:
-        wm = high_watermark(bronze, spec.cursor, load_id)
-    return with_load_metadata(new_rows(source, bronze, spec, wm, load_id, loads), spec, load_id)
+        rows = new_rows(source, bronze, spec, wm, load_id, loads, on_null_cursor)
+    return with_load_metadata(rows, spec, load_id)
 
 
 def max_cursor(spec: TableSpec):

@@ -1,27 +1,23 @@
-"""Full-text search as Spark jobs: inverted index, BM25 ranking, filters, top-k, lookup.
+"""Full-text search as Spark jobs: BM25 ranking, filters, top-k, lookup, facets.
 
 Queries are a DataFrame (one row per query), so a batch of searches is one job:
 
-* the index is ``postings(term, doc_id, tf, dl, *carried columns)``: documents are
-  hash-partitioned by id once and their terms counted on that partitioning (no
-  second shuffle); the document length and the filter columns ride along in every
-  posting, so scoring needs no join back to the documents. Built lazily it is
-  materialised once (checkpoint), so statistics, frequencies, scores and totals
-  do not tokenise the corpus again;
-* only postings of words some query uses are read; the query side (word, qtf, df,
-  filter values) joins them on ``term`` as a broadcast when a count bounds it
-  (otherwise the planner decides and adaptive execution splits a hot term), so the
-  per-(query, document) sum runs where the postings are and the matched rows are
-  never shuffled;
+* documents are tokenised where they are scanned, and only tokens that some query uses (a
+  semi-join with the query words) go on; corpus text is never shuffled or stored. Corpus
+  statistics (documents, words) are one aggregate row of the same scan;
+* where many documents share few texts (``search_texts``), distinct texts are scored, each
+  with its number of documents and its k smallest ids; totals add the numbers up and the
+  ranking expands the best texts;
+* the join of postings and query words carries no hint: adaptive execution broadcasts the
+  smaller side by its measured bytes, or splits a hot word;
 * filters are applied to postings before scoring; the top ``k`` per query comes
   from ``row_number() <= k``, which Catalyst plans as a partial top-k before the
   shuffle; totals are partial counts.
 
-Corpus statistics (document count, total length) are one aggregate row brought to
-the driver and used as literals. A written index (``write_index``) is partitioned
-by term bucket and sorted by term for single-request lookups. Ranking: BM25 with k1 = 1.2, b = 0.75 and
-idf = ln(1 + (N - df + 0.5) / (df + 0.5)); score rounded to 6 decimals; ties by
-document id ascending.
+``write_postings`` keeps the postings as an ordinary table, range-clustered by (term, doc_id),
+for single requests: a term is a pushed-down predicate that skips row groups. Ranking: BM25
+with k1 = 1.2, b = 0.75 and idf = ln(1 + (N - df + 0.5) / (df + 0.5)); score rounded to 6
+decimals; ties by document id ascending.
 """
 
 from __future__ import annotations
@@ -29,15 +25,10 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from terrace.functions.expressions import TOKEN_PATTERN, tokenize  # noqa: F401 - re-exported
-from terrace.session import materialize as materialize_df
-
-# The query side (one row per distinct word of each query) is broadcast when a count
-# shows it has at most this many rows; beyond it the joins are left to the planner.
-MAX_BROADCAST_QUERY_TERMS = 2_000_000
 
 # BM25 constants.
 K1 = 1.2
@@ -46,98 +37,62 @@ B = 0.75
 
 @dataclass(frozen=True)
 class Index:
-    postings: DataFrame  # term, doc_id, tf, dl, *carry
+    """Written postings (term, doc_id, tf, dl), document frequencies and corpus statistics."""
+
+    postings: DataFrame
+    terms: DataFrame
     doc_count: int
     total_length: int
-    terms: DataFrame | None = None  # term, df (stored with a written index)
 
-    @property
-    def avgdl(self) -> float:
-        return self.total_length / self.doc_count if self.doc_count else 0.0
 
-    def doc_freq(self, postings: DataFrame | None = None) -> DataFrame:
-        """``(term, df)``: the stored term table, else counted from ``postings``
-        (partial aggregation per task, so a frequent term is not one task's work)."""
-        if self.terms is not None:
-            return self.terms
-        return (postings if postings is not None else self.postings).groupBy("term").agg(
-            F.count("tf").alias("df")
-        )
+def _tokenised(docs: DataFrame, id_col: str, text_col: str, carry: Sequence[str] = ()) -> DataFrame:
+    toks = docs.select(F.col(id_col).alias("doc_id"), *carry, tokenize(F.col(text_col)).alias("__toks"))
+    return toks.withColumn("dl", F.coalesce(F.size("__toks"), F.lit(0)))
+
+
+def _stats(tokenised: DataFrame, weight: Column | None = None) -> tuple[int, int]:
+    """(documents, words) of a tokenised corpus: one row from a map-side aggregate."""
+    w = F.lit(1) if weight is None else weight
+    row = tokenised.agg(F.coalesce(F.sum(w), F.lit(0)).alias("n"), F.coalesce(F.sum(w * F.col("dl")), F.lit(0)).alias("t")).first()
+    return int(row["n"]), int(row["t"])
+
 
+def _postings(tokenised: DataFrame, words: DataFrame | None, keep: Sequence[str] = ()) -> DataFrame:
+    """``term, doc_id, tf, dl, *keep``; with ``words`` only of those terms."""
+    each = tokenised.select("doc_id", "dl", *keep, F.explode("__toks").alias("term"))
+    if words is not None:
+        each = each.join(words, "term", "left_semi")
+    return each.groupBy("doc_id", "term", "dl", *keep).agg(F.count(F.lit(1)).alias("tf"))
 
-def term_bucket(term: Column, buckets: int) -> Column:
-    return F.pmod(F.xxhash64(term), F.lit(buckets)).cast("int")
 
+def write_postings(docs: DataFrame, id_col: str, text_col: str, path: str) -> None:
+    """Write postings, document frequencies and corpus statistics under ``path``.
 
-def write_index(index: Index, path: str, buckets: int = 64) -> None:
-    """Persist postings partitioned by term bucket (sorted by term inside each file,
-    so a term lookup reads few row groups), the term table, and the corpus stats."""
-    spark = index.postings.sparkSession
-    posts = index.postings.withColumn("bucket", term_bucket(F.col("term"), buckets))
+    Postings are range-partitioned by (term, doc_id), so a frequent word is spread over as
+    many files as its postings need, and sorted inside each file.
+    """
+    spark = docs.sparkSession
+    tokenised = _tokenised(docs, id_col, text_col)
     (
-        posts.repartition("bucket").sortWithinPartitions("term", "doc_id")
-        .write.mode("overwrite").partitionBy("bucket").parquet(f"{path}/postings")
+        _postings(tokenised, None).select("term", "doc_id", "tf", "dl")
+        .repartitionByRange("term", "doc_id").sortWithinPartitions("term", "doc_id")
+        .write.mode("overwrite").parquet(f"{path}/postings")
+    )
+    written = spark.read.parquet(f"{path}/postings")
+    frequencies = written.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
+    frequencies.repartitionByRange("term").sortWithinPartitions("term").write.mode("overwrite").parquet(f"{path}/terms")
+    spark.createDataFrame([_stats(tokenised)], "doc_count long, total_length long").write.mode("overwrite").parquet(
+        f"{path}/stats"
     )
-    index.doc_freq().write.mode("overwrite").parquet(f"{path}/terms")
-    spark.createDataFrame(
-        [(index.doc_count, index.total_length, buckets)], "doc_count long, total_length long, buckets int"
-    ).write.mode("overwrite").parquet(f"{path}/stats")
 
 
-def read_index(spark, path: str) -> Index:
+def read_postings(spark: SparkSession, path: str) -> Index:
     stats = spark.read.parquet(f"{path}/stats").first()
     return Index(
-        spark.read.parquet(f"{path}/postings"),
-        int(stats["doc_count"]),
-        int(stats["total_length"]),
-        spark.read.parquet(f"{path}/terms"),
+        spark.read.parquet(f"{path}/postings"), spark.read.parquet(f"{path}/terms"), stats["doc_count"], stats["total_length"]
     )
 
 
-def build_postings(docs: DataFrame, id_col: str, text_col: str, carry: Sequence[str] = ()) -> DataFrame:
-    """``term, doc_id, tf, dl, *carry`` for every (term, document) pair.
-
-    Documents are hash-partitioned by id before tokenising, and the term counts are
-    grouped by (doc_id, term): that grouping is already satisfied by the id
-    partitioning, so the postings come out partitioned by document with no second
-    shuffle. Scoring later sums per (query, document) on the same partitioning, so
-    the matched (query, term, document) rows - many more than the postings - are
-    never shuffled.
-    """
-    by_doc = docs.repartition(F.col(id_col))
-    toks = by_doc.select(
-        F.col(id_col).alias("doc_id"), *carry, tokenize(F.col(text_col)).alias("__toks")
-    ).withColumn("dl", F.size("__toks"))
-    # explode_outer keeps a document without tokens as one row with a NULL term
-    # (tf 0), so the document count can be taken from the postings; NULL terms
-    # never match a query word.
-    exploded = toks.select("doc_id", "dl", *carry, F.explode_outer("__toks").alias("term"))
-    return exploded.groupBy("doc_id", "term", "dl", *carry).agg(F.count("term").alias("tf"))
-
-
-def build_index(
-    docs: DataFrame, id_col: str, text_col: str, carry: Sequence[str] = (), materialize: bool = True
-) -> Index:
-    """Postings plus corpus statistics.
-
-    With ``materialize`` the postings are computed once and checkpointed (reliable
-    checkpoint in the shared folder, document partitioning kept): statistics,
-    document frequencies, scoring and totals all read them instead of tokenising
-    the corpus again. The statistics (document count, total length) are one
-    aggregate row over the postings.
-    """
-    postings = build_postings(docs, id_col, text_col, carry)
-    if materialize:
-        postings = materialize_df(postings)
-    # One row per document (grouping on the partitioning key: no shuffle), then two sums.
-    stats = (
-        postings.groupBy("doc_id").agg(F.sum("tf").alias("dl"))
-        .agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum("dl"), F.lit(0)).alias("total"))
-        .first()
-    )
-    return Index(postings, int(stats["n"]), int(stats["total"]))
-
-
 def query_terms(queries: DataFrame, query_id: str = "query_id", q: str = "q") -> DataFrame:
     """``query_id, term, qtf``: analysed query text; a repeated word counts twice."""
     return (
@@ -147,9 +102,10 @@ def query_terms(queries: DataFrame, query_id: str = "query_id", q: str = "q") ->
     )
 
 
-def bm25_weight(tf: Column, dl: Column, df: Column, n: int, avgdl: float) -> Column:
-    """BM25 weight of one (term, document) posting; a query multiplies it by the
-    number of times it repeats the term."""
+def bm25_weight(tf: Column, dl: Column, df: Column, n: int, total: int) -> Column:
+    """BM25 weight of one (term, document) posting in a corpus of ``n`` documents with
+    ``total`` words; a query multiplies it by the number of times it repeats the term."""
+    avgdl = total / n if n else 0.0
     idf = F.log(F.lit(1.0) + (F.lit(n) - df + F.lit(0.5)) / (df + F.lit(0.5)))
     norm = tf + F.lit(K1) * (F.lit(1.0) - F.lit(B) + F.lit(B) * dl / F.lit(avgdl))
     return idf * (tf * F.lit(K1 + 1.0)) / norm
@@ -185,31 +141,19 @@ def rank(scored: DataFrame, k: int | str, order: Sequence[Column]) -> DataFrame:
     return top.join(totals, on="query_id", how="inner")
 
 
-_INTEGRAL = ("tinyint", "smallint", "int", "bigint")
-
-
-def numeric_query_ids(queries: DataFrame, query_id: str) -> tuple[DataFrame, DataFrame | None]:
-    """Queries keyed by a 64-bit number for the heavy aggregation and window.
-
-    Integral ids are used as they are. Other ids are replaced by their xxhash64 once
-    a check over the (distinct) query ids shows no two share a hash; the returned
-    mapping restores the original id on the top-k rows. If hashes collide the
-    original ids are kept, so results never depend on luck.
-    """
-    if dict(queries.dtypes)[query_id] in _INTEGRAL:
-        return queries, None
-    ids = queries.select(F.col(query_id).alias("__orig")).distinct()
-    ids = ids.withColumn("__num", F.xxhash64("__orig"))
-    check = ids.agg(F.count(F.lit(1)).alias("n"), F.count_distinct("__num").alias("h")).first()
-    if check["n"] != check["h"]:
-        return queries, None
-    keyed = queries.withColumn(query_id, F.xxhash64(F.col(query_id)))
-    return keyed, ids
+def _scored(posts: DataFrame, qside: DataFrame, n: int, total: int, filters=(), keep: Sequence[str] = ()) -> DataFrame:
+    """``query_id, doc_id, score, *keep`` of every match; ``qside`` has query_id, term, qtf, df
+    and filter values."""
+    matched = _filter_postings(posts.join(qside, "term"), filters)
+    w = bm25_weight(F.col("tf"), F.col("dl"), F.col("df"), n, total)
+    return matched.groupBy("query_id", "doc_id", *keep).agg(F.round(F.sum(F.col("qtf") * w), 6).alias("score"))
 
 
 def search_text(
-    index: Index,
+    docs: DataFrame,
     queries: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
     k: int | str = 10,
     filters: Sequence[tuple[str, str, str]] = (),
     query_id: str = "query_id",
@@ -221,62 +165,61 @@ def search_text(
     query keeps its own top-k; ranking uses the largest limit as a literal so the
     partial top-k before the shuffle still applies).
     """
+    k_max = k
     if isinstance(k, str):
-        k_max = queries.agg(F.max(F.col(k)).alias("m"), F.min(F.col(k)).alias("lo")).first()
-        if k_max["lo"] is None or k_max["lo"] < 1:
+        limits = queries.agg(F.max(F.col(k)).alias("high"), F.min(F.col(k)).alias("low")).first()
+        if limits["low"] is None or limits["low"] < 1:
             raise ValueError("every query limit must be at least 1")
-        queries = queries.withColumn("__limit", F.col(k))
+        k_max = limits["high"]
     elif k < 1:
         raise ValueError("k must be at least 1")
-    queries, id_map = numeric_query_ids(queries, query_id)
-    ranked = _search_text(index, queries, k, filters, query_id, q)
-    if id_map is None:
-        return ranked
-    restored = ranked.join(id_map, ranked["query_id"] == id_map["__num"], "inner")
-    return restored.select(F.col("__orig").alias("query_id"), "rank", "doc_id", "score", "total")
-
-
-def _search_text(
-    index: Index,
-    queries: DataFrame,
-    k: int | str,
-    filters: Sequence[tuple[str, str, str]],
-    query_id: str,
-    q: str,
-) -> DataFrame:
+    carry = sorted({d for _, _, d in filters})
+    tokenised = _tokenised(docs, id_col, text_col, carry)
+    n, total = _stats(tokenised)
     qt = query_terms(queries, query_id, q)
-    # Only postings of words some query uses are read further; their document
-    # frequencies are the same as over the whole index. A written index supplies its
-    # term table; otherwise df is counted from those postings (a partial count per
-    # task, one row per term after the shuffle).
-    small = qt.count() <= MAX_BROADCAST_QUERY_TERMS
-    bcast = F.broadcast if small else (lambda d: d)
-    posts = index.postings.join(bcast(qt.select("term").distinct()), on="term", how="left_semi")
-    df = index.doc_freq(posts)
-    # Query side: (query, term, qtf, df [, filter values]) - one row per query word.
-    # Joined to the postings it leaves them in their document partitioning, so the
-    # per-(query, document) sum below needs no shuffle.
-    qside = qt.join(df, on="term", how="inner")
+    posts = _postings(tokenised, qt.select("term").distinct(), carry)
+    qside = qt.join(posts.groupBy("term").agg(F.count("tf").alias("df")), "term")
     if filters:
         qside = qside.join(_query_filter_cols(queries, query_id, filters), "query_id")
-    per_query_limit = "__limit" in queries.columns
-    if per_query_limit:
-        qside = qside.join(queries.select(F.col(query_id).alias("query_id"), "__limit"), "query_id")
-    matched = _filter_postings(posts.join(bcast(qside), on="term", how="inner"), filters)
-    w = bm25_weight(F.col("tf"), F.col("dl"), F.col("df"), index.doc_count, index.avgdl)
-    aggs = [F.round(F.sum(F.col("qtf") * w), 6).alias("score")]
-    if per_query_limit:
-        aggs.append(F.max("__limit").alias("__limit"))
-    scored = matched.groupBy("query_id", "doc_id").agg(*aggs)
-    if per_query_limit:
-        k_max = queries.agg(F.max("__limit")).first()[0]
-        ranked = rank(scored, k_max, [F.col("score").desc(), F.col("doc_id").asc()])
-        ranked = ranked.filter(F.col("rank") <= F.col("__limit"))
-        return ranked.select("query_id", "rank", "doc_id", "score", "total")
-    ranked = rank(scored, k, [F.col("score").desc(), F.col("doc_id").asc()])
+    scored = _scored(posts, qside, n, total, filters)
+    ranked = rank(scored, k_max, [F.col("score").desc(), F.col("doc_id").asc()])
+    if isinstance(k, str):
+        limits = queries.select(F.col(query_id).alias("query_id"), F.col(k).alias("__limit"))
+        ranked = ranked.join(limits, "query_id").filter(F.col("rank") <= F.col("__limit"))
     return ranked.select("query_id", "rank", "doc_id", "score", "total")
 
 
+def search_texts(
+    docs: DataFrame, queries: DataFrame, id_col: str, text_col: str, k: int = 10, query_id: str = "query_id", q: str = "q"
+) -> DataFrame:
+    """``search_text`` for documents that share texts: the score depends on the text alone, so
+    the work is one row per (query, distinct text) instead of per (query, document).
+
+    A text outside the best k (by score, then smallest id) has k documents before its first,
+    so the k best texts with their k smallest ids hold the k best documents.
+    """
+    by_id = Window.partitionBy("__text").orderBy("doc_id")
+    slim = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("__text"))
+    first = (
+        slim.withColumn("__n", F.row_number().over(by_id)).filter(F.col("__n") <= k)
+        .groupBy("__text").agg(F.sort_array(F.collect_list("doc_id")).alias("ids"))  # at most k ids
+    )
+    texts = slim.groupBy("__text").agg(F.count(F.lit(1)).alias("copies"), F.min("doc_id").alias("first_id"))
+    tokenised = _tokenised(texts, "first_id", "__text", ("copies",))
+    n, total = _stats(tokenised, F.col("copies"))
+    qt = query_terms(queries, query_id, q)
+    posts = _postings(tokenised, qt.select("term").distinct(), ("copies",))
+    qside = qt.join(posts.groupBy("term").agg(F.sum("copies").alias("df")), "term")
+    scored = _scored(posts, qside, n, total, keep=("copies",))
+    totals = scored.groupBy("query_id").agg(F.sum("copies").alias("total"))
+    order = Window.partitionBy("query_id").orderBy(F.col("score").desc(), F.col("doc_id").asc())
+    best = scored.withColumn("__r", F.row_number().over(order)).filter(F.col("__r") <= k).select("query_id", "doc_id", "score")
+    ids = first.select(F.get("ids", F.lit(0)).alias("doc_id"), "ids")
+    expanded = best.join(ids, "doc_id").select("query_id", "score", F.explode("ids").alias("doc_id"))
+    top = expanded.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
+    return top.join(totals, "query_id").select("query_id", "rank", "doc_id", "score", "total")
+
+
 def search_filtered(
     docs: DataFrame,
     queries: DataFrame,
@@ -304,7 +247,7 @@ def search_filtered(
 def search_one(
     docs: DataFrame,
     id_col: str,
-    text_col: str,
+    text_col: str | None = None,
     q: str | None = None,
     equals: dict[str, object] | None = None,
     at_least: dict[str, object] | None = None,
@@ -313,9 +256,9 @@ def search_one(
 ) -> tuple[int, DataFrame]:
     """One request, as the serving API takes it: ``(total, top rows)``.
 
-    Truthy ``q`` -> BM25 over ``text_col`` (corpus statistics over all documents,
-    filters do not change scores); empty -> match all with score 1.0. ``equals`` and
-    ``at_least`` are non-scoring filters, each applied only when given (0 counts).
+    Truthy ``q`` -> BM25 over ``text_col`` or a written ``index`` (corpus statistics over all
+    documents, filters do not change scores); empty -> match all with score 1.0. ``equals``
+    and ``at_least`` are non-scoring filters, each applied only when given (0 counts).
     The filters and the query's terms are literals, so they reach the scans.
     """
     if not 1 <= limit <= 100:
@@ -333,14 +276,20 @@ def search_one(
         top = hits.orderBy(F.col(id_col).asc()).limit(limit).withColumn("score", F.lit(1.0))
         return total, top
     spark = docs.sparkSession
-    index = index or build_index(docs, id_col, text_col)
-    qt = query_terms(spark.createDataFrame([(0, q)], "query_id long, q string"))
-    terms = [r["term"] for r in qt.select("term").collect()]  # the request's few words
-    posts = index.postings.filter(F.col("term").isin(terms))
-    df = index.doc_freq(posts).filter(F.col("term").isin(terms))
-    matched = posts.join(df, "term").join(F.broadcast(qt.drop("query_id")), "term")
-    w = bm25_weight(F.col("tf"), F.col("dl"), F.col("df"), index.doc_count, index.avgdl)
-    scored = matched.groupBy("doc_id").agg(F.round(F.sum(F.col("qtf") * w), 6).alias("score"))
+    words = query_terms(spark.createDataFrame([(0, q)], "query_id long, q string"))
+    counts = {r["term"]: r["qtf"] for r in words.collect()}  # the request's few words
+    used = F.col("term").isin(list(counts))
+    if index is not None:
+        posts, terms, n, total_length = index.postings.filter(used), index.terms.filter(used), index.doc_count, index.total_length
+    else:
+        tokenised = _tokenised(docs, id_col, text_col)
+        n, total_length = _stats(tokenised)
+        posts = _postings(tokenised, None).filter(used)
+        terms = posts.groupBy("term").agg(F.count("tf").alias("df"))
+    df = {r["term"]: r["df"] for r in terms.collect()}  # a row per word of the request
+    rows = [(0, t, counts[t], d) for t, d in df.items()]
+    qside = spark.createDataFrame(rows, "query_id long, term string, qtf long, df long")
+    scored = _scored(posts, qside, n, total_length).drop("query_id")
     scored = scored.join(hits.select(F.col(id_col).alias("doc_id")), "doc_id", "left_semi")
     total = scored.count()
     top = scored.orderBy(F.col("score").desc(), F.col("doc_id").asc()).limit(limit)
@@ -352,10 +301,14 @@ def search_one(
 
 def get_by_ids(ids: DataFrame, docs: DataFrame, id_col: str) -> DataFrame:
     """Batch get-by-id: every requested id once, with ``found`` and the document
-    columns (NULL when not found)."""
+    columns (NULL when not found).
+
+    The documents are first cut down to the requested ids by an inner join, whose small side
+    adaptive execution can broadcast; only the hits are joined to the list of ids again.
+    """
     req = ids.select(F.col(id_col)).distinct()
-    hit = docs.withColumn("__found", F.lit(True))
-    out = req.join(hit, on=id_col, how="left")
+    hits = docs.join(req, id_col).withColumn("__found", F.lit(True))
+    out = req.join(hits, on=id_col, how="left")
     return out.withColumn("found", F.coalesce(F.col("__found"), F.lit(False))).drop("__found")
 
 

@@ -10,17 +10,16 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
-
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from terrace.operators import cdc, contracts, gold, history, ingest, quality, runlog, search, silver
 from terrace.plans import stages
 from terrace.sources import lake
 from terrace.plans import oracles as O
-from terrace.session import materialize, work_dir
+from terrace.session import work_dir
 from terrace.sources import adapters as A
-from terrace.specs import ROW_ID, spec_by_name
+from terrace.specs import ROW_ID
 from terrace.streaming import cdc_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -43,26 +42,26 @@ def register(name: str, oracle: str | None = None) -> Callable[[Query], Query]:
 
 
 def silver_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    spec = spec_by_name("sales_orderlines")
+    spec = A.spec("sales_orderlines")
     return silver.conform(
         A.bronze_order_lines(spark, sf_dir), spec.primary_key, spec.cursor, spec.tiebreakers
     )
 
 
 def silver_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    spec = spec_by_name("sales_orders")
+    spec = A.spec("sales_orders")
     return silver.conform(A.bronze_orders(spark, sf_dir), spec.primary_key, spec.cursor)
 
 
 def silver_invoice_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    spec = spec_by_name("sales_invoicelines")
+    spec = A.spec("sales_invoicelines")
     return silver.conform(
         A.bronze_invoice_lines(spark, sf_dir), spec.primary_key, spec.cursor, spec.tiebreakers
     )
 
 
 def silver_invoices(spark: SparkSession, sf_dir: str) -> DataFrame:
-    spec = spec_by_name("sales_invoices")
+    spec = A.spec("sales_invoices")
     return silver.conform(A.bronze_invoices(spark, sf_dir), spec.primary_key, spec.cursor)
 
 
@@ -117,13 +116,11 @@ def q_cdc_feed_projection(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def fact_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return gold.build_fact_sales(silver_orders(spark, sf_dir), silver_lines(spark, sf_dir))
+    return gold.fact(gold.ORDERED, silver_orders(spark, sf_dir), silver_lines(spark, sf_dir))
 
 
 def fact_invoices(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return gold.build_fact_invoices(
-        silver_invoices(spark, sf_dir), silver_invoice_lines(spark, sf_dir)
-    )
+    return gold.fact(gold.BILLED, silver_invoices(spark, sf_dir), silver_invoice_lines(spark, sf_dir))
 
 
 @register("fact_sales", O.with_(*O.ORDERED, body="SELECT * FROM fact_sales"))
@@ -138,7 +135,7 @@ def q_fact_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def q_agg_sales_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
     """AGG1, AGG3, EXP5, SRT1: daily ordered roll-up."""
-    return gold.build_daily_agg(fact_sales(spark, sf_dir))
+    return gold.daily(gold.ORDERED, fact_sales(spark, sf_dir))
 
 
 @register("fact_invoices", O.with_(*O.BILLED, body="SELECT * FROM fact_invoices"))
@@ -153,7 +150,7 @@ def q_fact_invoices(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def q_agg_billed_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
     """AGG2: daily billed roll-up with profit."""
-    return gold.build_billed_daily_agg(fact_invoices(spark, sf_dir))
+    return gold.daily(gold.BILLED, fact_invoices(spark, sf_dir))
 
 
 # -- Ingest ---------------------------------------------------------------------------------
@@ -169,12 +166,12 @@ def first_order_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     cutoff = F.lit(FIRST_LOAD_CUTOFF).cast("timestamp_ntz")
     cur = F.col("last_edited_when")
     first = src.filter((cur < cutoff) | ((cur == cutoff) & (F.col("order_status") == "F")))
-    return ingest.with_load_metadata(first, spec_by_name("sales_orders"), 1)
+    return ingest.with_load_metadata(first, A.spec("sales_orders"), 1)
 
 
 def second_order_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows the second load (load id 2) appends over the full source."""
-    spec = spec_by_name("sales_orders")
+    spec = A.spec("sales_orders")
     return ingest.incremental_batch(A.bronze_orders(spark, sf_dir), first_order_load(spark, sf_dir), spec, 2)
 
 
@@ -390,7 +387,7 @@ WHERE a.order_line_id IS NULL OR b.order_line_id IS NULL
 )
 def q_snapshot_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
     """QLT3: keyed diff of the conformed lines before and after the second load."""
-    spec = spec_by_name("sales_orderlines")
+    spec = A.spec("sales_orderlines")
     cutoff = F.lit(FIRST_LOAD_CUTOFF).cast("timestamp_ntz")
     before = silver.conform(
         A.bronze_order_lines(spark, sf_dir).filter(F.col("last_edited_when") < cutoff),
@@ -404,7 +401,7 @@ def q_snapshot_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _unconformed_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The fact as it would be without Silver: every landed version of every line."""
-    return gold.build_fact_sales(A.bronze_orders(spark, sf_dir), A.bronze_order_lines(spark, sf_dir))
+    return gold.fact(gold.ORDERED, A.bronze_orders(spark, sf_dir), A.bronze_order_lines(spark, sf_dir))
 
 
 def _contract_sql() -> str:
@@ -457,11 +454,14 @@ def _doc_json_sql() -> str:
 @register("documents_json", O.with_(*O.ORDERED, body=_doc_json_sql()))
 def q_documents_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SNK6, EXP7, CON3: contract-typed JSON documents keyed by order line id."""
-    # Validation and publishing both read the fact: cut the lineage once (reliable
-    # checkpoint in the shared checkpoint folder) instead of recomputing it.
-    fact = materialize(fact_sales(spark, sf_dir))
-    docs = contracts.validate(fact, contracts.FACT_SALES_DOC)
-    return contracts.to_documents(docs, contracts.FACT_SALES_DOC)
+    return published(spark, fact_sales(spark, sf_dir), contracts.FACT_SALES_DOC)
+
+
+def published(spark: SparkSession, fact: DataFrame, contract: contracts.Contract) -> DataFrame:
+    """The fact published to a work folder (checked in the pass that writes it) and read back."""
+    path = work_dir(spark, "documents")
+    contracts.publish(fact, contract, path)
+    return lake.read_table(spark, path)
 
 
 # -- Search -------------------------------------------------------------------------------
@@ -512,11 +512,10 @@ SEARCH_K = 10
 )
 def q_search_ranked(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SEA2, SEA3, TOP2: BM25 top-10 documents for every benchmark passage."""
-    index = search.build_index(A.table(spark, sf_dir, "documents"), "doc_id", "text")
     queries = A.table(spark, sf_dir, "benchmark").select(
         F.col("item_id").alias("query_id"), F.col("text").alias("q")
     )
-    return search.search_text(index, queries, k=SEARCH_K)
+    return search.search_text(A.table(spark, sf_dir, "documents"), queries, k=SEARCH_K)
 
 
 SALES_K = 5
@@ -534,13 +533,66 @@ SALES_K = 5
 def q_search_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SEA1, SEA3, FIL4: full-text search of order-line descriptions, one query per
     distinct part name, top 5 with the total number of matches."""
-    # Only the id and the text reach the index; it is materialised once.
-    docs = fact_sales(spark, sf_dir).select("order_line_id", "description")
-    index = search.build_index(docs, "order_line_id", "description")
     queries = A.table(spark, sf_dir, "part").select(
         F.col("p_name").alias("query_id"), F.col("p_name").alias("q")
     ).distinct()
-    return search.search_text(index, queries, k=SALES_K)
+    return search.search_texts(fact_sales(spark, sf_dir), queries, "order_line_id", "description", k=SALES_K)
+
+
+# Parameters: one request per combination of the three optional arguments, 0 counting as given.
+REQUESTS = tuple(
+    (n, q, customer, least)
+    for n, (q, customer, least) in enumerate(
+        [(q, customer, least) for q in (None, "plate red") for customer in (None, 7) for least in (None, 25000.0)]
+        + [("", None, 0.0), ("plate red", 7, 0.0)]
+    )
+)
+
+
+def _combined_sql() -> str:
+    lit = lambda v: "NULL" if v is None else f"'{v}'" if isinstance(v, str) else repr(v)
+    values = ", ".join(f"({n}, {lit(q)}, {lit(c)}, {lit(m)})" for n, q, c, m in REQUESTS)
+    text = _bm25_sql(
+        "SELECT order_line_id AS doc_id, description AS text FROM fact_sales",
+        "SELECT query_id, q FROM requests WHERE q <> ''", 10**12,
+        ctes=(*O.ORDERED, f"requests AS (SELECT * FROM (VALUES {values}) AS t(query_id, q, customer_id, min_total))"),
+    )
+    return f"""
+SELECT query_id, CAST(rank AS INTEGER) AS rank, doc_id, score, total FROM (
+  SELECT h.query_id, h.doc_id, h.score,
+         row_number() OVER (PARTITION BY h.query_id ORDER BY h.score DESC, h.doc_id) AS rank,
+         count(*) OVER (PARTITION BY h.query_id) AS total
+  FROM (SELECT query_id, doc_id, score FROM ({text.strip()})
+        UNION ALL SELECT r.query_id, f.order_line_id, 1.0::DOUBLE
+        FROM (SELECT * FROM (VALUES {values}) AS t(query_id, q, customer_id, min_total)) r, ({_FACT_SUBQUERY}) f
+        WHERE coalesce(r.q, '') = '') h
+  JOIN (SELECT * FROM (VALUES {values}) AS t(query_id, q, customer_id, min_total)) r ON r.query_id = h.query_id
+  JOIN ({_FACT_SUBQUERY}) f ON f.order_line_id = h.doc_id
+  WHERE (r.customer_id IS NULL OR f.customer_id = r.customer_id)
+    AND (r.min_total IS NULL OR f.line_total >= r.min_total))
+WHERE rank <= {SEARCH_K}"""
+
+
+_FACT_SUBQUERY = O.with_(*O.ORDERED, body="SELECT order_line_id, customer_id, line_total FROM fact_sales")
+
+
+@register("search_combined", _combined_sql())
+def q_search_combined(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SEA1, SEA3, FIL3, FIL4, CON5: every combination of text, customer and minimum total,
+    each served from the published postings, filters and documents."""
+    ctx = stages.RunContext.start(spark, stages.Layout(work_dir(spark, "search_combined")))
+    lake.write_table(fact_sales(spark, sf_dir), ctx.layout.path("gold", "fact_sales"), name="fact_sales")
+    stages.publish_documents(ctx)
+    found = None
+    for n, q, customer, least in REQUESTS:
+        total, rows = stages.serve_search(ctx, q, customer, least, SEARCH_K)
+        order = Window.orderBy(F.col("score").desc(), F.col("doc_id"))  # at most SEARCH_K rows
+        one = rows.select(
+            F.lit(n).alias("query_id"), F.row_number().over(order).alias("rank"), "doc_id", "score",
+            F.lit(total).cast("long").alias("total"),
+        )
+        found = one if found is None else found.union(one)
+    return found
 
 
 # Parameter: the filtered search asks for lines of at least this total.
@@ -638,13 +690,14 @@ def q_stream_collapse(spark: SparkSession, sf_dir: str) -> DataFrame:
     """STR1-STR3: the change feed landed as files in arbitrary order, consumed in
     micro-batches by a stateful stream; the current state equals the batch collapse."""
     root = work_dir(spark, "stream_collapse")
-    # Round-robin files: every micro-batch sees changes out of LSN order.
-    A.change_feed(spark, sf_dir).repartition(8).write.parquet(f"{root}/feed")
+    # Files are cut by a hash of the row, so every micro-batch sees changes out of LSN order.
+    A.change_feed(spark, sf_dir).repartition(F.xxhash64("event_id")).write.parquet(f"{root}/feed")
     schema = spark.read.parquet(f"{root}/feed").schema
     cdc_stream.run_stream(
         spark, f"{root}/feed", schema, ["user_id"], f"{root}/sink", f"{root}/checkpoint",
-        tiebreakers=("event_id",), max_files_per_trigger=2,
+        tiebreakers=("event_id",),
     )
+    cdc_stream.compact(spark, f"{root}/sink", ["user_id"])
     return cdc_stream.current_state(spark, f"{root}/sink", ["user_id"])
 
 
@@ -658,7 +711,7 @@ def q_stream_collapse(spark: SparkSession, sf_dir: str) -> DataFrame:
         body="""
 SELECT *, last_edited_when AS valid_from,
        lead(last_edited_when) OVER w AS valid_to,
-       lead(last_edited_when) OVER w IS NULL AS is_current
+       lead(order_line_id) OVER w IS NULL AS is_current
 FROM bronze_lines
 WINDOW w AS (PARTITION BY order_line_id
              ORDER BY last_edited_when, stock_item_id, supplier_id)""",
@@ -666,7 +719,7 @@ WINDOW w AS (PARTITION BY order_line_id
 )
 def q_scd2_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     """EXT3: validity range of every landed version of every order line."""
-    spec = spec_by_name("sales_orderlines")
+    spec = A.spec("sales_orderlines")
     return history.scd2_history(
         A.bronze_order_lines(spark, sf_dir), spec.primary_key, spec.cursor, spec.tiebreakers
     )
@@ -715,7 +768,7 @@ BACKFILL_END = dt.date(1997, 12, 20)
 
 
 def _before_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    spec = spec_by_name("sales_orderlines")
+    spec = A.spec("sales_orderlines")
     cutoff = F.lit(FIRST_LOAD_CUTOFF).cast("timestamp_ntz")
     return silver.conform(
         A.bronze_order_lines(spark, sf_dir).filter(F.col("last_edited_when") < cutoff),
@@ -748,16 +801,66 @@ SELECT * FROM fact_sales WHERE order_year = 1997 AND order_month = 12""",
 def q_backfill_month(spark: SparkSession, sf_dir: str) -> DataFrame:
     """EXT1: the fact written from an early Silver, then one month re-computed from
     the current Silver with dynamic partition overwrite; other months unchanged."""
-    root = work_dir(spark, "backfill_month")
-    path = f"{root}/fact_sales"
-    parts = ("order_year", "order_month")
-    old = gold.build_fact_sales(silver_orders(spark, sf_dir), _before_lines(spark, sf_dir))
-    lake.write_table(old, path, partition_by=parts, name="fact_sales")
-    month = stages.backfill_fact(fact_sales(spark, sf_dir), "order_date", "order", BACKFILL_START, BACKFILL_END)
-    lake.overwrite_partitions(month, path, parts, name="fact_sales")
+    ctx = stages.RunContext.start(spark, stages.Layout(work_dir(spark, "backfill_month")))
+    path = ctx.layout.path("gold", "fact_sales")
+    old = gold.fact(gold.ORDERED, silver_orders(spark, sf_dir), _before_lines(spark, sf_dir))
+    lake.write_table(old, path, partition_by=gold.ORDERED.months, name="fact_sales")
+    stages.replace_months(ctx, gold.ORDERED, fact_sales(spark, sf_dir), BACKFILL_START, BACKFILL_END)
     return spark.read.parquet(path)
 
 
+# Orders of the first two months of 1997: one is thinned out by a later correction, one emptied.
+_THINNED, _EMPTIED = "1997-01", "1997-02"
+
+
+def _corrected_sql(day: str, key: str) -> str:
+    month = f"strftime({day}, '%Y-%m')"
+    return f"NOT ({month} = '{_EMPTIED}' OR ({month} = '{_THINNED}' AND {key} % 2 = 0))"
+
+
+@register(
+    "stage_backfill",
+    O.with_(
+        *O.ORDERED, *O.BILLED,
+        body=f"""
+, kept AS (SELECT 'ordered' AS mart, order_date AS day, count(DISTINCT order_id) AS documents,
+                  count(*) AS lines, round(sum(line_total), 2) AS revenue
+           FROM fact_sales WHERE {_corrected_sql("order_date", "order_id")} GROUP BY 2
+           UNION ALL
+           SELECT 'billed', invoice_date, count(DISTINCT invoice_id), count(*), round(sum(line_total), 2)
+           FROM fact_invoices WHERE {_corrected_sql("invoice_date", "invoice_id")} GROUP BY 2)
+SELECT mart, day, documents, lines, revenue, lines AS fact_lines FROM kept""",
+    ),
+)
+def q_stage_backfill(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """EXT1: both marts are built, then Silver headers of two months are corrected (one month
+    thinned out, one emptied) and the months backfilled: facts and roll-ups follow."""
+    ctx = stages.RunContext.start(spark, stages.Layout(work_dir(spark, "stage_backfill")), specs=A.SPECS)
+    silver_tables = {
+        "sales_orders": silver_orders, "sales_orderlines": silver_lines,
+        "sales_invoices": silver_invoices, "sales_invoicelines": silver_invoice_lines,
+    }
+    for name, build in silver_tables.items():
+        lake.write_table(build(spark, sf_dir), ctx.layout.path("silver", name), name=name)
+    stages.build_gold(ctx)
+    for mart in gold.MARTS:
+        month = F.date_format(mart.day, "yyyy-MM")
+        gone = (month == _EMPTIED) | ((month == _THINNED) & (F.col(mart.key) % 2 == 0))
+        headers = silver_tables[mart.headers](spark, sf_dir).filter(~gone)
+        lake.write_table(headers, ctx.layout.path("silver", mart.headers), name=mart.headers)
+    stages.backfill_gold(ctx, dt.date(1997, 1, 10), dt.date(1997, 2, 3))
+    out = None
+    for name, mart in (("ordered", gold.ORDERED), ("billed", gold.BILLED)):
+        lines = ctx.read("gold", mart.fact).groupBy(F.col(mart.day).alias("day")).agg(F.count(F.lit(1)).alias("fact_lines"))
+        daily = ctx.read("gold", mart.daily).select(
+            F.lit(name).alias("mart"), F.col(mart.day).alias("day"), F.col(mart.documents).alias("documents"),
+            F.col("num_lines").alias("lines"), F.col("total_revenue").alias("revenue"),
+        ).join(lines, "day", "full_outer")
+        daily = daily.select("mart", "day", "documents", "lines", "revenue", "fact_lines")
+        out = daily if out is None else out.unionByName(daily)
+    return out
+
+
 @register(
     "ordered_vs_billed",
     O.with_(
@@ -772,8 +875,8 @@ FROM agg_sales_daily d FULL OUTER JOIN agg_billed_daily b ON d.order_date = b.in
 )
 def q_ordered_vs_billed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """EXT6: ordered demand against billed actuals per day."""
-    daily = gold.build_daily_agg(fact_sales(spark, sf_dir))
-    billed = gold.build_billed_daily_agg(fact_invoices(spark, sf_dir))
+    daily = gold.daily(gold.ORDERED, fact_sales(spark, sf_dir))
+    billed = gold.daily(gold.BILLED, fact_invoices(spark, sf_dir))
     return gold.ordered_vs_billed(daily, billed)
 
 
@@ -791,9 +894,7 @@ def _invoice_doc_sql() -> str:
 @register("invoice_documents_json", O.with_(*O.BILLED, body=_invoice_doc_sql()))
 def q_invoice_documents_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     """EXT4: the billed fact published as contract-checked documents."""
-    fact = materialize(fact_invoices(spark, sf_dir))
-    docs = contracts.validate(fact, contracts.FACT_INVOICES_DOC)
-    return contracts.to_documents(docs, contracts.FACT_INVOICES_DOC)
+    return published(spark, fact_invoices(spark, sf_dir), contracts.FACT_INVOICES_DOC)
 
 
 # -- Staged run ------------------------------------------------------------------------------
@@ -803,8 +904,117 @@ def q_invoice_documents_json(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_staged_run_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Stages on files: two incremental loads into Bronze, Silver, Gold; the written
     daily roll-up equals the one computed in a single plan."""
-    ctx = stages.RunContext.start(spark, stages.Layout(work_dir(spark, "staged_run")))
+    ctx = stages.RunContext.start(spark, stages.Layout(work_dir(spark, "staged_run")), specs=A.SPECS)
     stages.run(ctx, "extract", sources=A.landing_sources(spark, sf_dir, FIRST_LOAD_CUTOFF), load_id=1)
     stages.run(ctx, "extract", sources=A.landing_sources(spark, sf_dir, None), load_id=2)
     stages.run(ctx, "all")
     return lake.read_table(spark, ctx.layout.path("gold", "agg_sales_daily"))
+
+
+@register("staged_cdc_current", _CDC_COLLAPSE_SQL)
+def q_staged_cdc_current(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SRC2, SNK2, WIN3: the change table landed by two loads (the second takes what came after
+    the first one's last LSN) and collapsed; equals the collapse of the whole feed."""
+    ctx = stages.RunContext.start(spark, stages.Layout(work_dir(spark, "staged_cdc")), feed_specs=A.FEED_SPECS)
+    changes, name = A.change_table(spark, sf_dir), A.FEED_SPECS[0].name
+    early = changes.filter(F.col(cdc.CT_START_LSN) <= F.unhex(F.lit(CDC_LAST_LSN)))
+    stages.run(ctx, "extract-cdc", change_tables={name: early}, load_id=1)
+    stages.run(ctx, "extract-cdc", change_tables={name: changes}, load_id=2)
+    stages.run(ctx, "silver-cdc")
+    return ctx.read("silver", name, ctx.layout.cdc)
+
+
+# Orders that arrive without a key or without a cursor.
+_NO_KEY, _NO_CURSOR = "o_orderkey % 101 = 3", "o_orderkey % 97 = 5"
+
+
+@register(
+    "stage_rejects",
+    f"""
+WITH o AS (SELECT ({_NO_KEY}) AS no_key, ({_NO_CURSOR}) AS no_cursor, o_orderdate FROM orders),
+l AS (SELECT *, (o_orderdate < {_CUTOFF_SQL} OR no_cursor) AS first FROM o)
+SELECT 'sales_orders' AS "table", count(*) AS landed, count_if(no_cursor) AS without_cursor,
+       count_if(no_key) AS rejected, count(*) - count_if(no_key) AS kept FROM l""",
+)
+def q_stage_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """ING2, WIN2: rows without a cursor land once over two loads, rows without a key are set
+    aside and counted; nothing is dropped in silence."""
+    ctx = stages.RunContext.start(spark, stages.Layout(work_dir(spark, "stage_rejects")), specs=(A.spec("sales_orders"),))
+    source = A.table(spark, sf_dir, "orders").select(
+        F.when(~F.expr(_NO_KEY), F.col("o_orderkey")).alias("order_id"),
+        F.col("o_custkey").alias("customer_id"),
+        F.when(~F.expr(_NO_CURSOR), F.col("o_orderdate")).alias("last_edited_when"),
+    )
+    cutoff = F.lit(FIRST_LOAD_CUTOFF).cast("timestamp_ntz")
+    early = source.filter((F.col("last_edited_when") < cutoff) | F.col("last_edited_when").isNull())
+    stages.run(ctx, "extract", sources={"sales_orders": early}, load_id=1)
+    stages.run(ctx, "extract", sources={"sales_orders": source}, load_id=2)
+    stages.run(ctx, "silver")
+    landed = ctx.read("bronze", "sales_orders").agg(
+        F.count(F.lit(1)).alias("landed"), F.count_if(F.col("last_edited_when").isNull()).alias("without_cursor")
+    )
+    count = lambda df, name: df.agg(F.count(F.lit(1)).alias(name))
+    rejected = count(lake.read_table(spark, ctx.layout.rejected("sales_orders")), "rejected")
+    kept = count(ctx.read("silver", "sales_orders"), "kept")
+    one = [df.withColumn("__one", F.lit(1)) for df in (landed, rejected, kept)]  # one row each
+    return one[0].join(one[1], "__one").join(one[2], "__one").select(
+        F.lit("sales_orders").alias("table"), "landed", "without_cursor", "rejected", "kept"
+    )
+
+
+@register(
+    "stage_verify",
+    f"""
+SELECT 'sales_orders' AS "table", count(*) AS source, count(*) AS bronze, 'OK' AS status FROM orders
+UNION ALL
+SELECT 'sales_orderlines', count(*), count_if(l_shipdate < {_CUTOFF_SQL}),
+       CASE WHEN count(*) = count_if(l_shipdate < {_CUTOFF_SQL}) THEN 'OK' ELSE 'DIFF' END
+FROM lineitem JOIN part ON l_partkey = p_partkey""",
+)
+def q_stage_verify(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """QLT1: a written lake against its source; the lines' last load has not run yet."""
+    specs = tuple(s for s in A.SPECS if s.name in ("sales_orders", "sales_orderlines"))
+    ctx = stages.RunContext.start(spark, stages.Layout(work_dir(spark, "stage_verify")), specs=specs)
+    every = A.landing_sources(spark, sf_dir, None)
+    early = A.landing_sources(spark, sf_dir, FIRST_LOAD_CUTOFF)
+    stages.run(ctx, "extract", sources={s.name: early[s.name] for s in specs}, load_id=1)
+    stages.run(ctx, "extract", sources={"sales_orders": every["sales_orders"]}, load_id=2)
+    return stages.verify(ctx, {s.name: every[s.name] for s in specs})
+
+
+@register(
+    "run_log_roundtrip",
+    """
+SELECT 'load landed' AS msg, 'sales_orders' AS "table", count(*) AS rows, CAST(1 AS VARCHAR) AS load_id FROM orders
+UNION ALL SELECT 'table conformed', 'sales_orders', count(*), NULL FROM orders
+UNION ALL SELECT 'stage finished', NULL, NULL, NULL UNION ALL SELECT 'stage finished', NULL, NULL, NULL""",
+)
+def q_run_log_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """OPS1, EXP9, EXT5: the stages' JSON-lines log, read back and parsed."""
+    specs = (A.spec("sales_orders"),)
+    ctx = stages.RunContext.start(spark, stages.Layout(work_dir(spark, "run_log")), specs=specs)
+    stages.run(ctx, "extract", sources={"sales_orders": A.bronze_orders(spark, sf_dir)}, load_id=1)
+    stages.run(ctx, "silver")
+    return stages.run_log(ctx).select("msg", "table", "rows", F.col("extras").getItem("load_id").alias("load_id"))
+
+
+@register(
+    "snapshot_accept",
+    """SELECT 'accepted' AS step, 0 AS changes UNION ALL SELECT 'corrected', 2""",
+)
+def q_snapshot_accept(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """QLT3: Gold is accepted as a baseline (no change against itself); after a correction of
+    one month the fact and its roll-up show up as changed."""
+    ctx = stages.RunContext.start(spark, stages.Layout(work_dir(spark, "snapshot")), specs=A.SPECS)
+    mart, path = gold.ORDERED, work_dir(spark, "snapshot_counts")
+    rows = fact_sales(spark, sf_dir)
+    lake.write_table(rows, ctx.layout.path("gold", mart.fact), partition_by=mart.months, name=mart.fact)
+    lake.write_table(gold.daily(mart, ctx.read("gold", mart.fact)), ctx.layout.path("gold", mart.daily), name=mart.daily)
+    stages.accept_baseline(ctx)
+    count = lambda step: stages.compare_baseline(ctx).agg(F.count(F.lit(1)).cast("int").alias("changes")).select(F.lit(step).alias("step"), "changes")
+    count("accepted").write.parquet(f"{path}/accepted")
+    day = F.col(mart.day)
+    stages.replace_months(ctx, mart, rows.filter(F.dayofmonth(day) > 15), BACKFILL_START, BACKFILL_END)
+    lake.write_table(gold.daily(mart, ctx.read("gold", mart.fact)), ctx.layout.path("gold", mart.daily), name=mart.daily)
+    count("corrected").write.parquet(f"{path}/corrected")
+    return spark.read.parquet(f"{path}/accepted", f"{path}/corrected")

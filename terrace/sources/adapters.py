@@ -8,34 +8,45 @@ The driver's star-schema tables stand in for the source system:
 * ``events`` is a change feed keyed by ``user_id``.
 
 Every adapter is a projection or a join, so Catalyst prunes the parquet scan to the
-columns used and pushes filters into it. Landing tables read from a single split are
-hash-distributed on their key (``functions.parallel.spread``); on inputs with many
-splits that is skipped. The same expressions are written in the
-DuckDB oracles in ``terrace.plans.oracles``.
+columns used and pushes filters into it. The same expressions are written in the
+DuckDB oracles in ``terrace.plans.oracles``. The specs here are the registered ones with the
+tie-breaking columns that only these stand-ins have.
 """
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from terrace.functions.expressions import lsn_hex
-from terrace.functions.parallel import spread
 from terrace.operators.cdc import CT_OPERATION, CT_SEQVAL, CT_START_LSN
-from terrace.specs import CHANGE_LSN, CHANGE_OPERATION, CHANGE_SEQVAL
+from terrace.specs import CHANGE_LSN, CHANGE_OPERATION, CHANGE_SEQVAL, SALES_TABLES, TableSpec, spec_by_name
 
 QTY = "decimal(10,0)"
 PRICE = "decimal(12,2)"
 RATE = "decimal(5,2)"
 DISCOUNT = "decimal(4,2)"
 
+# Lines of the stand-in source can share key, cursor and item; the supplier tells them apart.
+SPECS: tuple[TableSpec, ...] = tuple(
+    replace(s, tiebreakers=(*s.tiebreakers, "supplier_id")) if s.name.endswith("lines") else s for s in SALES_TABLES
+)
+# The change feed: one table of its own, keyed by user.
+FEED_SPECS = (TableSpec("user_events", ("user_id",), cursor="ts", tiebreakers=("event_id",)),)
+
+
+def spec(name: str) -> TableSpec:
+    return spec_by_name(name, SPECS)
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def _line_base(spark: SparkSession, sf_dir: str) -> DataFrame:
-    li = _lineitem(spark, sf_dir).select(
+    li = table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
         "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate",
     )
@@ -43,10 +54,6 @@ def _line_base(spark: SparkSession, sf_dir: str) -> DataFrame:
     return li.join(part, li.l_partkey == part.p_partkey, "inner")
 
 
-def _lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "lineitem")
-
-
 def _quantity() -> Column:
     return F.col("l_quantity").cast(QTY)
 
@@ -54,7 +61,7 @@ def _quantity() -> Column:
 def bronze_order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Order-line landing table: every version of every line, cursor = ship date."""
     q = _quantity()
-    lines = _line_base(spark, sf_dir).select(
+    return _line_base(spark, sf_dir).select(
         (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("order_line_id"),
         F.col("l_orderkey").alias("order_id"),
         F.col("l_partkey").alias("stock_item_id"),
@@ -66,14 +73,13 @@ def bronze_order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.col("l_linestatus") == "F", q).otherwise(F.lit(0).cast(QTY)).alias("picked_quantity"),
         F.col("l_shipdate").alias("last_edited_when"),
     )
-    return spread(lines, "order_line_id", _lineitem(spark, sf_dir))
 
 
 def bronze_invoice_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Invoice-line landing table: returned lines are credits (negative quantity)."""
     q = F.when(F.col("l_returnflag") == "R", -_quantity()).otherwise(_quantity())
     price = F.col("p_retailprice").cast(PRICE)
-    lines = _line_base(spark, sf_dir).select(
+    return _line_base(spark, sf_dir).select(
         (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("invoice_line_id"),
         F.col("l_orderkey").alias("invoice_id"),
         F.col("l_partkey").alias("stock_item_id"),
@@ -85,13 +91,11 @@ def bronze_invoice_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         (q * price * F.col("l_discount").cast(DISCOUNT)).alias("line_profit"),
         F.col("l_shipdate").alias("last_edited_when"),
     )
-    return spread(lines, "invoice_line_id", _lineitem(spark, sf_dir))
 
 
 def bronze_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Order headers with their edit cursor."""
-    orders = table(spark, sf_dir, "orders")
-    return spread(orders.select(
+    return table(spark, sf_dir, "orders").select(
         F.col("o_orderkey").alias("order_id"),
         F.col("o_custkey").alias("customer_id"),
         (F.col("o_custkey") % 20).alias("salesperson_person_id"),
@@ -99,7 +103,7 @@ def bronze_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("o_orderstatus").alias("order_status"),
         F.col("o_orderpriority").alias("order_priority"),
         F.col("o_orderdate").alias("last_edited_when"),
-    ), "order_id", orders)
+    )
 
 
 def bronze_invoices(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -11,14 +11,10 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from py4j.protocol import Py4JJavaError
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-# Error conditions that mean "nothing has been written here yet".
-MISSING_CONDITIONS = ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA")
-
 
 def read_table(
     spark: SparkSession, path: str, fmt: str = "parquet", schema: StructType | None = None
@@ -29,23 +25,53 @@ def read_table(
     return reader.load(path)
 
 
-def try_read_table(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame | None:
-    """The table at ``path``, or None when nothing was written there yet.
+def _folder(spark: SparkSession, path: str):
+    """(file system, Hadoop path) of a location."""
+    jvm = spark.sparkContext._jvm
+    folder = jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), folder
+
+
+def _children(spark: SparkSession, path: str) -> list[tuple[str, bool]]:
+    """(name, is a folder) of what stands in a folder, hidden entries left out; [] without it."""
+    fs, folder = _folder(spark, path)
+    if not fs.exists(folder):
+        return []
+    entries = ((st.getPath().getName(), st.isDirectory()) for st in fs.listStatus(folder))
+    # Spark reads a folder such as _load_id=1 although its name starts like a hidden one.
+    return [(n, is_dir) for n, is_dir in entries if not n.startswith(".") and (not n.startswith("_") or "=" in n)]
+
+
+def folders(spark: SparkSession, path: str) -> list[str]:
+    """Names of the completed write folders in a folder, in order (those with a success mark)."""
+    fs, _ = _folder(spark, path)
+    Path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path  # noqa: N806
+    return sorted(n for n, is_dir in _children(spark, path) if is_dir and fs.exists(Path(f"{path}/{n}/_SUCCESS")))
 
-    Decided on the error condition, never on message text.
-    """
-    try:
-        df = read_table(spark, path, fmt)
-        df.schema  # noqa: B018 - forces resolution
-        return df
-    except AnalysisException as exc:
-        if exc.getCondition() in MISSING_CONDITIONS:
-            return None
-        raise
 
+def remove(spark: SparkSession, path: str) -> None:
+    fs, folder = _folder(spark, path)
+    fs.delete(folder, True)
 
-def table_exists(spark: SparkSession, path: str, fmt: str = "parquet") -> bool:
-    return try_read_table(spark, path, fmt) is not None
+
+def _has_data(spark: SparkSession, path: str) -> bool:
+    found = _children(spark, path)
+    return any(not is_dir for _, is_dir in found) or any(_has_data(spark, f"{path}/{n}") for n, is_dir in found if is_dir)
+
+
+def try_read_table(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame | None:
+    """The table at ``path``, or None when nothing was written there yet (a folder listing)."""
+    return read_table(spark, path, fmt) if _has_data(spark, path) else None
+
+
+def partition_values(spark: SparkSession, path: str, column: str) -> set[str]:
+    """Values of a table's first partition column that have data, from its folder names."""
+    prefix = f"{column}="
+    return {
+        name[len(prefix) :]
+        for name, is_dir in _children(spark, path)
+        if is_dir and name.startswith(prefix) and _has_data(spark, f"{path}/{name}")
+    }
 
 
 def write_table(
@@ -103,19 +129,10 @@ def overwrite_partitions(
 def partition_columns(spark: SparkSession, path: str) -> tuple[str, ...]:
     """Hive-style partition columns of a written table, read from its folder names
     (``col=value`` levels). Metadata only: one directory listing per level."""
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    current = jvm.org.apache.hadoop.fs.Path(path)
-    fs = current.getFileSystem(conf)
     cols: list[str] = []
     while True:
-        dirs = [
-            st.getPath()
-            for st in fs.listStatus(current)
-            if st.isDirectory() and "=" in st.getPath().getName() and not st.getPath().getName().startswith(("_", "."))
-        ]
+        dirs = [name for name, is_dir in _children(spark, path) if is_dir and "=" in name]
         if not dirs:
             return tuple(cols)
-        cols.append(dirs[0].getName().split("=", 1)[0])
-        current = dirs[0]
-
+        cols.append(dirs[0].split("=", 1)[0])
+        path = f"{path}/{dirs[0]}"

@@ -2,7 +2,7 @@
 
 A spec is plain data. Composite primary keys are allowed; ``tiebreakers`` extend the
 "latest row" ordering past the cursor and the load id so that dedupe always has a
-total order (the reference leaves those ties arbitrary).
+total order.
 """
 
 from __future__ import annotations
@@ -56,7 +56,7 @@ SALES_TABLES: tuple[TableSpec, ...] = (
     TableSpec(
         "sales_orderlines",
         ("order_line_id",),
-        tiebreakers=("stock_item_id", "supplier_id"),
+        tiebreakers=("stock_item_id",),
         source_schema="Sales",
         source_table="OrderLines",
     ),
@@ -64,21 +64,12 @@ SALES_TABLES: tuple[TableSpec, ...] = (
     TableSpec(
         "sales_invoicelines",
         ("invoice_line_id",),
-        tiebreakers=("stock_item_id", "supplier_id"),
+        tiebreakers=("stock_item_id",),
         source_schema="Sales",
         source_table="InvoiceLines",
     ),
 )
 
-# Gold tables and the column each is partitioned by.
-GOLD_TABLES: dict[str, tuple[str, ...]] = {
-    "fact_sales": ("order_year", "order_month"),
-    "agg_sales_daily": (),
-    "fact_invoices": ("invoice_year", "invoice_month"),
-    "agg_billed_daily": (),
-}
-
-
 def spec_by_name(name: str, specs: tuple[TableSpec, ...] = SALES_TABLES) -> TableSpec:
     for spec in specs:
         if spec.name == name:

@@ -11,9 +11,10 @@
   filtered when the table is read.
 
 Sink: ``foreachBatch`` writes each micro-batch's changed keys to
-``<sink>/batch_id=<id>`` with overwrite, so a batch replayed after a failure
+``<sink>/batches/<id>`` with overwrite, so a batch replayed after a failure
 replaces its own output. The current table is the highest batch per key, minus
-tombstones; ``compact`` folds the batches into one table.
+tombstones. ``compact`` folds the batches up to the last one into a base table and retires
+their folders, so a read sees the base and the few batches after it.
 """
 
 from __future__ import annotations
@@ -26,9 +27,11 @@ from pyspark.sql.types import StructType
 
 from terrace.operators.cdc import drop_change_metadata
 from terrace.operators.silver import keep_first
+from terrace.sources import lake
 from terrace.specs import CHANGE_LSN, CHANGE_OPERATION, CHANGE_SEQVAL, OP_DELETE
 
 BATCH_COL = "batch_id"
+BASE = "base"
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
@@ -47,7 +50,7 @@ def _writer(sink: str):
         (
             batch.withColumn(BATCH_COL, F.lit(batch_id).cast("long"))
             .write.mode("overwrite")
-            .parquet(f"{sink}/{BATCH_COL}={batch_id}")
+            .parquet(f"{sink}/batches/{batch_id:012d}")
         )
 
     return write
@@ -72,6 +75,7 @@ def run_stream(
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     stream = reader.parquet(feed_path)
+    before = len(lake.folders(spark, f"{sink}/batches"))
     query = (
         latest_changes(stream, key, tiebreakers)
         .writeStream.outputMode("update")
@@ -81,20 +85,38 @@ def run_stream(
         .start()
     )
     query.awaitTermination()
-    batches = len([p for p in query.recentProgress if p.get("numInputRows", 0) > 0])
     if query.exception() is not None:
         raise RuntimeError(str(query.exception()))
-    return batches
+    return len(lake.folders(spark, f"{sink}/batches")) - before
+
+
+def _latest(spark: SparkSession, sink: str, key: Sequence[str]) -> DataFrame:
+    """Latest change per key (tombstones included): the newest base and the batches after it."""
+    bases = lake.folders(spark, f"{sink}/{BASE}")
+    batches = lake.folders(spark, f"{sink}/batches")
+    parts = [f"{sink}/{BASE}/{bases[-1]}"] if bases else []
+    parts += [f"{sink}/batches/{b}" for b in batches if not bases or b > bases[-1]]
+    return keep_first(spark.read.parquet(*parts), key, [F.col(BATCH_COL).desc()])
 
 
 def current_state(spark: SparkSession, sink: str, key: Sequence[str]) -> DataFrame:
     """Current rows: the highest batch per key, tombstones removed, metadata dropped."""
-    out = spark.read.parquet(sink)
-    latest = keep_first(out, key, [F.col(BATCH_COL).desc()])
-    live = latest.filter(F.col(CHANGE_OPERATION) != F.lit(OP_DELETE))
+    live = _latest(spark, sink, key).filter(F.col(CHANGE_OPERATION) != F.lit(OP_DELETE))
     return drop_change_metadata(live.drop(BATCH_COL))
 
 
-def compact(spark: SparkSession, sink: str, key: Sequence[str], target: str) -> None:
-    """Fold the per-batch outputs into one current table (a scheduled job)."""
-    current_state(spark, sink, key).write.mode("overwrite").parquet(target)
+def compact(spark: SparkSession, sink: str, key: Sequence[str]) -> None:
+    """Fold every batch so far into a new base named after the last of them (a scheduled job).
+
+    The base is complete before the folders it replaces are removed; a job that dies between
+    leaves folders that no read uses, and the next run removes them.
+    """
+    batches, bases = lake.folders(spark, f"{sink}/batches"), lake.folders(spark, f"{sink}/{BASE}")
+    if batches and (not bases or batches[-1] > bases[-1]):
+        _latest(spark, sink, key).write.mode("overwrite").parquet(f"{sink}/{BASE}/{batches[-1]}")
+        bases.append(batches[-1])
+    for name in bases[:-1]:
+        lake.remove(spark, f"{sink}/{BASE}/{name}")
+    for name in batches:
+        if bases and name <= bases[-1]:
+            lake.remove(spark, f"{sink}/batches/{name}")

@@ -77,7 +77,10 @@ def test_row_id_is_deterministic(spark):
 
 def test_try_read_missing_table(spark, tmp_root):
     assert lake.try_read_table(spark, f"{tmp_root}/nothing") is None
-    assert not lake.table_exists(spark, f"{tmp_root}/nothing")
+    import os
+
+    os.makedirs(f"{tmp_root}/empty/_load_id=1")
+    assert lake.try_read_table(spark, f"{tmp_root}/empty") is None
 
 
 def test_write_table_counts_rows_with_observation(spark, tmp_root):
@@ -104,7 +107,7 @@ def _sources(spark, cutoff: str | None):
 
 def test_medallion_run_is_idempotent_and_gold_matches_lazy_plan(spark, tmp_root):
     layout = stages.Layout(tmp_root)
-    ctx = stages.RunContext.start(spark, layout, "test-run")
+    ctx = stages.RunContext.start(spark, layout, "test-run", specs=A.SPECS)
     e1 = stages.run(ctx, "extract", sources=_sources(spark, "1998-01-01"), load_id=1)
     e2 = stages.run(ctx, "extract", sources=_sources(spark, None), load_id=2)
     e3 = stages.run(ctx, "extract", sources=_sources(spark, None), load_id=3)
@@ -128,7 +131,7 @@ def test_gold_stage_and_backfill(spark, tmp_root):
     from terrace.plans import catalog
 
     layout = stages.Layout(tmp_root)
-    ctx = stages.RunContext.start(spark, layout)
+    ctx = stages.RunContext.start(spark, layout, specs=A.SPECS)
     lake.write_table(catalog.silver_orders(spark, SF001), layout.path("silver", "sales_orders"))
     lake.write_table(catalog.silver_lines(spark, SF001), layout.path("silver", "sales_orderlines"))
     lake.write_table(catalog.silver_invoices(spark, SF001), layout.path("silver", "sales_invoices"))
@@ -140,7 +143,7 @@ def test_gold_stage_and_backfill(spark, tmp_root):
     written = spark.read.parquet(fact_path)
     assert set(written.columns) >= {"order_year", "order_month"}
     daily = spark.read.parquet(layout.path("gold", "agg_sales_daily"))
-    assert daily.count() == gold.build_daily_agg(catalog.fact_sales(spark, SF001)).count()
+    assert daily.count() == gold.daily(gold.ORDERED, catalog.fact_sales(spark, SF001)).count()
     # Backfill one month: only that month's partition is rewritten, others untouched.
     before = written.groupBy("order_year", "order_month").count().collect()
     stages.backfill_gold(ctx, dt.date(1996, 3, 10), dt.date(1996, 3, 20))
@@ -162,19 +165,19 @@ def test_month_bounds_cover_whole_months():
 def test_silver_cdc_skips_missing_feed(spark, tmp_root):
     ctx = stages.RunContext.start(spark, stages.Layout(tmp_root))
     events = stages.build_silver_cdc(ctx)
-    assert all("skipped" in e["msg"] for e in events)
+    assert events and all(e["msg"] == "no changes landed, table left out" for e in events)
 
 
 def test_extract_cdc_is_forward_only(spark, tmp_root):
     layout = stages.Layout(tmp_root)
-    ctx = stages.RunContext.start(spark, layout)
+    ctx = stages.RunContext.start(spark, layout, feed_specs=A.FEED_SPECS)
     ct = A.change_table(spark, SF001)
-    e1 = stages.extract_cdc(ctx, {"sales_orders": ct}, load_id=1)
-    e2 = stages.extract_cdc(ctx, {"sales_orders": ct}, load_id=2)
+    e1 = stages.extract_cdc(ctx, {"user_events": ct}, load_id=1)
+    e2 = stages.extract_cdc(ctx, {"user_events": ct}, load_id=2)
     assert e1[0]["rows"] == ct.count() and e2[0]["rows"] == 0
     # A new change after the landed max LSN is picked up.
     later = ct.limit(1).withColumn("__$start_lsn", F.unhex(F.lit("FFFFFFFFFFFFFFFFFFFF")))
-    e3 = stages.extract_cdc(ctx, {"sales_orders": ct.unionByName(later)}, load_id=3)
+    e3 = stages.extract_cdc(ctx, {"user_events": ct.unionByName(later)}, load_id=3)
     assert e3[0]["rows"] == 1
 
 
@@ -196,8 +199,8 @@ def test_emitted_events_parse_back_into_run_metrics(spark, tmp_root):
     from terrace.operators import runlog
 
     ctx = stages.RunContext.start(spark, stages.Layout(tmp_root), "run-42")
-    events = [ctx.emit("silver table written", table="t", rows=3, destination="x"),
-              ctx.emit("gold table written", table="t", rows=4, destination="y")]
+    events = [ctx.emit("one", table="t", rows=3, destination="x"),
+              ctx.emit("two", table="t", rows=4, destination="y")]
     lines = spark.createDataFrame([(json.dumps(e, default=str),) for e in events], "value string")
     [m] = runlog.run_metrics(runlog.parse_run_events(lines)).collect()
     assert (m["correlation_id"], m["table"], m["events"], m["rows"]) == ("run-42", "t", 2, 7)
@@ -212,15 +215,15 @@ def test_cli_runs_a_stage(tmp_root, capsys):
         capture_output=True, text=True, timeout=600, cwd=str(__import__("pathlib").Path(__file__).parents[1]),
     )
     assert out.returncode == 0, out.stderr[-2000:]
-    assert "silver skipped: no bronze" in out.stdout
+    assert "nothing landed, table left out" in out.stdout
 
 
 def test_state_watermark_compares_numeric_cursors_as_numbers(spark):
     spec = TableSpec("t", ("id",), cursor="c")
     bronze = spark.createDataFrame([(1, 9, 1), (2, 10, 2)], "id long, c long, _load_id long")
     state = spark.createDataFrame([("9", 1), ("10", 2)], "max_cursor string, _load_id long")
-    assert ingest.high_watermark(bronze, "c", 3, state) == "10"
-    assert ingest.boundary_loads(state, bronze, "c", "10", 3) == [2]
+    assert ingest.high_watermark(bronze, "c", 3, state) == ("10", [2])
+    assert ingest.high_watermark(bronze, "c", 3) == ("10", None)
     src = spark.createDataFrame([(2, 10), (3, 10), (4, 11)], "id long, c long")
     out = ingest.incremental_batch(src, bronze, spec, 3, state)
     assert sorted(r["id"] for r in out.collect()) == [3, 4]
@@ -230,7 +233,7 @@ def test_inspect_layer_reports_partition_columns_from_layout(spark, tmp_root):
     from terrace.plans import catalog
 
     layout = stages.Layout(tmp_root)
-    ctx = stages.RunContext.start(spark, layout)
+    ctx = stages.RunContext.start(spark, layout, specs=A.SPECS)
     for name, fn in (
         ("sales_orders", catalog.silver_orders), ("sales_orderlines", catalog.silver_lines),
         ("sales_invoices", catalog.silver_invoices), ("sales_invoicelines", catalog.silver_invoice_lines),
@@ -269,13 +272,12 @@ def test_publish_then_serve_search_and_get(spark, tmp_root):
     ctx = stages.RunContext.start(spark, layout)
     fact = catalog.fact_sales(spark, SF001)
     lake.write_table(fact, layout.path("gold", "fact_sales"), partition_by=("order_year", "order_month"))
-    stages.publish_documents(ctx, buckets=4)
-    assert spark.read.parquet(layout.serving("documents")).count() == fact.count()
+    stages.publish_documents(ctx)
+    assert spark.read.parquet(layout.serving("fact_sales/documents")).count() == fact.count()
     # Text search through the published index equals the lazy batch search.
     total, rows = stages.serve_search(ctx, q="red plate", limit=5)
-    lazy = search.search_text(
-        search.build_index(fact, "order_line_id", "description", materialize=False),
-        spark.createDataFrame([(0, "red plate")], "query_id long, q string"), k=5,
+    lazy = search.search_texts(
+        fact, spark.createDataFrame([(0, "red plate")], "query_id long, q string"), "order_line_id", "description", k=5
     ).collect()
     got = rows.collect()
     assert total == lazy[0]["total"]
@@ -310,7 +312,7 @@ def test_cold_rebuild_gives_identical_gold_fingerprints(spark, tmp_root):
 
     fingerprints = []
     for run in ("a", "b"):
-        ctx = stages.RunContext.start(spark, stages.Layout(f"{tmp_root}/{run}"))
+        ctx = stages.RunContext.start(spark, stages.Layout(f"{tmp_root}/{run}"), specs=A.SPECS)
         stages.run(ctx, "extract", sources=A.landing_sources(spark, SF001, "1998-01-01 00:00:00"), load_id=1)
         stages.run(ctx, "extract", sources=A.landing_sources(spark, SF001, None), load_id=2)
         stages.run(ctx, "all")
@@ -323,3 +325,97 @@ def test_cold_rebuild_gives_identical_gold_fingerprints(spark, tmp_root):
     a = spark.read.parquet(stages.Layout(f"{tmp_root}/a").path("gold", "fact_sales"))
     b = spark.read.parquet(stages.Layout(f"{tmp_root}/b").path("gold", "fact_sales"))
     assert quality.snapshot_diff(a, b, ["order_line_id"]).count() == 0
+
+
+def test_rows_without_a_cursor_are_kept_or_refused(spark):
+    bronze = ingest.with_load_metadata(_src(spark, [(1, "a", "x"), (7, None, "landed")]), SPEC, 1)
+    src = _src(spark, [(1, "a", "x"), (2, "b", "y"), (7, None, "landed"), (8, None, "new")])
+    with pytest.raises(ingest.NullCursorError):
+        ingest.incremental_batch(src, bronze, SPEC, 2).count()
+    out = ingest.incremental_batch(src, bronze, SPEC, 2, on_null_cursor="include")
+    assert sorted(r["id"] for r in out.collect()) == [2, 8]
+    only = ingest.with_load_metadata(_src(spark, [(7, None, "landed")]), SPEC, 1)
+    out = ingest.incremental_batch(src, only, SPEC, 2, on_null_cursor="include")
+    assert sorted(r["id"] for r in out.collect()) == [1, 2, 8]
+
+
+def test_rows_without_a_key_are_set_aside(spark, tmp_root):
+    ctx = stages.RunContext.start(spark, stages.Layout(tmp_root), specs=(SPEC,))
+    stages.extract(ctx, {"t": _src(spark, [(None, "a", "x"), (None, "b", "y"), (1, "a", "z")])}, load_id=1)
+    [event] = stages.build_silver(ctx)
+    assert (event["rows"], event["rejected"]) == (1, 2)
+    assert lake.read_table(spark, ctx.layout.rejected("t")).count() == 2
+
+
+def test_a_load_that_died_before_its_state_lands_nothing_twice(spark, tmp_root):
+    ctx = stages.RunContext.start(spark, stages.Layout(tmp_root), specs=(SPEC,))
+    rows = [(1, "a", "x"), (2, "b", "y")]
+    stages.extract(ctx, {"t": _src(spark, rows)}, load_id=1)
+    # Load 2 dies between its Bronze write and its state write.
+    died = ingest.with_load_metadata(_src(spark, [(3, "c", "z"), (4, "c", "w")]), SPEC, 2)
+    lake.overwrite_partitions(died, ctx.layout.path("bronze", "t"), (LOAD_ID,))
+    [event] = stages.extract(ctx, {"t": _src(spark, [*rows, (3, "c", "z"), (4, "c", "w"), (5, "d", "v")])}, load_id=3)
+    assert event["rows"] == 1
+    assert spark.read.parquet(ctx.layout.path("bronze", "t")).count() == 5
+
+
+def test_a_failed_gate_keeps_the_last_silver(spark, tmp_root):
+    from terrace.operators import quality
+
+    rules = {"t": (quality.Rule("enough", "min_rows", threshold=2),)}
+    ctx = stages.RunContext.start(spark, stages.Layout(tmp_root), specs=(SPEC,), rules=rules)
+    stages.extract(ctx, {"t": _src(spark, [(1, "a", "x")])}, load_id=1)
+    with pytest.raises(quality.QualityGateError):
+        stages.run(ctx, "silver")
+    assert lake.try_read_table(spark, ctx.layout.path("silver", "t")) is None
+
+
+def test_backfill_empties_months_and_rebuilds_the_roll_up(spark, tmp_root):
+    from terrace.operators import gold
+    from terrace.plans import catalog
+
+    ctx = stages.RunContext.start(spark, stages.Layout(tmp_root), specs=A.SPECS)
+    built = {
+        "sales_orders": catalog.silver_orders, "sales_orderlines": catalog.silver_lines,
+        "sales_invoices": catalog.silver_invoices, "sales_invoicelines": catalog.silver_invoice_lines,
+    }
+    for name, build in built.items():
+        lake.write_table(build(spark, SF001), ctx.layout.path("silver", name))
+    stages.build_gold(ctx)
+    for mart in gold.MARTS:
+        kept = built[mart.headers](spark, SF001).filter(F.date_format(mart.day, "yyyy-MM") != "1996-03")
+        lake.write_table(kept, ctx.layout.path("silver", mart.headers))
+    events = stages.backfill_gold(ctx, dt.date(1996, 3, 10), dt.date(1996, 3, 20))
+    assert [e["months_emptied"] for e in events if "months_emptied" in e] == [1, 1]
+    for mart in gold.MARTS:
+        rows, daily = ctx.read("gold", mart.fact), ctx.read("gold", mart.daily)
+        assert rows.filter(F.date_format(mart.day, "yyyy-MM") == "1996-03").count() == 0
+        assert daily.exceptAll(gold.daily(mart, rows)).isEmpty() and daily.agg(F.sum("num_lines")).first()[0] == rows.count()
+
+
+def test_run_metrics_keep_the_stage_times(spark, tmp_root):
+    ctx = stages.RunContext.start(spark, stages.Layout(tmp_root), specs=(SPEC,))
+    stages.run(ctx, "extract", sources={"t": _src(spark, [(1, "a", "x")])}, load_id=1)
+    rows = {r["name"]: r for r in spark.read.parquet(ctx.layout.runs).collect()}
+    assert rows["t"]["rows"] == 1 and rows["extract"]["seconds"] > 0
+    assert stages.run_log(ctx).filter("msg = 'load landed'").count() == 1
+
+
+def test_verify_without_a_source_reports_what_landed(spark, tmp_root):
+    ctx = stages.RunContext.start(spark, stages.Layout(tmp_root), specs=(SPEC,))
+    stages.extract(ctx, {"t": _src(spark, [(1, "a", "x")])}, load_id=1)
+    assert [r.asDict() for r in stages.verify(ctx, None).collect()] == [{"table": "t", "bronze": 1}]
+
+
+def test_cdc_chain_from_the_command_line(tmp_root):
+    import pathlib
+    import subprocess
+    import sys as _sys
+
+    for stage, more in (("extract-cdc", ["--sf-dir", SF001, "--load-id", "1"]), ("silver-cdc", [])):
+        out = subprocess.run(
+            [_sys.executable, "-m", "terrace", stage, "--root", tmp_root, "--master", "local[2]", *more],
+            capture_output=True, text=True, timeout=600, cwd=str(pathlib.Path(__file__).parents[1]),
+        )
+        assert out.returncode == 0, out.stderr[-2000:]
+    assert "changes collapsed" in out.stdout

@@ -161,6 +161,25 @@ def test_contract_row_rules_null_and_lossy(spark):
         contracts.validate(df, contracts.FACT_SALES_DOC)
 
 
+def test_string_dates_with_a_time_of_day_are_lossy(spark):
+    schema = DOC_SCHEMA.replace("order_date date", "order_date string")
+    df = spark.createDataFrame([_doc_row(order_date="2020-01-01"), _doc_row(order_line_id=2, order_date="2020-01-01 10:00:00")], schema)
+    valid, invalid = contracts.quarantine(df, contracts.FACT_SALES_DOC)
+    assert [r["order_line_id"] for r in valid.collect()] == [1]
+    assert [r["violations"] for r in invalid.collect()] == [["lossy:order_date"]]
+
+
+def test_publishing_checks_while_it_writes(spark, tmp_root):
+    good = spark.createDataFrame([_doc_row(), _doc_row(order_line_id=2)], DOC_SCHEMA)
+    m = contracts.publish(good, contracts.FACT_SALES_DOC, f"{tmp_root}/d")
+    assert m["rows"] == 2 and spark.read.parquet(f"{tmp_root}/d").count() == 2
+    bad = spark.createDataFrame([_doc_row(customer_id=None)], DOC_SCHEMA)
+    for rows, what in ((bad, "invalid:customer_id"), (good.union(good), "repeated keys"), (good.drop("quantity"), "missing:quantity")):
+        with pytest.raises(contracts.ContractError, match=what):
+            contracts.publish(rows, contracts.FACT_SALES_DOC, f"{tmp_root}/d")
+    assert spark.read.parquet(f"{tmp_root}/d").count() == 2  # still the last good ones
+
+
 def test_duplicate_document_keys_are_caught(spark):
     df = spark.createDataFrame([_doc_row(), _doc_row(), _doc_row(order_line_id=5)], DOC_SCHEMA)
     assert [(r["order_line_id"], r["copies"]) for r in contracts.duplicate_keys(df, ["order_line_id"]).collect()] == [(1, 2)]
@@ -213,9 +232,8 @@ def _bm25_oracle(corpus, query, k1=1.2, b=0.75):
 
 @pytest.mark.parametrize("query", ["USB", "rocket usb", "rocket rocket", "lamp", "nothing here"])
 def test_bm25_matches_python_oracle(spark, query):
-    index = search.build_index(_docs(spark), "doc_id", "text")
     q = spark.createDataFrame([(0, query)], "query_id long, q string")
-    out = search.search_text(index, q, k=10).collect()
+    out = search.search_text(_docs(spark), q, k=10).collect()
     expected = _bm25_oracle(CORPUS, query)
     assert {r["doc_id"]: r["score"] for r in out} == pytest.approx(expected)
     ranked = sorted(expected.items(), key=lambda kv: (-kv[1], kv[0]))
@@ -224,14 +242,13 @@ def test_bm25_matches_python_oracle(spark, query):
 
 
 def test_search_batch_with_filters_and_limit(spark):
-    index = search.build_index(_docs(spark), "doc_id", "text", carry=("customer_id", "line_total"))
     queries = spark.createDataFrame(
         [(1, "usb", None, None), (2, "usb", 10, None), (3, "usb rocket", None, 100.0), (4, "usb", 0, None)],
         "query_id long, q string, customer_id long, min_total double",
     )
     out = search.search_text(
-        index, queries, k=1,
-        filters=[("customer_id", "eq", "customer_id"), ("min_total", "gte", "line_total")],
+        _docs(spark).withColumnsRenamed({"customer_id": "doc_customer", "line_total": "doc_total"}), queries, k=1,
+        filters=[("customer_id", "eq", "doc_customer"), ("min_total", "gte", "doc_total")],
     )
     got = {r["query_id"]: (r["doc_id"], r["total"]) for r in out.collect()}
     assert got[1][1] == 3 and got[2][1] == 2 and got[3][1] == 2
@@ -261,13 +278,33 @@ def test_get_by_ids_and_facets(spark):
     assert f == {10: 2, 11: 2, 12: 1}
 
 
-def test_written_index_gives_same_results(spark, tmp_root):
-    index = search.build_index(_docs(spark), "doc_id", "text")
-    search.write_index(index, f"{tmp_root}/idx", buckets=4)
-    stored = search.read_index(spark, f"{tmp_root}/idx")
-    q = spark.createDataFrame([(0, "usb rocket")], "query_id long, q string")
-    a = sorted(tuple(r) for r in search.search_text(index, q).collect())
-    b = sorted(tuple(r) for r in search.search_text(stored, q).collect())
+def test_written_postings_are_sorted_and_give_the_same_results(spark, tmp_root):
+    docs = spark.createDataFrame([(i, f"usb part{i % 50} {CORPUS[i % 5][1]}") for i in range(400)], "doc_id long, text string")
+    search.write_postings(docs, "doc_id", "text", f"{tmp_root}/p")
+    stored = search.read_postings(spark, f"{tmp_root}/p")
+    q = spark.createDataFrame([(0, "usb rocket part7")], "query_id long, q string")
+    expected = {r["doc_id"]: (r["score"], r["total"]) for r in search.search_text(docs, q, k=20).collect()}
+    total, top = search.search_one(docs, "doc_id", q="usb rocket part7", limit=20, index=stored)
+    assert {r["doc_id"]: (r["score"], total) for r in top.collect()} == expected
+    # Every file is sorted by (term, doc_id), and files do not overlap.
+    files = stored.postings.select("term", "doc_id", F.input_file_name().alias("f")).collect()
+    by_file = {}
+    for r in files:
+        by_file.setdefault(r["f"], []).append((r["term"], r["doc_id"]))
+    assert all(rows == sorted(rows) for rows in by_file.values())
+    ends = sorted((rows[0], rows[-1]) for rows in by_file.values())
+    assert all(a[1] < b[0] for a, b in zip(ends, ends[1:], strict=False))
+    plan = stored.postings.filter(F.col("term").isin("usb"))._jdf.queryExecution().executedPlan().toString()
+    assert "PushedFilters: [In(term" in plan or "PushedFilters: [IsNotNull(term), EqualTo(term" in plan
+
+
+@settings(max_examples=8, deadline=None)
+@given(texts=st.lists(st.sampled_from(["usb hub", "usb", "rocket usb", "", "lamp rocket"]), min_size=1, max_size=40), k=st.integers(1, 4))
+def test_search_over_distinct_texts_equals_search_over_documents(spark, texts, k):
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    q = spark.createDataFrame([(0, "usb rocket"), (1, "lamp"), (2, "none")], "query_id long, q string")
+    a = sorted(map(tuple, search.search_texts(docs, q, "doc_id", "text", k=k).select("query_id", "rank", "doc_id", "score", "total").collect()))
+    b = sorted(map(tuple, search.search_text(docs, q, k=k).collect()))
     assert a == b
 
 
@@ -332,7 +369,7 @@ def test_quality_gate_freshness(spark):
 
 
 def test_search_per_query_limit_column(spark):
-    index = search.build_index(_docs(spark), "doc_id", "text", materialize=False)
+    index = _docs(spark)
     queries = spark.createDataFrame(
         [(1, "usb rocket", 1), (2, "usb rocket", 3)], "query_id long, q string, lim int"
     )

@@ -11,6 +11,7 @@ from hypothesis import strategies as st
 from terrace.operators.cdc import collapse_changes
 from terrace.operators.history import scd2_history
 from terrace.operators.silver import dedupe_latest
+from terrace.sources import lake
 from terrace.streaming import cdc_stream
 
 FEED_SCHEMA = "k long, change_lsn string, change_seqval string, change_operation int, v string"
@@ -117,5 +118,18 @@ def test_scd2_history_including_a_hot_key_split_across_partitions(spark):
 def test_compact_folds_batches_into_current_table(spark, tmp_root):
     batches = [[(1, _lsn(1), _lsn(1), 2, "a"), (2, _lsn(1), _lsn(1), 2, "b")], [(2, _lsn(2), _lsn(1), 1, "gone")]]
     _run(spark, tmp_root, batches)
-    cdc_stream.compact(spark, f"{tmp_root}/sink", ["k"], f"{tmp_root}/current")
-    assert {r["k"]: r["v"] for r in spark.read.parquet(f"{tmp_root}/current").collect()} == {1: "a"}
+    cdc_stream.compact(spark, f"{tmp_root}/sink", ["k"])
+    state = lambda: {r["k"]: r["v"] for r in cdc_stream.current_state(spark, f"{tmp_root}/sink", ["k"]).collect()}
+    assert state() == {1: "a"}
+    assert not lake.folders(spark, f"{tmp_root}/sink/batches") and len(lake.folders(spark, f"{tmp_root}/sink/base")) == 1
+    # Tombstones live on in the base: an older insert that arrives later stays out.
+    assert _run(spark, tmp_root, [[(2, _lsn(1), _lsn(2), 2, "late"), (3, _lsn(4), _lsn(1), 2, "c")]]) == {1: "a", 3: "c"}
+    cdc_stream.compact(spark, f"{tmp_root}/sink", ["k"])
+    assert state() == {1: "a", 3: "c"} and len(lake.folders(spark, f"{tmp_root}/sink/base")) == 1
+
+
+def test_scd2_versions_without_a_cursor(spark):
+    """A version that another one follows is not current, whatever the cursors."""
+    df = spark.createDataFrame([(1, None, "a"), (1, None, "b"), (1, 3, "c"), (2, None, "d")], "k int, t int, v string")
+    out = {r["v"]: (r["valid_to"], r["is_current"]) for r in scd2_history(df, ["k"], "t", ("v",), partitions=3).collect()}
+    assert out == {"a": (None, False), "b": (3, False), "c": (None, True), "d": (None, True)}
