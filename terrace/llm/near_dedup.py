@@ -8,8 +8,9 @@
    has to list all its pairs: first every member of the leading bands meets its bucket's
    leader (a different, hashed choice per band); then, in all bands, members not yet in
    their leader's group meet the leader; last, members of a bucket that are still in
-   different groups meet each other. Pairs inside one group are skipped, as they cannot
-   change it.
+   different groups are compared by bitmaps of their differences from a common hub, an
+   exact bound that lets through next to nothing but links (``_may_link``). Pairs inside one
+   group are skipped, as they cannot change it.
 4. Every pair met is verified on the full sets: 100 * |A and B| >= 80 * |A or B|.
 5. Verified links are grouped by union-find; a group's id is its smallest doc_id.
 
@@ -40,6 +41,7 @@ SHINGLE = 5
 PERCENT = 80
 BANDS, ROWS = 40, 6
 LEADING = 4  # bands of the first round
+WORDS = 8  # 64-bit words of a difference bitmap
 
 
 def _lists(values: np.ndarray, counts: np.ndarray) -> pa.Array:
@@ -83,6 +85,39 @@ def _sets(size: int):
     return run
 
 
+def _delta(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(hub, node, items, hub_items) -> size of the symmetric difference and its bitmap."""
+    for batch in batches:
+        n = batch.num_rows
+        size, bits, table = np.zeros(n, np.int64), np.zeros(n, np.int64), np.zeros((n, WORDS * 64), np.uint8)
+        for row in range(n):
+            x, h = (batch.column(c)[row].values.to_numpy(zero_copy_only=False) for c in (2, 3))
+            delta = np.setxor1d(x, h, assume_unique=True)
+            size[row] = len(delta)
+            table[row, (delta.view(np.uint64) % np.uint64(WORDS * 64)).astype(np.int64)] = 1
+            bits[row] = table[row].sum()
+        words = np.packbits(table, axis=1).view(np.int64)
+        yield pa.RecordBatch.from_arrays(
+            [batch.column(0), batch.column(1), pa.array(size), pa.array(bits), *(pa.array(w.copy()) for w in words.T)],
+            ["hub", "node", "d", "bits", *(f"w{i}" for i in range(WORDS))],
+        )
+
+
+def _may_link(percent: int):
+    """Whether two members may be similar enough, by their differences from a common hub.
+
+    With D the symmetric difference to the hub, |x ^ y| = |Dx ^ Dy| = |Dx| + |Dy| - 2 |Dx & Dy|,
+    and a similarity of at least p % means (100 + p) |x ^ y| <= (100 - p) (|x| + |y|). The bits
+    two bitmaps share, plus the elements that fell on a taken bit of one of them, bound
+    |Dx & Dy| from above, so no pair that links is lost.
+    """
+    shared = sum((F.bit_count(F.col(f"w{i}_x").bitwiseAND(F.col(f"w{i}_y"))) for i in range(1, WORDS)),
+                 F.bit_count(F.col("w0_x").bitwiseAND(F.col("w0_y"))))
+    common = shared + F.least(F.col("d_x") - F.col("bits_x"), F.col("d_y") - F.col("bits_y"))
+    apart = F.col("d_x") + F.col("d_y") - 2 * common
+    return (100 + percent) * apart <= (100 - percent) * (F.col("n_shingles_x") + F.col("n_shingles_y"))
+
+
 def describe(docs: DataFrame, size: int = SHINGLE, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
     """doc_id, n_shingles, set fingerprint (one, two) and band keys of every row."""
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(
@@ -155,13 +190,25 @@ def links(docs: DataFrame, described: DataFrame, size: int = SHINGLE, percent: i
     groups = grouped(found)
 
     # Third round: members of one bucket, neither of them its leader, still in different groups.
-    open_ = with_group(members.filter("members > 2"), "node", "c")
-    split = open_.groupBy("key").agg(F.min("c").alias("c_min"), F.max("c").alias("c_max")).filter("c_min <> c_max")
-    open_ = open_.join(split.select("key"), "key", "left_semi").filter("node <> leader")
-    left = open_.select("key", F.col("node").alias("x"), F.col("n_shingles").alias("nx"), F.col("c").alias("cx"))
-    right = open_.select("key", F.col("node").alias("y"), F.col("n_shingles").alias("ny"), F.col("c").alias("cy"))
-    keep, a, b = _pairs("x", "y", "nx", "ny", percent)
-    across = left.join(right, "key").filter("cx < cy").filter(keep).select(a, b).distinct()
+    open_ = with_group(members.filter("members > 2"), "node", "c").select("key", "node", "n_shingles", "leader", "c")
+    per_group = open_.groupBy("key", "c").agg(F.count(F.lit(1)).alias("_n"))
+    hubs = per_group.groupBy("key").agg(
+        F.count(F.lit(1)).alias("_groups"), F.max(F.struct("_n", F.col("c").alias("hub"))).getField("hub").alias("hub")
+    ).filter("_groups > 1").select("key", "hub")
+    open_ = staged(open_.filter("node <> leader").join(hubs, "key"), "dedup-open")
+    hub_sets = sets.select(F.col("node").alias("hub"), F.col("items").alias("hub_items"))
+    deltas = staged(
+        open_.select("hub", "node").distinct().join(sets, "node").join(hub_sets, "hub")
+        .select("hub", "node", "items", "hub_items")
+        .mapInArrow(_delta, ", ".join(["hub long, node long, d long, bits long", *(f"w{i} long" for i in range(WORDS))])),
+        "dedup-deltas",
+    )
+    rows = open_.join(deltas, ["hub", "node"]).drop("leader", "hub")
+    left, right = (
+        rows.select("key", *(F.col(c).alias(f"{c}_{side}") for c in rows.columns if c != "key")) for side in "xy"
+    )
+    keep, a, b = _pairs("node_x", "node_y", "n_shingles_x", "n_shingles_y", percent)
+    across = left.join(right, ["key"]).filter("c_x < c_y").filter(keep).filter(_may_link(percent)).select(a, b).distinct()
     more = staged(_verified(across, sets, percent), "dedup-links")
     if not more.isEmpty():
         groups = grouped(found.union(more))
