@@ -239,7 +239,9 @@ def deduplicate(docs: DataFrame, **options) -> DataFrame:
     some = judged.filter("doc_id is not null")
     dropped = some.filter("not kept").select("doc_id")
     repeated = some.filter("kept").groupBy("doc_id").agg(F.count(F.lit(1)).alias("_rows")).filter("_rows > 1").select("doc_id")
-    once = docs.join(dropped.union(repeated), "doc_id", "left_anti")
+    # Shuffled by hash at every size: a plan that broadcasts small lists would turn into another
+    # one, with other needs, as the corpus grows.
+    once = docs.join(dropped.union(repeated).hint("shuffle_hash"), "doc_id", "left_anti")
     copies = Window.partitionBy("doc_id").orderBy(F.xxhash64("text"))
     first = (
         packed(docs.join(repeated, "doc_id", "left_semi"), doc_id=F.col("doc_id"), text=F.col("text"))
