@@ -22,25 +22,31 @@ from terrace.llm.line_dedup import remove_boilerplate
 from terrace.llm.mixing import mix
 from terrace.llm.near_dedup import deduplicate
 from terrace.llm.toxicity import keep_clean
+from terrace.session import use_local_folder
 
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    use_local_folder(spark)
     return keep_clean(docs, table(spark, sf_dir, "labels"))
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    use_local_folder(spark)
     return remove_boilerplate(docs)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    use_local_folder(spark)
     return deduplicate(docs)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    use_local_folder(spark)
     return remove(docs, table(spark, sf_dir, "benchmark"))
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    use_local_folder(spark)
     return mix(docs)
 
 
@@ -58,6 +64,7 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    use_local_folder(spark)
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES:
         docs = staged(stage(spark, docs, sf_dir), f"pipeline-{name}")
