@@ -24,7 +24,7 @@ import sys
 from terrace.operators import gold
 from terrace.plans import stages
 from terrace.sources import adapters
-from terrace.session import build_session, work_dir
+from terrace.session import build_session, use_local_folder, work_dir
 
 
 def main(argv: list[str] | None = None) -> int:
@@ -47,6 +47,7 @@ def main(argv: list[str] | None = None) -> int:
 
     spark = build_session(master=args.master)
     try:
+        use_local_folder(spark)
         root = args.root or work_dir(spark, "lake", unique=False)
         # The benchmark tables stand in for the source system, with their own tie-breakers.
         ctx = stages.RunContext.start(

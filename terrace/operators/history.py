@@ -8,7 +8,7 @@ sampled bounds can fall inside a hot key, splitting it over many tasks. ``lead``
 runs within each range partition, and the last row of a partition takes its
 successor from the first row of the next non-empty partition - a table with one
 row per partition, so its size is bounded by the partition count and it is
-broadcast. The range-partitioned rows are checkpointed once, because range bounds
+broadcast. The range-partitioned rows are written once, because range bounds
 are sampled per exchange and both uses must agree on them.
 """
 

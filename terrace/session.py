@@ -15,7 +15,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings applied only when the cluster has not set them already.
 DEFAULTS: dict[str, str] = {
@@ -59,23 +59,29 @@ def apply_defaults(spark: SparkSession, conf: dict[str, str] | None = None) -> N
     spark.conf.set("spark.sql.session.timeZone", "UTC")
 
 
-def shared_root(spark: SparkSession) -> str:
-    """The cluster's shared folder for intermediate tables and streaming checkpoints.
+def use_local_folder(spark: SparkSession) -> None:
+    """On a local master without ``spark.checkpoint.dir``, name a private folder for it.
 
-    Read from ``spark.checkpoint.dir``. When it is unset (only in local tests) a
-    private folder is created and registered, and only in local mode: on a cluster a
-    machine-local folder is not visible to executors, so an unset value is an error.
+    For entry points and tests only: operators never choose a folder themselves, as one on
+    this machine would not be visible to the executors of a cluster.
     """
     sc = spark.sparkContext
-    root = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        root = sc.getConf().get("spark.checkpoint.dir", None)
+    if _configured_root(spark) is None and (sc.master == "local" or sc.master.startswith("local[")):
+        sc.setCheckpointDir(tempfile.mkdtemp(prefix="terrace-ckpt-"))
+
+
+def _configured_root(spark: SparkSession) -> str | None:
+    sc = spark.sparkContext
+    return sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
+
+
+def shared_root(spark: SparkSession) -> str:
+    """The cluster's shared folder for intermediate tables and streaming checkpoints, as
+    ``spark.checkpoint.dir`` names it. Unset, it is an error."""
+    root = _configured_root(spark)
     if not root:
-        if not sc.master.startswith("local"):
-            raise RuntimeError(
-                "spark.checkpoint.dir must name a shared folder on a cluster deployment"
-            )
-        root = tempfile.mkdtemp(prefix="terrace-ckpt-")
+        raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+    sc = spark.sparkContext
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(root)
     return root.rstrip("/")
@@ -87,18 +93,8 @@ def work_dir(spark: SparkSession, *parts: str, unique: bool = True) -> str:
     return f"{base}/{uuid.uuid4().hex}" if unique else base
 
 
-def materialize(df):
-    """Cut ``df``'s lineage with a reliable checkpoint in the shared folder.
-
-    The rows are persisted first: an eager checkpoint runs one job to compute the
-    rows and a second one to write them, and without the persisted copy the second
-    job would compute the whole plan again. The copy is dropped once the checkpoint
-    is written; the result reads the checkpoint and keeps the plan's partitioning.
-    """
-    from pyspark import StorageLevel
-
-    shared_root(df.sparkSession)
-    cached = df.persist(StorageLevel.MEMORY_AND_DISK)
-    out = cached.checkpoint(eager=True)
-    cached.unpersist()
-    return out
+def materialize(df: DataFrame) -> DataFrame:
+    """Cut ``df``'s lineage: write it once to the shared folder and read it back."""
+    path = work_dir(df.sparkSession, "materialized")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
