@@ -84,7 +84,9 @@ def cleaned(docs: DataFrame, **options) -> DataFrame:
     """``docs`` packed, with _text (lines removed), n_lines and n_removed."""
     gone = staged(boilerplate(docs, **options), "lines-removed")
     d = packed(docs, doc_id=F.col("doc_id"), text=F.col("text"), version=F.xxhash64("text")).alias("d")
-    g = gone.alias("g")
+    # Shuffled by hash at every size: a plan that broadcasts small lists would turn into another
+    # one, with other needs, as the corpus grows.
+    g = gone.hint("shuffle_hash").alias("g")
     joined = d.join(
         g, F.col("d.doc_id").eqNullSafe(F.col("g.doc_id")) & (F.col("d.version") == F.col("g.version")), "left"
     ).select("d._row", "d.doc_id", "d.text", F.split("d.text", "\n").alias("_lines"), "g.positions")
