@@ -172,7 +172,7 @@ def format_calls(messages: DataFrame, schemas: DataFrame, max_rounds: int = MAX_
     canonical = F.coalesce(F.to_json(F.try_parse_json("l.arguments")), F.to_json(F.struct("l.arguments")))
     record = F.concat(
         F.lit('{"arguments":'), F.coalesce(canonical, F.lit("null")),
-        F.lit(',"id":'), _quoted(F.col("l.id")), F.lit(',"name":'), F.coalesce(_quoted(F.col("l.name")), F.lit("null")),
+        F.lit(',"id":'), F.coalesce(_quoted(F.col("l.id")), F.lit("null")), F.lit(',"name":'), F.coalesce(_quoted(F.col("l.name")), F.lit("null")),
         F.lit(',"result":'), F.coalesce(_quoted(F.col("l.content")), F.lit("null")), F.lit("}"),
     )
     return linked.alias("l").join(o, same("o"), "left").join(v, same("v"), "left").select(
@@ -184,5 +184,5 @@ def format_calls(messages: DataFrame, schemas: DataFrame, max_rounds: int = MAX_
 
 
 def _quoted(text: Column) -> Column:
-    """A string as JSON text."""
-    return F.regexp_extract(F.to_json(F.struct(text.alias("s"))), r'(?s)^\{"s":(.*)\}$', 1)
+    """A string as JSON text; NULL for NULL."""
+    return F.when(text.isNotNull(), F.regexp_extract(F.to_json(F.struct(text.alias("s"))), r'(?s)^\{"s":(.*)\}$', 1))
