@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from terrace.llm.common import table
+from terrace.llm.line_dedup import MIN_SITES, MIN_WORDS
+from terrace.llm.mixing import BLOCK_WORDS, SEED
 
 PII_KEY = "terrace-example-key"  # a deployment passes its own secret
 
@@ -141,4 +143,55 @@ QUERIES = {
     "op10_near_dedup": op10_near_dedup,
 }
 
-ORACLES: dict[str, str] = {}
+_WORDS = r"len(regexp_extract_all({}, '[^\x20\x09-\x0D]+'))"
+
+ORACLES: dict[str, str] = {
+    # All quotients are listed and ranked here, where the operator lists the contested ones only.
+    "op1_mixing": f"""
+WITH d AS (SELECT doc_id, source, coalesce(CAST({_WORDS.format("text")} AS BIGINT), 0) AS size,
+                  md5('{SEED}:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS k FROM documents),
+t AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size, count(*) AS docs,
+             row_number() OVER (ORDER BY source NULLS LAST) AS place FROM d GROUP BY source),
+w AS (SELECT *, CASE (place - 1) % 3 WHEN 0 THEN 3.0::DOUBLE WHEN 1 THEN 1.0::DOUBLE ELSE 2.0::DOUBLE END AS weight,
+             2.0::DOUBLE * source_size AS cap, 1.5::DOUBLE * sum(source_size) OVER () AS budget FROM t),
+l AS (SELECT *, (budget - coalesce(sum(cap) OVER (ORDER BY cap / weight, place ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
+             / sum(weight) OVER (ORDER BY cap / weight, place ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level FROM w),
+g AS (SELECT source, source_size, docs, place, least(cap, (SELECT max(level) FROM l) * weight) AS target FROM l),
+n AS (SELECT CAST(floor(sum(target) / {BLOCK_WORDS} + 0.5) AS BIGINT) AS blocks FROM g),
+q AS (SELECT source, place, target / (2 * k + 1) AS quotient, k
+      FROM (SELECT *, unnest(range(0, CAST(ceil(target / {BLOCK_WORDS} * 1.2) AS BIGINT) + 40)) AS k FROM g)),
+s AS (SELECT place, count(*) AS seats FROM (SELECT *, row_number() OVER (ORDER BY quotient DESC, place, k) AS r FROM q WHERE quotient > 0)
+      WHERE r <= (SELECT blocks FROM n) GROUP BY place),
+e AS (SELECT d.*, g.place, g.source_size, g.target, coalesce(s.seats, 0) AS seats,
+             CAST('0x' || substr(d.k, 25, 8) AS BIGINT) % CAST(ceil(sqrt(g.docs)) AS BIGINT) AS shard
+      FROM d JOIN g ON d.source IS NOT DISTINCT FROM g.source LEFT JOIN s ON s.place = g.place),
+h AS (SELECT place, shard, CAST(sum(size) AS BIGINT) AS tape, any_value(seats) AS seats FROM e GROUP BY ALL),
+hq AS (SELECT *, unnest(range(0, CAST(ceil(1.2 * seats * tape / sum_tape) AS BIGINT) + 40)) AS k
+       FROM (SELECT *, greatest(sum(tape) OVER (PARTITION BY place), 1) AS sum_tape FROM h)),
+hs AS (SELECT place, shard, count(*) AS won FROM (
+         SELECT *, row_number() OVER (PARTITION BY place ORDER BY tape / (2 * k + 1) DESC, shard, k) AS r FROM hq WHERE tape > 0)
+       WHERE r <= seats GROUP BY ALL),
+c AS (SELECT h.place, h.shard, h.tape, least(coalesce(hs.won, 0) * {BLOCK_WORDS}, 2 * h.tape) AS words
+      FROM h LEFT JOIN hs USING (place, shard)),
+f AS (SELECT e.*, c.tape, c.words,
+             coalesce(sum(e.size) OVER (PARTITION BY e.place, e.shard ORDER BY e.k ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS start
+      FROM e JOIN c USING (place, shard))
+SELECT doc_id, size, source_size, target,
+       CASE WHEN tape = 0 THEN CAST(0 AS BIGINT)
+            ELSE CAST((words // tape) * size + greatest(0, least(size, words % tape - start)) AS BIGINT) END AS taken
+FROM f""",
+    # Exact distinct counts for every line, where the operator estimates away from the threshold.
+    "op7_line_dedup": rf"""
+WITH l AS (SELECT doc_id, source, unnest(string_split(text, chr(10))) AS line,
+                  generate_subscripts(string_split(text, chr(10)), 1) - 1 AS pos FROM documents WHERE text IS NOT NULL),
+k AS (SELECT *, CASE WHEN {_WORDS.format("line")} >= {MIN_WORDS}
+                     THEN trim(line, ' ' || chr(9) || chr(13) || chr(11) || chr(12)) END AS key FROM l),
+s AS (SELECT key, count(DISTINCT coalesce('s:' || source, 'null')) AS sites FROM k WHERE key IS NOT NULL GROUP BY key),
+r AS (SELECT k.*, coalesce(s.sites >= {MIN_SITES}, false)
+             AND row_number() OVER (PARTITION BY k.key ORDER BY doc_id NULLS FIRST, pos) > 1 AS gone FROM k LEFT JOIN s ON s.key = k.key),
+t AS (SELECT doc_id, count(*) AS n_lines, count_if(gone) AS n_removed,
+             coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE NOT gone), '') AS text FROM r GROUP BY doc_id)
+SELECT d.doc_id, coalesce(t.n_lines, 0) AS n_lines, coalesce(t.n_removed, 0) AS n_removed,
+       CAST(length(t.text) AS BIGINT) AS n_chars, md5(t.text) AS text_md5
+FROM documents d LEFT JOIN t ON t.doc_id IS NOT DISTINCT FROM d.doc_id""",
+}
