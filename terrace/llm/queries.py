@@ -194,4 +194,20 @@ t AS (SELECT doc_id, count(*) AS n_lines, count_if(gone) AS n_removed,
 SELECT d.doc_id, coalesce(t.n_lines, 0) AS n_lines, coalesce(t.n_removed, 0) AS n_removed,
        CAST(length(t.text) AS BIGINT) AS n_chars, md5(t.text) AS text_md5
 FROM documents d LEFT JOIN t ON t.doc_id IS NOT DISTINCT FROM d.doc_id""",
+    # Every pair of documents that share a shingle, and the closure of the links.
+    "op10_near_dedup": r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (SELECT doc_id, CASE WHEN len(w) < 2 THEN w
+                          ELSE list_distinct(list_transform(range(1, len(w)), lambda i: w[i] || chr(10) || w[i + 1])) END AS s FROM w),
+u AS (SELECT doc_id, len(s) AS n, unnest(s) AS x FROM s),
+p AS (SELECT a.doc_id AS a, b.doc_id AS b FROM u a JOIN u b ON a.x = b.x AND a.doc_id < b.doc_id
+      GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 80 * (a.n + b.n - count(*))),
+e AS (SELECT a, b FROM p UNION ALL SELECT b, a FROM p),
+c(a, b) AS (SELECT a, b FROM e UNION SELECT c.a, e.b FROM c JOIN e ON c.b = e.a),
+m AS (SELECT a, min(b) AS low FROM c GROUP BY a)
+SELECT s.doc_id, CAST(len(s.s) AS BIGINT) AS n_shingles, least(s.doc_id, coalesce(m.low, s.doc_id)) AS component_id,
+       s.doc_id = least(s.doc_id, coalesce(m.low, s.doc_id)) AS kept
+FROM s LEFT JOIN m ON m.a = s.doc_id""",
 }
