@@ -1,7 +1,6 @@
 """Write the physical plans of key registered queries to docs/PLANS.md.
 
-Plans are produced as for inputs with many splits (single-split spreading off), on
-sf0.01, with the session defaults of the library.
+Plans are those that run, on sf0.01, with the session defaults of the library.
 
 Usage: python scripts/show_plans.py [sf_dir]
 """
@@ -24,22 +23,21 @@ KEY_QUERIES = (
 
 
 def main() -> None:
-    from terrace.functions.parallel import MIN_PARTITIONS_CONF
     from terrace.plans import catalog
-    from terrace.session import build_session
+    from terrace.session import build_session, use_local_folder
 
     sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
     spark = build_session(
-        master="local[8]",
+        master="local[2]",
         conf={"spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false"},
     )
     spark.sparkContext.setLogLevel("ERROR")
-    spark.conf.set(MIN_PARTITIONS_CONF, "1")
+    use_local_folder(spark)
     out = [
         "# Physical plans of key queries",
         "",
-        "Generated by `scripts/show_plans.py` (sf0.01, spreading of single-split scans off, i.e. the plan",
-        "for inputs with many splits). AQE re-plans at run time; these are the initial physical plans.",
+        "Generated by `scripts/show_plans.py` (sf0.01). AQE re-plans at run time; these are the initial",
+        "physical plans.",
         "",
     ]
     for name in KEY_QUERIES:

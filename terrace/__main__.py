@@ -23,8 +23,9 @@ import sys
 
 from terrace.operators import gold
 from terrace.plans import stages
-from terrace.sources import adapters
 from terrace.session import build_session, use_local_folder, work_dir
+from terrace.sources import adapters, jdbc
+from terrace.specs import SALES_TABLES
 
 
 def main(argv: list[str] | None = None) -> int:
@@ -39,6 +40,7 @@ def main(argv: list[str] | None = None) -> int:
     parser.add_argument("--root")
     parser.add_argument("--fmt", default="parquet")
     parser.add_argument("--sf-dir", help="benchmark tables used as the source system")
+    parser.add_argument("--jdbc-url", help="source database instead of --sf-dir (needs a driver on the classpath)")
     parser.add_argument("--load-id", type=int)
     parser.add_argument("--start", type=dt.date.fromisoformat)
     parser.add_argument("--end", type=dt.date.fromisoformat)
@@ -49,10 +51,10 @@ def main(argv: list[str] | None = None) -> int:
     try:
         use_local_folder(spark)
         root = args.root or work_dir(spark, "lake", unique=False)
-        # The benchmark tables stand in for the source system, with their own tie-breakers.
-        ctx = stages.RunContext.start(
-            spark, stages.Layout(root, args.fmt), specs=adapters.SPECS, feed_specs=adapters.FEED_SPECS
-        )
+        # Without a database the benchmark tables stand in for it, with their own tie-breakers.
+        specs = SALES_TABLES if args.jdbc_url else adapters.SPECS
+        feeds = SALES_TABLES if args.jdbc_url else adapters.FEED_SPECS
+        ctx = stages.RunContext.start(spark, stages.Layout(root, args.fmt), specs=specs, feed_specs=feeds)
         if args.stage == "search":
             total, rows = stages.serve_search(ctx, args.q, args.customer_id, args.min_total, args.limit)
             print(json.dumps({"total": total, "results": [json.loads(r["doc"]) for r in rows.collect()]}))
@@ -85,13 +87,19 @@ def main(argv: list[str] | None = None) -> int:
             events = stages.backfill_gold(ctx, args.start, args.end)
             stages.record_run(ctx, events)
         elif args.stage in ("extract", "extract-cdc"):
-            if not (args.sf_dir and args.load_id is not None):
-                parser.error(f"{args.stage} needs --sf-dir and --load-id")
+            if not ((args.sf_dir or args.jdbc_url) and args.load_id is not None):
+                parser.error(f"{args.stage} needs --load-id and --sf-dir or --jdbc-url")
             if args.stage == "extract":
-                sources = adapters.landing_sources(spark, args.sf_dir, None)
+                sources = (
+                    jdbc.sales_sources(spark, args.jdbc_url, specs) if args.jdbc_url
+                    else adapters.landing_sources(spark, args.sf_dir, None)
+                )
                 events = stages.run(ctx, "extract", sources=sources, load_id=args.load_id)
             else:
-                tables = {adapters.FEED_SPECS[0].name: adapters.change_table(spark, args.sf_dir)}
+                tables = (
+                    {s.name: jdbc.read_change_table(spark, args.jdbc_url, f"{s.source_schema}_{s.source_table}") for s in feeds}
+                    if args.jdbc_url else {feeds[0].name: adapters.change_table(spark, args.sf_dir)}
+                )
                 events = stages.run(ctx, "extract-cdc", change_tables=tables, load_id=args.load_id)
         else:
             events = stages.run(ctx, args.stage)

@@ -329,8 +329,21 @@ def _samples_sql() -> str:
 
 @register("layer_samples", _samples_sql())
 def q_layer_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """QLT2, TOP1: first 3 rows (by key) x first 6 columns per Silver table, as JSON."""
-    return quality.samples(_silver_profile_tables(spark, sf_dir))
+    """QLT2, TOP1: first 3 rows (by key) x first 6 columns per Silver table, as JSON.
+
+    The three smallest keys are found first, so only their versions are conformed."""
+    landed = {
+        "sales_orders": A.bronze_orders, "sales_orderlines": A.bronze_order_lines,
+        "sales_invoices": A.bronze_invoices, "sales_invoicelines": A.bronze_invoice_lines,
+    }
+    tables = {}
+    for name, read in landed.items():
+        raw, spec = read(spark, sf_dir), A.spec(name)
+        keys = raw.select(*spec.primary_key).distinct().orderBy(*spec.primary_key).limit(3)
+        few = raw.join(keys, list(spec.primary_key), "left_semi")
+        rows = silver.conform(few, spec.primary_key, spec.cursor, spec.tiebreakers)
+        tables[name] = quality.ProfiledTable(rows, spec.primary_key)
+    return quality.samples(tables)
 
 
 def _portable_hash_sql(cols: list[str]) -> str:

@@ -11,11 +11,13 @@ through Parquet sources with the same shape.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from terrace.operators.cdc import CT_START_LSN, project_change_table
 from terrace.functions.expressions import snake_case
+from terrace.operators.cdc import CT_SEQVAL, CT_START_LSN
 from terrace.specs import INITIAL_LSN, TableSpec
 
 
@@ -87,12 +89,20 @@ def read_change_table(
     capture_instance: str,
     last_lsn: str = INITIAL_LSN,
     properties: dict[str, str] | None = None,
+    num_partitions: int = 16,
 ) -> DataFrame:
-    """Bronze change feed from a source change table: the binary LSN predicate is
-    pushed to the source, the hex projection happens in Spark."""
-    ct = (
-        _reader(spark, url, properties)
-        .option("query", f"SELECT * FROM cdc.[{capture_instance}_CT] WHERE [{CT_START_LSN}] > 0x{last_lsn}")
-        .load()
-    )
-    return project_change_table(ct, last_lsn)
+    """Raw change table after ``last_lsn``, as ``cdc.project_change_table`` takes it.
+
+    Read in ``num_partitions`` stripes of a checksum over the change's position, each a
+    predicate of its own, so one long-running transaction does not make one task's work.
+    """
+    place = f"ABS(CONVERT(bigint, CHECKSUM([{CT_START_LSN}], [{CT_SEQVAL}]))) % {num_partitions}"
+    stripes = [f"[{CT_START_LSN}] > 0x{last_lsn} AND {place} = {i}" for i in range(num_partitions)]
+    return spark.read.jdbc(url, f"cdc.[{capture_instance}_CT]", predicates=stripes, properties=properties or {})
+
+
+def sales_sources(
+    spark: SparkSession, url: str, specs: Sequence[TableSpec], properties: dict[str, str] | None = None
+) -> dict[str, DataFrame]:
+    """The registered tables as the extract stage takes them; it adds the watermark itself."""
+    return {s.name: read_incremental(spark, url, s, None, properties=properties) for s in specs}
