@@ -143,8 +143,9 @@ def train_svm(
     value, vector = np.linalg.eigh(gram)
     good = value > 1e-4 * value.max()
     root = (vector[:, good] / np.sqrt(value[good])) @ vector[:, good].T
-    z = project(codes, phi).astype(np.float64) @ root
-    z = np.hstack([z, np.ones((len(z), 1))])
+    z = np.ones((len(codes), len(root) + 1))
+    for at in range(0, len(codes), 4096):  # in parts, as the driver holds nothing else so large
+        z[at : at + 4096, :-1] = project(codes[at : at + 4096], phi) @ root
     weight = share * np.where(y > 0, 0.5 / max(1.0, share[y > 0].sum()), 0.5 / max(1.0, share[y < 0].sum())) * len(y)
     u = np.zeros(z.shape[1])
     ridge = np.eye(z.shape[1]) / c
@@ -155,8 +156,10 @@ def train_svm(
         if active is not None and (now == active).all():
             break
         active = now
-        za = z[now] * weight[now, None]
-        u = np.linalg.solve(ridge * len(y) / 100 + z[now].T @ za, za.T @ y[now])
+        zn = z[now]
+        right = zn.T @ (weight[now] * y[now])
+        zn *= np.sqrt(weight[now])[:, None]
+        u = np.linalg.solve(ridge * len(y) / 100 + zn.T @ zn, right)
     return (phi @ (root @ u[:-1])).astype(np.float32), float(u[-1])
 
 

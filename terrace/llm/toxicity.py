@@ -252,7 +252,7 @@ def _machine(positive: np.ndarray, against: np.ndarray, negative: np.ndarray, cl
     negative = _without(negative, positive)
     hard = negative[:0]
     for round_ in range(ROUNDS + 1):
-        fit = np.vstack([some(negative, 2 * NEGATIVES), hard])
+        fit = np.vstack([some(negative, NEGATIVES), hard])
         marks = [some(positive, LANDMARKS // 2), some(hard, LANDMARKS // 4), some(negative, LANDMARKS // 4)]
         codes = np.vstack([positive, positive, fit])
         y = np.repeat([1.0, -1.0], [len(positive), len(positive) + len(fit)])
