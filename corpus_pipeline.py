@@ -7,7 +7,8 @@ stage's plan depends on the one before.
 
 1. toxicity: documents that score at or above the threshold go.
 2. line dedup: lines on many sites go, but for their first place; documents left empty go.
-3. near dedup: one document of each group of near duplicates stays.
+3. near dedup: one document of each group of near duplicates stays; then lines of more than 50
+   words that stand in several of the documents left go, but for their first place.
 4. decontamination: documents that hold a benchmark item go.
 5. mixing: sources are weighed; ``mix_words`` says how many words of a document are taken.
 """
@@ -18,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from terrace.llm.common import staged, table
 from terrace.llm.decontaminate import remove
-from terrace.llm.line_dedup import remove_boilerplate
+from terrace.llm.line_dedup import remove_boilerplate, remove_passages
 from terrace.llm.mixing import mix
 from terrace.llm.near_dedup import deduplicate
 from terrace.llm.toxicity import keep_clean
@@ -37,7 +38,8 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     use_local_folder(spark)
-    return deduplicate(docs)
+    # After the near copies are gone, as it would leave rests of them.
+    return remove_passages(staged(deduplicate(docs), "pipeline-distinct"))
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

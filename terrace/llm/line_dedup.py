@@ -10,6 +10,9 @@
 4. A boilerplate line stays in its first place (smallest doc_id, then position) and goes
    everywhere else, so removal never destroys the only copy of a passage.
 
+``remove_passages`` is for what a rule over sites leaves: a line of more than 50 words does not
+meet by chance, so it goes from its second document on, whatever the sources.
+
 A line is compared without its leading and trailing white space; lines of fewer than
 ``min_words`` words are left alone, as short lines meet by chance.
 
@@ -21,23 +24,24 @@ Empty input: empty result. Extra columns: passed through by ``remove_boilerplate
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from terrace.llm.common import packed, staged, word_count
 
 MIN_SITES = 4
 MIN_WORDS = 3
+PASSAGE_WORDS = 51
 LG_K = 12
 TRIMMED = " \t\r\x0b\x0c"
 
 
-def lines(docs: DataFrame, site: str = "source", min_words: int = MIN_WORDS) -> DataFrame:
+def lines(docs: DataFrame, site: str | Column = "source", min_words: int = MIN_WORDS) -> DataFrame:
     """doc_id, version (hash of the text), site, position, line (hash) of every line long enough."""
     each = docs.select(
         "doc_id",
         F.xxhash64("text").alias("version"),
-        F.col(site).cast("string").alias("site"),
+        (F.col(site) if isinstance(site, str) else site).cast("string").alias("site"),
         F.posexplode(F.split("text", "\n")).alias("position", "_line"),
     )
     return each.filter(word_count(F.col("_line")) >= min_words).select(
@@ -66,7 +70,9 @@ def spread_lines(each: DataFrame, min_sites: int = MIN_SITES, lg_k: int = LG_K)
     return sure.union(exact)
 
 
-def boilerplate(docs: DataFrame, site: str = "source", min_sites: int = MIN_SITES, min_words: int = MIN_WORDS) -> DataFrame:
+def boilerplate(
+    docs: DataFrame, site: str | Column = "source", min_sites: int = MIN_SITES, min_words: int = MIN_WORDS
+) -> DataFrame:
     """doc_id, version, positions: the lines to remove from every document that has any."""
     each = staged(lines(docs, site, min_words), "lines")
     hits = staged(
@@ -115,3 +121,13 @@ def remove_boilerplate(docs: DataFrame, **options) -> DataFrame:
     if "n_chars" in kinds:
         new["n_chars"] = F.when(F.col("n_removed") > 0, F.length("_text")).otherwise(F.col("_row.n_chars")).cast(kinds["n_chars"])
     return out.select(*(new.get(c, F.col(f"_row.`{c}`")).alias(c) for c in docs.columns))
+
+
+def remove_passages(docs: DataFrame, min_words: int = PASSAGE_WORDS) -> DataFrame:
+    """``docs`` without the lines of ``min_words`` words and more that stand in an earlier document.
+
+    For documents that are no near copies of each other: of a pair of those, it would leave a
+    rest of one. Rows of the same doc_id and text are one document, as everywhere here.
+    """
+    document = F.struct("doc_id", F.xxhash64("text"))
+    return remove_boilerplate(docs, site=document, min_sites=2, min_words=min_words)

@@ -70,3 +70,24 @@ def test_odd_inputs(spark):
     assert not any(i in (5, 6) for i, t in texts)
     assert (2, None) in texts and (1, "") in texts
     assert cleaned(no_docs(spark)).count() == 0
+
+
+def test_passages_on_few_sites(spark):
+    """Passages in 2 or 3 sources, or often in one, go after the near copies; short lines stay."""
+    import corpus_pipeline
+
+    rng = random.Random(11)
+    own = lambda n: prose(rng, n, 10**6)
+    two, three, one, short, edge, twice = own(51), own(80), own(60), own(50), own(51), own(70)
+    rows = [(i, f"{own(60)}\n{p}\n{own(40)}", f"s{i % k}") for k, p, at in ((2, two, 0), (3, three, 10), (1, one, 20), (2, short, 70)) for i in range(at, at + (40 if k == 1 else k))]
+    rows += [(90, f"{edge}\n{own(30)}", "a"), (91, f"{own(30)} {edge}", "b"), (92, f"{twice}\n{own(9)}\n{twice}", "a")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    kept = corpus_pipeline.near_dedup(spark, corpus_pipeline.line_dedup(spark, docs, ""), "")
+    got = {r["doc_id"]: r["text"] for r in kept.collect()}
+    assert set(got) == {i for i, _, _ in rows}
+    for passage, first in ((two, 0), (three, 10), (one, 20)):
+        assert [i for i, text in got.items() if passage in text] == [first]
+    # 50 words are not over 50; inside a longer line and inside one document nothing is looked for.
+    untouched = {70, 71, 90, 91, 92, 0, 10, 20}
+    assert {i: got[i] for i in untouched} == {i: t for i, t, _ in rows if i in untouched}
+    assert all(got[i].split("\n") == [x for x in t.split("\n") if x not in (two, three, one)] for i, t, _ in rows if i not in untouched)
