@@ -1,7 +1,9 @@
 """Secret scanning: candidates by pattern, false positives removed by a random forest.
 
-Candidates are long runs of key characters with a digit in them, and quoted values assigned
-to a credential word. Each is described by its length, character transitions, classes and
+Candidates are long runs of key characters with a digit in them, and whole values assigned
+to a credential word with ``=`` or ``:``: quoted ones of 4 to 400 characters on a line, with any
+characters in them (white space is read as one space), and unquoted ones of 4 characters and
+more up to white space, a quote, a comma or a semicolon. Each is described by its length, character transitions, classes and
 variety, by how much of it dictionary words cover (the dictionary is the corpus' own
 frequent words), by its path, and by the words around it. Spark's random forest is trained
 on labelled findings and scores every candidate.
@@ -29,6 +31,14 @@ from terrace.llm.common import staged
 
 RUN = r"[A-Za-z0-9+/=_-]{16,}"
 CREDENTIAL = r"(?i)(?:token|secret|passw(?:or)?d|pwd|api_?key|apikey|access_?key|auth|credential|private_?key)"
+# The value is marked by characters that stand in no text after ``candidates`` has taken them out.
+START, END = "\x01", "\x02"
+ASSIGNED = (
+    r"(?i)(" + CREDENTIAL + r"""(?:[_-][a-z0-9]{1,20}){0,2}['"]?[ \t]{0,3}(?::=|=>|={1,2}|:)[ \t]{0,3}["'`]?)"""
+    r"""((?<=")[^"\n]{4,400}(?=")|(?<=')[^'\n]{4,400}(?=')|(?<=`)[^`\n]{4,400}(?=`)"""
+    r"""|[^\x09-\x0D "'`,;]{3,}[^\x09-\x0D "'`,;.)\]}>])"""
+)
+MARKED_WORDS = 201  # a quoted value has no more words
 SPACE_RUN = r"[\x20\x09-\x0D]+"
 KNOWN = r"^(?:AKIA[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{36,}|xox[abprs]-[A-Za-z0-9-]{10,}|AIza[A-Za-z0-9_-]{35}|sk_live_[A-Za-z0-9]{16,})$"
 HARMLESS = r"^(?:[0-9-]+|[A-Za-z]+|[0-9a-fA-F]{8}(?:-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}|(.)\1+|.*(?i:example|placeholder|changeme|xxxx|dummy).*)$"
@@ -43,28 +53,45 @@ NUMERIC = ["length", "transitions", "digits", "variety", "hex", "coverage", "dep
 def candidates(docs: DataFrame, path: Column | None = None) -> DataFrame:
     """doc_id, path, place, part, value, before, before2, after of every candidate."""
     path = F.coalesce(path if path is not None else F.lit(""), F.lit("")).cast("string")
-    words = docs.filter(F.col("text").rlike(RUN)).select(
-        "doc_id", path.alias("path"), F.split("text", SPACE_RUN).alias("_words")
+    marked = F.regexp_replace(F.translate("text", START + END, ".."), ASSIGNED, f"$1{START}$2{END}")
+    words = docs.filter(F.col("text").rlike(RUN) | F.col("text").rlike(ASSIGNED)).select(
+        "doc_id", path.alias("path"), F.split(marked, SPACE_RUN).alias("_words")
     )
-    at = F.filter(F.sequence(F.lit(0), F.size("_words") - 1), lambda i: F.get("_words", i).rlike(RUN))
+    at = F.filter(F.sequence(F.lit(0), F.size("_words") - 1), lambda i: F.get("_words", i).rlike(f"{RUN}|{START}"))
+    plain = lambda w: F.translate(F.coalesce(w, F.lit("")), START + END, "")
+    begun = lambda i: F.regexp_count(F.get("_words", i), F.lit(START))
+    # Of the values marked from a word on, those that begin in it.
+    assigned_at = lambda i: F.when(
+        begun(i) > 0,
+        F.slice(
+            F.regexp_extract_all(
+                F.array_join(F.slice("_words", i + 1, F.lit(MARKED_WORDS)), " "), F.lit(f"{START}([^{START}{END}]+){END}"), F.lit(1)
+            ),
+            F.lit(1), begun(i),
+        ),
+    ).otherwise(F.array().cast("array<string>"))
     near = F.transform(
         at,
         lambda i: F.struct(
             i.alias("place"),
-            F.get("_words", i).alias("word"),
-            F.coalesce(F.get("_words", i - 1), F.lit("")).alias("before"),
-            F.coalesce(F.get("_words", i - 2), F.lit("")).alias("before2"),
-            F.coalesce(F.get("_words", i + 1), F.lit("")).alias("after"),
+            plain(F.get("_words", i)).alias("word"),
+            plain(F.get("_words", i - 1)).alias("before"),
+            plain(F.get("_words", i - 2)).alias("before2"),
+            plain(F.get("_words", i + 1)).alias("after"),
+            F.regexp_replace(F.get("_words", i), f"{START}[^{END}]*(?:{END}|$)", " ").alias("rest"),
+            assigned_at(i).alias("given"),
         ),
     )
     each = words.select("doc_id", "path", F.explode(near).alias("n")).select("doc_id", "path", "n.*")
-    found = each.select(
-        "*", F.posexplode(F.regexp_extract_all("word", F.lit(f"({RUN})"), F.lit(1))).alias("part", "value")
+    # A run that an assigned value takes in is no finding of its own.
+    runs = F.regexp_extract_all(F.translate("rest", END, ""), F.lit(f"({RUN})"), F.lit(1))
+    found = each.select("*", F.posexplode(F.concat("given", runs)).alias("part", "value"))
+    assigned = F.array_contains("given", F.col("value")) | F.concat_ws(" ", "before2", "before", "word").rlike(
+        CREDENTIAL + r"['\"]? ?(?:=|:|:=) ?['\"]?"
     )
-    assigned = F.concat_ws(" ", "before2", "before", "word").rlike(CREDENTIAL + r"['\"]? ?(?:=|:|:=) ?['\"]?")
     return found.withColumn("assigned", assigned.cast("double")).withColumn(
         "quoted", F.col("word").rlike("['\"]").cast("double")
-    ).filter(F.col("value").rlike("[0-9]") | (F.col("assigned") > 0))
+    ).filter((F.col("value").rlike("[0-9]") | (F.col("assigned") > 0)) & F.col("value").rlike(r"[\p{L}\p{N}]")).drop("given", "rest")
 
 
 def dictionary(docs: DataFrame, size: int = DICTIONARY_WORDS) -> DataFrame:
@@ -110,7 +137,7 @@ def rule_labels(found: DataFrame) -> Column:
     return (
         F.when(value.rlike(KNOWN), 1.0)
         .when(value.rlike(HARMLESS) | F.col("before").rlike(CHECKSUM) | (F.col("coverage") >= 0.8), 0.0)
-        .when((F.col("assigned") > 0) & (F.col("quoted") > 0) & (F.col("variety") > 0.2), 1.0)
+        .when((F.col("assigned") > 0) & (F.col("quoted") > 0) & (F.col("variety") > 0.2) & ~value.contains(" "), 1.0)
     )
 
 

@@ -68,3 +68,19 @@ def test_odd_inputs(spark):
     assert len(got) == 7 and {r["part"] for r in got} == {0, 1} and all(r["probability"] in (0.0, 0.5, 1.0) or 0 <= r["probability"] <= 1 for r in got)
     assert scan(no_docs(spark)).count() == 0
     assert len(ODD) and RUN and CREDENTIAL
+
+
+def test_short_and_punctuated_values_are_candidates(spark):
+    texts = {
+        1: ('so password = "Winter2024!" is set', ["Winter2024!"]), 2: ("pwd='s3cr3t-pw'", ["s3cr3t-pw"]),
+        3: ('the secret: "P@ss.w0rd#2024!long" here', ["P@ss.w0rd#2024!long"]), 4: ("passwd: hunter2, then", ["hunter2"]),
+        5: ('{"password":"a1b!","api_key":"k:9/x","n":1}', ["a1b!", "k:9/x"]), 6: ('PASSWORD = "correct horse 7 battery"', ["correct horse 7 battery"]),
+        7: ("DB_PASSWORD_PROD=q#7z;x", ["q#7z"]), 8: ("the author: Smith, and no password = here, pwd=abc", ["here"]), 9: ('token="' + secret(1) + '"', [secret(1)]),
+        10: ("api_key=" + secret(2) + ".tail!", [secret(2) + ".tail!"]), 11: ('password: "" and secret = "', []), 12: ("a\x01b password=x\x02y9z", ["x.y9z"]),
+    }
+    docs = spark.createDataFrame([(i, t) for i, (t, _) in texts.items()], "doc_id long, text string")
+    got = {i: [] for i in texts}
+    for r in sorted(scan(docs).collect(), key=lambda r: (r["doc_id"], r["place"], r["part"])):
+        got[r["doc_id"]].append(r["value"])
+        assert r["place"] is not None and r["length"] == len(r["value"]) and 0 <= r["probability"] <= 1
+    assert got == {i: v for i, (_, v) in texts.items()}
