@@ -9,7 +9,11 @@
    is right; a name follows the gender of the form of address and the script it is written in.
 3. Entities whose surrogate another entity has, or which is itself an entity of the corpus,
    try again with the next attempt; the one with the smallest canonical form keeps it. The
-   rounds work on entities, not on documents, and end when no two are alike.
+   rounds work on entities, not on documents, and end when no two are alike. Where attempts
+   keep failing the target grows, as its free values must outnumber the entities: a private
+   address may get one of 10.0.0.0/8 and then of the reserved 240.0.0.0/4, which has more than
+   there are private ones, and an e-mail address a longer local part. Numbers keep their length,
+   so more than half of all phone, social security or card numbers of a length have no answer.
 4. Each mention is rendered in its own layout and case, and texts are put together again from
    the pieces between the mentions. Only texts that hold a mention are shuffled.
 
@@ -50,6 +54,8 @@ FIRST_NAMES = {
     ("cyrillic", "f"): "Анна Вера Дарья Елена Ирина Клара Мария Нина Ольга Полина Раиса София Тамара Ульяна Юлия Яна".split(),
     ("cyrillic", "m"): "Антон Борис Виктор Глеб Денис Егор Иван Кирилл Лев Максим Олег Павел Роман Семён Тимур Фёдор".split(),
 }
+# From this attempt on, surrogates come from a wider space.
+WIDER = 10
 SYLLABLES = {
     "latin": "bal cor dan fel gar hol jan kel lor mar nes pol ren sal tor van".split(),
     "cyrillic": "бал вор гар дан зор кал лен мар нов пол рен сал тор фед хол чер".split(),
@@ -103,10 +109,17 @@ def surrogate(key: str, kind: Column, entity: Column, attempt: Column) -> Column
     seed = F.concat_ws("\x1f", F.lit(key), kind, entity, attempt.cast("string"))
     digest = F.sha2(seed, 256)
     top = F.regexp_extract(entity, r"(\.[^.@]+)$", 1)
-    email = F.concat(_letters(F.substr(entity, F.lit(1), F.length(entity) - F.length(top)), seed), top)
+    longer = F.repeat(F.lit("x"), F.greatest(attempt - (WIDER - 1), F.lit(0)))
+    email = F.concat(_letters(longer, F.concat(seed, F.lit("\x1flonger"))), _letters(F.substr(entity, F.lit(1), F.length(entity) - F.length(top)), seed), top)
 
     octet = lambda i, low, n: (_number(digest, i) % n + low).cast("string")
-    ip = F.concat_ws(
+    private = entity.rlike(r"^(?:10|192\.168|172\.(?:1[6-9]|2[0-9]|3[01]))\.")
+    ip = F.when(
+        private & (attempt >= WIDER),
+        F.concat_ws(
+            ".", F.when(attempt < 2 * WIDER, F.lit("10")).otherwise(octet(0, 240, 15)), octet(1, 0, 256), octet(2, 0, 256), octet(3, 0, 256)
+        ),
+    ).otherwise(F.concat_ws(
         ".",
         F.when(entity.rlike(r"^10\."), F.lit("10"))
         .when(entity.rlike(r"^192\.168\."), F.lit("192.168"))
@@ -115,7 +128,7 @@ def surrogate(key: str, kind: Column, entity: Column, attempt: Column) -> Column
         F.when(entity.rlike(r"^10\."), octet(1, 0, 256)),
         octet(2, 0, 256),
         octet(3, 0, 256),
-    )
+    ))
 
     country = F.regexp_extract(entity, r"^(\+[0-9]{0,3}?)(?=[0-9]{10}$|[0-9]{7,9}$)", 1)
     fresh = F.concat(country, _digits(F.length(entity) - F.length(country), seed))

@@ -83,3 +83,15 @@ def test_odd_inputs(spark):
     assert len(new) == len(ODD) and all("a.b@c.de" not in r["text"] and "Mail " in r["text"] for r in new)
     assert len({re.findall(r"\S+@\S+", r["text"])[0] for r in new}) == 1
     assert pseudonymise(no_docs(spark), "k").count() == 0
+
+
+def test_spaces_more_than_half_full(spark):
+    """Of 65,536 and 676 values more than half are entities: no assignment exists inside the space."""
+    texts = [" ".join(f"192.168.{a}.{b}" for b in range(256)) for a in range(140)]
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    texts += [" ".join(f"{a}@{b}.de" for b in letters) for a in letters]
+    book = dictionary(mentions(frame(spark, texts)), "k").collect()
+    assert len(book) == 140 * 256 + 26 * 26 == len({r["surrogate"] for r in book})
+    assert not {r["surrogate"] for r in book} & {r["entity"] for r in book}
+    assert all(re.match(r"192\.168\.|10\.", r["surrogate"]) for r in book if r["kind"] == "ip")
+    assert all(re.fullmatch(r"[a-z]+@[a-z]\.de", r["surrogate"]) for r in book if r["kind"] == "email")
