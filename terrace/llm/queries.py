@@ -130,6 +130,14 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op13_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Weight, seeded score and rank of every document towards the benchmark's text."""
+    from terrace.llm.resampling import importance
+
+    found = importance(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "n_features", "weight", "score", "rank")
+
+
 QUERIES = {
     "op1_mixing": op1_mixing,
     "op2_tool_calls": op2_tool_calls,
@@ -141,6 +149,7 @@ QUERIES = {
     "op8_html_extraction": op8_html_extraction,
     "op9_toxicity": op9_toxicity,
     "op10_near_dedup": op10_near_dedup,
+    "op13_importance": op13_importance,
 }
 
 _WORDS = r"len(regexp_extract_all({}, '[^\x20\x09-\x0D]+'))"
@@ -210,4 +219,29 @@ m AS (SELECT a, min(b) AS low FROM c GROUP BY a)
 SELECT s.doc_id, CAST(len(s.s) AS BIGINT) AS n_shingles, least(s.doc_id, coalesce(m.low, s.doc_id)) AS component_id,
        s.doc_id = least(s.doc_id, coalesce(m.low, s.doc_id)) AS kept
 FROM s LEFT JOIN m ON m.a = s.doc_id""",
+    # The CRC-32 of each distinct word, bit by bit; every feature of every document counted.
+    "op13_importance": r"""
+WITH w AS (
+  SELECT true AS own, doc_id AS id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                               '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents
+  UNION ALL
+  SELECT false, item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                   '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') FROM benchmark),
+u AS (SELECT own, id, unnest(w) AS x FROM w),
+v AS (SELECT x, hex(encode(x)) AS h FROM (SELECT DISTINCT x FROM u)),
+c AS (SELECT x, xor(list_reduce(list_transform(range(0, len(h) // 2), lambda i: CAST('0x' || substr(h, CAST(2 * i + 1 AS BIGINT), 2) AS BIGINT)),
+                                lambda c, b: list_reduce(range(8), lambda y, k: xor(y >> 1, 3988292384 * (y & 1)), xor(c, b)),
+                                CAST(4294967295 AS BIGINT)), CAST(4294967295 AS BIGINT)) % 10000 AS bucket FROM v),
+f AS (SELECT own, id, bucket FROM u JOIN c USING (x)),
+n AS (SELECT bucket, count(*) FILTER (WHERE own) AS s, count(*) FILTER (WHERE NOT own) AS t FROM f GROUP BY bucket),
+z AS (SELECT count(*) FILTER (WHERE own) AS s, count(*) FILTER (WHERE NOT own) AS t FROM f),
+g AS (SELECT bucket, CAST(floor(1000 * ln((n.t + 1.0::DOUBLE) * (z.s + 10000) / ((n.s + 1.0::DOUBLE) * (z.t + 10000)))) AS BIGINT) AS gain FROM n, z),
+d AS (SELECT id, CAST(sum(gain) AS BIGINT) AS weight FROM f JOIN g USING (bucket) WHERE own GROUP BY id),
+r AS (SELECT w.id AS doc_id, CAST(len(w.w) AS BIGINT) AS n_features, coalesce(d.weight, 0) AS weight,
+             CAST('0x' || substr(sha256('2024:' || w.id), 1, 8) AS BIGINT) AS h FROM w LEFT JOIN d ON d.id = w.id WHERE w.own),
+k AS (SELECT doc_id, n_features, weight,
+             weight + CAST(floor(-1000 * ln(-ln((h + 0.5::DOUBLE) / 4294967296.0::DOUBLE))) AS BIGINT) AS score FROM r),
+o AS (SELECT *, n_features >= 20 AS able, row_number() OVER (PARTITION BY n_features >= 20 ORDER BY score DESC, doc_id) AS place,
+             count(*) FILTER (WHERE n_features >= 20) OVER () AS n FROM k)
+SELECT doc_id, n_features, weight, score, CASE WHEN able AND place <= n * 10 // 100 THEN place END AS rank FROM o""",
 }
