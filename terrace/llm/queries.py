@@ -130,6 +130,17 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Product code and exact errors of every vector, and the digest of the codebooks."""
+    from terrace.llm.vector_codes import book_digest, compress
+
+    coded, books = compress(table(spark, sf_dir, "embeddings"))
+    return coded.select(
+        "vec_id", F.col("_code").alias("code"), F.col("_error").alias("error"), F.col("_label_error").alias("label_error"),
+        F.lit(book_digest(books)).alias("codebooks_sha256"),
+    )
+
+
 def op13_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Weight, seeded score and rank of every document towards the benchmark's text."""
     from terrace.llm.resampling import importance
@@ -149,12 +160,34 @@ QUERIES = {
     "op8_html_extraction": op8_html_extraction,
     "op9_toxicity": op9_toxicity,
     "op10_near_dedup": op10_near_dedup,
+    "op11_vector_codes": op11_vector_codes,
     "op13_importance": op13_importance,
 }
 
 _WORDS = r"len(regexp_extract_all({}, '[^\x20\x09-\x0D]+'))"
 
+def _lloyd_sql(parts: int = 4, entries: int = 256, rounds: int = 4) -> str:
+    """Every distance of every round: entries start as the first vectors' parts, means are floored."""
+    steps = [f"""WITH v AS (SELECT vec_id, label, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT vec_id, label, p, v[p * len(v) // {parts} + 1 : (p + 1) * len(v) // {parts}] AS x FROM v, range({parts}) AS r(p)),
+b0 AS (SELECT p, row_number() OVER (PARTITION BY p ORDER BY vec_id) - 1 AS e, x AS c FROM s QUALIFY e < {entries})"""]
+    for k in range(rounds + 1):
+        steps.append(f"""d{k} AS (SELECT vec_id, label, s.p, x, e, CAST(list_sum(list_transform(range(1, len(x) + 1), lambda i: (x[i] - c[i]) * (x[i] - c[i]))) AS BIGINT) AS d
+  FROM s JOIN b{k} USING (p)),
+a{k} AS (SELECT * FROM d{k} QUALIFY row_number() OVER (PARTITION BY vec_id, p ORDER BY d, e) = 1)""")
+        if k < rounds:
+            steps.append(f"""m{k} AS (SELECT p, e, i, CAST(floor(CAST(sum(x[i]) AS BIGINT) / count(*)) AS BIGINT) AS c FROM a{k}, range(1, (SELECT max(len(x)) FROM s) + 1) AS r(i) GROUP BY p, e, i),
+l{k} AS (SELECT p, e, list(c ORDER BY i) AS c FROM m{k} GROUP BY p, e),
+b{k + 1} AS (SELECT b.p, b.e, coalesce(l.c, b.c) AS c FROM b{k} b LEFT JOIN l{k} l ON l.p = b.p AND l.e = b.e)""")
+    return ",\n".join(steps) + f""",
+r AS (SELECT vec_id, any_value(label) AS label, string_agg(lower(lpad(hex(e), 2, '0')), '' ORDER BY p) AS code, CAST(sum(d) AS BIGINT) AS error FROM a{rounds} GROUP BY vec_id),
+h AS (SELECT sha256(string_agg(array_to_string(c, ','), ',' ORDER BY p, e)) AS h FROM b{rounds})
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, h.h AS codebooks_sha256 FROM r, h"""
+
+
 ORACLES: dict[str, str] = {
+    "op11_vector_codes": _lloyd_sql(),
     # All quotients are listed and ranked here, where the operator lists the contested ones only.
     "op1_mixing": f"""
 WITH d AS (SELECT doc_id, source, coalesce(CAST({_WORDS.format("text")} AS BIGINT), 0) AS size,
