@@ -141,6 +141,13 @@ def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of every document covered by windows that start elsewhere too, and what is left."""
+    from terrace.llm.substring_dedup import repeated_passages
+
+    return repeated_passages(table(spark, sf_dir, "documents")).select("doc_id", "n_words", "n_removed", "kept_sha256")
+
+
 def op13_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Weight, seeded score and rank of every document towards the benchmark's text."""
     from terrace.llm.resampling import importance
@@ -161,6 +168,7 @@ QUERIES = {
     "op9_toxicity": op9_toxicity,
     "op10_near_dedup": op10_near_dedup,
     "op11_vector_codes": op11_vector_codes,
+    "op12_substring_dedup": op12_substring_dedup,
     "op13_importance": op13_importance,
 }
 
@@ -252,6 +260,18 @@ m AS (SELECT a, min(b) AS low FROM c GROUP BY a)
 SELECT s.doc_id, CAST(len(s.s) AS BIGINT) AS n_shingles, least(s.doc_id, coalesce(m.low, s.doc_id)) AS component_id,
        s.doc_id = least(s.doc_id, coalesce(m.low, s.doc_id)) AS kept
 FROM s LEFT JOIN m ON m.a = s.doc_id""",
+    # Every window of every document written out and counted.
+    "op12_substring_dedup": r"""
+WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (SELECT doc_id, unnest(range(1, len(w) - 33)) AS i FROM d WHERE len(w) >= 35),
+h AS (SELECT s.doc_id, s.i, sha256(array_to_string(d.w[s.i : s.i + 34], ' ')) AS h FROM s JOIN d ON d.doc_id = s.doc_id),
+r AS (SELECT doc_id, i FROM h QUALIFY count(*) OVER (PARTITION BY h) > 1),
+g AS (SELECT DISTINCT doc_id, unnest(range(i, i + 35)) AS i FROM r),
+x AS (SELECT doc_id, unnest(w) AS x, generate_subscripts(w, 1) AS i FROM d),
+k AS (SELECT x.doc_id, count(g.i) AS n_removed, string_agg(x.x, ' ' ORDER BY x.i) FILTER (WHERE g.i IS NULL) AS kept
+      FROM x LEFT JOIN g ON g.doc_id = x.doc_id AND g.i = x.i GROUP BY x.doc_id)
+SELECT d.doc_id, CAST(len(d.w) AS BIGINT) AS n_words, coalesce(k.n_removed, 0) AS n_removed, sha256(coalesce(k.kept, '')) AS kept_sha256
+FROM d LEFT JOIN k ON k.doc_id = d.doc_id""",
     # The CRC-32 of each distinct word, bit by bit; every feature of every document counted.
     "op13_importance": r"""
 WITH w AS (
