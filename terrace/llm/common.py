@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import pickle
 import uuid
+from collections.abc import Callable, Iterator
+from typing import Any
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -34,6 +38,16 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def in_task(rows: DataFrame, work: Callable[[list[dict]], Any]) -> Any:
+    """``work`` on all ``rows`` inside one task, for bounded tables: only its result reaches the driver."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found = work([r for b in batches for r in b.to_pylist()])
+        yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(found)], pa.binary())], ["result"])
+
+    return pickle.loads(rows.coalesce(1).mapInArrow(run, "result binary").collect()[0]["result"])
+
+
 def packed(rows: DataFrame, **derived: Column) -> DataFrame:
     """``rows`` as one struct column ``_row`` beside derived columns.
 

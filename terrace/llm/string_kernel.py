@@ -107,26 +107,35 @@ def norms(codes: np.ndarray) -> np.ndarray:
     return _NORM[(codes != 0).sum(axis=1)]
 
 
-def project(codes: np.ndarray, table: np.ndarray) -> np.ndarray:
-    """Normalised features of every window times ``table`` (DIMS, or DIMS x columns)."""
+def project(codes: np.ndarray, table: np.ndarray, row: np.ndarray | None = None) -> np.ndarray:
+    """Normalised features of every window times ``table`` (one row per place, or per ``row`` of a place)."""
     out = np.zeros((len(codes), *table.shape[1:]), np.float32)
     for triple, weight in zip(TRIPLES, WEIGHTS, strict=True):
-        part = table[places(codes, triple)] * np.float32(weight)
+        at = places(codes, triple)
+        part = table[at if row is None else row[at]] * np.float32(weight)
         part[codes[:, triple[2]] == 0] = 0
         out += part
     scale = norms(codes).astype(np.float32)
     return out / (scale if out.ndim == 1 else scale[:, None])
 
 
-def features(codes: np.ndarray) -> np.ndarray:
-    """Normalised feature vectors as columns of a DIMS x windows table (for landmarks)."""
-    out = np.zeros((DIMS, len(codes)), np.float32)
-    rows = np.arange(len(codes))
-    for triple, weight in zip(TRIPLES, WEIGHTS, strict=True):
-        live = codes[:, triple[2]] != 0
-        np.add.at(out, (places(codes, triple)[live], rows[live]), np.float32(weight))
+def features(codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Normalised feature vectors of landmarks, as columns over the places that any of them has.
+
+    (row of every place, rows x windows). A window has at most ``len(TRIPLES)`` places, so few
+    of the DIMS are used; row 0 stands for all others and is zero.
+    """
+    found = np.stack([places(codes, triple) for triple in TRIPLES])
+    live = codes[:, TRIPLES[:, 2]].T != 0
+    used = np.unique(found[live])
+    row = np.zeros(DIMS, np.int32)
+    row[used] = np.arange(1, len(used) + 1)
+    out = np.zeros((len(used) + 1, len(codes)), np.float32)
+    columns = np.arange(len(codes))
+    for k, weight in enumerate(WEIGHTS):
+        np.add.at(out, (row[found[k][live[k]]], columns[live[k]]), np.float32(weight))
     out /= norms(codes).astype(np.float32)
-    return out
+    return row, out
 
 
 def train_svm(
@@ -138,14 +147,14 @@ def train_svm(
     The machine is linear in it, so its weights fold back into one vector over the hashed
     subsequences. An example counts ``share``; both classes weigh the same in all.
     """
-    phi = features(landmarks)
+    row, phi = features(landmarks)
     gram = (phi.T @ phi).astype(np.float64)
     value, vector = np.linalg.eigh(gram)
     good = value > 1e-4 * value.max()
     root = (vector[:, good] / np.sqrt(value[good])) @ vector[:, good].T
     z = np.ones((len(codes), len(root) + 1))
-    for at in range(0, len(codes), 4096):  # in parts, as the driver holds nothing else so large
-        z[at : at + 4096, :-1] = project(codes[at : at + 4096], phi) @ root
+    for at in range(0, len(codes), 4096):
+        z[at : at + 4096, :-1] = project(codes[at : at + 4096], phi, row) @ root
     weight = share * np.where(y > 0, 0.5 / max(1.0, share[y > 0].sum()), 0.5 / max(1.0, share[y < 0].sum())) * len(y)
     u = np.zeros(z.shape[1])
     ridge = np.eye(z.shape[1]) / c
@@ -160,7 +169,7 @@ def train_svm(
         right = zn.T @ (weight[now] * y[now])
         zn *= np.sqrt(weight[now])[:, None]
         u = np.linalg.solve(ridge * len(y) / 100 + zn.T @ zn, right)
-    return (phi @ (root @ u[:-1])).astype(np.float32), float(u[-1])
+    return (phi @ (root @ u[:-1]))[row].astype(np.float32), float(u[-1])
 
 
 FLOOR, CEILING, HIT = -1.0, 2.0, 0.6

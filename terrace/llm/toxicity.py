@@ -17,7 +17,8 @@ their density: gapped, spelled-out or inserted-character forms of an insult shar
 subsequences with it. A logistic curve fitted on labelled documents that took no part in training turns them
 into a score.
 
-Training reads at most ``TOXIC_ROWS + CLEAN_ROWS`` labelled rows for the machine and as many
+Sets of grams and the machines are worked in one task over the bounded sample; the driver holds
+the weights. Training reads at most ``TOXIC_ROWS + CLEAN_ROWS`` labelled rows for the machine and as many
 for the curve, chosen by a hash of doc_id; scoring reads every whole text, without a shuffle.
 
 Defined cases. NULL or empty text, or one without letters: no word, the lowest decision
@@ -39,7 +40,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from terrace.llm import string_kernel as kernel
-from terrace.llm.common import staged
+from terrace.llm.common import in_task, staged
 from terrace.llm.textvec import mix64, pieces
 
 TOXIC_ROWS, CLEAN_ROWS = 3_000, 15_000
@@ -211,8 +212,12 @@ def train(docs: DataFrame, labels: DataFrame) -> Model:
         "toxic-candidates",
     )
     places = words.filter("toxic = 1").withColumn("gram", F.explode(_grams("word"))).join(likely, "gram")
-    found = places.groupBy("gram").agg(F.collect_set("family").alias("families"), F.first("c").alias("c")).collect()
-    taken = _chosen_grams({r["gram"]: set(r["families"]) for r in found}, {r["gram"]: r["c"] for r in found}, p, grams.count())
+    found = places.groupBy("gram").agg(F.collect_set("family").alias("families"), F.first("c").alias("c"))
+    tested = grams.count()
+    taken = in_task(
+        found.orderBy("gram"),  # CANDIDATES rows of at most TOXIC_ROWS families
+        lambda rows: _chosen_grams({r["gram"]: set(r["families"]) for r in rows}, {r["gram"]: r["c"] for r in rows}, p, tested),
+    )
     if not taken:
         return _constant(float(np.log(p / (1 - p))))
 
@@ -257,7 +262,11 @@ def _machine(positive: np.ndarray, against: np.ndarray, negative: np.ndarray, cl
         codes = np.vstack([positive, positive, fit])
         y = np.repeat([1.0, -1.0], [len(positive), len(positive) + len(fit)])
         share = np.concatenate([np.ones(len(positive)), against * len(fit) / max(1, len(positive)), np.ones(len(fit))])
-        weights, bias = kernel.train_svm(np.unique(np.vstack(marks), axis=0), codes, y, share)
+        landmarks = np.unique(np.vstack(marks), axis=0)
+        # The kernel features of the sample are tables of their own size; they stay in the task.
+        weights, bias = in_task(
+            clean_words.sparkSession.range(1), lambda _, x=(landmarks, codes, y, share): kernel.train_svm(*x)
+        )
         if round_ == ROUNDS:
             return weights, bias
         found = kernel.windows_of(_best_words(clean_words, weights, bias))[0]
@@ -297,8 +306,9 @@ def _with_curve(docs: DataFrame, labels: DataFrame, model: Model, part: Column)
             yield pa.RecordBatch.from_arrays([b.column(0), *(pa.array(c) for c in x.T)], ["toxic", *names])
 
     schema = ", ".join(["toxic int", *(f"{n} double" for n in names)])
-    rows = sample.select("toxic", "text").mapInArrow(run, schema).toPandas()
-    y, x = rows["toxic"].to_numpy(float), rows[names].to_numpy(float)
+    rows = sample.select("toxic", "text").mapInArrow(run, schema).toArrow()
+    y = rows.column("toxic").to_numpy().astype(float)
+    x = np.column_stack([rows.column(c).to_numpy() for c in names])
     if not y.any() or y.all():
         return model
     z = np.column_stack([x, np.ones(len(x))])
