@@ -10,7 +10,9 @@ call of the conversation.
 2. The order key of a call is (turn from which all it needs is known, steps after that,
    turn, position). It grows along every dependency, so sorting by it is a topological order
    that stays as close as it can to the order of the messages. Only dependencies on later
-   calls move a key; rounds go on until no key changes.
+   calls move a key; rounds go on until no key changes. A key's steps lead over calls that moved,
+   so a step beyond their number in the conversation shows a circle; that call and all that
+   need it, near or far, are marked. Rounds grow with the longest such chain, not with the data.
 3. Arguments are parsed as variants and checked against (name, parameter, type, required).
 4. The record is written as canonical JSON: keys sorted, no white space, one form of numbers.
 
@@ -18,9 +20,11 @@ Defined cases. Messages that are not such JSON, NULL texts and other roles: no c
 repeated id: its n-th call belongs to its n-th result. A result without a call: a row with
 status ``orphan_result``. A call without a result: ``missing_result``. A result before its
 call: ``early_result``. Arguments that are no JSON object: invalid, kept as text. An unknown
-tool: invalid. Dependencies in a circle, or nested deeper than ``max_rounds``: ordered by
-turn with ``ordered`` false. A dependency on an unknown id: no constraint, reported. Empty
-tables: empty result. NULL conv_id: a conversation of its own.
+tool: invalid. Calls on or behind a circle of dependencies: ordered by turn with ``ordered``
+false. A dependency on an unknown id: no constraint, reported. Messages of one turn are told
+apart by their content, so reruns agree. A schema row that repeats a (name, parameter): required
+if any row says so, the type that sorts first; a NULL type allows any; a NULL parameter only
+names the tool. Empty tables: empty result. NULL conv_id: a conversation of its own.
 """
 
 from __future__ import annotations
@@ -30,13 +34,12 @@ from pyspark.sql import functions as F
 
 from terrace.llm.common import staged
 
-MAX_ROUNDS = 64
 REFERENCE = r'"\$result:([^"]+)"'
 CALLS = "tool_calls array<struct<id: string, name: string, arguments: string>>"
 
 
-def _nth(df: DataFrame) -> DataFrame:
-    use = Window.partitionBy("conv", "id").orderBy("turn", "position")
+def _nth(df: DataFrame, *content: str) -> DataFrame:
+    use = Window.partitionBy("conv", "id").orderBy("turn", "position", *content)
     return df.withColumn("nth", F.row_number().over(use))
 
 
@@ -46,7 +49,7 @@ def calls(messages: DataFrame) -> DataFrame:
         F.col("conv_id").alias("conv"), "turn", F.from_json("text", CALLS).alias("m")
     )
     each = said.select("conv", "turn", F.posexplode("m.tool_calls").alias("position", "c"))
-    return _nth(each.select("conv", F.col("c.id").alias("id"), "turn", "position", F.col("c.name").alias("name"), F.col("c.arguments").alias("arguments")))
+    return _nth(each.select("conv", F.col("c.id").alias("id"), "turn", "position", F.col("c.name").alias("name"), F.col("c.arguments").alias("arguments")), "name", "arguments")
 
 
 def results(messages: DataFrame) -> DataFrame:
@@ -57,7 +60,7 @@ def results(messages: DataFrame) -> DataFrame:
     )
     return _nth(said.filter("m.tool_call_id is not null").select(
         "conv", F.col("m.tool_call_id").alias("id"), "turn", "position", F.col("m.content").alias("content")
-    ))
+    ), "content")
 
 
 def link(messages: DataFrame) -> DataFrame:
@@ -78,7 +81,7 @@ def link(messages: DataFrame) -> DataFrame:
     )
 
 
-def order_keys(linked: DataFrame, max_rounds: int = MAX_ROUNDS) -> DataFrame:
+def order_keys(linked: DataFrame) -> DataFrame:
     """conv, id, nth, since, step, ordered, unknown (dependencies on no call) of every call."""
     nodes = linked.filter("turn is not null").select("conv", "id", "nth", "turn", "arguments")
     key = F.struct(F.col("turn").alias("since"), F.lit(0).alias("step"))
@@ -92,29 +95,37 @@ def order_keys(linked: DataFrame, max_rounds: int = MAX_ROUNDS) -> DataFrame:
     needs = staged(n.join(f, same, "left").select("n.*", "needed_turn"), "calls-needs")
     unknown = needs.filter("needed_turn is null").groupBy("conv", "id", "nth").agg(F.sort_array(F.collect_set("needed")).alias("unknown"))
     edges = needs.filter("needed_turn is not null")
-    state = staged(nodes.select("conv", "id", "nth", key.alias("key"), F.lit(False).alias("moved")), "calls-order")
-    for round_ in range(max_rounds + 1):
-        s = state.filter("nth = 1").select("conv", F.col("id").alias("needed"), F.col("key").alias("needed_key")).alias("s")
+    no = F.lit(False)
+    state = staged(
+        nodes.select("conv", "id", "nth", "turn", key.alias("key"), no.alias("moved"), no.alias("circular"), no.alias("changed")), "calls-order"
+    )
+    while True:
+        s = state.filter("nth = 1").select("conv", F.col("id").alias("needed"), F.col("key").alias("needed_key"), "circular").alias("s")
         e = edges.alias("e")
         same = F.col("e.conv").eqNullSafe(F.col("s.conv")) & (F.col("e.needed") == F.col("s.needed"))
         after = F.struct(F.col("needed_key.since").alias("since"), (F.col("needed_key.step") + 1).alias("step"))
-        pull = e.join(s, same).groupBy("e.conv", "e.id", "e.nth").agg(F.max(after).alias("pull")).alias("p")
+        pull = e.join(s, same).groupBy("e.conv", "e.id", "e.nth").agg(F.max(after).alias("pull"), F.bool_or("circular").alias("behind")).alias("p")
+        chains = state.filter("moved").groupBy("conv").agg(F.count(F.lit(1)).alias("longest")).alias("m")
         t = state.alias("t")
         same = F.col("t.conv").eqNullSafe(F.col("p.conv")) & (F.col("t.id") == F.col("p.id")) & (F.col("t.nth") == F.col("p.nth"))
-        moved = F.coalesce(F.col("p.pull") > F.col("t.key"), F.lit(False))
+        moves = F.coalesce(F.col("p.pull") > F.col("t.key"), no) & ~F.col("t.circular")
+        step = F.when(moves, F.col("p.pull.step")).otherwise(F.col("t.key.step"))
+        # The count is of the round before, when this call may not have moved yet.
+        circular = F.col("t.circular") | F.coalesce(F.col("p.behind"), no) | (step > F.coalesce(F.col("m.longest"), F.lit(0)) + 1)
         state = staged(
-            t.join(pull, same, "left").select(
-                "t.conv", "t.id", "t.nth", F.when(moved, F.col("p.pull")).otherwise(F.col("t.key")).alias("key"), moved.alias("moved")
+            t.join(pull, same, "left").join(chains, F.col("t.conv").eqNullSafe(F.col("m.conv")), "left").select(
+                "t.conv", "t.id", "t.nth", "t.turn", F.when(moves, F.col("p.pull")).otherwise(F.col("t.key")).alias("key"),
+                (F.col("t.moved") | moves).alias("moved"), circular.alias("circular"), (moves | (circular & ~F.col("t.circular"))).alias("changed"),
             ),
             "calls-order",
         )
-        if state.filter("moved").isEmpty():
+        if state.filter("changed").isEmpty():
             break
     s, u = state.alias("s"), unknown.alias("u")
     same = F.col("s.conv").eqNullSafe(F.col("u.conv")) & (F.col("s.id") == F.col("u.id")) & (F.col("s.nth") == F.col("u.nth"))
+    final = F.when(F.col("s.circular"), F.struct(F.col("s.turn").alias("since"), F.lit(0).alias("step"))).otherwise(F.col("s.key"))
     return s.join(u, same, "left").select(
-        "s.conv", "s.id", "s.nth", F.col("s.key.since").alias("since"), F.col("s.key.step").alias("step"),
-        (~F.col("s.moved")).alias("ordered"), "u.unknown",
+        "s.conv", "s.id", "s.nth", final["since"].alias("since"), final["step"].alias("step"), (~F.col("s.circular")).alias("ordered"), "u.unknown"
     )
 
 
@@ -130,9 +141,11 @@ def _type(value: Column) -> Column:
 
 def validate(linked: DataFrame, schemas: DataFrame) -> DataFrame:
     """conv, id, nth, errors of every call against ``schemas`` (name, parameter, type, required)."""
-    tools = schemas.groupBy("name").agg(
-        F.map_from_entries(F.collect_list(F.struct("parameter", F.struct("type", "required")))).alias("spec")
+    once = schemas.filter("name is not null").groupBy("name", "parameter").agg(
+        F.min("type").alias("type"), F.coalesce(F.bool_or("required"), F.lit(False)).alias("required")
     )
+    entry = F.when(F.col("parameter").isNotNull(), F.struct("parameter", F.struct("type", "required")))
+    tools = once.groupBy("name").agg(F.map_from_entries(F.collect_list(entry)).alias("spec"))
     c = linked.filter("turn is not null").select("conv", "id", "nth", "name", F.try_parse_json("arguments").alias("v"))
     c = c.join(tools, "name", "left")
     is_object = F.coalesce(F.schema_of_variant("v").startswith("OBJECT"), F.lit(False))
@@ -160,10 +173,10 @@ def validate(linked: DataFrame, schemas: DataFrame) -> DataFrame:
     return c.select("conv", "id", "nth", errors.alias("errors"))
 
 
-def format_calls(messages: DataFrame, schemas: DataFrame, max_rounds: int = MAX_ROUNDS) -> DataFrame:
+def format_calls(messages: DataFrame, schemas: DataFrame) -> DataFrame:
     """Linked, ordered, validated calls with their canonical JSON record, one row per call or orphan result."""
     linked = staged(link(messages), "calls-linked")
-    o, v = order_keys(linked, max_rounds).alias("o"), validate(linked, schemas).alias("v")
+    o, v = order_keys(linked).alias("o"), validate(linked, schemas).alias("v")
 
     def same(x: str):
         on = F.col("l.conv").eqNullSafe(F.col(f"{x}.conv")) & (F.col("l.id") == F.col(f"{x}.id"))

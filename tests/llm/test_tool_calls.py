@@ -68,19 +68,48 @@ def test_topological_order_of_random_dependencies(spark):
             assert key[c, t][:2] == (t, 0)
 
 
-def test_circles_unknown_needs_and_depth(spark):
-    arg = lambda *ids: {"query": "q", "limit": 1, "after": " ".join(f'"$result:{i}"' for i in ids)}
-    raw = lambda *ids: json.dumps({"query": "q", "limit": 1, "after": [f"$result:{i}" for i in ids]})
+def needs(*ids):
+    return json.dumps({"query": "q", "limit": 1, "after": [f"$result:{i}" for i in ids]})
+
+
+def test_circles_and_all_behind_them(spark):
     rows = [
-        (1, 0, "assistant", call(("a", "find", raw("b")))), (1, 1, "assistant", call(("b", "find", raw("a")))),
-        (2, 0, "assistant", call(("a", "find", raw("nope", "b")))), (2, 3, "assistant", call(("b", "find", raw()))),
-        (3, 0, "assistant", call(("a", "find", raw("a")))),
+        (1, 0, "assistant", call(("a", "find", needs("b")))), (1, 1, "assistant", call(("b", "find", needs("c")))),
+        (1, 2, "assistant", call(("c", "find", needs("a")))), (1, 3, "assistant", call(("d", "find", needs("c")))),
+        (1, 4, "assistant", call(("e", "find", needs("d")))), (1, 5, "assistant", call(("f", "find", needs()))),
+        (2, 0, "assistant", call(("a", "find", needs("nope", "b")))), (2, 3, "assistant", call(("b", "find", needs()))),
+        (3, 0, "assistant", call(("a", "find", needs("a")))), (None, 0, "assistant", call(("a", "find", needs("b")), ("b", "find", needs("a")))),
     ]
-    got = run(spark, rows, max_rounds=6)
-    assert not got[1, "a", 1]["ordered"] or not got[1, "b", 1]["ordered"]
-    assert not got[3, "a", 1]["ordered"]
+    got = run(spark, rows)
+    assert {k[:2]: r["ordered"] for k, r in got.items()} == {
+        (1, "a"): False, (1, "b"): False, (1, "c"): False, (1, "d"): False, (1, "e"): False, (1, "f"): True,
+        (2, "a"): True, (2, "b"): True, (3, "a"): False, (None, "a"): False, (None, "b"): False,
+    }
+    assert all((r["since"], r["step"]) == (r["turn"], 0) for r in got.values() if not r["ordered"])
     assert got[2, "a", 1]["unknown"] == ["nope"] and (got[2, "a", 1]["since"], got[2, "a", 1]["step"]) == (3, 1)
-    assert arg("x")
+
+
+def test_nesting_has_no_limit(spark):
+    deep = 70
+    rows = [(1, i, "assistant", call((f"c{i}", "find", needs(f"c{i + 1}") if i < deep else needs()))) for i in range(deep + 1)]
+    got = run(spark, rows)
+    assert all(r["ordered"] and (r["since"], r["step"]) == (deep, deep - int(k[1][1:])) for k, r in got.items())
+
+
+def test_schema_rows_repeated_or_without_parameter(spark):
+    rows = [("t", "a", "string", False), ("t", "a", "integer", None), ("t", "a", "string", True), ("t", None, "string", True), ("u", None, None, None),
+            (None, "a", "string", True), ("t", "b", None, None)]
+    schemas = spark.createDataFrame(rows, "name string, parameter string, type string, required boolean")
+    said = [(1, 0, "assistant", call(("x", "t", {"a": 1}), ("y", "t", {"b": "any"}), ("z", "u", {}), ("w", "t", {"a": "no"})))]
+    got = {r["call_id"]: r["errors"] for r in format_calls(spark.createDataFrame(said, MESSAGES), schemas).collect()}
+    assert got == {"x": [], "y": ["missing:a"], "z": [], "w": ["type:a"]}
+
+
+def test_messages_of_one_turn_keep_one_order(spark):
+    rows = [(1, 0, "assistant", call(("a", "add", {"a": i}))) for i in range(6)] + [(1, 1, "tool", result("a", f"r{i}")) for i in range(6)]
+    got = run(spark, rows)
+    assert run(spark, rows[::-1]) == got
+    assert [json.loads(got[1, "a", n]["record"])["result"] for n in range(1, 7)] == [f"r{i}" for i in range(6)]
 
 
 def test_odd_inputs(spark):
