@@ -1,9 +1,9 @@
 """Secret scanning: candidates by pattern, false positives removed by a random forest.
 
 Candidates are long runs of key characters with a digit in them, and whole values assigned
-to a credential word with ``=`` or ``:``: quoted ones of 4 to 400 characters on a line, with any
-characters in them (white space is read as one space), and unquoted ones of 4 characters and
-more up to white space, a quote, a comma or a semicolon. Each is described by its length, character transitions, classes and
+to a credential word with ``=`` or ``:``: quoted ones of 4 characters and more on a line, with any characters in them
+(white space is read as one space), and unquoted ones of 4 characters and more up to white
+space, a quote, a comma or a semicolon. Each is described by its length, character transitions, classes and
 variety, by how much of it dictionary words cover (the dictionary is the corpus' own
 frequent words), by its path, and by the words around it. Spark's random forest is trained
 on labelled findings and scores every candidate.
@@ -33,12 +33,12 @@ RUN = r"[A-Za-z0-9+/=_-]{16,}"
 CREDENTIAL = r"(?i)(?:token|secret|passw(?:or)?d|pwd|api_?key|apikey|access_?key|auth|credential|private_?key)"
 # The value is marked by characters that stand in no text after ``candidates`` has taken them out.
 START, END = "\x01", "\x02"
+GAP = "\x03"  # white space inside a marked value
 ASSIGNED = (
     r"(?i)(" + CREDENTIAL + r"""(?:[_-][a-z0-9]{1,20}){0,2}['"]?[ \t]{0,3}(?::=|=>|={1,2}|:)[ \t]{0,3}["'`]?)"""
-    r"""((?<=")[^"\n]{4,400}(?=")|(?<=')[^'\n]{4,400}(?=')|(?<=`)[^`\n]{4,400}(?=`)"""
+    r"""((?<=")[^"\n]{4,}+(?=")|(?<=')[^'\n]{4,}+(?=')|(?<=`)[^`\n]{4,}+(?=`)"""
     r"""|[^\x09-\x0D "'`,;]{3,}[^\x09-\x0D "'`,;.)\]}>])"""
 )
-MARKED_WORDS = 201  # a quoted value has no more words
 SPACE_RUN = r"[\x20\x09-\x0D]+"
 KNOWN = r"^(?:AKIA[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{36,}|xox[abprs]-[A-Za-z0-9-]{10,}|AIza[A-Za-z0-9_-]{35}|sk_live_[A-Za-z0-9]{16,})$"
 HARMLESS = r"^(?:[0-9-]+|[A-Za-z]+|[0-9a-fA-F]{8}(?:-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}|(.)\1+|.*(?i:example|placeholder|changeme|xxxx|dummy).*)$"
@@ -53,23 +53,21 @@ NUMERIC = ["length", "transitions", "digits", "variety", "hex", "coverage", "dep
 def candidates(docs: DataFrame, path: Column | None = None) -> DataFrame:
     """doc_id, path, place, part, value, before, before2, after of every candidate."""
     path = F.coalesce(path if path is not None else F.lit(""), F.lit("")).cast("string")
-    marked = F.regexp_replace(F.translate("text", START + END, ".."), ASSIGNED, f"$1{START}$2{END}")
+    marked = F.regexp_replace(F.translate("text", START + END + GAP, "..."), ASSIGNED, f"$1{START}$2{END}")
+    # Every second part is a marked value; without white space in it, it stays in one word.
+    whole = F.array_join(
+        F.transform(
+            F.split(marked, f"[{START}{END}]"),
+            lambda x, i: F.when(i % 2 == 1, F.concat(F.lit(START), F.regexp_replace(x, SPACE_RUN, GAP), F.lit(END))).otherwise(x),
+        ),
+        "",
+    )
     words = docs.filter(F.col("text").rlike(RUN) | F.col("text").rlike(ASSIGNED)).select(
-        "doc_id", path.alias("path"), F.split(marked, SPACE_RUN).alias("_words")
+        "doc_id", path.alias("path"), F.split(whole, SPACE_RUN).alias("_words")
     )
     at = F.filter(F.sequence(F.lit(0), F.size("_words") - 1), lambda i: F.get("_words", i).rlike(f"{RUN}|{START}"))
-    plain = lambda w: F.translate(F.coalesce(w, F.lit("")), START + END, "")
-    begun = lambda i: F.regexp_count(F.get("_words", i), F.lit(START))
-    # Of the values marked from a word on, those that begin in it.
-    assigned_at = lambda i: F.when(
-        begun(i) > 0,
-        F.slice(
-            F.regexp_extract_all(
-                F.array_join(F.slice("_words", i + 1, F.lit(MARKED_WORDS)), " "), F.lit(f"{START}([^{START}{END}]+){END}"), F.lit(1)
-            ),
-            F.lit(1), begun(i),
-        ),
-    ).otherwise(F.array().cast("array<string>"))
+    plain = lambda w: F.translate(F.coalesce(w, F.lit("")), GAP + START + END, " ")
+    given_in = lambda w: F.regexp_extract_all(F.translate(w, GAP, " "), F.lit(f"{START}([^{START}{END}]+){END}"), F.lit(1))
     near = F.transform(
         at,
         lambda i: F.struct(
@@ -78,8 +76,8 @@ def candidates(docs: DataFrame, path: Column | None = None) -> DataFrame:
             plain(F.get("_words", i - 1)).alias("before"),
             plain(F.get("_words", i - 2)).alias("before2"),
             plain(F.get("_words", i + 1)).alias("after"),
-            F.regexp_replace(F.get("_words", i), f"{START}[^{END}]*(?:{END}|$)", " ").alias("rest"),
-            assigned_at(i).alias("given"),
+            F.regexp_replace(F.get("_words", i), f"{START}[^{END}]*{END}", " ").alias("rest"),
+            given_in(F.get("_words", i)).alias("given"),
         ),
     )
     each = words.select("doc_id", "path", F.explode(near).alias("n")).select("doc_id", "path", "n.*")
@@ -168,6 +166,7 @@ def scan(
         ).fit(assembler.transform(hasher.transform(train)).select("label", "features"))
         scored = forest.transform(assembler.transform(hasher.transform(facts)))
         out = scored.withColumn("probability", vector_to_array("probability")[1])
-    return out.withColumn("is_secret", F.col("probability") >= 0.5).select(
+    # Written here, so that the forest's closures are not carried into the caller's plan.
+    return staged(out.withColumn("is_secret", F.col("probability") >= 0.5).select(
         "doc_id", "path", "place", "part", "value", "length", "transitions", "coverage", "probability", "is_secret"
-    )
+    ), "secret-scored")
