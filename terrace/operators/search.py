@@ -29,6 +29,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from terrace.functions.expressions import TOKEN_PATTERN, tokenize  # noqa: F401 - re-exported
+from terrace.session import materialize
 
 # BM25 constants.
 K1 = 1.2
@@ -177,7 +178,8 @@ def search_text(
     tokenised = _tokenised(docs, id_col, text_col, carry)
     n, total = _stats(tokenised)
     qt = query_terms(queries, query_id, q)
-    posts = _postings(tokenised, qt.select("term").distinct(), carry)
+    # Written once: document frequencies, totals and scores all read it.
+    posts = materialize(_postings(tokenised, qt.select("term").distinct(), carry))
     qside = qt.join(posts.groupBy("term").agg(F.count("tf").alias("df")), "term")
     if filters:
         qside = qside.join(_query_filter_cols(queries, query_id, filters), "query_id")

@@ -13,11 +13,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from terrace.operators import cdc, contracts, gold, history, ingest, quality, runlog, search, silver
-from terrace.plans import stages
+from terrace.operators import block_index, cdc, contracts, gold, history, ingest, quality, runlog, search, silver
+from terrace.plans import gold_refresh, stages
 from terrace.sources import lake
 from terrace.plans import oracles as O
-from terrace.session import work_dir
+from terrace.session import materialize, work_dir
 from terrace.sources import adapters as A
 from terrace.specs import ROW_ID
 from terrace.streaming import cdc_stream
@@ -531,6 +531,32 @@ def q_search_ranked(spark: SparkSession, sf_dir: str) -> DataFrame:
     return search.search_text(A.table(spark, sf_dir, "documents"), queries, k=SEARCH_K)
 
 
+# The language whose documents the third publish takes out again.
+REMOVED_LANG = "fr"
+
+
+@register(
+    "search_block_max",
+    _bm25_sql(
+        f"SELECT doc_id, text FROM documents WHERE lang IS DISTINCT FROM '{REMOVED_LANG}'",
+        "SELECT item_id AS query_id, text AS q FROM benchmark",
+        SEARCH_K,
+    ),
+)
+def q_search_block_max(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SEA2, SEA3, TOP2, SNK6: top-10 documents from the block index after three publishes: all
+    documents, some of them cut short, then their whole texts, then a language removed."""
+    docs = A.table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    short = F.length("text") > 2000
+    root = work_dir(spark, "search_block_max")
+    block_index.publish(docs.withColumn("text", F.when(short, F.substring("text", 1, 500)).otherwise(F.col("text"))), root)
+    block_index.publish(docs.filter(short), root)
+    gone = docs.filter(F.col("lang") == REMOVED_LANG).withColumn("deleted", F.lit(True))
+    block_index.publish(gone, root, deleted_col="deleted")
+    queries = A.table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("query_id"), F.col("text").alias("q"))
+    return block_index.search(spark, root, queries, k=SEARCH_K)[0]
+
+
 SALES_K = 5
 
 
@@ -862,18 +888,56 @@ def q_stage_backfill(spark: SparkSession, sf_dir: str) -> DataFrame:
         headers = silver_tables[mart.headers](spark, sf_dir).filter(~gone)
         lake.write_table(headers, ctx.layout.path("silver", mart.headers), name=mart.headers)
     stages.backfill_gold(ctx, dt.date(1997, 1, 10), dt.date(1997, 2, 3))
+    return _mart_days(ctx)
+
+
+def _before_invoice_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    spec = A.spec("sales_invoicelines")
+    cutoff = F.lit(FIRST_LOAD_CUTOFF).cast("timestamp_ntz")
+    return silver.conform(
+        A.bronze_invoice_lines(spark, sf_dir).filter(F.col("last_edited_when") < cutoff), spec.primary_key, spec.cursor, spec.tiebreakers
+    )
+
+
+def _mart_days(ctx: stages.RunContext) -> DataFrame:
+    """Roll-ups of both marts with the number of lines that their facts hold."""
     out = None
     for name, mart in (("ordered", gold.ORDERED), ("billed", gold.BILLED)):
         lines = ctx.read("gold", mart.fact).groupBy(F.col(mart.day).alias("day")).agg(F.count(F.lit(1)).alias("fact_lines"))
-        daily = ctx.read("gold", mart.daily).select(
+        days = ctx.read("gold", mart.daily).select(
             F.lit(name).alias("mart"), F.col(mart.day).alias("day"), F.col(mart.documents).alias("documents"),
             F.col("num_lines").alias("lines"), F.col("total_revenue").alias("revenue"),
-        ).join(lines, "day", "full_outer")
-        daily = daily.select("mart", "day", "documents", "lines", "revenue", "fact_lines")
-        out = daily if out is None else out.unionByName(daily)
+        ).join(lines, "day", "full_outer").select("mart", "day", "documents", "lines", "revenue", "fact_lines")
+        out = days if out is None else out.unionByName(days)
     return out
 
 
+@register("gold_refresh", ORACLES["stage_backfill"])
+def q_gold_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """AGG1, AGG2, EXT1: both marts are built from an early Silver; the later versions of lines
+    and then corrected headers (a month thinned out, one emptied) arrive as signed changes."""
+    ctx = stages.RunContext.start(spark, stages.Layout(work_dir(spark, "gold_refresh_query")), specs=A.SPECS)
+    tables = {
+        gold.ORDERED: (silver_orders, _before_lines, silver_lines),
+        gold.BILLED: (silver_invoices, _before_invoice_lines, silver_invoice_lines),
+    }
+    for mart, (headers, before, _) in tables.items():
+        lake.write_table(headers(spark, sf_dir), ctx.layout.path("silver", mart.headers), name=mart.headers)
+        lake.write_table(before(spark, sf_dir), ctx.layout.path("silver", mart.lines), name=mart.lines)
+    stages.build_gold(ctx)
+    for mart, (headers, before, after) in tables.items():
+        gold_refresh.start(ctx, mart)
+        heads = materialize(headers(spark, sf_dir))
+        old, new = ctx.read("silver", mart.lines), materialize(after(spark, sf_dir))
+        d_lines = gold_refresh.signed(old, new, [mart.line_key])
+        gold_refresh.refresh(ctx, mart, heads, gold_refresh.signed(heads, heads, [mart.key]), new, d_lines)
+        month = F.date_format(mart.day, "yyyy-MM")
+        gone = (month == _EMPTIED) | ((month == _THINNED) & (F.col(mart.key) % 2 == 0))
+        d_heads = gold_refresh.signed(heads, heads.filter(~gone), [mart.key])
+        gold_refresh.refresh(ctx, mart, heads, d_heads, new, gold_refresh.signed(new, new, [mart.line_key]))
+    return _mart_days(ctx)
+
+
 @register(
     "ordered_vs_billed",
     O.with_(
