@@ -13,7 +13,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from terrace.operators import block_index, cdc, contracts, gold, history, ingest, merkle, quality, runlog, search, silver
+from terrace.operators import block_index, cdc, contracts, drift, gold, history, ingest, merkle, quality, runlog, search, silver
 from terrace.plans import gold_refresh, stages
 from terrace.sources import lake
 from terrace.plans import oracles as O
@@ -811,6 +811,37 @@ def q_dq_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 # Parameter: the month re-computed by the backfill.
+_DRIFT_COLUMNS = ("quantity", "unit_price", "tax_rate", "picked_quantity")
+
+
+def _drift_sql() -> str:
+    """Exact Kolmogorov-Smirnov statistics, against the limit and the sketches' error."""
+    each = "\nUNION ALL\n".join(
+        f"""SELECT '{c}' AS "column", late, CAST({c} AS DOUBLE) AS x FROM (SELECT *, last_edited_when >= {_CUTOFF_SQL} AS late FROM bronze_lines)"""
+        for c in _DRIFT_COLUMNS
+    )
+    limit = drift.Limits().ks + 2 * drift.RANK_ERROR
+    return O.with_(
+        O.BRONZE_ORDER_LINES,
+        body=f"""
+, v AS ({each}),
+g AS (SELECT "column", x, count(*) FILTER (WHERE late) AS a, count(*) FILTER (WHERE NOT late) AS e FROM v WHERE x IS NOT NULL GROUP BY ALL),
+c AS (SELECT "column", abs(sum(a) OVER up / sum(a) OVER (PARTITION BY "column") - sum(e) OVER up / sum(e) OVER (PARTITION BY "column")) AS d
+      FROM g WINDOW up AS (PARTITION BY "column" ORDER BY x)),
+n AS (SELECT "column", count(*) FILTER (WHERE late) AS rows FROM v GROUP BY "column")
+SELECT "column", n.rows, max(d) <= {limit} AS passed FROM c JOIN n USING ("column") GROUP BY "column", n.rows""",
+    )
+
+
+@register("dq_drift", _drift_sql())
+def q_dq_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """EXT2: the later load of order lines against the distributions of the first one."""
+    lines = A.bronze_order_lines(spark, sf_dir)
+    late = F.col("last_edited_when") >= F.lit(FIRST_LOAD_CUTOFF).cast("timestamp_ntz")
+    accepted, load = drift.profile(lines.filter(~late), _DRIFT_COLUMNS), drift.profile(lines.filter(late), _DRIFT_COLUMNS)
+    return drift.report(accepted, load).select("column", "rows", "passed")
+
+
 BACKFILL_START = dt.date(1997, 12, 5)
 BACKFILL_END = dt.date(1997, 12, 20)
 

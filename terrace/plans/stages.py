@@ -31,7 +31,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from terrace.operators import cdc, gold, ingest, quality, runlog, silver
+from terrace.operators import cdc, drift, gold, ingest, quality, runlog, silver
 from terrace.sources import lake
 from terrace.specs import CHANGE_LSN, INITIAL_LSN, LOAD_ID, SALES_TABLES, TableSpec
 
@@ -72,6 +72,10 @@ class Layout:
         """Per-load watermark state of a Bronze table (one row per load)."""
         return f"{self.root.rstrip('/')}/_state/watermarks/{table}"
 
+    def profile(self, table: str) -> str:
+        """The accepted distribution profile of a table's columns."""
+        return f"{self.root.rstrip('/')}/_profiles/{table}"
+
     def baseline(self, name: str) -> str:
         return f"{self.root.rstrip('/')}/_baseline/{name}"
 
@@ -199,13 +203,15 @@ def extract_cdc(ctx: RunContext, change_tables: Mapping[str, DataFrame], load_id
 def build_silver(ctx: RunContext) -> list[dict[str, object]]:
     """One current row per key; rows without a key go to the table's rejects.
 
-    A table with quality rules (EXT2) must pass them before it replaces the last one.
+    A table with quality rules (EXT2) must pass them before it replaces the last one, and the
+    newest load of a table with an accepted profile must not have drifted from it.
     """
 
     def conform_one(spec: TableSpec) -> dict[str, object]:
         raw = lake.try_read_table(ctx.spark, ctx.layout.path("bronze", spec.name), ctx.layout.fmt)
         if raw is None:
             return ctx.emit("nothing landed, table left out", table=spec.name)
+        _refuse_drift(ctx, spec, raw)
         bad = lake.write_table(
             silver.null_keys(raw, spec.primary_key), ctx.layout.rejected(spec.name), ctx.layout.fmt, name=f"{spec.name}_rejected"
         )
@@ -218,6 +224,21 @@ def build_silver(ctx: RunContext) -> list[dict[str, object]]:
     return concurrently(conform_one, ctx.specs)
 
 
+def accept_profile(ctx: RunContext, table: str, columns: Sequence[str]) -> None:
+    """Keep the distributions of what has landed of a table as those that new loads must match."""
+    landed = ctx.read("bronze", table)
+    drift.profile(landed, columns).write.mode("overwrite").parquet(ctx.layout.profile(table))
+
+
+def _refuse_drift(ctx: RunContext, spec: TableSpec, raw: DataFrame) -> None:
+    accepted = lake.try_read_table(ctx.spark, ctx.layout.profile(spec.name))
+    if accepted is None:
+        return
+    columns = [r["column"] for r in accepted.select("column").collect()]  # a row per column
+    newest = raw.agg(F.max(LOAD_ID)).first()[0]
+    drift.enforce(accepted, drift.profile(raw.filter(F.col(LOAD_ID) == newest), columns))
+
+
 def build_silver_cdc(ctx: RunContext) -> list[dict[str, object]]:
     """Collapse every captured change feed; a table without captured changes is skipped."""
 
