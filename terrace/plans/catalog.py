@@ -1115,6 +1115,21 @@ def q_run_log_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stages.run_log(ctx).select("msg", "table", "rows", F.col("extras").getItem("load_id").alias("load_id"))
 
 
+@register(
+    "run_times",
+    """
+SELECT 'load landed' AS msg, 'sales_orders' AS name, count(*) AS rows, false AS timed FROM orders
+UNION ALL SELECT 'table conformed', 'sales_orders', count(*), false FROM orders
+UNION ALL SELECT 'stage finished', 'extract', NULL, true UNION ALL SELECT 'stage finished', 'silver', NULL, true""",
+)
+def q_run_times(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """EXT5: metrics and times of the stages' runs, from the runs table they leave."""
+    ctx = stages.RunContext.start(spark, stages.Layout(work_dir(spark, "run_times")), specs=(A.spec("sales_orders"),))
+    stages.run(ctx, "extract", sources={"sales_orders": A.bronze_orders(spark, sf_dir)}, load_id=1)
+    stages.run(ctx, "silver")
+    return lake.read_table(spark, ctx.layout.runs).select("msg", "name", "rows", F.coalesce(F.col("seconds") > 0, F.lit(False)).alias("timed"))
+
+
 @register(
     "snapshot_accept",
     O.with_(
