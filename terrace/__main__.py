@@ -37,6 +37,7 @@ def main(argv: list[str] | None = None) -> int:
     parser.add_argument("--limit", type=int, default=10)
     parser.add_argument("--ids", type=int, nargs="*", default=[])
     parser.add_argument("--layer", default="gold")
+    parser.add_argument("--keys-to", help="verify: write the keys that only one side holds to this folder, as JSON lines")
     parser.add_argument("--root")
     parser.add_argument("--fmt", default="parquet")
     parser.add_argument("--sf-dir", help="benchmark tables used as the source system")
@@ -68,6 +69,11 @@ def main(argv: list[str] | None = None) -> int:
             return 0
         if args.stage == "verify":
             sources = adapters.landing_sources(spark, args.sf_dir, None) if args.sf_dir else None
+            if args.keys_to:
+                if sources is None:
+                    parser.error("verify --keys-to needs --sf-dir")
+                stages.missing_keys(ctx, sources).write.mode("errorifexists").json(args.keys_to)
+                return 0
             for r in stages.verify(ctx, sources).collect():
                 print(json.dumps(r.asDict()))
             return 0

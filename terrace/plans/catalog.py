@@ -965,7 +965,9 @@ def q_gold_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
         lake.write_table(headers(spark, sf_dir), ctx.layout.path("silver", mart.headers), name=mart.headers)
         lake.write_table(before(spark, sf_dir), ctx.layout.path("silver", mart.lines), name=mart.lines)
     stages.build_gold(ctx)
-    for mart, (headers, before, after) in tables.items():
+
+    def kept(mart: gold.Mart) -> None:
+        headers, _, after = tables[mart]
         gold_refresh.start(ctx, mart)
         heads = materialize(headers(spark, sf_dir))
         old, new = ctx.read("silver", mart.lines), materialize(after(spark, sf_dir))
@@ -975,6 +977,8 @@ def q_gold_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
         gone = (month == _EMPTIED) | ((month == _THINNED) & (F.col(mart.key) % 2 == 0))
         d_heads = gold_refresh.signed(heads, heads.filter(~gone), [mart.key])
         gold_refresh.refresh(ctx, mart, heads, d_heads, new, gold_refresh.signed(new, new, [mart.line_key]))
+
+    stages.concurrently(kept, list(tables))  # the marts share no table
     return _mart_days(ctx)
 
 
@@ -1099,6 +1103,40 @@ def q_stage_verify(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stages.verify(ctx, {s.name: every[s.name] for s in specs})
 
 
+# Parameters of the losses: a week of orders that never landed, a customer removed at the source.
+LOST_DAYS = ("1995-06-12", "1995-06-18")
+REMOVED_CUSTOMER = 7
+
+
+@register(
+    "missing_keys",
+    O.with_(
+        O.BRONZE_ORDER_LINES,
+        body=f"""
+, landed AS (SELECT * FROM orders WHERE CAST(o_orderdate AS DATE) NOT BETWEEN DATE '{LOST_DAYS[0]}' AND DATE '{LOST_DAYS[1]}'),
+kept AS (SELECT * FROM orders WHERE o_custkey <> {REMOVED_CUSTOMER})
+SELECT 'sales_orders' AS "table", '{{"order_id":' || o_orderkey || '}}' AS key, 'missing' AS state
+FROM kept WHERE o_orderkey NOT IN (SELECT o_orderkey FROM landed)
+UNION ALL SELECT 'sales_orders', '{{"order_id":' || o_orderkey || '}}', 'extra'
+FROM landed WHERE o_orderkey NOT IN (SELECT o_orderkey FROM kept)
+UNION ALL SELECT 'sales_orderlines', '{{"order_line_id":' || order_line_id || '}}', 'missing'
+FROM bronze_lines GROUP BY order_line_id HAVING min(last_edited_when) >= {_CUTOFF_SQL}""",
+    ),
+)
+def q_missing_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """QLT1: the keys behind a DIFF. Orders lack a lost week and hold a customer that the source
+    no longer has (decoded from sketches); the lines' last load has not run (compared exactly)."""
+    specs = tuple(s for s in A.SPECS if s.name in ("sales_orders", "sales_orderlines"))
+    ctx = stages.RunContext.start(spark, stages.Layout(work_dir(spark, "missing_keys")), specs=specs)
+    every, early = A.landing_sources(spark, sf_dir, None), A.landing_sources(spark, sf_dir, FIRST_LOAD_CUTOFF)
+    orders = every["sales_orders"]
+    first, last = (F.lit(d).cast("date") for d in LOST_DAYS)
+    landing = {"sales_orders": orders.filter(~F.col("OrderDate").between(first, last)), "sales_orderlines": early["sales_orderlines"]}
+    stages.run(ctx, "extract", sources=landing, load_id=1)
+    source = {"sales_orders": orders.filter(F.col("CustomerID") != REMOVED_CUSTOMER), "sales_orderlines": every["sales_orderlines"]}
+    return stages.missing_keys(ctx, source)
+
+
 @register(
     "run_log_roundtrip",
     """

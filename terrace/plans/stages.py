@@ -31,7 +31,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from terrace.operators import cdc, drift, gold, ingest, quality, runlog, silver
+from terrace.operators import cdc, drift, gold, ingest, key_sketch, quality, runlog, silver
 from terrace.sources import lake
 from terrace.specs import CHANGE_LSN, INITIAL_LSN, LOAD_ID, SALES_TABLES, TableSpec
 
@@ -355,6 +355,24 @@ def verify(ctx: RunContext, sources: Mapping[str, DataFrame] | None) -> DataFram
     return quality.reconcile(counts, quality.table_counts(sources) if sources else None)
 
 
+def missing_keys(ctx: RunContext, sources: Mapping[str, DataFrame]) -> DataFrame:
+    """Keys of every table that only its source or only Bronze holds (table, key as JSON, state);
+    a NULL key part is absent from the JSON. A table that never landed lacks all its keys."""
+    found = None
+    for spec in ctx.specs:
+        if spec.name not in sources:
+            continue
+        keys = list(spec.primary_key)
+        source = ingest.normalize_names(sources[spec.name]).select(*keys)
+        landed = lake.try_read_table(ctx.spark, ctx.layout.path("bronze", spec.name), ctx.layout.fmt)
+        rows = key_sketch.differences(source, source.limit(0) if landed is None else landed, keys)
+        rows = rows.select(F.lit(spec.name).alias("table"), F.to_json(F.struct(*keys)).alias("key"), "state")
+        found = rows if found is None else found.unionByName(rows)
+    if found is None:
+        raise ValueError("no source of a registered table is given")
+    return found
+
+
 # -- QLT3: regression against an accepted snapshot ----------------------------------------------------
 
 
