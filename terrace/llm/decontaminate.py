@@ -13,20 +13,25 @@ anywhere in a text:
 3. Groups and the whole are verified with Myers' bit-parallel edit distance on the stretch
    of text they can lie in; the integers are as wide as the item.
 
-Items travel to the tasks in parts of at most ``PART_CHARS`` characters; a larger benchmark
-takes more passes over the documents, so the automaton has a fixed bound. Documents are
-never shuffled or collected.
-
-Defined cases. NULL or empty text: nothing found. NULL or empty item, or one under
-``MIN_CHARS`` characters: not searched, as it says nothing about a leak. NULL ids: carried
-as they are. Repeated items or documents: each is reported. Empty tables: empty result,
-and ``remove`` keeps everything. Extra columns: passed through by ``remove``.
+An item under ``MIN_CHARS`` characters is a single piece without edits, found as a run of whole
+words. ``matches`` reports it wherever it stands. A few words inside a longer text are no sign
+of a leak, so ``remove`` takes a document for a short item only if it is the document's whole text.
+
+Items travel to the tasks in parts of about ``PART_CHARS`` characters; a larger benchmark
+takes more passes over the documents, each written before the next one is planned, so driver
+and tasks hold the items of one part. Documents are never shuffled or collected.
+
+Defined cases. NULL or empty text: nothing found. NULL item, or one without letters and digits:
+not searched. NULL ids: carried as they are. Repeated items or documents: each is reported.
+Empty tables: empty result, and ``remove`` keeps everything. Extra columns: passed through by
+``remove``.
 """
 
 from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -35,6 +40,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
+from terrace.llm.common import staged
 from terrace.llm.string_kernel import KIND
 from terrace.llm.textvec import pieces
 
@@ -100,7 +106,7 @@ class Searcher:
         self.automaton = ahocorasick.Automaton()
         owners: dict[str, list[tuple[int, int]]] = {}
         for n, item in enumerate(items):
-            pieces = int(rate * len(item)) + 1
+            pieces = 1 if len(item) < MIN_CHARS else int(rate * len(item)) + 1
             cuts = [i * len(item) // pieces for i in range(pieces + 1)]
             self.cuts.append(cuts)
             for i in range(pieces):
@@ -123,7 +129,9 @@ class Searcher:
         cuts = self.cuts[n]
         count, size = len(cuts) - 1, 1
         if count == 1:
-            return 0, at + cuts[1]
+            end = at + cuts[1]
+            inside = text[at - 1 : at].strip() or text[end : end + 1].strip()
+            return None if inside and len(self.items[n]) < MIN_CHARS else (0, end)
         while size < count:
             size *= 2
             low = piece // size * size
@@ -161,20 +169,21 @@ class Searcher:
         return found
 
 
-def _parts(benchmark: DataFrame, item: str, part_chars: int) -> Iterator[list[tuple]]:
-    """The items as (id, normal form), in lists of about ``part_chars`` characters."""
+def _parts(benchmark: DataFrame, item: str, part_chars: int) -> Iterator[tuple[bool, list[tuple]]]:
+    """The items as (id, normal form), in lists of about ``part_chars`` characters, and whether
+    more of them follow."""
     total = benchmark.agg(F.sum(F.length("text"))).first()[0] or 0
     parts = math.ceil(total / part_chars)
     place = F.pmod(F.xxhash64("text", F.col(item).cast("string")), F.lit(max(parts, 1)))
     for part in range(parts):
         rows = benchmark.filter(place == part).select(item, "text").collect()
-        yield [(r[0], t) for r, t in zip(rows, normal([r[1] for r in rows]), strict=True) if len(t) >= MIN_CHARS]
+        yield part + 1 < parts, [(r[0], t) for r, t in zip(rows, normal([r[1] for r in rows]), strict=True) if t]
 
 
-def _found(searcher: Searcher, column: pa.Array) -> Iterator[dict[int, tuple[int, int]]]:
+def _found(searcher: Searcher, column: pa.Array) -> Iterator[tuple[str, dict[int, tuple[int, int]]]]:
     for first, end, _, _ in pieces(column):
         for text in normal(column.slice(first, end - first).to_pylist()):
-            yield searcher.find(text)
+            yield text, searcher.find(text)
 
 
 def matches(docs: DataFrame, benchmark: DataFrame, rate: float = RATE, part_chars: int = PART_CHARS) -> DataFrame:
@@ -189,14 +198,14 @@ def matches(docs: DataFrame, benchmark: DataFrame, rate: float = RATE, part_char
             T.StructField("end", T.LongType()),
         ]
     )
-    out = None
-    for items in _parts(benchmark, "item_id", part_chars):
+    written = []
+    for more, items in _parts(benchmark, "item_id", part_chars):
 
         def run(batches: Iterator[pa.RecordBatch], items=items) -> Iterator[pa.RecordBatch]:
             searcher = Searcher([t for _, t in items], rate)
             for batch in batches:
                 rows, ids, edits, sizes, ends = [], [], [], [], []
-                for row, found in enumerate(_found(searcher, batch.column(1))):
+                for row, (_, found) in enumerate(_found(searcher, batch.column(1))):
                     for n, (least, end) in found.items():
                         rows.append(row)
                         ids.append(items[n][0])
@@ -215,20 +224,28 @@ def matches(docs: DataFrame, benchmark: DataFrame, rate: float = RATE, part_char
                 )
 
         one = docs.select("doc_id", "text").mapInArrow(run, schema)
-        out = one if out is None else out.union(one)
-    return out if out is not None else docs.sparkSession.createDataFrame([], schema)
+        written.append(staged(one, "decontaminate-matches") if more or written else one)
+    if not written:
+        return docs.sparkSession.createDataFrame([], schema)
+    return reduce(DataFrame.union, written)
 
 
 def remove(docs: DataFrame, benchmark: DataFrame, rate: float = RATE, part_chars: int = PART_CHARS) -> DataFrame:
     """The documents that hold no item, all columns unchanged."""
     at = docs.columns.index("text")
-    for items in _parts(benchmark, "item_id", part_chars):
+    for more, items in _parts(benchmark, "item_id", part_chars):
 
         def run(batches: Iterator[pa.RecordBatch], items=items) -> Iterator[pa.RecordBatch]:
             searcher = Searcher([t for _, t in items], rate)
+
+            def clean(text: str, found: dict[int, tuple[int, int]]) -> bool:
+                return not any(len(items[n][1]) >= MIN_CHARS or items[n][1] == text for n in found)
+
             for batch in batches:
-                clean = [not found for found in _found(searcher, batch.column(at))]
-                yield batch.filter(pa.array(clean, pa.bool_()))
+                kept = [clean(text, found) for text, found in _found(searcher, batch.column(at))]
+                yield batch.filter(pa.array(kept, pa.bool_()))
 
         docs = docs.mapInArrow(run, docs.schema)
+        if more:
+            docs = staged(docs, "decontaminate-pass")
     return docs

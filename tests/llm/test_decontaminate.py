@@ -64,7 +64,8 @@ def test_matches_against_brute_force(spark):
     forms = normal([t for _, t in items])
     for (i, _), text in zip(docs, normal([t for _, t in docs]), strict=True):
         for (k, _), item in zip(items, forms, strict=True):
-            if len(item) >= MIN_CHARS and distance(item, text) <= int(RATE * len(item)):
+            short = item and len(item) < MIN_CHARS and f" {item} " in f" {text} "
+            if short or len(item) >= MIN_CHARS and distance(item, text) <= int(RATE * len(item)):
                 expected.add((i, k))
     assert got == expected and len(expected) > 20
 
@@ -79,6 +80,15 @@ def test_a_large_benchmark_takes_more_passes(spark, part_chars):
     assert [r["doc_id"] for r in remove(d, b, part_chars=part_chars).collect()] == [100]
 
 
+def test_short_items_are_whole_words_without_edits(spark):
+    items = [(1, "Four"), (2, "the Red-Sea"), (3, "..."), (4, "x")]
+    docs = [(1, "four"), (2, "The red, sea!"), (3, "fourteen of the red seas"), (4, "it took four days at the red sea"), (5, "..."), (6, "")]
+    d, b = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    found = sorted((r["doc_id"], r["item_id"], r["edits"]) for r in matches(d, b).collect())
+    assert found == [(1, 1, 0), (2, 2, 0), (4, 1, 0), (4, 2, 0)]
+    assert sorted(r["doc_id"] for r in remove(d, b).collect()) == [3, 4, 5, 6]
+
+
 def test_odd_inputs(spark):
     docs = odd_docs(spark)
     items = spark.createDataFrame([(1, "SAME words, in a row for all of us here"), (None, None)], "item_id long, text string")
