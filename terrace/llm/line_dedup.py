@@ -3,7 +3,8 @@
 1. Lines are hashed once in a pass over the texts; from here on a line is (document key,
    position, hash, site) and texts are not shuffled for counting.
 2. A line on ``min_sites`` sites occurs at least that often, so a plain count (combined
-   before the shuffle) leaves only lines that can qualify.
+   before the shuffle) leaves only lines that can qualify. Their rows are dealt by line and salt,
+   so a line that stands everywhere is spread over ``SALTS`` tasks until sketches combine it.
 3. HyperLogLog sketches of the sites of those lines are built per map task and merged. An
    estimate outside the error band around the threshold decides; lines inside the band get
    an exact distinct count.
@@ -33,6 +34,7 @@ MIN_SITES = 4
 MIN_WORDS = 3
 PASSAGE_WORDS = 51
 LG_K = 12
+SALTS = 32
 TRIMMED = " \t\r\x0b\x0c"
 
 
@@ -49,12 +51,21 @@ def lines(docs: DataFrame, site: str | Column = "source", min_words: int = MIN_W
     )
 
 
+def _only(rows: DataFrame, chosen: DataFrame) -> DataFrame:
+    """The ``rows`` of the chosen lines, dealt by line and salt."""
+    salted = chosen.select("line", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
+    return rows.join(salted, ["line", "salt"], "left_semi")
+
+
 def spread_lines(each: DataFrame, min_sites: int = MIN_SITES, lg_k: int = LG_K) -> DataFrame:
     """Hashes of the lines that occur on at least ``min_sites`` distinct sites."""
     often = each.groupBy("line").agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") >= min_sites).select("line")
     # A site is one string per row; NULL gets a name that no concatenation of a real one has.
-    named = each.select("line", F.when(F.col("site").isNull(), "null").otherwise(F.concat(F.lit("s:"), "site")).alias("site"))
-    some = named.join(often, "line", "left_semi")
+    named = each.select(
+        "line", F.when(F.col("site").isNull(), "null").otherwise(F.concat(F.lit("s:"), "site")).alias("site"),
+        F.pmod(F.xxhash64("doc_id", "position"), F.lit(SALTS)).cast("int").alias("salt"),
+    )
+    some = _only(named, often)
     estimated = staged(
         some.groupBy("line").agg(F.hll_sketch_estimate(F.hll_sketch_agg("site", F.lit(lg_k))).alias("sites")),
         "lines-estimated",
@@ -64,7 +75,7 @@ def spread_lines(each: DataFrame, min_sites: int = MIN_SITES, lg_k: int = LG_K)
     sure = estimated.filter(F.col("sites") > high).select("line")
     near = estimated.filter((F.col("sites") >= low) & (F.col("sites") <= high)).select("line")
     exact = (
-        named.join(near, "line", "left_semi").groupBy("line").agg(F.countDistinct("site").alias("sites"))
+        _only(named, near).groupBy("line").agg(F.countDistinct("site").alias("sites"))
         .filter(F.col("sites") >= min_sites).select("line")
     )
     return sure.union(exact)
