@@ -52,9 +52,11 @@ def lines(docs: DataFrame, site: str | Column = "source", min_words: int = MIN_W
 
 
 def _only(rows: DataFrame, chosen: DataFrame) -> DataFrame:
-    """The ``rows`` of the chosen lines, dealt by line and salt."""
-    salted = chosen.select("line", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
-    return rows.join(salted, ["line", "salt"], "left_semi")
+    """The ``rows`` of the chosen lines with what ``chosen`` says of them (a row per line), dealt
+    by line and salt."""
+    salt = F.pmod(F.xxhash64("doc_id", "position"), F.lit(SALTS)).cast("int")
+    salted = chosen.select("*", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
+    return rows.withColumn("salt", salt).join(salted, ["line", "salt"]).drop("salt")
 
 
 def spread_lines(each: DataFrame, min_sites: int = MIN_SITES, lg_k: int = LG_K) -> DataFrame:
@@ -62,8 +64,8 @@ def spread_lines(each: DataFrame, min_sites: int = MIN_SITES, lg_k: int = LG_K)
     often = each.groupBy("line").agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") >= min_sites).select("line")
     # A site is one string per row; NULL gets a name that no concatenation of a real one has.
     named = each.select(
-        "line", F.when(F.col("site").isNull(), "null").otherwise(F.concat(F.lit("s:"), "site")).alias("site"),
-        F.pmod(F.xxhash64("doc_id", "position"), F.lit(SALTS)).cast("int").alias("salt"),
+        "line", "doc_id", "position",
+        F.when(F.col("site").isNull(), "null").otherwise(F.concat(F.lit("s:"), "site")).alias("site"),
     )
     some = _only(named, often)
     estimated = staged(
@@ -87,12 +89,12 @@ def boilerplate(
     """doc_id, version, positions: the lines to remove from every document that has any."""
     each = staged(lines(docs, site, min_words), "lines")
     hits = staged(
-        each.join(spread_lines(each, min_sites), "line").select("line", "doc_id", "version", "position"), "lines-spread"
+        _only(each, spread_lines(each, min_sites)).select("line", "doc_id", "version", "position"), "lines-spread"
     )
     place = F.struct("doc_id", "version", "position")
     first = hits.groupBy("line").agg(F.min(place).alias("first"))
     return (
-        hits.join(first, "line").filter(~place.eqNullSafe(F.col("first")))
+        _only(hits, first).filter(~place.eqNullSafe(F.col("first")))
         .groupBy("doc_id", "version").agg(F.collect_set("position").alias("positions"))
     )
 
