@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
 from terrace.operators import key_sketch
+from terrace.plans import stages
+from terrace.specs import TableSpec
 
 SCHEMA = "k long, s string"
 
@@ -81,6 +84,21 @@ def test_empty_sides(spark):
     assert listed(key_sketch.differences(none, some, ["k"])) == {(n, "extra") for n in range(5)}
 
 
+def test_stage_lists_keys_of_landed_and_absent_tables(spark, tmp_root):
+    specs = (TableSpec("one", ("id",), cursor="ts"), TableSpec("two", ("id", "line"), cursor="ts"))
+    ctx = stages.RunContext.start(spark, stages.Layout(tmp_root), specs=specs)
+    one = spark.range(6).selectExpr("id AS ID", "timestamp_ntz'2020-01-01 00:00:00' AS Ts")
+    two = spark.range(2).selectExpr("id", "'a' AS line", "timestamp_ntz'2020-01-01 00:00:00' AS ts")
+    stages.run(ctx, "extract", sources={"one": one.filter("ID <> 3")}, load_id=1)
+    found = {tuple(r) for r in stages.missing_keys(ctx, {"one": one.filter("ID <> 5"), "two": two}).collect()}
+    assert found == {
+        ("one", '{"id":3}', "missing"), ("one", '{"id":5}', "extra"),
+        ("two", '{"id":0,"line":"a"}', "missing"), ("two", '{"id":1,"line":"a"}', "missing"),
+    }
+    with pytest.raises(ValueError):
+        stages.missing_keys(ctx, {})
+
+
 keys = st.lists(st.tuples(st.integers(-30, 30) | st.none(), st.sampled_from(["", "a", None])), max_size=60)
 
 
