@@ -5,8 +5,9 @@
    urls count once. The choice is a combined minimum, so a host with a third of all pages
    costs its reducer a few rows.
 2. Each host's sample is grouped by layout and each group aligned into a union-free expression
-   (``html_wrappers``). It tells template texts from slots and, where pages do not mark their
-   article, the element whose slots carry the content.
+   (``html_wrappers``). It tells template texts from slots and labels the slots of the article:
+   article and main elements, roles and class words are evidence for the labels, and where
+   there is none, or the slots outside speak against it, the element whose slots carry the content.
 3. Every page is read whole and its article extracted under the wrapper of its layout, or by
    its own structure where no sampled layout is found on it. Hosts are joined by a
    runtime-sized join, and nothing else is shuffled.

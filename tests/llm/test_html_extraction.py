@@ -1,10 +1,13 @@
 from __future__ import annotations
 
 import html
+import itertools
+import random
 import re
+import time
 
 from terrace.llm.html_extraction import extract, host_of, wrappers
-from terrace.llm.html_wrappers import article, expression, fold, infer, model_of, nodes_of, read
+from terrace.llm.html_wrappers import Model, article, common, expression, fold, infer, model_of, nodes_of, read
 
 from ..conftest import SF001
 
@@ -130,3 +133,82 @@ def test_hosts_of_copies_and_of_two_layouts(spark):
     df = spark.createDataFrame(rows, "page_id long, url string, html string")
     got = {r["page_id"]: r["text"] for r in extract(df).collect()}
     assert got == truth
+
+
+def _host(n, build):
+    return [read(build(i, " ".join(f"w{i}x{k}" for k in range(40)))) for i in range(n)]
+
+
+def test_the_wrapper_decides_on_marked_pages():
+    """A notice without any mark inside the article: constant on the host's pages, so template."""
+    def build(i, body):
+        return f"<article><h2>Summary</h2><p>{body}</p><section><p>Read on with a paid plan</p></section></article>"
+
+    pages = _host(5, build)
+    model, wrapper = model_of(pages)
+    assert model.marked and "'Read on with a paid plan'" in expression(wrapper)
+    own = article(pages[0], Model({}, "", {}))
+    assert own.endswith("Read on with a paid plan")
+    assert article(pages[0], model) == own.removesuffix("\nRead on with a paid plan")
+    # Two pages, or copies of one text, are no evidence for a template.
+    assert article(pages[0], model_of(pages[:2])[0]) == own
+    assert article(pages[0], model_of([pages[0]] * 5)[0]) == own
+
+
+def test_slots_overrule_tags_around_something_else():
+    """An article element around a teaser, the text in a plain element: the slots outside outweigh it."""
+    def build(i, body):
+        return f"<div class=x1><article><p>Teaser {i}</p></article></div><div class=x2><p>{body}</p><p>{body[::-1]}</p></div>"
+
+    pages = _host(4, build)
+    model, _ = model_of(pages)
+    assert model.holder.endswith("div.x2")
+    assert article(pages[1], Model({}, "", {})) == "Teaser 1"
+    assert article(pages[1], model).startswith("w1x0 w1x1") and "Teaser" not in article(pages[1], model)
+    # A layout of marked pages says nothing about pages without marks.
+    other = read("<table><tr><td>Some words of another layout</table>")
+    assert article(other, model) == "Some words of another layout"
+
+
+def test_a_slot_is_labelled_by_most_of_its_characters():
+    """A role on most pages marks a place; on a page that lacks the role, the slot's label holds."""
+    def build(i, body):
+        role = "" if i == 3 else " role=main"
+        return f"<main><p>Note {i}</p></main><div class=t{role}><p>{body}</p></div>"
+
+    pages = _host(6, build)
+    model, _ = model_of(pages)
+    assert article(pages[3], Model({}, "", {})) == "Note 3"
+    assert article(pages[3], model) == "Note 3\n" + " ".join(f"w3x{k}" for k in range(40))
+
+
+def test_alignment_is_a_common_subsequence_and_near_linear():
+    rng = random.Random(3)
+    for n in (0, 5, 40, 300):
+        a = [rng.choice("abcdef") for _ in range(n)]
+        b = [x for x in a if rng.random() < 0.8] + [rng.choice("abcxyz") for _ in range(n // 3)]
+        pairs = common(a, b)
+        assert all(a[i] == b[j] for i, j in pairs)
+        assert all(i < x and j < y for (i, j), (x, y) in itertools.pairwise(pairs))
+        assert len(pairs) >= len(b) // 4 and common(a, a) == [(i, i) for i in range(n)]
+    # Inserted runs among unique tokens: everything shared is found.
+    a = list(range(5000))
+    b = [x for k in a for x in ([k] if k % 7 else [k, "in", "in"])]
+    assert len(common(a, b)) == 5000
+
+    def varied(n):
+        return read("<article>" + "".join(f"<div class={rng.choice('abcdefgh') * rng.randint(1, 3)}><p>t{rng.random()}</p></div>" for _ in range(n)))
+
+    start = time.process_time()
+    wrapper = infer([varied(10_000), varied(10_000)])
+    assert wrapper and time.process_time() - start < 30
+
+
+def test_deep_pages_are_read_in_linear_time():
+    for source in ("<div class=x>" * 50_000 + "text", "<x-y class=ad>" * 50_000 + "text</i>" * 5_000, "<article>" * 20_000 + "text<p>" * 5_000,
+                   "<b>" * 50_000 + "<p>text</b></i>" * 2_000):
+        start = time.process_time()
+        got = read(source)
+        assert got.texts and max(len(t.path) for t in got.texts) < 40
+        article(got, model_of([got])[0])
+        assert time.process_time() - start < 10
