@@ -13,7 +13,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from terrace.operators import block_index, cdc, contracts, drift, gold, history, ingest, merkle, quality, runlog, search, silver
+from terrace.operators import block_index, cdc, contracts, drift, gold, history, history_store, ingest, merkle, quality, runlog, search, silver
 from terrace.plans import gold_refresh, stages
 from terrace.sources import lake
 from terrace.plans import oracles as O
@@ -752,19 +752,19 @@ def q_stream_collapse(spark: SparkSession, sf_dir: str) -> DataFrame:
 # -- Extensions -------------------------------------------------------------------------------
 
 
-@register(
-    "scd2_history",
-    O.with_(
-        O.BRONZE_ORDER_LINES,
-        body="""
+_HISTORY_SQL = O.with_(
+    O.BRONZE_ORDER_LINES,
+    body="""
 SELECT *, last_edited_when AS valid_from,
        lead(last_edited_when) OVER w AS valid_to,
        lead(order_line_id) OVER w IS NULL AS is_current
 FROM bronze_lines
 WINDOW w AS (PARTITION BY order_line_id
              ORDER BY last_edited_when, stock_item_id, supplier_id)""",
-    ),
 )
+
+
+@register("scd2_history", _HISTORY_SQL)
 def q_scd2_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     """EXT3: validity range of every landed version of every order line."""
     spec = A.spec("sales_orderlines")
@@ -773,6 +773,52 @@ def q_scd2_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@register("history_batches", _HISTORY_SQL)
+def q_history_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """EXT3: the same history kept by three loads whose versions come in any order of time, one
+    load sent twice, and a compaction between them."""
+    spec = A.spec("sales_orderlines")
+    lines = A.bronze_order_lines(spark, sf_dir)
+    root = work_dir(spark, "history_batches")
+    part = F.pmod(F.xxhash64(*lines.columns), F.lit(3))
+    for load_id in (2, 0, 0, 1):
+        history_store.merge(lines.filter(part == load_id), root, load_id, spec.primary_key, spec.cursor, spec.tiebreakers)
+        if load_id == 0:
+            history_store.compact(spark, root)
+    return history_store.current(spark, root)
+
+
+# Parameter: a line is looked up this many days after its order.
+ASOF_DAYS = 60
+
+
+@register(
+    "history_asof",
+    O.with_(
+        O.BRONZE_ORDER_LINES,
+        body=f"""
+, f AS (SELECT DISTINCT b.order_line_id, o.o_orderdate + INTERVAL {ASOF_DAYS} DAY AS seen_at
+        FROM bronze_lines b JOIN orders o ON o.o_orderkey = b.order_id),
+r AS (SELECT f.order_line_id, f.seen_at, b.last_edited_when, b.stock_item_id, b.supplier_id,
+             row_number() OVER (PARTITION BY f.order_line_id, f.seen_at ORDER BY b.last_edited_when DESC,
+                                b.stock_item_id DESC, b.supplier_id DESC) AS n
+      FROM f LEFT JOIN bronze_lines b
+        ON b.order_line_id = f.order_line_id AND b.last_edited_when <= f.seen_at)
+SELECT order_line_id, seen_at, last_edited_when, stock_item_id, supplier_id FROM r WHERE n = 1""",
+    ),
+)
+def q_history_asof(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """EXT3: the version every order line had two months after its order, if there was one."""
+    spec = A.spec("sales_orderlines")
+    lines = A.bronze_order_lines(spark, sf_dir).select("order_line_id", "order_id", "last_edited_when", "stock_item_id", "supplier_id")
+    orders = A.table(spark, sf_dir, "orders").select(
+        F.col("o_orderkey").alias("order_id"), F.col("o_orderdate") + F.expr(f"INTERVAL '{ASOF_DAYS}' DAY")
+    ).toDF("order_id", "seen_at")
+    facts = lines.select("order_line_id", "order_id").join(orders, "order_id").select("order_line_id", "seen_at").distinct()
+    found = history_store.as_of(facts, lines, spec.primary_key, "seen_at", spec.cursor, spec.tiebreakers)
+    return found.select("fact.*", "version.last_edited_when", "version.stock_item_id", "version.supplier_id")
+
+
 _DQ_RULES = (
     quality.Rule("order_line_id_not_null", "not_null", "order_line_id"),
     quality.Rule("description_not_null", "not_null", "description"),
