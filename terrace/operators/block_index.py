@@ -28,6 +28,8 @@ import json
 from dataclasses import dataclass
 from functools import reduce
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -92,11 +94,41 @@ def live_documents(spark: SparkSession, root: str, state: State, segments: list[
     return docs.join(dead.select("segment", "doc_id"), ["segment", "doc_id"], "left_anti")
 
 
+_ENTRIES = pa.list_(pa.struct([("gap", pa.int64()), ("tf", pa.int32()), ("dl", pa.int32())]))
+_POSTINGS = "term string, block long, n int, max_tf int, min_dl int, first_id long, bits binary, entries array<struct<gap:long,tf:int,dl:int>>"
+
+
+def _block_postings(docs: pa.Table) -> pa.Table:
+    """One row per term of a block's documents, at most ``BLOCK`` of them."""
+    docs = docs.combine_chunks().sort_by("pos")
+    ids, lengths, pos = (docs.column(c).to_numpy() for c in ("doc_id", "dl", "pos"))
+    tokens = docs.column("tokens").combine_chunks()
+    each = tokens.flatten().dictionary_encode()
+    owner = np.repeat(np.arange(len(ids)), tokens.value_lengths().to_numpy())
+    places, tf = np.unique(each.indices.to_numpy().astype(np.int64) * BLOCK + owner, return_counts=True)
+    code, owner = places // BLOCK, places % BLOCK
+    start = np.flatnonzero(np.diff(code, prepend=-1))
+    n = np.diff(np.append(start, len(code)))
+    first, dl, tf = ids[owner[start]], lengths[owner].astype(np.int32), tf.astype(np.int32)
+    low, most, bits = dl, tf, np.left_shift(np.uint64(1), pos[owner].astype(np.uint64))
+    if len(start):
+        low, most, bits = np.minimum.reduceat(dl, start), np.maximum.reduceat(tf, start), np.bitwise_or.reduceat(bits, start)
+    raw = bits.astype("<u8").tobytes()
+    entries = pa.StructArray.from_arrays([pa.array(ids[owner] - np.repeat(first, n)), pa.array(tf), pa.array(dl)], fields=list(_ENTRIES.value_type))
+    return pa.table({
+        "term": each.dictionary.take(pa.array(code[start])).cast(pa.string()), "block": pa.array(np.full(len(start), docs.column("block")[0].as_py(), np.int64)),
+        "n": pa.array(n.astype(np.int32)), "max_tf": pa.array(most), "min_dl": pa.array(low), "first_id": pa.array(first),
+        "bits": pa.array([raw[i : i + BLOCK // 8] for i in range(0, len(raw), BLOCK // 8)], pa.binary()),
+        "entries": pa.ListArray.from_arrays(pa.array(np.append(start, len(code)).astype(np.int32)), entries),
+    })
+
+
 def _write_segment(docs: DataFrame, path: str) -> tuple[int, int]:
     """Write (doc_id, dl, tokens) as a segment; (documents, words).
 
     The row number inside a sorted range partition numbers the documents, so no task sees more
-    than its range. The posting list of a term in a block has at most ``BLOCK`` entries.
+    than its range. The posting list of a term in a block has at most ``BLOCK`` entries, and a
+    block's documents are worked together, so single postings are never shuffled.
     """
     spark = docs.sparkSession
     place = F.monotonically_increasing_id()  # partition in the upper bits, row in the lower 33
@@ -105,15 +137,7 @@ def _write_segment(docs: DataFrame, path: str) -> tuple[int, int]:
         F.shiftright("_place", BLOCK_BITS).alias("block"), F.col("_place").bitwiseAND(F.lit(BLOCK - 1)).cast("int").alias("pos"), "doc_id", "dl", "tokens"
     ).write.mode("overwrite").parquet(f"{path}/docs")
     written = spark.read.parquet(f"{path}/docs")
-    each = written.select("block", "pos", "doc_id", "dl", F.explode("tokens").alias("term"))
-    postings = each.groupBy("term", "block", "pos", "doc_id", "dl").agg(F.count(F.lit(1)).cast("int").alias("tf"))
-    entries = F.sort_array(F.collect_list(F.struct("doc_id", "tf", "dl")))
-    blocks = postings.groupBy("term", "block").agg(
-        F.count(F.lit(1)).cast("int").alias("n"), F.max("tf").alias("max_tf"), F.min("dl").alias("min_dl"), F.min("doc_id").alias("first_id"),
-        F.substring(F.bitmap_construct_agg(F.col("pos").cast("long")), 1, BLOCK // 8).alias("bits"), entries.alias("_entries"),
-    )
-    gaps = F.transform("_entries", lambda e: F.struct((e["doc_id"] - F.col("first_id")).alias("gap"), e["tf"].alias("tf"), e["dl"].alias("dl")))
-    blocks = blocks.withColumn("entries", gaps).drop("_entries")
+    blocks = written.select("block", "pos", "doc_id", "dl", "tokens").groupBy("block").applyInArrow(_block_postings, _POSTINGS)
     blocks.repartitionByRange("term", "block").sortWithinPartitions("term", "block").write.mode("overwrite").parquet(f"{path}/blocks")
     n, words = written.agg(F.count(F.lit(1)), F.coalesce(F.sum("dl"), F.lit(0))).first()
     return int(n), int(words)
@@ -191,7 +215,11 @@ def search(
             spark.createDataFrame([], f"query_id {kind}, blocks long, scored long"),
         )
     terms = materialize(query_terms(queries, query_id, q))
-    hits = materialize(blocks.join(terms.select("term").distinct(), "term", "left_semi"))
+    # A block's postings are kept together: sums per query and block or document are then nearly
+    # complete before they are shuffled. The number keeps tasks: hits are small beside what queries
+    # make of them.
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    hits = materialize(blocks.join(terms.select("term").distinct(), "term", "left_semi").repartition(tasks, "segment", "block"))
     dead = _dead(spark, root, state)
     gone = None
     if dead is not None:
@@ -218,9 +246,10 @@ def search(
         found = found.join(asked, ["query_id", "term"]).select(
             "query_id", "segment", "term", "qtf", "df", (F.col("first_id")).alias("first_id"), F.inline("entries")
         ).withColumn("doc_id", F.col("first_id") + F.col("gap"))
-        if gone is not None:
+        found = found.groupBy("query_id", "segment", "doc_id").agg(F.round(F.sum(weight("tf", "dl")), 6).alias("score"))
+        if gone is not None:  # of a document's versions at most one is alive
             found = found.join(gone.select("segment", "doc_id").distinct(), ["segment", "doc_id"], "left_anti")
-        return found.groupBy("query_id", "doc_id").agg(F.round(F.sum(weight("tf", "dl")), 6).alias("score"))
+        return found.select("query_id", "doc_id", "score")
 
     best_first = [F.col("score").desc(), F.col("doc_id").asc()]
     first = _top(bounds, k, F.col("bound").desc(), F.col("segment"), F.col("block"))
