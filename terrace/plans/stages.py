@@ -162,6 +162,7 @@ def extract(
                 ingest.STATE_MAX_CURSOR: ingest.max_cursor(spec),
                 "null_cursors": F.count_if(F.col(spec.cursor).isNull()),
             },
+            spread=False,  # all rows go to this load's partition
         )
         # The load's max cursor, observed during the write, is the next watermark.
         _record_state(ctx, spec.name, load_id, m[ingest.STATE_MAX_CURSOR])
@@ -189,7 +190,7 @@ def extract_cdc(ctx: RunContext, change_tables: Mapping[str, DataFrame], load_id
         feed = feed.withColumn(LOAD_ID, F.lit(load_id).cast("long"))
         m = lake.overwrite_partitions(
             feed, path, (LOAD_ID,), ctx.layout.fmt, name=spec.name,
-            observe={ingest.STATE_MAX_CURSOR: F.max(CHANGE_LSN)},
+            observe={ingest.STATE_MAX_CURSOR: F.max(CHANGE_LSN)}, spread=False,
         )
         _record_state(ctx, name, load_id, m[ingest.STATE_MAX_CURSOR])
         return ctx.emit("changes landed", **m, last_lsn=last, load_id=load_id)
@@ -256,8 +257,8 @@ def build_silver_cdc(ctx: RunContext) -> list[dict[str, object]]:
 # -- Gold (JOI1-2, AGG1-3, SNK4) ------------------------------------------------------------------
 
 
-def _fact(ctx: RunContext, mart: gold.Mart) -> DataFrame:
-    return gold.fact(mart, ctx.read("silver", mart.headers), ctx.read("silver", mart.lines))
+def _fact(ctx: RunContext, mart: gold.Mart, spread: bool = False) -> DataFrame:
+    return gold.fact(mart, ctx.read("silver", mart.headers), ctx.read("silver", mart.lines), spread)
 
 
 def _roll_up(ctx: RunContext, mart: gold.Mart) -> dict[str, object]:
@@ -272,7 +273,8 @@ def build_gold(ctx: RunContext) -> list[dict[str, object]]:
 
     def build(mart: gold.Mart) -> list[dict[str, object]]:
         m = lake.write_table(
-            _fact(ctx, mart), ctx.layout.path("gold", mart.fact), ctx.layout.fmt, partition_by=mart.months, name=mart.fact
+            _fact(ctx, mart, spread=True), ctx.layout.path("gold", mart.fact), ctx.layout.fmt,
+            partition_by=mart.months, name=mart.fact, spread=False,  # by the fact, before its wide columns
         )
         return [ctx.emit("mart written", **m), _roll_up(ctx, mart)]
 

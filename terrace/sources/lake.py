@@ -83,18 +83,20 @@ def write_table(
     name: str | None = None,
     observe: dict[str, Column] | None = None,
     dynamic: bool = False,
+    spread: bool = True,
 ) -> dict[str, object]:
     """Write ``df`` and return ``{table, rows, destination, **observe}``.
 
     The row count (and any ``observe`` aggregates) come from an ``Observation``
     filled by the write itself, so the plan is not run a second time. ``dynamic``
     replaces only the partitions present in ``df`` (a per-write option, so
-    concurrent writes never depend on a shared session setting).
+    concurrent writes never depend on a shared session setting). Without ``spread`` the rows
+    are written as they lie, for rows of one partition or rebalanced by the caller.
     """
     obs = Observation(name or "write")
     extra = [c.alias(k) for k, c in (observe or {}).items()]
     observed = df.observe(obs, F.count(F.lit(1)).alias("rows"), *extra)
-    if partition_by:
+    if partition_by and spread:
         observed = observed.hint("rebalance", *partition_by)
     writer = observed.write.format(fmt).mode(mode)
     if dynamic:
@@ -121,9 +123,10 @@ def overwrite_partitions(
     fmt: str = "parquet",
     name: str | None = None,
     observe: dict[str, Column] | None = None,
+    spread: bool = True,
 ) -> dict[str, object]:
     """Replace only the partitions present in ``df`` (dynamic partition overwrite)."""
-    return write_table(df, path, fmt, "overwrite", partition_by, name, observe, dynamic=True)
+    return write_table(df, path, fmt, "overwrite", partition_by, name, observe, dynamic=True, spread=spread)
 
 
 def partition_columns(spark: SparkSession, path: str) -> tuple[str, ...]:
