@@ -2,9 +2,9 @@
 
 Queries are a DataFrame (one row per query), so a batch of searches is one job:
 
-* documents are tokenised where they are scanned, and only tokens that some query uses (a
-  semi-join with the query words) go on; corpus text is never shuffled or stored. Corpus
-  statistics (documents, words) are one aggregate row of the same scan;
+* documents are tokenised in the task that holds them, and only tokens that some query uses (a
+  semi-join with the query words) go on; texts are shuffled once by id, in place of one row
+  per posting, and never stored. Corpus statistics (documents, words) are one aggregate row;
 * where many documents share few texts (``search_texts``), distinct texts are scored, each
   with its number of documents and its k smallest ids; totals add the numbers up and the
   ranking expands the best texts;
@@ -51,6 +51,14 @@ def _tokenised(docs: DataFrame, id_col: str, text_col: str, carry: Sequence[str]
     return toks.withColumn("dl", F.coalesce(F.size("__toks"), F.lit(0)))
 
 
+def _by_id(docs: DataFrame, id_col: str, text_col: str, carry: Sequence[str] = ()) -> DataFrame:
+    """Texts shuffled by id before they are taken apart: postings are counted where they arise, and
+    a document's stay together, so scores are nearly summed before they are shuffled. The number
+    keeps tasks: texts are small beside their postings."""
+    tasks = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return docs.select(*dict.fromkeys((id_col, text_col, *carry))).repartition(tasks, id_col)
+
+
 def _stats(tokenised: DataFrame, weight: Column | None = None) -> tuple[int, int]:
     """(documents, words) of a tokenised corpus: one row from a map-side aggregate."""
     w = F.lit(1) if weight is None else weight
@@ -75,7 +83,7 @@ def write_postings(docs: DataFrame, id_col: str, text_col: str, path: str) -> No
     spark = docs.sparkSession
     tokenised = _tokenised(docs, id_col, text_col)
     (
-        _postings(tokenised, None).select("term", "doc_id", "tf", "dl")
+        _postings(_tokenised(_by_id(docs, id_col, text_col), id_col, text_col), None).select("term", "doc_id", "tf", "dl")
         .repartitionByRange("term", "doc_id").sortWithinPartitions("term", "doc_id")
         .write.mode("overwrite").parquet(f"{path}/postings")
     )
@@ -175,11 +183,10 @@ def search_text(
     elif k < 1:
         raise ValueError("k must be at least 1")
     carry = sorted({d for _, _, d in filters})
-    tokenised = _tokenised(docs, id_col, text_col, carry)
-    n, total = _stats(tokenised)
+    n, total = _stats(_tokenised(docs, id_col, text_col, carry))
     qt = query_terms(queries, query_id, q)
     # Written once: document frequencies, totals and scores all read it.
-    posts = materialize(_postings(tokenised, qt.select("term").distinct(), carry))
+    posts = materialize(_postings(_tokenised(_by_id(docs, id_col, text_col, carry), id_col, text_col, carry), qt.select("term").distinct(), carry))
     qside = qt.join(posts.groupBy("term").agg(F.count("tf").alias("df")), "term")
     if filters:
         qside = qside.join(_query_filter_cols(queries, query_id, filters), "query_id")
