@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import random
+import re
 
+import pyarrow as pa
 import pytest
 
 from terrace.operators import block_index, search
@@ -96,3 +98,27 @@ def test_failed_publish_is_replaced(spark, tmp_root):
     assert {r["doc_id"] for r in block_index.search(spark, root, queries)[0].collect()} == {1, 2}
     block_index.publish(frame(spark, {1: "b"}), root)
     assert {r["doc_id"] for r in block_index.search(spark, root, queries)[0].collect()} == {2}
+
+
+def test_postings_of_a_block():
+    docs = pa.table({
+        "block": pa.array([7, 7, 7], pa.int64()), "pos": pa.array([63, 0, 5], pa.int32()), "doc_id": pa.array([90, 10, 30], pa.int64()),
+        "dl": pa.array([3, 2, 0], pa.int32()), "tokens": pa.array([["b", "a", "b"], ["a", "é"], []], pa.list_(pa.string())),
+    })
+    got = {r.pop("term"): r for r in block_index._block_postings(docs).to_pylist()}
+    bits = lambda *pos: sum(1 << p for p in pos).to_bytes(8, "little")
+    one = lambda gap, tf, dl: {"gap": gap, "tf": tf, "dl": dl}
+    assert got == {
+        "a": {"block": 7, "n": 2, "max_tf": 1, "min_dl": 2, "first_id": 10, "bits": bits(0, 63), "entries": [one(0, 1, 2), one(80, 1, 3)]},
+        "b": {"block": 7, "n": 1, "max_tf": 2, "min_dl": 3, "first_id": 90, "bits": bits(63), "entries": [one(0, 2, 3)]},
+        "é": {"block": 7, "n": 1, "max_tf": 1, "min_dl": 2, "first_id": 10, "bits": bits(0), "entries": [one(0, 1, 2)]},
+    }
+    assert block_index._block_postings(docs.slice(2)).num_rows == 0
+
+
+def test_postings_are_counted_without_a_shuffle_of_their_own(spark):
+    docs = spark.createDataFrame([(1, "a b a"), (1, "c"), (None, "a"), (2, None)], "doc_id long, text string")
+    posts = search._postings(search._tokenised(search._by_id(docs, "doc_id", "text"), "doc_id", "text"), None)
+    keys = re.findall(r"hashpartitioning\((\w+)#\d+L?, (\S+)", posts._jdf.queryExecution().executedPlan().toString())
+    assert [k for k, _ in keys] == ["doc_id"] and keys[0][1].startswith("4")
+    assert sorted(map(str, posts.collect())) == sorted(map(str, search._postings(search._tokenised(docs, "doc_id", "text"), None).collect()))
