@@ -45,7 +45,8 @@ def in_task(rows: DataFrame, work: Callable[[list[dict]], Any]) -> Any:
         found = work([r for b in batches for r in b.to_pylist()])
         yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(found)], pa.binary())], ["result"])
 
-    return pickle.loads(rows.coalesce(1).mapInArrow(run, "result binary").collect()[0]["result"])
+    found = rows.coalesce(1).mapInArrow(run, "result binary").collect()
+    return pickle.loads(found[0]["result"]) if found else work([])  # no task runs where there are no partitions
 
 
 def packed(rows: DataFrame, **derived: Column) -> DataFrame:
