@@ -15,9 +15,11 @@ Every document is streamed through the shards that can hold its repeats, never t
 5. Intervals go back to the texts and to all documents by digests.
 
 An anchor with more than ``HOT`` places would fill a shard by itself, mostly with words around
-the repeated ones. Its windows are dealt one by one, by the hash of the whole window, once
-another window is known to have the same hash; equal windows count once with their number. So a
-shard's size does not depend on the most frequent passage, and no place is left out.
+the repeated ones. Its equal segments are counted first: one that stands twice and more is
+repeated as a whole, however many texts hold it. Different segments are broken up, each once:
+their windows are dealt one by one, by the hash of the whole window, once another window is
+known to have the same hash; equal windows count once with their number. So a shard's size does
+not depend on the most frequent passage, and no place is left out.
 
 Hashes only decide what meets in a shard; the index compares words.
 
@@ -30,7 +32,7 @@ rows loses every word if it is as long as a window. Columns other than the text
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -125,24 +127,17 @@ def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield batch.slice(at, ROWS)
 
 
-def _counted(texts: DataFrame, window: int, name: str) -> DataFrame:
+def _counted(texts: DataFrame, values: Callable[[np.ndarray], tuple[np.ndarray, np.ndarray]], name: str) -> DataFrame:
     """(key, value, times) of every distinct value of every text, written.
 
-    Values are the anchors of a text, or where it has a column ``hot`` the windows under those.
+    ``values`` gives the values of a text's word hashes and how often each stands there.
     """
-    single = "hot" in texts.columns
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for some in _slices(batches):
             keys, owner, found, times = some.column("key"), [], [], []
-            hot = some.column("hot") if single else None
             for i, text in enumerate(some.column("text").to_pylist()):
-                words = word_hashes(text.encode("utf-8", "surrogatepass"))
-                if hot is None:
-                    own, n = anchor_counts(words, window)
-                else:
-                    own = window_hashes(words, window)[np.isin(anchors(words, window), np.array(hot[i].as_py(), np.int64).view(np.uint64))]
-                    n = np.ones(len(own), np.int64)
+                own, n = values(word_hashes(text))
                 own, at = np.unique(own, return_inverse=True)
                 found.append(own)
                 times.append(np.bincount(at, n, minlength=len(own)))
@@ -153,7 +148,7 @@ def _counted(texts: DataFrame, window: int, name: str) -> DataFrame:
                 ["key", "value", "times"],
             )
 
-    return staged(texts.mapInArrow(work, "key binary, value long, times long"), name)
+    return staged(texts.select("key", F.col("text").cast("binary").alias("text")).mapInArrow(work, "key binary, value long, times long"), name)
 
 
 def _repeated(counted: DataFrame) -> DataFrame:
@@ -165,6 +160,10 @@ def _repeated(counted: DataFrame) -> DataFrame:
     return found.filter("_low <> _high or _times > 1").select("value", "places")
 
 
+def _once(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    return values, np.ones(len(values), np.int64)
+
+
 def _key(text: Column) -> Column:
     return F.unhex(F.md5(F.coalesce(text, F.lit(""))))
 
@@ -222,37 +221,58 @@ def _settle(texts: DataFrame, window: int) -> DataFrame:
 
 
 def _segments(texts: DataFrame, window: int) -> DataFrame:
-    """(key, start, deal, segment) of the runs of windows under a repeated anchor, and of single
-    repeated windows where the anchor is hot."""
+    """(key, start, size, hot, deal, segment) of the runs of windows under a repeated anchor."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for some in _slices(batches):
-            owner, starts, deals, found, sizes = [], [], [], [], []
-            cold, hot = some.column("cold"), some.column("windows")
+            owner, starts, deals, found, sizes, many = [], [], [], [], [], []
+            cold, hot = some.column("cold"), some.column("hot")
             for i, text in enumerate(some.column("text").to_pylist()):
                 raw = text.encode("utf-8", "surrogatepass")
-                words, hashes = raw.split(), word_hashes(raw)
-                own = anchors(hashes, window)
+                words = raw.split()
+                own = anchors(word_hashes(raw), window)
                 lo, hi = runs(own)
-                mine = np.isin(own[lo], np.array(cold[i].as_py(), np.int64).view(np.uint64))
-                lo, hi, deal = lo[mine], hi[mine], own[lo[mine]]
-                if hot[i].is_valid and len(hot[i]):
-                    whole = window_hashes(hashes, window)
-                    single = np.flatnonzero(np.isin(whole, np.array(hot[i].as_py(), np.int64).view(np.uint64)))
-                    lo, hi, deal = np.concatenate([lo, single]), np.concatenate([hi, single + 1]), np.concatenate([deal, whole[single]])
+                frequent = np.isin(own[lo], np.array(hot[i].as_py(), np.int64).view(np.uint64))
+                mine = frequent | np.isin(own[lo], np.array(cold[i].as_py(), np.int64).view(np.uint64))
+                lo, hi = lo[mine], hi[mine]
                 found += [b" ".join(words[a : b + window - 1]) for a, b in zip(lo.tolist(), hi.tolist(), strict=True)]
                 starts.append(lo)
                 sizes.append(hi - lo + window - 1)
-                deals.append(deal)
+                deals.append(own[lo])
+                many.append(frequent[mine])
                 owner.append(np.full(len(lo), i))
             owner = np.concatenate(owner)
             yield pa.RecordBatch.from_arrays(
                 [some.column("key").take(pa.array(owner)), pa.array(np.concatenate(starts).astype(np.int64)), pa.array(np.concatenate(sizes).astype(np.int64)),
-                 pa.array(np.concatenate(deals).astype(np.uint64).view(np.int64)), pa.array(found, pa.binary())],
-                ["key", "start", "size", "deal", "segment"],
+                 pa.array(np.concatenate(many)), pa.array(np.concatenate(deals).astype(np.uint64).view(np.int64)), pa.array(found, pa.binary())],
+                ["key", "start", "size", "hot", "deal", "segment"],
+            )
+
+    return texts.select("key", "text", "cold", "hot").mapInArrow(work, "key binary, start long, size long, hot boolean, deal long, segment binary")
+
+
+def _pieces(different: DataFrame, window: int) -> DataFrame:
+    """(key, starts, deal, piece) of every different one of the windows of a segment whose hash is repeated."""
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for some in _slices(batches):
+            owner, starts, deals, found = [], [], [], []
+            for i, (text, repeated) in enumerate(zip(some.column("text").to_pylist(), some.column("windows").to_pylist(), strict=True)):
+                words, own = text.split(), window_hashes(word_hashes(text), window)
+                places: dict[bytes, list[int]] = {}
+                for a in np.flatnonzero(np.isin(own, np.array(repeated, np.int64).view(np.uint64))).tolist():
+                    places.setdefault(b" ".join(words[a : a + window]), []).append(a)
+                found += places
+                starts += places.values()
+                deals.append(own[[at[0] for at in places.values()]])
+                owner += [i] * len(places)
+            yield pa.RecordBatch.from_arrays(
+                [some.column("key").take(pa.array(owner, pa.int64())), pa.array(starts, pa.list_(pa.int32())),
+                 pa.array(np.concatenate(deals).view(np.int64)), pa.array(found, pa.binary())],
+                ["key", "starts", "deal", "piece"],
             )
 
-    return texts.select("key", "text", "cold", "windows").mapInArrow(work, "key binary, start long, size long, deal long, segment binary")
+    return different.select("key", "text", "windows").mapInArrow(work, "key binary, starts array<int>, deal long, piece binary")
 
 
 def _intervals(distinct: DataFrame, window: int) -> DataFrame:
@@ -295,7 +315,7 @@ def repeats(docs: DataFrame, *, text: str = "text", window: int = WINDOW, hot: i
     ``spans`` are the word ranges covered by repeated windows, in order and apart.
     """
     own = docs.select(_key(F.col(text)).alias("key"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    anchored = _counted(own, window, "substring-anchors")
+    anchored = _counted(own, lambda words: anchor_counts(words, window), "substring-anchors")
     known = anchored.join(_repeated(anchored), "value").groupBy("key").agg(
         F.collect_set(F.when(F.col("places") <= hot, F.col("value"))).alias("cold"),
         F.collect_set(F.when(F.col("places") > hot, F.col("value"))).alias("hot"),
@@ -303,18 +323,30 @@ def repeats(docs: DataFrame, *, text: str = "text", window: int = WINDOW, hot: i
     texts = own.groupBy("key").agg(F.first("text").alias("text"), F.count(F.lit(1)).alias("copies"))
     settled = staged(_settle(texts.join(known, "key", "left").select("key", "copies", "text", "cold", "hot"), window), "substring-texts")
     waiting = settled.filter("text is not null")
-    windows = _counted(waiting.filter("size(hot) > 0").select("key", "text", "hot"), window, "substring-windows")
-    windows = windows.join(_repeated(windows), "value", "left_semi").groupBy("key").agg(F.collect_set("value").alias("windows"))
     segments = staged(
-        _segments(waiting.join(windows, "key", "left"), window).select("key", "start", "size", "deal", F.unhex(F.md5("segment")).alias("digest"), "segment"),
-        "substring-segments",
+        _segments(waiting, window).select("key", "start", "size", "hot", "deal", F.unhex(F.md5("segment")).alias("digest"), "segment"), "substring-segments"
     )
-    words = segments.agg(F.sum("size")).first()[0] or 0
+    frequent = segments.filter("hot").groupBy("digest", "segment").agg(F.count(F.lit(1)).alias("n"), F.max("size").cast("int").alias("size"))
+    frequent = staged(frequent.select(F.col("digest").alias("key"), F.col("segment").alias("text"), "n", "size"), "substring-frequent")
+    windows = _counted(frequent, lambda words: _once(window_hashes(words, window)), "substring-windows")
+    windows = windows.join(_repeated(windows), "value", "left_semi").groupBy("key").agg(F.collect_set("value").alias("windows"))
+    pieces = staged(
+        _pieces(frequent.join(windows, "key"), window).select("key", "starts", "deal", F.unhex(F.md5("piece")).alias("digest"), "piece"), "substring-pieces"
+    )
+    words = (segments.filter("not hot").agg(F.sum("size")).first()[0] or 0) + window * pieces.count()
     shards = max(1, -(-words // shard_words))
-    distinct = segments.groupBy("deal", "segment").agg(F.count(F.lit(1)).alias("n"))
-    found = _intervals(distinct.select(F.pmod(F.xxhash64("deal"), F.lit(shards)).alias("shard"), "segment", "n"), window)
-    spans = segments.select("key", "start", "digest").join(found, "digest").select(
-        "key", F.transform("spans", lambda s: F.struct((s["start"] + F.col("start")).cast("int").alias("start"), (s["stop"] + F.col("start")).cast("int").alias("stop"))).alias("spans")
+    distinct = segments.filter("not hot").groupBy("deal", "segment").agg(F.count(F.lit(1)).alias("n")).union(
+        pieces.groupBy("deal", "piece").agg(F.sum(F.size("starts")).alias("n"))
+    )
+    found = staged(_intervals(distinct.select(F.pmod(F.xxhash64("deal"), F.lit(shards)).alias("shard"), "segment", "n"), window), "substring-intervals")
+    span = lambda start, stop: F.struct(start.cast("int").alias("start"), stop.cast("int").alias("stop"))
+    whole = frequent.filter("n > 1").select(F.col("key").alias("digest"), F.array(span(F.lit(0), F.col("size"))).alias("spans"))
+    parts = pieces.join(frequent.filter("n = 1").select("key"), "key", "left_semi").join(found.select("digest"), "digest", "left_semi").groupBy("key").agg(
+        F.flatten(F.collect_list(F.transform("starts", lambda a: span(a, a + window)))).alias("spans")
+    )
+    covered = found.union(whole).union(parts.select(F.col("key").alias("digest"), "spans"))
+    spans = segments.select("key", "start", "digest").join(covered, "digest").select(
+        "key", F.transform("spans", lambda s: span(s["start"] + F.col("start"), s["stop"] + F.col("start"))).alias("spans")
     )
     spans = spans.groupBy("key").agg(F.flatten(F.collect_list("spans")).alias("found"))
     closed = _close(waiting.select("key", "copies", "text").join(spans, "key", "left"), window)

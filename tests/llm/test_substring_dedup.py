@@ -6,6 +6,7 @@ from collections import Counter
 
 import numpy as np
 
+from terrace.llm import substring_dedup
 from terrace.llm.fm_index import FMIndex, WaveletMatrix
 from terrace.llm.substring_dedup import anchors, repeated_passages, without_repeats, word_hashes
 from tests.llm.helpers import ODD, no_docs, odd_docs, prose, words
@@ -52,6 +53,20 @@ def test_hot_anchors_and_small_shards(spark):
     check(spark, planted(3, 60), hot=1, shard_words=50, window=12)
 
 
+def test_equal_runs_under_a_hot_anchor_are_broken_up_once(spark, monkeypatch):
+    rng = random.Random(8)
+    passage, kept = prose(rng, 300), {}
+    near = passage.split()
+    docs = [(i, f"{prose(rng, 40)} {passage} {prose(rng, 40)}") for i in range(60)]
+    docs += [(100 + i, " ".join([*near[:150], f"other{i}", *near[151:]])) for i in range(3)]
+    real = substring_dedup.staged
+    monkeypatch.setattr(substring_dedup, "staged", lambda df, name: kept.setdefault(name, real(df, name)))
+    check(spark, docs, hot=5)
+    # Segments, and the windows broken out of them: 60 texts hold 266 repeated ones each.
+    dealt = sum(kept[name].count() for name in ("substring-segments", "substring-pieces") if name in kept)
+    assert dealt < 60 * 266 / 3
+
+
 def test_few_words_and_periods(spark):
     rng = random.Random(4)
     docs = [(i, " ".join(rng.choice("ab") for _ in range(rng.randrange(0, 90)))) for i in range(40)] + [(99, "a " * 500), (98, "b a " * 40)]
