@@ -8,6 +8,7 @@ interval it falls into, a newer one closes the open row. Only the keys of the ba
 2. Their intervals are drawn again by ``history.scd2_history``, which splits a hot key by time.
 3. What differs is written as one segment of signed rows: +1 for a row that holds now, -1 for
    one that no longer does. One late version costs three rows, however long its key's history.
+   A stored row carries what it said through step 2, so the two are compared without a shuffle.
 
 ``current`` adds the signs up. ``compact`` folds all segments into a base, which replaces them
 when its folder is complete; a merge or compaction that stops half-way leaves nothing that is
@@ -38,7 +39,8 @@ from terrace.session import materialize
 from terrace.sources import lake
 
 PIECES = 64
-_SIGN, _PIECE, _TIE, _PART, _SEGMENT, BASE = "__sign", "__piece", "__tie", "__part", "segment", "base"
+DEAL = 1 << 20  # rows of a piece that are worked together
+_SIGN, _PIECE, _DEAL, _WAS, _PART, _SEGMENT, BASE = "__sign", "__piece", "__deal", "__was", "__part", "segment", "base"
 
 
 def _layout(spark: SparkSession, path: str) -> tuple[StructType, int]:
@@ -66,13 +68,25 @@ def _changes(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
     return reader.parquet(*(f"{path}/rows/{_SEGMENT}={n}" for n in names)).drop(_SEGMENT)
 
 
-def _fold(changes: DataFrame) -> DataFrame:
-    """Rows that hold, each as often as its signs add up to."""
-    columns = [c for c in changes.columns if c != _SIGN]
-    held = changes.groupBy(*columns).agg(F.sum(_SIGN).alias(_SIGN)).filter(F.col(_SIGN) > 0)
+def _repeated(held: DataFrame) -> DataFrame:
+    """Rows with a positive number of signs, as often as that."""
+    held = held.filter(F.col(_SIGN) > 0)
     return held.withColumn(_SIGN, F.explode(F.sequence(F.lit(1), F.col(_SIGN).cast("int")))).drop(_SIGN)
 
 
+def _fold(changes: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """Rows that hold, each as often as its signs add up to; ``by`` are further columns that follow from a row."""
+    columns = [c for c in changes.columns if c != _SIGN]
+    return _repeated(changes.groupBy(*by, *(c for c in columns if c not in by)).agg(F.sum(_SIGN).alias(_SIGN)).select(*columns, _SIGN))
+
+
+def _dealt(rows: DataFrame, by: Sequence[str]) -> DataFrame:
+    """``rows`` with a number that parts a large piece by ``by``, about ``DEAL`` rows in each part."""
+    counted = materialize(rows.groupBy(_PIECE).agg(F.ceil(F.count(F.lit(1)) / DEAL).alias("__parts")))  # a row per piece
+    joined = rows.join(F.broadcast(counted), _PIECE)
+    return joined.withColumn(_DEAL, F.pmod(F.xxhash64(F.lit("part"), *by), F.col("__parts"))).select(*rows.columns, _DEAL)
+
+
 def merge(
     batch: DataFrame,
     path: str,
@@ -81,10 +95,12 @@ def merge(
     cursor: str,
     tiebreakers: Sequence[str] = (),
     pieces: int = PIECES,
+    written: bool = False,
 ) -> bool:
     """Add a load's versions to the history at ``path``; False if that load is in it already.
 
-    ``pieces`` counts when the history is created.
+    ``pieces`` counts when the history is created. ``written``: the batch lies in files, so it is
+    read again where it is needed and not written once more.
     """
     spark = batch.sparkSession
     if "layout" not in lake.folders(spark, path):
@@ -97,21 +113,30 @@ def merge(
         return False
 
     piece = F.pmod(F.xxhash64(*key), F.lit(pieces)).cast("int")
-    new = materialize(batch.withColumn(_PIECE, piece))
-    touched = [r[0] for r in new.select(_PIECE).distinct().collect()]  # at most ``pieces`` numbers
-    keys = new.select(_PIECE, *(F.col(k).alias(f"__{k}") for k in key)).distinct()
+    new = (batch if written else materialize(batch)).withColumn(_PIECE, piece)
+    keys = materialize(new.select(_PIECE, *(F.col(k).alias(f"__{k}") for k in key)).distinct())
+    touched = [r[0] for r in keys.select(_PIECE).distinct().collect()]  # at most ``pieces`` numbers
     stored = _changes(spark, path, schema).filter(F.col(_PIECE).isin(touched))
     same = [F.col(k).eqNullSafe(F.col(f"__{k}")) for k in key]
-    old = materialize(_fold(stored.join(keys.drop(_PIECE), same, "left_semi")))
-
-    versions = old.select(*new.columns).union(new)
-    tied = versions.withColumn(_TIE, F.xxhash64(*batch.columns))
-    now = scd2_history(tied, key, cursor, (*tiebreakers, _TIE)).drop(_TIE)
-    columns = [*now.columns, _SIGN]
-    signed = now.withColumn(_SIGN, F.lit(1).cast("long")).union(old.select(*now.columns).withColumn(_SIGN, F.lit(-1).cast("long")))
-    changed = signed.groupBy(*now.columns).agg(F.sum(_SIGN).alias(_SIGN)).filter(F.col(_SIGN) != 0)
+    mine = stored.join(keys.drop(_PIECE), same, "left_semi")
+    # One folder alone holds no retraction that another row would have to meet.
+    old = materialize(_fold(mine) if len(names) > 1 else _repeated(mine))
+
+    was = F.struct("is_current", "valid_to")
+    versions = old.select(*new.columns, was.alias(_WAS)).union(new.withColumn(_WAS, F.lit(None).cast(old.select(was).schema[0].dataType)))
+    # Equal versions stay in the order they had, so that what holds on is not written again.
+    now = scd2_history(
+        _dealt(versions, key), key, cursor, (*tiebreakers, F.xxhash64(*batch.columns), F.col(_WAS)), written=True, deal=(_PIECE, _DEAL)
+    )
+    holds = F.struct("is_current", "valid_to")
+    one = F.lit(1).cast("long")
+    signed = [F.struct(holds.alias("is"), one.alias(_SIGN)), F.struct(F.col(_WAS).alias("is"), (-one).alias(_SIGN))]
+    now = now.filter(~F.col(_WAS).eqNullSafe(holds))
+    each = now.withColumn("__each", F.explode(F.when(F.col(_WAS).isNull(), F.array(signed[0])).otherwise(F.array(*signed))))
+    told = {"valid_to": F.col("__each.is.valid_to"), "is_current": F.col("__each.is.is_current"), _SIGN: F.col(f"__each.{_SIGN}")}
+    changed = each.select(*(told.get(c, F.col(c)).alias(c) for c in schema.names))
     number = 1 + max((int(n.partition("~")[0]) for n in names), default=0)
-    lake.write_table(changed.select(*columns), f"{path}/rows/{_SEGMENT}={number:010d}~{load_id}", partition_by=(_PIECE,))
+    lake.write_table(changed, f"{path}/rows/{_SEGMENT}={number:010d}~{load_id}", partition_by=(_PIECE,), spread=False)
     return True
 
 
@@ -127,9 +152,12 @@ def compact(spark: SparkSession, path: str) -> None:
         return
     for load in set(loads) - set(lake.folders(spark, f"{path}/loads")):  # the loads since the last compaction
         spark.range(0).write.mode("overwrite").parquet(f"{path}/loads/{load}")
-    rows = _fold(_changes(spark, path, _layout(spark, path)[0])).withColumn(_SIGN, F.lit(1).cast("long"))
+    changes = _changes(spark, path, _layout(spark, path)[0])
+    # One shuffle adds the signs up and brings a piece's rows together.
+    dealt = _dealt(changes, [c for c in changes.columns if c != _SIGN]).repartition(_PIECE, _DEAL)
+    rows = _fold(dealt, (_PIECE, _DEAL)).drop(_DEAL).withColumn(_SIGN, F.lit(1).cast("long"))
     number = names[-1].partition("~")[0]
-    lake.write_table(rows, f"{path}/rows/{_SEGMENT}={number}~{BASE}", partition_by=(_PIECE,))
+    lake.write_table(rows, f"{path}/rows/{_SEGMENT}={number}~{BASE}", partition_by=(_PIECE,), spread=False)
     for n in names:
         lake.remove(spark, f"{path}/rows/{_SEGMENT}={n}")
 

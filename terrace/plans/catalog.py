@@ -12,6 +12,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, StructField, StructType
 
 from terrace.operators import block_index, cdc, contracts, drift, gold, history, history_store, ingest, merkle, quality, runlog, search, silver
 from terrace.plans import gold_refresh, stages
@@ -780,9 +781,14 @@ def q_history_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
     spec = A.spec("sales_orderlines")
     lines = A.bronze_order_lines(spark, sf_dir)
     root = work_dir(spark, "history_batches")
+    # The landing is computed once, a folder for each load.
+    landed = work_dir(spark, "history_landing")
     part = F.pmod(F.xxhash64(*lines.columns), F.lit(3))
+    lines.withColumn("_load", part.cast("int")).write.partitionBy("_load").parquet(landed)
+    loads = spark.read.schema(StructType([*lines.schema, StructField("_load", IntegerType())])).parquet(landed)
     for load_id in (2, 0, 0, 1):
-        history_store.merge(lines.filter(part == load_id), root, load_id, spec.primary_key, spec.cursor, spec.tiebreakers)
+        batch = loads.filter(F.col("_load") == load_id).drop("_load")
+        history_store.merge(batch, root, load_id, spec.primary_key, spec.cursor, spec.tiebreakers, written=True)
         if load_id == 0:
             history_store.compact(spark, root)
     return history_store.current(spark, root)

@@ -87,3 +87,18 @@ def test_as_of_against_a_loop(spark, partitions):
     assert sorted(got, key=repr) == sorted(expected, key=repr)
     assert all(r["version"] is None for r in history_store.as_of(f, v.limit(0), ["k"], "at", "t").collect())
     assert history_store.as_of(f.limit(0), v, ["k"], "at", "t").count() == 0
+
+
+def test_a_batch_in_files_is_not_written_again_and_a_base_alone_is_not_shuffled(spark, tmp_root, monkeypatch):
+    kept = []
+    monkeypatch.setattr(history_store, "materialize", lambda df: kept.append(df) or materialize(df))
+    batch = materialize(spark.createDataFrame([(k, t, 0, "x") for k in range(40) for t in range(3)], SCHEMA))
+    path = f"{tmp_root}/h"
+    history_store.merge(batch, path, 1, ["k"], "t", written=True)
+    history_store.merge(materialize(batch.filter("k < 9").withColumn("t", F.lit(1))), path, 2, ["k"], "t", written=True)
+    assert not [df for df in kept if set(SCHEMA.replace(",", "").split()[::2]) == set(df.columns)]  # the batch as it came
+    old = [df for df in kept if "valid_to" in df.columns]
+    assert [df.count() for df in old] == [0, 27]
+    assert "hashpartitioning(k#" not in old[1]._jdf.queryExecution().executedPlan().toString()  # no sum of signs by whole rows
+    whole = scd2_history(batch.union(batch.filter("k < 9").withColumn("t", F.lit(1))), ["k"], "t")
+    assert _rows(history_store.current(spark, path).select("k", "t", "valid_to")) == _rows(whole.select("k", "t", "valid_to"))

@@ -7,6 +7,7 @@ import random
 
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from terrace.operators.cdc import collapse_changes
 from terrace.operators.history import scd2_history
@@ -133,3 +134,16 @@ def test_scd2_versions_without_a_cursor(spark):
     df = spark.createDataFrame([(1, None, "a"), (1, None, "b"), (1, 3, "c"), (2, None, "d")], "k int, t int, v string")
     out = {r["v"]: (r["valid_to"], r["is_current"]) for r in scd2_history(df, ["k"], "t", ("v",), partitions=3).collect()}
     assert out == {"a": (None, False), "b": (3, False), "c": (None, True), "d": (None, True)}
+
+
+def test_scd2_history_shuffles_rows_once_and_splits_a_hot_key(spark):
+    plain = spark.createDataFrame([(k, t) for k in range(300) for t in range(3)], "k int, t int")
+    out = scd2_history(plain, ["k"], "t")
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1
+    hot = spark.createDataFrame([(0, t, t) for t in range(500)] + [(None, t, t) for t in range(300)] + [(k, 1, 0) for k in range(1, 50)], "k int, t int, b int")
+    dealt = scd2_history(hot.withColumn("d", F.lit(1)), ["k"], "t", (F.col("b"),), partitions=8, written=True, deal=("d",))
+    assert "hashpartitioning(d#" in (plan := dealt._jdf.queryExecution().executedPlan().toString()) and "__range" in plan
+    got = {(r["k"], r["t"]): (r["valid_to"], r["is_current"]) for r in dealt.collect()}
+    want = {(0, t): (t + 1 if t < 499 else None, t == 499) for t in range(500)} | {(None, t): (t + 1 if t < 299 else None, t == 299) for t in range(300)}
+    assert got == want | {(k, 1): (None, True) for k in range(1, 50)}
