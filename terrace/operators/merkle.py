@@ -52,7 +52,8 @@ def save(rows: DataFrame, path: str, keys: Sequence[str], depth: int = DEPTH, le
     placed.hint("rebalance", NODE).sortWithinPartitions(NODE, LEAF).write.mode("overwrite").partitionBy(NODE).parquet(f"{path}/rows")
     rows.limit(0).write.mode("overwrite").parquet(f"{path}/columns")  # an empty table has no files to read them from
     written = spark.read.schema(placed.schema).parquet(f"{path}/rows")
-    content = quality.row_hash(rows, portable=True)
+    told = [c for name in rows.columns for c in (F.isnull(name), F.col(name))]  # a hash skips NULLs
+    content = F.abs(F.xxhash64(*told) % F.lit(1 << 60)).cast("decimal(38,0)")
     tree = written.select(F.col(LEAF).alias("node"), content.alias("h")).groupBy("node").agg(
         F.count(F.lit(1)).alias("rows"), F.sum("h").alias("total"), F.bit_xor(F.xxhash64("h")).alias("mixed")
     )
@@ -98,7 +99,7 @@ def diff(spark: SparkSession, before: str, after: str, keys: Sequence[str], dept
     """(keys, change) as ``quality.snapshot_diff`` gives them, and (read, held): how many rows stand
     in differing leaves, and in both tables."""
     leaves, nodes = differing_leaves(spark, before, after, depth)
-    leaf = leaves.select(F.col("node").alias(LEAF))
+    leaf = F.broadcast(leaves.select(F.col("node").alias(LEAF)))  # at most FAN ** depth
 
     def side(path: str) -> DataFrame:
         own = spark.read.parquet(f"{path}/columns").schema.add(LEAF, "long").add(NODE, "long")

@@ -1237,7 +1237,6 @@ def q_snapshot_accept(spark: SparkSession, sf_dir: str) -> DataFrame:
     correction of one month the changed keys of every changed table, from its hash tree."""
     ctx = stages.RunContext.start(spark, stages.Layout(work_dir(spark, "snapshot")), specs=A.SPECS)
     mart, trees = gold.ORDERED, work_dir(spark, "snapshot_trees")
-    rows = materialize(fact_sales(spark, sf_dir))
     kept = {
         mart.fact: (mart.line_key, merkle.ranged(mart.line_key, 1000)),
         mart.daily: (mart.day, merkle.hashed([mart.day])),
@@ -1248,11 +1247,14 @@ def q_snapshot_accept(spark: SparkSession, sf_dir: str) -> DataFrame:
         for table, (key, leaf) in kept.items():
             merkle.save(ctx.read("gold", table), f"{trees}/{step}/{table}", [key], leaf=leaf)
 
-    lake.write_table(rows, ctx.layout.path("gold", mart.fact), partition_by=mart.months, name=mart.fact)
+    fact = gold.fact(mart, silver_orders(spark, sf_dir), silver_lines(spark, sf_dir), spread=True)
+    lake.write_table(fact, ctx.layout.path("gold", mart.fact), partition_by=mart.months, name=mart.fact, spread=False)
     roll_up_and_keep("accepted")
     stages.accept_baseline(ctx)
     itself = materialize(stages.compare_baseline(ctx))
-    stages.replace_months(ctx, mart, rows.filter(F.dayofmonth(mart.day) > 15), BACKFILL_START, BACKFILL_END)
+    month = stages.in_months(ctx.read("gold", mart.fact), mart, BACKFILL_START, BACKFILL_END)
+    corrected = materialize(month.filter(F.dayofmonth(mart.day) > 15))  # from the table that is written to
+    stages.replace_months(ctx, mart, corrected, BACKFILL_START, BACKFILL_END)
     roll_up_and_keep("corrected")
     changed = materialize(stages.compare_baseline(ctx)).select("table")
     out = itself.select("table", F.lit(None).cast("string").alias("key"), "change")

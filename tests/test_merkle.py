@@ -61,3 +61,17 @@ table = st.dictionaries(st.integers(-50, 50), st.tuples(st.sampled_from(["x", "y
 def test_equals_the_full_diff(spark, tmp_path_factory, a, b):
     if a and b:
         both(spark, str(tmp_path_factory.mktemp("merkle")), a, b, depth=2)
+
+
+def test_leaves_that_differ_are_sent_to_the_rows(spark, tmp_root):
+    """Rows are not shuffled by leaf, and a NULL and the character that once stood for it differ."""
+    a = {k: ("s", "v") for k in range(60)}
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        both(spark, tmp_root, a, a | {1: ("s", None)})
+        plan = merkle.diff(spark, f"{tmp_root}/a", f"{tmp_root}/b", ["k"])[0]._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert "hashpartitioning(_leaf" not in plan and "BroadcastHashJoin [_leaf" in plan
+    both(spark, f"{tmp_root}/n", {1: ("s", None)}, {1: ("s", "\0")})
