@@ -8,7 +8,8 @@ them; both are made from the rows as written.
 
 ``diff`` walks two trees from the root: only children of nodes that differ are compared, and
 only leaves that differ are read, from the folders of their nodes, with the leaf as a pushed
-predicate. Within them rows are compared as ``quality.snapshot_diff`` does.
+predicate. Within them rows are compared as ``quality.snapshot_diff`` does, by key and two hashes
+of the row (by the row itself where the types of the two tables differ).
 
 What reaches the driver is the list of differing nodes above the leaves, at most
 FAN ** (depth - 1); ``depth`` is a parameter of the table, and both sides must share it.
@@ -24,6 +25,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from terrace.operators import quality
 
@@ -43,6 +45,11 @@ def ranged(key: str, width: int, depth: int = DEPTH) -> Column:
     return F.pmod(F.floor(F.col(key) / width).cast("long"), F.lit(FAN**depth))
 
 
+def _told(names: Sequence[str]) -> list[Column]:
+    """Columns to hash: a hash skips NULLs, so their places are hashed too."""
+    return [c for n in names for c in (F.isnull(n), F.col(n))]
+
+
 def save(rows: DataFrame, path: str, keys: Sequence[str], depth: int = DEPTH, leaf: Column | None = None) -> None:
     """Write rows and their tree under ``path``."""
     spark = rows.sparkSession
@@ -52,8 +59,7 @@ def save(rows: DataFrame, path: str, keys: Sequence[str], depth: int = DEPTH, le
     placed.hint("rebalance", NODE).sortWithinPartitions(NODE, LEAF).write.mode("overwrite").partitionBy(NODE).parquet(f"{path}/rows")
     rows.limit(0).write.mode("overwrite").parquet(f"{path}/columns")  # an empty table has no files to read them from
     written = spark.read.schema(placed.schema).parquet(f"{path}/rows")
-    told = [c for name in rows.columns for c in (F.isnull(name), F.col(name))]  # a hash skips NULLs
-    content = F.abs(F.xxhash64(*told) % F.lit(1 << 60)).cast("decimal(38,0)")
+    content = F.abs(F.xxhash64(*_told(rows.columns)) % F.lit(1 << 60)).cast("decimal(38,0)")
     tree = written.select(F.col(LEAF).alias("node"), content.alias("h")).groupBy("node").agg(
         F.count(F.lit(1)).alias("rows"), F.sum("h").alias("total"), F.bit_xor(F.xxhash64("h")).alias("mixed")
     )
@@ -101,11 +107,17 @@ def diff(spark: SparkSession, before: str, after: str, keys: Sequence[str], dept
     leaves, nodes = differing_leaves(spark, before, after, depth)
     leaf = F.broadcast(leaves.select(F.col("node").alias(LEAF)))  # at most FAN ** depth
 
-    def side(path: str) -> DataFrame:
-        own = spark.read.parquet(f"{path}/columns").schema.add(LEAF, "long").add(NODE, "long")
-        rows = spark.read.schema(own).parquet(f"{path}/rows").filter(F.col(NODE).isin(nodes))
-        return rows.join(leaf, LEAF, "left_semi").drop(LEAF, NODE)
+    old, new = (spark.read.parquet(f"{path}/columns").schema for path in (before, after))
+    alike = [(f.name, f.dataType) for f in old] == [(f.name, f.dataType) for f in new]
+
+    def side(path: str, own: StructType) -> DataFrame:
+        stored = StructType([*own, StructField(LEAF, LongType()), StructField(NODE, LongType())])
+        rows = spark.read.schema(stored).parquet(f"{path}/rows").filter(F.col(NODE).isin(nodes))
+        rows = rows.join(leaf, LEAF, "left_semi").drop(LEAF, NODE)
+        # Two hashes of a row go with its key in place of the row.
+        told = _told(own.names)
+        return rows.select(*keys, F.xxhash64(*told).alias("_h"), F.xxhash64(F.lit("second"), *told).alias("_g")) if alike else rows
 
     roots = _tree(spark, before).union(_tree(spark, after)).filter("level = 0")
     count = lambda t: t.agg(F.coalesce(F.sum("rows"), F.lit(0))).first()[0]
-    return quality.snapshot_diff(side(before), side(after), keys), (count(leaves), count(roots))
+    return quality.snapshot_diff(side(before, old), side(after, new), keys), (count(leaves), count(roots))

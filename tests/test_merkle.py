@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from terrace.operators import merkle, quality
 
@@ -75,3 +76,14 @@ def test_leaves_that_differ_are_sent_to_the_rows(spark, tmp_root):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
     assert "hashpartitioning(_leaf" not in plan and "BroadcastHashJoin [_leaf" in plan
     both(spark, f"{tmp_root}/n", {1: ("s", None)}, {1: ("s", "\0")})
+
+
+def test_rows_are_compared_by_hashes_unless_types_differ(spark, tmp_root):
+    x = frame(spark, {k: (f"s{k}", "v") for k in range(40)}).withColumn("n", F.lit(5))
+    y = x.withColumn("n", F.when(F.col("k") == 3, 6).otherwise(F.col("n")))
+    for name, table in (("x", x), ("y", y), ("z", y.withColumn("n", F.col("n").cast("long")))):
+        merkle.save(table, f"{tmp_root}/{name}", ["k"])
+    for other, hashed in (("y", True), ("z", False)):
+        got, _ = merkle.diff(spark, f"{tmp_root}/x", f"{tmp_root}/{other}", ["k"])
+        assert rows(got) == [(3, "changed")]
+        assert ("xxhash64(second" in got._jdf.queryExecution().optimizedPlan().toString()) == hashed
