@@ -142,7 +142,7 @@ def test_scd2_history_shuffles_rows_once_and_splits_a_hot_key(spark):
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange") == 1
     hot = spark.createDataFrame([(0, t, t) for t in range(500)] + [(None, t, t) for t in range(300)] + [(k, 1, 0) for k in range(1, 50)], "k int, t int, b int")
-    dealt = scd2_history(hot.withColumn("d", F.lit(1)), ["k"], "t", (F.col("b"),), partitions=8, written=True, deal=("d",))
+    dealt = scd2_history(hot.withColumn("d", F.coalesce("k", F.lit(7)) % 3), ["k"], "t", (F.col("b"),), partitions=8, written=True, deal=("d",))
     assert "hashpartitioning(d#" in (plan := dealt._jdf.queryExecution().executedPlan().toString()) and "__range" in plan
     got = {(r["k"], r["t"]): (r["valid_to"], r["is_current"]) for r in dealt.collect()}
     want = {(0, t): (t + 1 if t < 499 else None, t == 499) for t in range(500)} | {(None, t): (t + 1 if t < 299 else None, t == 299) for t in range(300)}
