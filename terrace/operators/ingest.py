@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from terrace.functions.expressions import snake_case
+from terrace.session import settled
 from terrace.specs import LOAD_ID, ROW_ID, TableSpec
 
 _BOUNDARY_CURSOR = "__wm_cursor"
@@ -131,8 +132,8 @@ def new_rows(
     """Source rows to append: cursor >= watermark, minus boundary rows already landed.
 
     The cursor predicate reaches the source scan (Parquet or JDBC pushdown). The
-    boundary set is Bronze rows with ``cursor = watermark``; the anti-join is on
-    (key, cursor), and the join strategy is left to adaptive execution.
+    boundary set is Bronze rows with ``cursor = watermark``, written first so that the
+    anti-join on (key, cursor) knows its size before the candidates are shuffled.
 
     Rows without a cursor are never dropped in silence: ``fail`` raises when there are any
     after the first load, ``include`` appends those whose key has no landed row without a
@@ -157,8 +158,8 @@ def new_rows(
     # Boundary columns are renamed so the join never depends on lineage-based column
     # resolution (Bronze and source may derive from the same scan).
     keys = [F.col(k).alias(f"__b_{k}") for k in spec.primary_key]
-    boundary = prior.filter(F.col(spec.cursor) == _typed(prior, spec.cursor, watermark)).select(
-        *keys, F.col(spec.cursor).alias(_BOUNDARY_CURSOR)
+    boundary = settled(
+        prior.filter(F.col(spec.cursor) == _typed(prior, spec.cursor, watermark)).select(*keys, F.col(spec.cursor).alias(_BOUNDARY_CURSOR))
     )
     same_key = [F.col(k).eqNullSafe(F.col(f"__b_{k}")) for k in spec.primary_key]
     fresh = candidates.join(boundary, [*same_key, F.col(spec.cursor) == F.col(_BOUNDARY_CURSOR)], "left_anti")

@@ -109,6 +109,9 @@ class RunContext:
     def read(self, layer: str, table: str, feed: str | None = None) -> DataFrame:
         return lake.read_table(self.spark, self.layout.path(layer, table, feed), self.layout.fmt)
 
+    def read_bucketed(self, layer: str, table: str) -> DataFrame:
+        return lake.read_bucketed(self.spark, self.layout.path(layer, table), self.layout.fmt)
+
 
 def concurrently(fn, items: Sequence) -> list:
     """Run ``fn`` over independent items as concurrent Spark jobs (one driver thread
@@ -163,6 +166,7 @@ def extract(
                 "null_cursors": F.count_if(F.col(spec.cursor).isNull()),
             },
             spread=False,  # all rows go to this load's partition
+            bucket_by=spec.primary_key,
         )
         # The load's max cursor, observed during the write, is the next watermark.
         _record_state(ctx, spec.name, load_id, m[ingest.STATE_MAX_CURSOR])
@@ -213,13 +217,16 @@ def build_silver(ctx: RunContext) -> list[dict[str, object]]:
         if raw is None:
             return ctx.emit("nothing landed, table left out", table=spec.name)
         _refuse_drift(ctx, spec, raw)
+        raw = lake.read_bucketed(ctx.spark, ctx.layout.path("bronze", spec.name), ctx.layout.fmt)
         bad = lake.write_table(
             silver.null_keys(raw, spec.primary_key), ctx.layout.rejected(spec.name), ctx.layout.fmt, name=f"{spec.name}_rejected"
         )
         out = silver.conform(raw, spec.primary_key, spec.cursor, spec.tiebreakers, on_null_key="drop")
         if rules := ctx.rules.get(spec.name):
             quality.enforce(quality.quality_report(out, rules))
-        m = lake.write_table(out, ctx.layout.path("silver", spec.name), ctx.layout.fmt, name=spec.name)
+        m = lake.write_table(
+            out, ctx.layout.path("silver", spec.name), ctx.layout.fmt, name=spec.name, bucket_by=gold.JOINED_ON.get(spec.name, ())
+        )
         return ctx.emit("table conformed", **m, rejected=bad["rows"])
 
     return concurrently(conform_one, ctx.specs)
@@ -258,7 +265,7 @@ def build_silver_cdc(ctx: RunContext) -> list[dict[str, object]]:
 
 
 def _fact(ctx: RunContext, mart: gold.Mart, spread: bool = False) -> DataFrame:
-    return gold.fact(mart, ctx.read("silver", mart.headers), ctx.read("silver", mart.lines), spread)
+    return gold.fact(mart, ctx.read_bucketed("silver", mart.headers), ctx.read_bucketed("silver", mart.lines), spread)
 
 
 def _roll_up(ctx: RunContext, mart: gold.Mart) -> dict[str, object]:
@@ -268,12 +275,17 @@ def _roll_up(ctx: RunContext, mart: gold.Mart) -> dict[str, object]:
     return ctx.emit("mart written", **m)
 
 
+# Buckets of lines from this size on are written to their months as they lie, a file a month each.
+MONTHS_BYTES = 16 << 20
+
+
 def build_gold(ctx: RunContext) -> list[dict[str, object]]:
     """Ordered and billed marts; the two are independent and run concurrently."""
 
     def build(mart: gold.Mart) -> list[dict[str, object]]:
+        large = lake.bucket_size(ctx.spark, ctx.layout.path("silver", mart.lines), (mart.key,)) >= MONTHS_BYTES
         m = lake.write_table(
-            _fact(ctx, mart, spread=True), ctx.layout.path("gold", mart.fact), ctx.layout.fmt,
+            _fact(ctx, mart, spread=not large), ctx.layout.path("gold", mart.fact), ctx.layout.fmt,
             partition_by=mart.months, name=mart.fact, spread=False,  # by the fact, before its wide columns
         )
         return [ctx.emit("mart written", **m), _roll_up(ctx, mart)]
