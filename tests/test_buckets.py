@@ -18,6 +18,7 @@ M = gold.ORDERED
 @pytest.fixture()
 def small_buckets(spark, monkeypatch):
     monkeypatch.setattr(lake, "BUCKET_BYTES", 0)
+    monkeypatch.setattr(lake, "BUCKETS", 8)
     monkeypatch.setattr(stages, "MONTHS_BYTES", 1)
 
 
@@ -95,6 +96,7 @@ def test_staged_loads_move_no_rows_between_bronze_and_gold(spark, tmp_root, monk
 
     plain = staged(f"{tmp_root}/a")
     monkeypatch.setattr(lake, "BUCKET_BYTES", 0)
+    monkeypatch.setattr(lake, "BUCKETS", 8)
     monkeypatch.setattr(stages, "MONTHS_BYTES", 1)
     ctx = staged(f"{tmp_root}/b")
     for layer, name in (("bronze", M.headers), ("bronze", M.lines), ("silver", M.headers), ("silver", M.lines), ("gold", M.fact), ("gold", M.daily)):
